@@ -17,30 +17,35 @@ _XML_OPTIONS = {
 }
 _MISC = r"\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*"
 _ATTRIBUTE = r"""\s+[\w:.\-]+\s*=\s*(?:"[^"<]*"|'[^'<]*')"""
-_ROOT = rf"(?s)^{_MISC}(?:<!DOCTYPE[^>\[]*>{_MISC})?<([A-Za-z_][\w:.\-]*)((?:{_ATTRIBUTE})*)\s*(/?)>"
+_ROOT = rf"(?s)^{_MISC}(?:<!DOCTYPE[^>\[]*>{_MISC})?<[A-Za-z_][\w:.\-]*(?:{_ATTRIBUTE})*\s*/?>"
 
 
-def single_root(payload: Column) -> Column:
-    """True if nothing but comments follows the first root element, which from_xml does not check."""
-    close = F.concat(F.lit("</"), F.regexp_extract(payload, _ROOT, 1))
-    rest = F.substring(payload, F.instr(payload, close) + F.length(close), F.length(payload))
-    return F.when(F.regexp_extract(payload, _ROOT, 3) == "/", payload.rlike(f"{_ROOT}{_MISC}$")).otherwise(
-        (F.instr(payload, close) > 0) & rest.rlike(rf"(?s)^\s*>{_MISC}$")
-    )
-
+def _single_root(payload: Column, head: Column) -> Column:
+    """True if nothing but comments follows the first root element, which from_xml does not check.
 
-def _plain_names(payload: Column) -> Column:
-    """False if the root moves its children into a namespace, where they no longer are timetable entries."""
-    return ~F.regexp_extract(payload, _ROOT, 2).rlike(r"\sxmlns\s*=")
+    ``head`` is the text up to the end of the root's start tag.
+    """
+    close = F.concat(F.lit("</"), F.regexp_extract(head, r"<([A-Za-z_][\w:.\-]*)[^<]*>$", 1))
+    at = F.when(head.endswith("/>"), F.length(head)).otherwise(
+        F.nullif(F.instr(payload, close), F.lit(0)) + F.length(close) - 1
+    )
+    rest = F.substring(payload, at + 1, F.length(payload))
+    closed = F.when(head.endswith("/>"), rest.rlike(f"(?s)^{_MISC}$")).otherwise(rest.rlike(rf"(?s)^\s*>{_MISC}$"))
+    return F.coalesce(closed, F.lit(False))
 
 
 def shred(raw: DataFrame, schema: str = TIMETABLE_XML) -> DataFrame:
-    """Parsed document per payload in ``doc``, with ``reason`` set where it must not be used."""
-    parsed = raw.withColumn("doc", F.from_xml("payload", schema, _XML_OPTIONS))
+    """Parsed document per payload in ``doc``, with ``reason`` set where it must not be used.
+
+    ``plain`` is false where the root moves its children into a namespace: they are no timetable entries.
+    """
+    parsed = raw.withColumns(
+        {"doc": F.from_xml("payload", schema, _XML_OPTIONS), "head": F.regexp_substr("payload", F.lit(_ROOT))}
+    )
     reason = F.when(F.col("payload").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), "malformed").when(
-        ~single_root(F.col("payload")), "extra_content"
+        ~_single_root(F.col("payload"), F.col("head")), "extra_content"
     )
-    return parsed.withColumn("reason", reason)
+    return parsed.withColumns({"reason": reason, "plain": ~F.col("head").rlike(r"\sxmlns\s*=")}).drop("head")
 
 
 def xml_quarantine(raw: DataFrame) -> DataFrame:
@@ -50,7 +55,7 @@ def xml_quarantine(raw: DataFrame) -> DataFrame:
 def services(raw: DataFrame, schema: str = TIMETABLE_XML) -> DataFrame:
     """One row per service of the readable payloads, with its position in the document."""
     docs = shred(raw, schema)
-    usable = F.when(F.col("reason").isNull() & _plain_names(F.col("payload")), F.col("doc.s"))
+    usable = F.when(F.col("reason").isNull() & F.col("plain"), F.col("doc.s"))
     head = [F.col("doc._station").alias("station_name")]
     if "_eva" in schema:
         head.append(F.col("doc._eva").alias("eva_number"))

@@ -53,29 +53,38 @@ def weather_quarantine(objects: DataFrame) -> DataFrame:
     )
 
 
+def _with_lists(objects: DataFrame) -> DataFrame:
+    """Typed lists of an object, read once: inside a lambda they would be read again for every hour."""
+    hourly = F.try_variant_get("obj", "$.hourly", "map<string,array<double>>")
+    return objects.withColumns(
+        {
+            "lists": F.map_filter(hourly, lambda k, v: (k != "time") & v.isNotNull()),
+            "times": F.try_variant_get("obj", "$.hourly.time", "array<string>"),
+        }
+    ).drop("obj")
+
+
 def _hours() -> Column:
-    """Array of (pos, time, measures): built per object, so arrays are not copied to every hour.
+    """Array of (pos, time, measures): built per object, so lists are not copied to every hour.
 
     Keys that hold no list are ignored, lists shorter than ``time`` end early, NULL measures are dropped.
     """
-    lists = F.map_filter(
-        F.try_variant_get("obj", "$.hourly", "map<string,array<double>>"), lambda k, v: (k != "time") & v.isNotNull()
-    )
-    times = F.try_variant_get("obj", "$.hourly.time", "array<string>")
 
     def one(time: Column, pos: Column) -> Column:
-        values = F.transform_values(lists, lambda _, v: F.get(v, pos))
+        values = F.transform_values("lists", lambda _, v: F.get(v, pos))
         return F.struct(
             pos.alias("pos"), time.alias("time"), F.map_filter(values, lambda _, v: v.isNotNull()).alias("measures")
         )
 
-    return F.transform(times, one)
+    return F.transform("times", one)
 
 
 def weather_vertical(objects: DataFrame, index: StationIndex | None) -> DataFrame:
     """One row per object and hour. Stations are matched per distinct coordinate, before hours are spread."""
-    usable = objects.filter(~(_unreadable("latitude") | _unreadable("longitude"))).select(
-        "raw_id", "batch_id", "obj_pos", _coordinate("latitude").alias("latitude"), _coordinate("longitude").alias("longitude"), "obj"
+    usable = _with_lists(
+        objects.filter(~(_unreadable("latitude") | _unreadable("longitude"))).withColumns(
+            {"latitude": _coordinate("latitude"), "longitude": _coordinate("longitude")}
+        )
     )
     if index is None:
         located = usable.withColumn("station_id", F.lit(None).cast("string"))

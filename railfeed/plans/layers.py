@@ -66,7 +66,7 @@ def batch_trace(layers: dict[str, DataFrame], ledger: DataFrame) -> DataFrame:
         one = df.groupBy("batch_id").agg(F.count(F.lit(1)).alias(f"{name}_rows"))
         out = one if out is None else out.join(one, "batch_id", "full_outer")
     status = ledger.groupBy("batch_id").agg(
-        F.max_by("status", F.struct("ts", "run_id")).alias("status"), F.count_distinct("run_id").alias("n_runs")
+        F.max_by("status", F.struct("ts", F.col("event") == "end", "run_id")).alias("status"), F.count_distinct("run_id").alias("n_runs")
     )
     counts = [f"{name}_rows" for name in layers]
     return out.join(status, "batch_id", "left").select(

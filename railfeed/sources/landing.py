@@ -17,11 +17,11 @@ def land_json(responses: DataFrame) -> DataFrame:
 
     A payload that is no list (or no JSON at all) keeps its text byte for byte.
     """
-    elements = F.transform(json_array(parse_json(F.col("payload"))), F.to_json)
+    elements = F.transform(json_array(parse_json(F.col("payload"))), lambda e: F.to_json(e))
     others = [c for c in responses.columns if c != "payload"]
-    return responses.select(
-        *others, F.posexplode(F.coalesce(elements, F.array("payload"))).alias("pos", "payload")
-    )
+    # outer with a later filter: the inner form adds a size check that parses every payload again
+    rows = responses.select(*others, F.posexplode_outer(F.coalesce(elements, F.array("payload"))).alias("pos", "payload"))
+    return rows.filter("pos IS NOT NULL")
 
 
 def land_text(responses: DataFrame) -> DataFrame:
@@ -29,34 +29,28 @@ def land_text(responses: DataFrame) -> DataFrame:
     return responses.select(*[c for c in responses.columns if c != "payload"], F.col("payload").cast("string"))
 
 
-def page_items(payload: Column) -> Column:
-    """Item list of a page response, whatever its envelope; NULL when there is none.
+def page_envelope(pages: DataFrame) -> DataFrame:
+    """Item list and announced total of each page response, whatever its envelope.
 
     A preferred key wins if it holds a list with entries. Otherwise the first key in document order
-    that holds a list is taken; VARIANT sorts its keys, so the order is read from the text.
+    that holds a list is taken; VARIANT sorts its keys, so the order is read from the text. A bare list
+    announces its own length. No list at all gives NULL.
     """
-    doc = parse_json(payload)
-    fields = json_map(doc)
-    preferred = F.coalesce(*[json_array(doc, f"$.{key}") for key in PAGE_ITEM_KEYS])
-    list_keys = F.filter(F.json_object_keys(payload), lambda k: json_array(fields[k]).isNotNull())
-    fallback = json_array(F.try_element_at(fields, F.get(list_keys, F.lit(0))))
-    return F.when(json_array(doc).isNotNull(), json_array(doc)).otherwise(
-        F.when(F.size(preferred) > 0, preferred).otherwise(F.coalesce(fallback, preferred))
-    )
-
-
-def page_total(payload: Column) -> Column:
-    """Announced number of items; a bare list announces its own length."""
-    doc = parse_json(payload)
-    return F.coalesce(
-        F.array_size(json_array(doc)).cast("bigint"), F.try_variant_get(doc, "$.total", "bigint")
-    )
-
-
-def page_envelope(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("items", page_items(F.col("payload"))).withColumn(
-        "total", page_total(F.col("payload"))
+    doc = F.col("doc")
+    parsed = pages.withColumn("doc", parse_json(F.col("payload"))).withColumns(
+        {
+            "bare": json_array(doc),
+            "lists": F.map_filter(
+                F.transform_values(json_map(doc), lambda _, v: json_array(v)), lambda _, v: v.isNotNull()
+            ),
+        }
     )
+    preferred = F.coalesce(*[F.col("lists")[key] for key in PAGE_ITEM_KEYS])
+    list_keys = F.filter(F.json_object_keys("payload"), lambda k: F.map_contains_key("lists", k))
+    first_list = F.col("lists")[F.get(list_keys, F.lit(0))]
+    items = F.coalesce("bare", F.when(F.size(preferred) > 0, preferred), first_list)
+    total = F.coalesce(F.array_size("bare").cast("bigint"), F.try_variant_get(doc, "$.total", "bigint"))
+    return parsed.withColumns({"items": items, "total": total}).drop("doc", "bare", "lists")
 
 
 def _page_run(pages: DataFrame, limit: int) -> DataFrame:
