@@ -71,8 +71,15 @@ def region_coords(spark, sf_dir):
 # ---------------------------------------------------------------- weather
 
 
+_INDEXES = {}
+
+
 def _index(spark, sf_dir):
-    return build_station_index(st.region_coords(st.station_dimension(fx.station_raw(spark, sf_dir))))
+    """Index of the region's stations, built once per session like any table derived from the dimension."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = build_station_index(st.region_coords(st.station_dimension(fx.station_raw(spark, sf_dir))))
+    return _INDEXES[key]
 
 
 def _forecast(spark, sf_dir):

@@ -35,6 +35,16 @@ def _landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkS
     return read_raw(spark, _LANDED[key])
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Like ``_landed`` for records without the raw table's columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = work_dir(spark, f"raw-{name}")
+        build(spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def _items(n: Column, make: Callable[[Column], Column]) -> Column:
     """make(0), ..., make(n - 1); n may be 0."""
     return F.transform(F.filter(F.sequence(lit(0), n.cast("int")), lambda i: i < n), make)
@@ -111,6 +121,10 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "pages", page_rows)
+
+
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page response per customer: ten pages of seven items per batch, in changing envelopes."""
     ck = col("c_custkey")
     batch, page = F.floor(ck / 10), ck % 10
@@ -123,7 +137,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     body = _pick(page % 6, wrapped("data"), wrapped("stations"), wrapped("results"), wrapped("items"), wrapped("other"), items)
     failed = ck % 19 == 18
-    return table(spark, sf_dir, "customer").select(
+    return _spread(table(spark, sf_dir, "customer")).select(
         F.format_string("db_stations_%06d", batch).alias("batch_id"),
         (page * 7).cast("int").alias("offset"),
         F.when(failed, 500).otherwise(200).alias("status_code"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from ..schemas import MATCH_TOLERANCE
 from ..session import work_dir
@@ -29,6 +29,7 @@ class StationIndex:
 
     cells: DataFrame | None
     members: DataFrame | None
+    top: list[Row]
     depth: int
 
 
@@ -52,7 +53,7 @@ def build_station_index(stations: DataFrame, leaf_size: int = _LEAF_SIZE) -> Sta
         F.min("latitude").alias("a"), F.max("latitude").alias("b"), F.min("longitude").alias("c"), F.max("longitude").alias("d")
     ).first()
     if box.a is None:
-        return StationIndex(None, None, 0)
+        return StationIndex(None, None, [], 0)
 
     level = F.explode(F.sequence(F.lit(0), F.lit(_MAX_LEVEL))).alias("level")
     placed = spots.select(
@@ -83,7 +84,11 @@ def build_station_index(stations: DataFrame, leaf_size: int = _LEAF_SIZE) -> Sta
     tree = spark.read.parquet(f"{path}/cells")
     leaves = tree.filter(~F.col("is_split")).select("level", "cx", "cy")
     placed.join(leaves, ["level", "cx", "cy"], "left_semi").write.parquet(f"{path}/members")
-    return StationIndex(tree, spark.read.parquet(f"{path}/members"), tree.agg(F.max("level")).first()[0])
+    # at most the 16 children of the root, so small enough to travel in the plan
+    top = tree.filter("level <= 1").select(*_CELL).collect()
+    top = [c for c in top if c.level == 1] or top
+    depth = tree.agg(F.max("level")).first()[0]
+    return StationIndex(tree, spark.read.parquet(f"{path}/members"), top, depth)
 
 
 def _squared(value: Column) -> Column:
@@ -106,21 +111,33 @@ def match_coordinates(coords: DataFrame, index: StationIndex, tolerance: float =
     Within the tolerance box the smallest station id wins, else the nearest station by squared degree
     distance with the smallest id on ties. Bounds use the same rounding as the distances, so they are safe.
     """
-    points = coords.select("latitude", "longitude").dropna().distinct()
+    # a text key: Spark normalises floating keys and would shuffle anew for every step; + 0.0 drops the sign of zero
+    lat, lon = F.col("latitude"), F.col("longitude")
+    points = (
+        coords.select((lat + 0.0).alias("latitude"), (lon + 0.0).alias("longitude"))
+        .dropna()
+        .withColumn("point", F.concat_ws(",", "latitude", "longitude"))
+        .dropDuplicates(["point"])
+    )
     if index.cells is None:
         none = F.lit(None).cast("string")
-        return points.withColumns({"tol_station_id": none, "near_station_id": none, "station_id": none})
+        return points.drop("point").withColumns({"tol_station_id": none, "near_station_id": none, "station_id": none})
 
-    lat, lon = F.col("latitude"), F.col("longitude")
     near = _squared(_gap(lat, "min_lat", "max_lat")) + _squared(_gap(lon, "min_lon", "max_lon"))
     far = _squared(_reach(lat, "min_lat", "max_lat")) + _squared(_reach(lon, "min_lon", "max_lon"))
     touches = (_gap(lat, "min_lat", "max_lat") < tolerance) & (_gap(lon, "min_lon", "max_lon") < tolerance)
     inside = (_reach(lat, "min_lat", "max_lat") < tolerance) & (_reach(lon, "min_lon", "max_lon") < tolerance)
-    per_point = Window.partitionBy("latitude", "longitude")
+    per_point = Window.partitionBy("point")
 
-    root = index.cells.filter("level = 0").first()
-    walk = points.withColumns({c: F.lit(root[c]) for c in _CELL})
-    for level in range(index.depth):
+    def pruned(cells: DataFrame) -> DataFrame:
+        """Cells that may hold the nearest station, or touch the tolerance box."""
+        bounded = cells.withColumn("_bound", F.min(far).over(per_point))
+        return bounded.filter((near <= F.col("_bound")) | touches).drop("_bound")
+
+    key = ["point", "latitude", "longitude"]
+    top = F.array(*[F.struct(*[F.lit(cell[c]).alias(c) for c in _CELL]) for cell in index.top])
+    walk = pruned(points.select(*key, F.inline(top)))
+    for level in range(index.top[0].level, index.depth):
         children = index.cells.filter(F.col("level") == level + 1).select(
             F.col("px").alias("_px"), F.col("py").alias("_py"), *[F.col(c).alias(f"_{c}") for c in _CELL]
         )
@@ -130,12 +147,7 @@ def match_coordinates(coords: DataFrame, index: StationIndex, tolerance: float =
             (F.col("level") == level) & F.col("is_split") & ~inside & (F.col("cx") == F.col("_px")) & (F.col("cy") == F.col("_py")),
             "left",
         )
-        walk = (
-            opened.select("latitude", "longitude", *[F.coalesce(f"_{c}", c).alias(c) for c in _CELL])
-            .withColumn("_bound", F.min(far).over(per_point))
-            .filter((near <= F.col("_bound")) | touches)
-            .drop("_bound")
-        )
+        walk = pruned(opened.select(*key, *[F.coalesce(f"_{c}", c).alias(c) for c in _CELL]))
     whole = walk.withColumn("_whole", inside)
     members = index.members.select(
         F.col("level").alias("_level"), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "station_id",
@@ -149,10 +161,10 @@ def match_coordinates(coords: DataFrame, index: StationIndex, tolerance: float =
     in_box = (F.abs(lat - F.col("s_lat")) < tolerance) & (F.abs(lon - F.col("s_lon")) < tolerance)
     hit = F.when(F.col("_whole"), F.col("first_id")).when(in_box, F.col("station_id"))
     distance = _squared(lat - F.col("s_lat")) + _squared(lon - F.col("s_lon"))
-    best = pairs.groupBy("latitude", "longitude").agg(
+    best = pairs.groupBy(*key).agg(
         F.min(hit).alias("tol_station_id"),
         F.min_by("station_id", F.when(F.col("station_id").isNotNull(), F.struct(distance, F.col("station_id")))).alias(
             "near_station_id"
         ),
     )
-    return best.withColumn("station_id", F.coalesce("tol_station_id", "near_station_id"))
+    return best.drop("point").withColumn("station_id", F.coalesce("tol_station_id", "near_station_id"))

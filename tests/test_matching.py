@@ -1,0 +1,59 @@
+"""Station matching against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from railfeed.operators.matching import build_station_index, match_coordinates
+
+SCHEMA = "station_id STRING, latitude DOUBLE, longitude DOUBLE"
+
+
+def brute_force(stations, lat, lon):
+    hits = [s for s, a, b in stations if abs(lat - a) < 1e-4 and abs(lon - b) < 1e-4]
+    if hits:
+        return min(hits)
+    return min(((lat - a) * (lat - a) + (lon - b) * (lon - b), s) for s, a, b in stations)[1]
+
+
+def scattered(rng):
+    stations = [(f"s{i}", rng.uniform(47, 55), rng.uniform(6, 15)) for i in range(400)]
+    points = [(rng.uniform(40, 60), rng.uniform(0, 20)) for _ in range(300)]
+    return stations, points + [(a + 5e-5, b - 5e-5) for _, a, b in stations[:50]]
+
+
+def crowded(rng):
+    """Most stations on one square of a few hundred metres, some on the very same spot, points close by."""
+    near = [(f"c{i}", 50 + rng.randrange(30) * 5e-5, 8 + rng.randrange(30) * 5e-5) for i in range(500)]
+    far = [(f"f{i}", rng.uniform(40, 60), rng.uniform(0, 20)) for i in range(20)]
+    points = [(50 + rng.uniform(-1e-3, 3e-3), 8 + rng.uniform(-1e-3, 3e-3)) for _ in range(200)]
+    return near + far, points + [(rng.uniform(-80, 80), rng.uniform(-170, 170)) for _ in range(50)]
+
+
+def lattice(rng):
+    """Equal distances everywhere: ties go to the smallest id."""
+    stations = [(f"g{x:02d}{y:02d}", 50.0 + x, 5.0 + y) for x in range(12) for y in range(12)]
+    rng.shuffle(stations)
+    return stations, [(50.0 + x / 2, 5.0 + y / 2) for x in range(24) for y in range(24)]
+
+
+def single(rng):
+    return [("only", 0.0, -0.0)], [(0.0, 0.0), (-0.0, 5.0), (89.0, 179.0)]
+
+
+@pytest.mark.parametrize("make", [scattered, crowded, lattice, single])
+def test_equals_brute_force(spark, make):
+    stations, points = make(random.Random(7))
+    index = build_station_index(spark.createDataFrame(stations, SCHEMA))
+    found = match_coordinates(spark.createDataFrame(points, "latitude DOUBLE, longitude DOUBLE"), index).collect()
+    assert {(r.latitude, r.longitude) for r in found} == {(a + 0.0, b + 0.0) for a, b in points}
+    wrong = [(r, brute_force(stations, r.latitude, r.longitude)) for r in found]
+    assert [(r, want) for r, want in wrong if r.station_id != want] == []
+
+
+def test_no_stations_or_coordinates(spark):
+    empty = build_station_index(spark.createDataFrame([], SCHEMA))
+    points = spark.createDataFrame([(50.0, 8.0), (None, 8.0)], "latitude DOUBLE, longitude DOUBLE")
+    assert [r.station_id for r in match_coordinates(points, empty).collect()] == [None]
