@@ -102,7 +102,8 @@ def layer_reconcile(objects: DataFrame, vertical: DataFrame) -> DataFrame:
 def measure_drift(raw: DataFrame, doc: Column) -> DataFrame:
     """Keys per batch, and whether the batch is the first one to carry the key."""
     per_batch = (
-        raw.select("batch_id", F.explode(F.map_keys(json_map(doc))).alias("measure"))
+        raw.select("batch_id", F.explode_outer(F.map_keys(json_map(doc))).alias("measure"))
+        .filter("measure IS NOT NULL")
         .groupBy("batch_id", "measure")
         .agg(F.count(F.lit(1)).alias("n_payloads"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import settings
 from ..functions import json_array, json_text, parse_json, prefix_like
 from ..schemas import REGION_DS100_PATTERN, REGION_NAME_PATTERN
 from .ranking import latest_per_key
@@ -84,17 +85,20 @@ def station_dimension(raw: DataFrame) -> DataFrame:
     return latest.drop("raw_id")
 
 
-def in_region(name_pattern: str | None = None, ds100_pattern: str | None = None) -> Column:
-    return F.col("name").like(name_pattern or REGION_NAME_PATTERN) & prefix_like(
-        F.col("ds100"), ds100_pattern or REGION_DS100_PATTERN
-    )
+def in_region(name_pattern: str = REGION_NAME_PATTERN, ds100_pattern: str = REGION_DS100_PATTERN) -> Column:
+    return F.col("name").like(name_pattern) & prefix_like(F.col("ds100"), ds100_pattern)
 
 
 def region_eva(
     stations: DataFrame, name_pattern: str | None = None, ds100_pattern: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Distinct EVA numbers of the region; a station without one contributes NULL."""
-    evas = stations.filter(in_region(name_pattern, ds100_pattern)).select("eva_number").distinct()
+    """Distinct EVA numbers of the region; a station without one contributes NULL.
+
+    Arguments win over the environment, the environment over the defaults. A limit of 0 is no limit.
+    """
+    region = in_region(name_pattern or settings.region_name_pattern(), ds100_pattern or settings.region_ds100_pattern())
+    limit = settings.region_limit() if limit is None else limit
+    evas = stations.filter(region).select("eva_number").distinct()
     return evas.orderBy("eva_number").limit(limit) if limit else evas
 
 

@@ -144,13 +144,32 @@ def history_hourly(vertical: DataFrame, stations: DataFrame) -> DataFrame:
     return weather_hourly(vertical, stations, HISTORY_MEASURES)
 
 
+VERTICAL_SCHEMA = (
+    "psa_id BIGINT, obj_pos INT, station_id STRING, latitude DOUBLE, longitude DOUBLE, pos INT, time STRING, "
+    "measures MAP<STRING, DOUBLE>, day STRING, batch_id STRING"
+)
+
+
+def _day(time: Column) -> Column:
+    """Day of an ISO time; any other text shares one partition."""
+    return F.when(time.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(time, 1, 10)).otherwise("other")
+
+
 def write_vertical(vertical: DataFrame, path: str) -> None:
     """Append by day and batch; repeating a batch replaces it."""
-    write_partitions(vertical.withColumn("day", F.substring("time", 1, 10)), path, "day", "batch_id", rebalance=True)
+    write_partitions(vertical.withColumn("day", _day(F.col("time"))), path, "day", "batch_id", rebalance=True)
+
+
+def read_vertical(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(VERTICAL_SCHEMA).parquet(path)
 
 
-def rebuild_days(spark: SparkSession, vertical: str, target: str, days: DataFrame, stations: DataFrame, measures: list[str]) -> None:
-    """Refresh the stored latest view for the given days only; other days are not read."""
-    touched = spark.read.parquet(vertical).join(days.select("day").distinct(), "day", "left_semi")
-    latest = weather_hourly(touched, stations, measures).withColumn("day", F.substring("time", 1, 10))
-    write_partitions(latest, target, "day", rebalance=True)
+def rebuild_days(
+    spark: SparkSession, vertical: str, target: str, batch_ids: list[str], stations: DataFrame, measures: list[str]
+) -> None:
+    """Refresh the stored latest view for the days the given batches touch; other days are not read."""
+    rows = read_vertical(spark, vertical)
+    # a batch covers the days of its forecast or archive window
+    days = [r.day for r in rows.filter(F.col("batch_id").isin(batch_ids)).select("day").distinct().collect()]
+    latest = weather_hourly(rows.filter(F.col("day").isin(days)), stations, measures)
+    write_partitions(latest.withColumn("day", _day(F.col("time"))), target, "day", rebalance=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import stations as st
 from ..operators import timetables as tt
@@ -13,7 +13,7 @@ from ..operators import weather as wx
 from ..operators.matching import build_station_index
 from ..sources import landing
 from ..sources.tables import RAW_SCHEMA, read_raw, scan_batch, write_partitions, write_raw
-from .layers import make_batch_id, promote, purge
+from .layers import latest_batch, make_batch_id, promote, purge
 from .ledger import RunLedger, pending_batches
 
 # feed, batch id prefix
@@ -38,6 +38,12 @@ def event_partition(line: Column, ts: Column) -> Column:
     return F.when(unclear, "any").otherwise(F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("any")))
 
 
+def counting(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """Rows counted while they are written, without a pass of their own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
 class Warehouse:
     """Tables below one root folder: ``stg``, ``psa``, ``dwh`` and ``metadata``."""
 
@@ -62,12 +68,14 @@ class Warehouse:
         batch_id = batch_id or make_batch_id(FEEDS[feed], now)
         land = landing.land_json if feed in _JSON_FEEDS else landing.land_text
 
-        def job(_: str) -> str:
+        def job() -> str:
             stg, psa = self.path("stg", feed), self.path("psa", feed)
             rows = landing.stamp_batch(land(responses), batch_id).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
+            rows, counted = counting(rows)
             write_raw(rows, stg)
             promote(self.spark, stg, psa)
-            return f"purged={len(purge(self.spark, stg, psa))}"
+            purge(self.spark, stg, psa)
+            return f"rows_inserted={counted()}"
 
         self.ledger.run_batch(f"{feed}_import", batch_id, job)
         return batch_id
@@ -75,56 +83,66 @@ class Warehouse:
     def stations(self) -> DataFrame:
         return st.station_dimension(self.raw("db_stations"))
 
-    def pending(self, feed: str, latest_only: bool = False) -> list[str]:
+    def pending(self, feed: str) -> list[str]:
         """Batches still to transform, oldest first; a run has few of them."""
         raw = self.raw(feed)
         todo = pending_batches(raw, self.ledger.read(), f"{feed}_transform")
         arrived = raw.groupBy("batch_id").agg(F.max("ingested_at").alias("at"))
-        ids = [r.batch_id for r in arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").collect()]
-        return ids[-1:] if latest_only else ids
-
-    def _transform(self, feed: str, write: Callable[[DataFrame], None], latest_only: bool) -> list[str]:
-        """All pending batches in one job, logged batch by batch."""
-        batches = self.pending(feed, latest_only)
+        return [r.batch_id for r in arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").collect()]
+
+    def _transform(self, feed: str, write: Callable[[DataFrame], str], latest_only: bool) -> list[str]:
+        """All pending batches in one job. ``latest_only`` looks at the newest batch and no other."""
+        process = f"{feed}_transform"
+        batches = self.pending(feed)
+        newest = latest_batch(self.raw(feed)).first().batch_id if latest_only or not batches else None
+        if latest_only:
+            batches = [b for b in batches if b == newest]
         if batches:
-            write(scan_batch(self.raw(feed), *batches))
-            for batch_id in batches:
-                self.ledger.run_batch(f"{feed}_transform", batch_id, lambda _: "transformed")
+            self.ledger.run_all(process, batches, lambda: write(scan_batch(self.raw(feed), *batches)))
+        elif newest is not None:
+            self.ledger.skip(process, newest)
         return batches
 
     def transform_weather(self, feed: str, latest_only: bool = False) -> list[str]:
-        def write(raw: DataFrame) -> None:
+        def write(raw: DataFrame) -> str:
             index = build_station_index(st.region_coords(self.stations()))
             objects = wx.weather_objects(raw, history=feed == "weather_history")
-            wx.write_vertical(wx.weather_vertical(objects, index), self.path("psa", f"{feed}_vertical"))
+            rows, counted = counting(wx.weather_vertical(objects, index))
+            wx.write_vertical(rows, self.path("psa", f"{feed}_vertical"))
+            return f"rows_inserted={counted()}"
 
         return self._transform(feed, write, latest_only)
 
+    def _write_events(self, table: str, events: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], str]:
+        def write(raw: DataFrame) -> str:
+            rows, counted = counting(events(raw))
+            write_partitions(rows, self.path("dwh", table), "batch_id")
+            return f"rows_inserted={counted()}"
+
+        return write
+
     def transform_plan(self, latest_only: bool = False) -> list[str]:
-        target = self.path("dwh", "timetables_plan_events")
-        return self._transform(
-            "timetables_plan", lambda raw: write_partitions(tt.plan_events(raw), target, "batch_id"), latest_only
-        )
+        return self._transform("timetables_plan", self._write_events("timetables_plan_events", tt.plan_events), latest_only)
 
     def transform_fchg(self, latest_only: bool = False) -> list[str]:
-        target = self.path("dwh", "timetables_fchg_events")
-        return self._transform(
-            "timetables_fchg", lambda raw: write_partitions(tt.fchg_events(raw), target, "batch_id"), latest_only
-        )
+        return self._transform("timetables_fchg", self._write_events("timetables_fchg_events", tt.fchg_events), latest_only)
 
     def transform_rchg(self, latest_only: bool = False) -> list[str]:
         """Insert-ignore: only the days a batch touches are read back, and only their hashes."""
         target = self.path("dwh", "timetables_rchg_events")
 
-        def write(raw: DataFrame) -> None:
+        def write(raw: DataFrame) -> str:
             day = event_partition(F.col("train_line_name"), F.col("timestamp_event"))
-            new = tt.rchg_events(raw).withColumn("event_date", day)
+            found, attempted = counting(tt.rchg_events(raw).withColumn("event_date", day))
+            new = found
             if self.exists(target):
                 stored = self.spark.read.schema("event_hash STRING, event_date STRING, batch_id STRING").parquet(target)
-                days = [r.event_date for r in new.select("event_date").distinct().collect()]
+                days = [r.event_date for r in tt.rchg_rows(raw).select(day.alias("event_date")).distinct().collect()]
                 if "any" not in days:
                     stored = stored.filter(F.col("event_date").isin(*days, "any"))
-                new = tt.insert_ignore(new, stored)
+                new = tt.insert_ignore(found, stored)
+            new, inserted = counting(new)
             write_partitions(new, target, "event_date", "batch_id", rebalance=True)
+            return f"rows_attempted={attempted()}, rows_inserted={inserted()}"
 
         return self._transform("timetables_rchg", write, latest_only)

@@ -8,8 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.ranking import latest_per_key
-
 RUN_SCHEMA = (
     "run_id STRING, process_name STRING, batch_id STRING, event STRING, status STRING, "
     "ts TIMESTAMP_NTZ, message STRING"
@@ -45,19 +43,17 @@ def api_metrics(calls: DataFrame, by: list[str]) -> DataFrame:
 
 
 def process_state(events: DataFrame) -> DataFrame:
-    """Current row of every run: its last event, with the time it began."""
-    last = latest_per_key(
-        events, ["run_id"], [F.desc("ts"), (F.col("event") == "end").desc(), F.desc("status")]
+    """Current row of every run: its last event, with the time it began. One aggregate, so one shuffle."""
+    is_end = F.col("event") == "end"
+    last = F.max_by(
+        F.struct("process_name", "batch_id", "status", F.when(is_end, F.col("ts")).alias("finished_at"), "message"),
+        F.struct("ts", is_end, "status"),
     )
-    starts = events.filter("event = 'start'").groupBy("run_id").agg(F.min("ts").alias("started_at"))
-    return last.join(starts, "run_id", "left").select(
-        "run_id",
-        "process_name",
-        "batch_id",
-        "status",
-        "started_at",
-        F.when(F.col("event") == "end", F.col("ts")).alias("finished_at"),
-        "message",
+    runs = events.groupBy("run_id").agg(
+        last.alias("last"), F.min(F.when(F.col("event") == "start", F.col("ts"))).alias("started_at")
+    )
+    return runs.select(
+        "run_id", "last.process_name", "last.batch_id", "last.status", "started_at", "last.finished_at", "last.message"
     )
 
 
@@ -99,27 +95,35 @@ class RunLedger:
             return self.spark.createDataFrame([], RUN_SCHEMA)
         return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
 
-    def append(self, run_id: str, process: str, batch_id: str | None, event: str, status: str, message: str) -> None:
+    def append(self, events: list[tuple[str, str, str | None, str, str, str]]) -> None:
+        """Add (run_id, process_name, batch_id, event, status, message) at the current time."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = [(run_id, process, batch_id, event, status, now, message)]
-        self.spark.createDataFrame(row, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        rows = [(run, process, batch, event, status, now, message) for run, process, batch, event, status, message in events]
+        self.spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def is_done(self, process: str, batch_id: str | None) -> bool:
         if batch_id is None:
             return False
         return not succeeded_batches(self.read(), process).filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def run_batch(self, process: str, batch_id: str, job: Callable[[str], str]) -> str:
-        """Run ``job`` unless the batch succeeded before; returns the logged status."""
-        run_id = uuid.uuid4().hex
-        if self.is_done(process, batch_id):
-            self.append(run_id, process, batch_id, "end", "skipped", "already transformed")
-            return "skipped"
-        self.append(run_id, process, batch_id, "start", "running", "start")
+    def skip(self, process: str, batch_id: str) -> str:
+        self.append([(uuid.uuid4().hex, process, batch_id, "end", "skipped", "already transformed")])
+        return "skipped"
+
+    def run_all(self, process: str, batch_ids: list[str], job: Callable[[], str]) -> str:
+        """Run one job over several batches and log its start and its end for each of them."""
+        runs = [(uuid.uuid4().hex, process, batch_id) for batch_id in batch_ids]
+        self.append([(*run, "start", "running", "start") for run in runs])
         try:
-            message = job(batch_id)
+            message = job()
         except Exception as exc:
-            self.append(run_id, process, batch_id, "end", "failed", str(exc)[:2000])
+            self.append([(*run, "end", "failed", str(exc)[:2000]) for run in runs])
             raise
-        self.append(run_id, process, batch_id, "end", "success", message)
+        self.append([(*run, "end", "success", message) for run in runs])
         return "success"
+
+    def run_batch(self, process: str, batch_id: str, job: Callable[[], str]) -> str:
+        """Run ``job`` unless the batch succeeded before; returns the logged status."""
+        if self.is_done(process, batch_id):
+            return self.skip(process, batch_id)
+        return self.run_all(process, [batch_id], job)

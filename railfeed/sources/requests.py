@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import settings
 from ..functions import local_wall_clock
 from ..operators.ranking import number_rows
 from ..schemas import (
-    ARCHIVE_FIRST_DAY,
     ARCHIVE_LAG_DAYS,
     COORDS_PER_REQUEST,
     FALLBACK_COORDINATE,
@@ -71,7 +71,7 @@ def coord_batches(coords: DataFrame, order: str, size: int = COORDS_PER_REQUEST,
 
 
 def archive_window(
-    api_log: DataFrame, today: dt.date, first_day: str = ARCHIVE_FIRST_DAY, require_results: bool = False
+    api_log: DataFrame, today: dt.date, first_day: str | None = None, require_results: bool = False
 ) -> DataFrame:
     """Next archive request: from the last answered end date to two days ago, both inclusive.
 
@@ -90,6 +90,6 @@ def archive_window(
     newest = F.struct(F.col("called_at").isNull(), F.col("called_at"), end_date)
     last = F.max_by(end_date, newest)
     return calls.agg(last.alias("last_end")).select(
-        F.coalesce(F.nullif(F.col("last_end"), F.lit("")), F.lit(first_day)).alias("start_date"),
+        F.coalesce(F.nullif(F.col("last_end"), F.lit("")), F.lit(first_day or settings.archive_first_day())).alias("start_date"),
         F.lit((today - dt.timedelta(days=ARCHIVE_LAG_DAYS)).isoformat()).alias("end_date"),
     )

@@ -7,12 +7,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from railfeed.operators.weather import forecast_hourly, read_vertical
 from railfeed.plans.jobs import Warehouse, event_partition
 from railfeed.plans.layers import latest_batch
 from railfeed.plans.ledger import process_state
 from railfeed.session import work_dir
 from railfeed.sources import landing, requests
-from railfeed.sources.tables import read_raw
 
 T0 = dt.datetime(2025, 3, 11, 9, 0, 0)
 
@@ -42,25 +42,33 @@ def test_replayed_changes_are_ignored(spark, house):
         ("RCHG_20250311_090000", 2),
         ("RCHG_20250311_091000", 1),
     ]
-    assert read_raw(spark, house.path("stg", "timetables_rchg")).count() == 0 if house.exists(house.path("stg", "timetables_rchg/batch_id")) else True
+    messages = {r.batch_id: r.message for r in process_state(house.ledger.read()).filter("process_name LIKE '%transform' AND status = 'success'").collect()}
+    assert messages["RCHG_20250311_090000"] == "rows_attempted=2, rows_inserted=2"
+    assert messages["RCHG_20250311_091000"] == "rows_attempted=3, rows_inserted=1"
 
 
 def test_a_batch_lost_from_the_ledger_can_run_again(spark, house):
     doc = '<timetable station="A"><s id="7"><dp pt="2503110900"/></s></timetable>'
     for minute in range(3):
         house.ingest("timetables_plan", texts(spark, doc), T0 + dt.timedelta(minutes=minute))
-    assert len(house.pending("timetables_plan", latest_only=True)) == 1
-    assert len(house.transform_plan()) == 3
+    assert house.transform_plan(latest_only=True) == ["PLAN_20250311_090200"]
+    assert house.transform_plan(latest_only=True) == []
+    assert house.transform_plan() == ["PLAN_20250311_090000", "PLAN_20250311_090100"]
+    skipped = process_state(house.ledger.read()).filter("status = 'skipped'").collect()
+    assert [r.batch_id for r in skipped] == ["PLAN_20250311_090200"]
     house.ledger.path += "_lost"
     assert len(house.transform_plan()) == 3
     assert spark.read.parquet(house.path("dwh", "timetables_plan_events")).count() == 3
 
 
 def test_ledger_logs_success_skip_and_failure(spark, house):
-    assert house.ledger.run_batch("p", "B1", lambda _: "rows=1") == "success"
-    assert house.ledger.run_batch("p", "B1", lambda _: "rows=1") == "skipped"
+    def broken():
+        raise ValueError("no")
+
+    assert house.ledger.run_batch("p", "B1", lambda: "rows=1") == "success"
+    assert house.ledger.run_batch("p", "B1", lambda: "rows=1") == "skipped"
     with pytest.raises(ValueError):
-        house.ledger.run_batch("p", "B2", lambda _: (_ for _ in ()).throw(ValueError("no")))
+        house.ledger.run_batch("p", "B2", broken)
     state = {(r.batch_id, r.status) for r in process_state(house.ledger.read()).collect()}
     assert state == {("B1", "success"), ("B1", "skipped"), ("B2", "failed")}
     assert not house.ledger.is_done("p", None)
@@ -68,8 +76,6 @@ def test_ledger_logs_success_skip_and_failure(spark, house):
 
 
 def test_forecast_from_landing_to_view(spark, house):
-    from railfeed.operators.weather import forecast_hourly
-
     station = '{"number":"1","name":"Bremen","evaNumbers":[{"number":80,"isMain":true,"geographicCoordinates":{"coordinates":[8.8,53.1]}}],"ril100Identifiers":[{"rilIdentifier":"HB","isMain":true}]}'
     house.ingest("db_stations", texts(spark, f"[{station}]"), T0)
 
@@ -81,7 +87,7 @@ def test_forecast_from_landing_to_view(spark, house):
     house.ingest("weather_forecast", forecast(2), T0, "open_meteo_20250311090000_00000002")
     house.ingest("weather_forecast", forecast(1), T0, "open_meteo_20250311030000_00000001")
     assert len(house.transform_weather("weather_forecast")) == 2
-    vertical = spark.read.parquet(house.path("psa", "weather_forecast_vertical"))
+    vertical = read_vertical(spark, house.path("psa", "weather_forecast_vertical"))
     assert vertical.count() == 4
     (row,) = forecast_hourly(vertical, house.stations()).collect()
     assert (row.station_id, row.eva_number, row.temperature_2m) == ("1", "80", 2.0)
@@ -155,3 +161,21 @@ def test_archive_window_rules(spark):
     assert window((day(1), 200, 1, T0), (day(2), 204, 0, T0 + dt.timedelta(1)), require_results=True)[0] == "2025-02-01"
     assert window((day(1), 200, 1, T0), (day(3), 200, 1, None))[0] == "2025-02-03"
     assert window(('{"end_date":null}', 200, 1, T0))[0] == "2025-01-01"
+
+
+def test_region_settings_come_from_arguments_then_environment(spark, monkeypatch):
+    from railfeed.operators.stations import region_eva
+
+    rows = [("Bremen", "HB", "1"), ("Hamburg", "AH", "2"), ("Hameln", "AH", "3")]
+    stations = spark.createDataFrame(rows, "name STRING, ds100 STRING, eva_number STRING")
+    assert [r[0] for r in region_eva(stations).collect()] == ["1"]
+    monkeypatch.setenv("DB_TIMETABLES_FILTER_NAME_PREFIX", "Ham%")
+    monkeypatch.setenv("DB_TIMETABLES_FILTER_DS100_PREFIX", "A%")
+    assert sorted(r[0] for r in region_eva(stations).collect()) == ["2", "3"]
+    monkeypatch.setenv("DB_TIMETABLES_STATIONS_LIMIT", "1")
+    assert [r[0] for r in region_eva(stations).collect()] == ["2"]
+    assert [r[0] for r in region_eva(stations, "Bre%", "HB%").collect()] == ["1"]
+    monkeypatch.setenv("ARCHIVE_START_DATE", "2020-01-01")
+    schema = "source STRING, endpoint STRING, params STRING, status_code INT, result_count INT, called_at TIMESTAMP_NTZ"
+    log = spark.createDataFrame([], schema)
+    assert requests.archive_window(log, dt.date(2025, 3, 10)).first().start_date == "2020-01-01"

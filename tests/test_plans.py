@@ -29,7 +29,7 @@ def test_no_python_rows_and_no_cross_joins(spark, sf_dir, name):
         assert node not in plan
 
 
-@pytest.mark.parametrize("name", ["weather_forecast_hourly", "station_latest", "rchg_events", "process_state"])
+@pytest.mark.parametrize("name", ["weather_forecast_hourly", "station_latest", "rchg_events", "latest_null_key"])
 def test_latest_rows_are_limited_before_the_shuffle(spark, sf_dir, name):
     assert physical(QUERIES[name](spark, sf_dir)).count("WindowGroupLimit") >= 2
 
