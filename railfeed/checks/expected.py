@@ -207,7 +207,7 @@ calls AS (
 
 EVENT_RAW = """
 raw AS (
-  SELECT event_id AS raw_id, CASE WHEN user_id % 10 <> 9 THEN 'open_meteo_' || lpad(CAST(user_id AS VARCHAR), 8, '0') END AS batch_id, ts AS ingested_at
+  SELECT event_id AS raw_id, CASE WHEN user_id % 10 <> 9 THEN 'open_meteo_' || strftime(ts, '%Y%m%d') || '_' || lpad(CAST(user_id AS VARCHAR), 8, '0') END AS batch_id, ts AS ingested_at
   FROM events)
 """
 
@@ -215,7 +215,7 @@ RUNS = """
 run_start AS (
   SELECT event_id, 'r' || CAST(event_id AS VARCHAR) AS run_id,
          CASE WHEN event_id % 2 = 0 THEN 'weather_forecast_transform_dwh' ELSE 'db_timetables_fchg_transform' END AS process_name,
-         'open_meteo_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS batch_id, event_type, ts AS started_at,
+         'open_meteo_' || strftime(ts, '%Y%m%d') || '_' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS batch_id, event_type, ts AS started_at,
          CASE event_type WHEN 'click' THEN 'running' WHEN 'error' THEN 'failed' WHEN 'view' THEN 'skipped' ELSE 'success' END AS status,
          CASE WHEN event_type <> 'click' THEN ts + (event_id % 90) * INTERVAL 1 SECOND END AS finished_at,
          CASE WHEN event_type = 'click' THEN 'start' ELSE 'rows_inserted=' || CAST(event_id % 50 AS VARCHAR) END AS message

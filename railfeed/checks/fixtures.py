@@ -351,12 +351,16 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _user_day() -> Column:
+    return F.concat(lit("open_meteo_"), F.date_format("ts", "yyyyMMdd"), lit("_"), F.lpad(_text(col("user_id")), 8, "0"))
+
+
 def event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw rows, one batch per user."""
+    """Events as raw rows, one batch per user and day."""
     return table(spark, sf_dir, "events").select(
         col("event_id").alias("raw_id"),
         col("props").alias("payload"),
-        F.when(col("user_id") % 10 != 9, F.format_string("open_meteo_%08d", "user_id")).alias("batch_id"),
+        F.when(col("user_id") % 10 != 9, _user_day()).alias("batch_id"),
         col("ts").alias("ingested_at"),
     )
 
@@ -372,7 +376,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.concat(lit("r"), _text(e)).alias("run_id"),
         F.when(e % 2 == 0, "weather_forecast_transform_dwh").otherwise("db_timetables_fchg_transform").alias("process_name"),
-        F.format_string("open_meteo_%08d", "user_id").alias("batch_id"),
+        _user_day().alias("batch_id"),
         "event",
         F.when(is_end, end_status).otherwise("running").alias("status"),
         F.when(is_end, col("ts") + F.make_dt_interval(secs=(e % 90).cast("decimal(18,6)"))).otherwise(col("ts")).alias("ts"),

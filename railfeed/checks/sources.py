@@ -271,16 +271,12 @@ def process_state(spark, sf_dir):
     return ledger.process_state(fx.run_events(spark, sf_dir))
 
 
-_DONE = f"done AS (SELECT DISTINCT batch_id FROM run_start WHERE process_name = '{_PROCESS}' AND status = 'success' AND event_id % 7 = 0)"
-
-
-def _some_runs(spark, sf_dir):
-    return fx.run_events(spark, sf_dir).filter(F.substring("run_id", 2, 20).cast("bigint") % 7 == 0)
+_DONE = f"done AS (SELECT DISTINCT batch_id FROM run_start WHERE process_name = '{_PROCESS}' AND status = 'success')"
 
 
 @check("pending_batches", sql(EVENT_RAW, RUNS, _DONE, select="SELECT DISTINCT batch_id FROM raw WHERE batch_id IS NOT NULL AND batch_id NOT IN (FROM done)"))
 def pending_batches(spark, sf_dir):
-    return ledger.pending_batches(fx.event_raw(spark, sf_dir), _some_runs(spark, sf_dir), _PROCESS)
+    return ledger.pending_batches(fx.event_raw(spark, sf_dir), fx.run_events(spark, sf_dir), _PROCESS)
 
 
 @check(
@@ -294,4 +290,4 @@ def pending_batches(spark, sf_dir):
     ),
 )
 def skip_ledger(spark, sf_dir):
-    return ledger.run_decisions(fx.event_raw(spark, sf_dir), _some_runs(spark, sf_dir), _PROCESS)
+    return ledger.run_decisions(fx.event_raw(spark, sf_dir), fx.run_events(spark, sf_dir), _PROCESS)

@@ -25,6 +25,8 @@ FEEDS = {
     "timetables_fchg": "FCHG",
     "timetables_rchg": "RCHG",
 }
+# a backlog is worked off in jobs of this many batches, so that neither the plan nor the driver grows with it
+BATCHES_PER_JOB = 500
 _JSON_FEEDS = {"db_stations", "weather_forecast", "weather_history"}
 
 
@@ -84,24 +86,32 @@ class Warehouse:
         return st.station_dimension(self.raw("db_stations"))
 
     def pending(self, feed: str) -> list[str]:
-        """Batches still to transform, oldest first; a run has few of them."""
+        """Oldest batches still to transform, at most as many as one job takes."""
         raw = self.raw(feed)
         todo = pending_batches(raw, self.ledger.read(), f"{feed}_transform")
         arrived = raw.groupBy("batch_id").agg(F.max("ingested_at").alias("at"))
-        return [r.batch_id for r in arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").collect()]
+        oldest = arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").limit(BATCHES_PER_JOB)
+        return [r.batch_id for r in oldest.collect()]
 
     def _transform(self, feed: str, write: Callable[[DataFrame], str], latest_only: bool) -> list[str]:
-        """All pending batches in one job. ``latest_only`` looks at the newest batch and no other."""
+        """All pending batches, many per job. ``latest_only`` looks at the newest batch and no other."""
         process = f"{feed}_transform"
-        batches = self.pending(feed)
-        newest = latest_batch(self.raw(feed)).first().batch_id if latest_only or not batches else None
         if latest_only:
-            batches = [b for b in batches if b == newest]
-        if batches:
-            self.ledger.run_all(process, batches, lambda: write(scan_batch(self.raw(feed), *batches)))
-        elif newest is not None:
-            self.ledger.skip(process, newest)
-        return batches
+            newest = latest_batch(self.raw(feed)).first().batch_id
+            batches = [newest] if newest and not self.ledger.is_done(process, newest) else []
+        else:
+            batches = self.pending(feed)
+        if not batches:
+            newest = latest_batch(self.raw(feed)).first().batch_id
+            if newest is not None:
+                self.ledger.skip(process, newest)
+        done = []
+        while batches:
+            todo = batches
+            self.ledger.run_all(process, todo, lambda: write(scan_batch(self.raw(feed), *todo)))
+            done += todo
+            batches = [] if latest_only else self.pending(feed)
+        return done
 
     def transform_weather(self, feed: str, latest_only: bool = False) -> list[str]:
         def write(raw: DataFrame) -> str:
