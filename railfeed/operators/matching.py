@@ -168,3 +168,16 @@ def match_coordinates(coords: DataFrame, index: StationIndex, tolerance: float =
         ),
     )
     return best.drop("point").withColumn("station_id", F.coalesce("tol_station_id", "near_station_id"))
+
+
+def stored_matches(coords: DataFrame, index: StationIndex) -> DataFrame:
+    """``match_coordinates`` as a written table of (latitude, longitude, station_id).
+
+    Spark then joins by the table's real size: a size guessed from the payloads it came from would make it
+    shuffle every payload. Requests are made per station, so the table is broadcast unless it outgrows the
+    session's limit.
+    """
+    spark = coords.sparkSession
+    path = work_dir(spark, "matches")
+    match_coordinates(coords, index).select("latitude", "longitude", "station_id").write.parquet(path)
+    return spark.read.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import json_array, json_map, parse_json
 from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES, INTEGER_MEASURES
 from ..sources.tables import write_partitions
-from .matching import StationIndex, match_coordinates
+from .matching import StationIndex, stored_matches
 from .ranking import latest_per_key
 
 
@@ -89,8 +89,7 @@ def weather_vertical(objects: DataFrame, index: StationIndex | None) -> DataFram
     if index is None:
         located = usable.withColumn("station_id", F.lit(None).cast("string"))
     else:
-        matched = match_coordinates(usable, index).select("latitude", "longitude", "station_id")
-        located = usable.join(matched, ["latitude", "longitude"], "left")
+        located = usable.join(stored_matches(usable, index), ["latitude", "longitude"], "left")
     # the outer form with a later filter keeps the payload from being parsed again for a size check
     spread = located.select(
         "raw_id", "batch_id", "obj_pos", "station_id", "latitude", "longitude", F.explode_outer(_hours()).alias("h")

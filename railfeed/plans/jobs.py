@@ -77,13 +77,17 @@ class Warehouse:
             write_raw(rows, stg)
             promote(self.spark, stg, psa)
             purge(self.spark, stg, psa)
+            if feed == "db_stations":
+                # stored, so that joins know how small it is
+                st.station_dimension(self.raw(feed)).write.mode("overwrite").parquet(self.path("dwh", "stations"))
             return f"rows_inserted={counted()}"
 
         self.ledger.run_batch(f"{feed}_import", batch_id, job)
         return batch_id
 
     def stations(self) -> DataFrame:
-        return st.station_dimension(self.raw("db_stations"))
+        path = self.path("dwh", "stations")
+        return self.spark.read.parquet(path) if self.exists(path) else st.station_dimension(self.raw("db_stations"))
 
     def pending(self, feed: str) -> list[str]:
         """Oldest batches still to transform, at most as many as one job takes."""
