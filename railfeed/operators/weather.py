@@ -156,7 +156,7 @@ def _day(time: Column) -> Column:
 
 def write_vertical(vertical: DataFrame, path: str) -> None:
     """Append by day and batch; repeating a batch replaces it."""
-    write_partitions(vertical.withColumn("day", _day(F.col("time"))), path, "day", "batch_id", rebalance=True)
+    write_partitions(vertical.withColumn("day", _day(F.col("time"))), path, "day", "batch_id", rebalance=True, sort=("station_id", "time"))
 
 
 def read_vertical(spark: SparkSession, path: str) -> DataFrame:
@@ -171,4 +171,4 @@ def rebuild_days(
     # a batch covers the days of its forecast or archive window
     days = [r.day for r in rows.filter(F.col("batch_id").isin(batch_ids)).select("day").distinct().collect()]
     latest = weather_hourly(rows.filter(F.col("day").isin(days)), stations, measures)
-    write_partitions(latest.withColumn("day", _day(F.col("time"))), target, "day", rebalance=True)
+    write_partitions(latest.withColumn("day", _day(F.col("time"))), target, "day", rebalance=True, sort=("station_id", "time"))

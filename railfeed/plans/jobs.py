@@ -7,14 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from .. import settings
 from ..operators import stations as st
 from ..operators import timetables as tt
 from ..operators import weather as wx
 from ..operators.matching import build_station_index
-from ..sources import landing
+from ..sources import landing, requests
 from ..sources.tables import RAW_SCHEMA, read_raw, scan_batch, write_partitions, write_raw
 from .layers import latest_batch, make_batch_id, promote, purge
-from .ledger import RunLedger, pending_batches
+from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches
 
 # feed, batch id prefix
 FEEDS = {
@@ -85,6 +86,32 @@ class Warehouse:
         self.ledger.run_batch(f"{feed}_import", batch_id, job)
         return batch_id
 
+    def log_calls(self, calls: DataFrame, params: list[str]) -> None:
+        api_call_rows(calls, params).write.mode("append").parquet(self.path("metadata", "api_call_log"))
+
+    def calls(self) -> DataFrame:
+        path = self.path("metadata", "api_call_log")
+        return self.spark.read.schema(CALL_SCHEMA).parquet(path) if self.exists(path) else self.spark.createDataFrame([], CALL_SCHEMA)
+
+    def plan_requests(self, logical: dt.datetime) -> DataFrame:
+        """Station and hour of every plan call of a logical day, given in UTC."""
+        evas = st.region_eva(self.stations())
+        return requests.plan_request_grid(evas, F.lit(logical).cast("timestamp_ntz"))
+
+    def forecast_requests(self) -> DataFrame:
+        return requests.coord_batches(st.region_coords(self.stations()), "station_id")
+
+    def archive_requests(self, today: dt.date) -> DataFrame:
+        """Archive calls: the next window and the measures for every group of places; none without places.
+
+        The region is cut into groups like the forecast calls, so no request grows with the dimension.
+        """
+        groups = requests.coord_batches(st.region_coords(self.stations()), "station_id", fallback=False)
+        window = requests.archive_window(self.calls(), today).withColumn("hourly", F.lit(",".join(settings.archive_measures())))
+        # the window is a grand total, so one row
+        one = F.lit(1).alias("one")
+        return groups.select("*", one).join(F.broadcast(window.select("*", one)), "one").drop("one")
+
     def stations(self) -> DataFrame:
         path = self.path("dwh", "stations")
         return self.spark.read.parquet(path) if self.exists(path) else st.station_dimension(self.raw("db_stations"))
@@ -156,7 +183,7 @@ class Warehouse:
                     stored = stored.filter(F.col("event_date").isin(*days, "any"))
                 new = tt.insert_ignore(found, stored)
             new, inserted = counting(new)
-            write_partitions(new, target, "event_date", "batch_id", rebalance=True)
+            write_partitions(new, target, "event_date", "batch_id", rebalance=True, sort=("eva_number", "timestamp_event"))
             return f"rows_attempted={attempted()}, rows_inserted={inserted()}"
 
         return self._transform("timetables_rchg", write, latest_only)

@@ -13,6 +13,10 @@ RUN_SCHEMA = (
     "ts TIMESTAMP_NTZ, message STRING"
 )
 CALL_COLUMNS = ["source", "endpoint", "params", "status_code", "response_time_ms", "result_count", "called_at"]
+CALL_SCHEMA = (
+    "source STRING, endpoint STRING, params STRING, status_code INT, response_time_ms INT, result_count INT, "
+    "called_at TIMESTAMP_NTZ"
+)
 
 
 def api_call_rows(calls: DataFrame, params: list[str]) -> DataFrame:

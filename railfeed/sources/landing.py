@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import json_array, json_map, parse_json
 from ..schemas import PAGE_ITEM_KEYS
@@ -12,6 +12,17 @@ def stamp_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.withColumn("batch_id", F.lit(batch_id))
 
 
+def read_responses(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Captured responses from files: one per file, or one per line."""
+    files = spark.read.text(path, wholetext=whole_files)
+    return files.select(F.col("value").alias("payload"), F.input_file_name().alias("source_file"))
+
+
+def answered(calls: DataFrame) -> DataFrame:
+    """Calls whose text is stored: all that returned one, whatever their status; a raised call has none."""
+    return calls.filter(~F.col("raised"))
+
+
 def land_json(responses: DataFrame) -> DataFrame:
     """One row per element of a list payload, one row for any other payload.
 
@@ -121,3 +132,10 @@ def result_count(payload: Column) -> Column:
     """Number of results in a response: list length, length of ``results``, else one."""
     doc = parse_json(payload)
     return F.coalesce(F.array_size(json_array(doc)), F.array_size(json_array(doc, "$.results")), F.lit(1))
+
+
+def forecast_result_count(payload: Column) -> Column:
+    """A forecast call counts as one result however many places it covers; an empty answer counts as none."""
+    doc = parse_json(payload)
+    empty = F.coalesce(F.array_size(json_array(doc)) == 0, F.size(json_map(doc)) == 0, F.lit(False))
+    return F.when(empty | F.coalesce(F.is_variant_null(doc), F.lit(False)), 0).otherwise(1)

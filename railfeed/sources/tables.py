@@ -11,13 +11,16 @@ RAW_SCHEMA = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id
 _SAFE_ID = re.compile(r"^[A-Za-z0-9_.-]+$")
 
 
-def write_partitions(df: DataFrame, path: str, *partitions: str, rebalance: bool = False) -> None:
+def write_partitions(df: DataFrame, path: str, *partitions: str, rebalance: bool = False, sort: tuple[str, ...] = ()) -> None:
     """Write, replacing exactly the partitions present in ``df``; a rerun replaces instead of doubling.
 
     ``rebalance`` lets adaptive execution cut hot partitions and join small ones into well-sized files.
+    ``sort`` orders the rows of a file, so that file statistics can skip row groups.
     """
     if rebalance:
         df = df.hint("rebalance", *partitions)
+    if sort:
+        df = df.sortWithinPartitions(*partitions, *sort)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

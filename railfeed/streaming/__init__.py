@@ -6,6 +6,7 @@ from .streams import (
     latest_weather_stream,
     plan_stream,
     rchg_dedup_stream,
+    rchg_insert_stream,
     station_hour_stream,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "latest_weather_stream",
     "plan_stream",
     "rchg_dedup_stream",
+    "rchg_insert_stream",
     "station_hour_stream",
 ]

@@ -179,3 +179,40 @@ def test_region_settings_come_from_arguments_then_environment(spark, monkeypatch
     schema = "source STRING, endpoint STRING, params STRING, status_code INT, result_count INT, called_at TIMESTAMP_NTZ"
     log = spark.createDataFrame([], schema)
     assert requests.archive_window(log, dt.date(2025, 3, 10)).first().start_date == "2020-01-01"
+
+
+def test_requests_of_a_warehouse(spark, house):
+    def station(i):
+        return (
+            f'{{"number":"{i}","name":"Bremen {i}","evaNumbers":[{{"number":{i},"isMain":true,"geographicCoordinates":{{"coordinates":[8.{i},53.1]}}}}],'
+            f'"ril100Identifiers":[{{"rilIdentifier":"HB{i}","isMain":true}}]}}'
+        )
+
+    assert house.archive_requests(dt.date(2025, 3, 10)).count() == 0
+    assert house.forecast_requests().first().latitude == "53.0793"
+    house.ingest("db_stations", texts(spark, f"[{station(1)},{station(2)}]"), T0)
+    # the clocks change on this day: still 30 hours on the wall clock
+    grid = house.plan_requests(dt.datetime(2025, 3, 30, 0, 0))
+    hours = [(r.date_yymmdd, r.hour_hh) for r in grid.filter("eva_number = '1'").collect()]
+    assert sorted(hours) == [("250330", f"{h:02d}") for h in range(24)] + [("250331", f"{h:02d}") for h in range(6)]
+    assert [(r.station_count, r.longitude) for r in house.forecast_requests().collect()] == [(2, "8.1,8.2")]
+
+    call = ("open_meteo", "archive", 200, 5, 1, T0, "2025-02-01", "2025-03-01")
+    schema = "source STRING, endpoint STRING, status_code INT, response_time_ms INT, result_count INT, called_at TIMESTAMP_NTZ, start_date STRING, end_date STRING"
+    house.log_calls(spark.createDataFrame([call], schema), ["start_date", "end_date"])
+    (row,) = house.archive_requests(dt.date(2025, 3, 10)).collect()
+    assert (row.start_date, row.end_date, row.station_count) == ("2025-03-01", "2025-03-08", 2)
+    assert len(row.hourly.split(",")) == 16 and "visibility" not in row.hourly
+
+
+def test_captured_files_and_counts(spark, tmp_path):
+    from railfeed.sources.landing import answered, forecast_result_count, read_responses, result_count
+
+    (tmp_path / "a.xml").write_bytes(b"<a>\r\n x</a>\n\n")
+    (row,) = read_responses(spark, str(tmp_path)).collect()
+    assert row.payload == "<a>\r\n x</a>\n\n" and row.source_file.endswith("a.xml")
+    counts = texts(spark, "[1,2]", "[]", "{}", '{"results":[1,2,3]}', '{"a":1}', "null", "no json")
+    found = counts.select(result_count(F.col("payload")), forecast_result_count(F.col("payload"))).collect()
+    assert [tuple(r) for r in found] == [(2, 1), (0, 0), (1, 0), (3, 1), (1, 1), (1, 0), (1, 1)]
+    calls = spark.createDataFrame([("", 404, False), (None, 500, True), ("x", 200, False)], "payload STRING, status_code INT, raised BOOLEAN")
+    assert answered(calls).count() == 2
