@@ -23,14 +23,15 @@ _ROOT = rf"(?s)^{_MISC}(?:<!DOCTYPE[^>\[]*>{_MISC})?<[A-Za-z_][\w:.\-]*(?:{_ATTR
 def _single_root(payload: Column, head: Column) -> Column:
     """True if nothing but comments follows the first root element, which from_xml does not check.
 
-    ``head`` is the text up to the end of the root's start tag.
+    ``head`` is the text up to the end of the root's start tag. Lengths in bytes are free, and the last
+    close tag is found from the end, so a document is searched once.
     """
     close = F.concat(F.lit("</"), F.regexp_extract(head, r"<([A-Za-z_][\w:.\-]*)[^<]*>$", 1))
-    at = F.when(head.endswith("/>"), F.length(head)).otherwise(
-        F.nullif(F.instr(payload, close), F.lit(0)) + F.length(close) - 1
-    )
-    rest = F.substring(payload, at + 1, F.length(payload))
-    closed = F.when(head.endswith("/>"), rest.rlike(f"(?s)^{_MISC}$")).otherwise(rest.rlike(rf"(?s)^\s*>{_MISC}$"))
+    before = F.call_function("substring_index", payload, close, F.lit(1))
+    after = F.call_function("substring_index", payload, close, F.lit(-1))
+    once = F.octet_length(before) + F.octet_length(close) + F.octet_length(after) == F.octet_length(payload)
+    empty_rest = F.substring(payload, F.length(head) + 1, F.lit(2**31 - 1)).rlike(f"(?s)^{_MISC}$")
+    closed = F.when(head.endswith("/>"), empty_rest).otherwise(once & after.rlike(rf"(?s)^\s*>{_MISC}$"))
     return F.coalesce(closed, F.lit(False))
 
 
