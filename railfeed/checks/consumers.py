@@ -56,9 +56,6 @@ def ts_dashed(spark, sf_dir):
     return fx.table(spark, sf_dir, "events").select("event_id", iso_to_ts(dashed_to_iso(text)).alias("parsed"))
 
 
-_INT_TEXT = "CASE l_linenumber % 4 WHEN 0 THEN '-' || CAST(l_partkey AS VARCHAR) WHEN 1 THEN CAST(l_partkey AS VARCHAR) WHEN 2 THEN CAST(l_partkey AS VARCHAR) || '000000000' ELSE CAST(l_partkey AS VARCHAR) || '.0' END"
-
-
 @check(
     "safe_int",
     sql(

@@ -53,9 +53,19 @@ def weather_quarantine(objects: DataFrame) -> DataFrame:
     )
 
 
+def _doubles(value: Column) -> Column:
+    """List of doubles, or NULL for anything but a list.
+
+    A list of plain numbers is read at once; VARIANT casts one element at a time, which is several times
+    slower but keeps the good elements of a mixed list.
+    """
+    numbers = F.from_json(F.to_json(value), "ARRAY<DOUBLE>")
+    return F.coalesce(numbers, F.try_variant_get(value, "$", "array<double>"))
+
+
 def _with_lists(objects: DataFrame) -> DataFrame:
     """Typed lists of an object, read once: inside a lambda they would be read again for every hour."""
-    hourly = F.try_variant_get("obj", "$.hourly", "map<string,array<double>>")
+    hourly = F.transform_values(json_map(F.col("obj"), "$.hourly"), lambda _, v: _doubles(v))
     return objects.withColumns(
         {
             "lists": F.map_filter(hourly, lambda k, v: (k != "time") & v.isNotNull()),

@@ -107,3 +107,24 @@ def test_station_versions_and_regions(spark):
     assert [r.eva_number for r in region_eva(dim, limit=1).collect()] == [None]
     assert region_eva(dim, limit=0).count() == 2
     assert [r.station_id for r in region_coords(dim).collect()] == ["7"]
+
+
+@pytest.mark.parametrize(
+    "values, want",
+    [
+        ("[1, 2.5, null, -3e2]", [1.0, 2.5, None, -300.0]),
+        ('[1, "x"]', [1.0, None]),
+        ('["3.5", 1]', [3.5, 1.0]),
+        ("[true, 2]", [1.0, 2.0]),
+        ('[{"a":1}, [2], 3]', [None, None, 3.0]),
+        ("[0.1234567890123456789, 12345678901234567890]", [0.12345678901234568, 1.2345678901234567e19]),
+        ("[]", [None, None]),
+        ('{"a":1}', [None, None]),
+        ("5", [None, None]),
+        ('"text"', [None, None]),
+    ],
+)
+def test_measure_lists_of_any_kind(spark, values, want):
+    vertical, _ = rows(spark, f'{{"latitude":1,"longitude":2,"hourly":{{"time":["a","b","c","d"],"m":{values}}}}}')
+    found = [r.measures.get("m") for r in vertical]
+    assert found == want + [None] * (4 - len(want))
