@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from railfeed.llm import quality as Q
+
+
+def test_held_out_accuracy(spark, docs, text_rows):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = Q.op4_quality_classifier(spark, sf).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
+
+
+def test_attention_finds_the_one_bad_passage():
+    rng = np.random.default_rng(1)
+    bags, labels = [], []
+    for i in range(400):
+        bag = rng.normal(0, 1, (rng.integers(1, 9), Q.FEATURES))
+        if i % 2:
+            bag[rng.integers(len(bag)), 5] += 8
+        bags.append(bag)
+        labels.append(i % 2)
+    model = Q.AttentionModel.fit(bags[:300], np.array(labels[:300], float))
+    assert np.mean((model.scores(bags[300:]) > 0.5) == np.array(labels[300:])) > 0.9
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(2)
+    bags = [rng.normal(0, 1, (n, Q.FEATURES)) for n in (1, 3, 2, 4)]
+    first = Q.AttentionModel.fit(bags, np.array([0, 1, 0, 1.0]), epochs=1)
+    later = Q.AttentionModel.fit(bags, np.array([0, 1, 0, 1.0]), epochs=60)
+    loss = lambda m: -np.log(np.where([0, 1, 0, 1], m.scores(bags), 1 - m.scores(bags))).sum()
+    assert loss(later) < 0.2 * loss(first)
+
+
+def test_without_labels_nothing_is_rejected(spark, odd, empty):
+    labels = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
+    model = Q.train(odd, labels)
+    assert {r.score for r in Q.score(odd, model).collect()} == {1.0}
+    assert Q.keep_good(odd, model).count() == odd.count()
+    assert Q.score(empty, model).count() == Q.keep_good(empty, model).count() == 0
+
+
+def test_odd_rows_get_scores(spark, odd):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 8)] + [(4, 1, 0), (None, 1, 0), (5, None, 0)], "doc_id BIGINT, quality INT, toxic INT")
+    model = Q.train(odd, labels)
+    scored = Q.score(odd, model).collect()
+    assert len(scored) == odd.count() and all(0 <= r.score <= 1 for r in scored)
+    assert Q.keep_good(odd, model, 0.0).columns == odd.columns
