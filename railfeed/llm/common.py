@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -20,7 +21,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and reread, which cuts the lineage and survives lost executors."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete staged tables that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def hash_bitmap(df: DataFrame, column: str, bits: int):
+    """A broadcast bitmap of 64-bit hashes. Its size is fixed; more hashes only set more of its bits."""
+    bit = F.shiftrightunsigned(column, 8).bitwiseAND(F.lit(bits - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(31)).cast("int"))
+    words = df.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
+    out = np.zeros(bits // 32, "<u4")
+    out[words.column("word").to_numpy()] = words.column("set").to_numpy().astype(np.uint32)
+    return df.sparkSession.sparkContext.broadcast(out.tobytes())
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in a bitmap, given as bytes; all that are in it, and some others."""
+    bit = (hashes >> np.uint64(8)) & np.uint64(8 * len(bitmap) - 1)
+    return ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,13 +68,6 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    cond = F.lit(True)
-    for name in names:
-        cond = cond & left[name].eqNullSafe(right[name])
-    return cond
-
-
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)
@@ -60,7 +80,7 @@ def components(edges: DataFrame) -> DataFrame:
     the logarithm of the nodes. Minima are pre-aggregated per task, joins can be split by adaptive execution, and
     every round is written to the shared folder.
     """
-    edges = staged(edges.select("u", "v").where("u <> v").distinct(), "edges")
+    edges = staged(edges.select("u", "v").where("u <> v").distinct(), "edges")  # the last one is read by the result
     seen = _signature(edges)
     while seen[0]:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -70,7 +90,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionAll(low.select("u", F.col("m").alias("v")))
-        edges = staged(small.where("u <> v").distinct(), "small-star")
+        before, edges = edges, staged(small.where("u <> v").distinct(), "small-star")
+        release(before, large)
         now = _signature(edges)
         if now == seen:
             break
@@ -98,5 +119,3 @@ def each_text(df: DataFrame, fields: list[str], fn: Callable, keep: tuple[str, .
 
     return df.select(*keep, "text").mapInArrow(run, schema)
 
-
-__all__ = ["Window", "components", "each_text", "null_safe_on", "schema_of", "slices", "staged", "table", "texts"]

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from railfeed.llm.common import schema_of, slices, staged, table, texts
+from railfeed.llm.common import hash_bitmap, in_bitmap, release, schema_of, slices, staged, table, texts
 
 #: Words per template window, fewest of them that must not be slots, share of an item's windows to find.
 WINDOW, LITERALS, COVERAGE = 5, 2, 0.5
@@ -38,9 +38,10 @@ def canonical(word: str) -> list[tuple[int, str]]:
     looks at the word alone, so a passage gives the same template wherever it stands. Signs around a word are
     dropped, a word of signs only gives nothing.
     """
-    word = _EDGES.sub("", word)
-    if not word:
-        return []
+    if not word.isalpha():
+        word = _EDGES.sub("", word)
+        if not word:
+            return []
     if word[0].isdigit() or word[0] in "$€£+-" or word[-1].isdigit():
         if hit := _NUMBER.fullmatch(word):
             sign, value, tail = hit.groups()
@@ -52,7 +53,7 @@ def canonical(word: str) -> list[tuple[int, str]]:
         return [(1, low)]
     if low in UNITS or word in "$€£%":
         return [(3, low)]
-    if len(word) > 1 and word[0].isupper() and word[1:].islower():
+    if len(word) > 1 and word.istitle():
         return [(2, low)]
     return [(0, low)]
 
@@ -63,43 +64,73 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Templates:
-    """Template windows of texts; words are looked up once per worker."""
-
-    def __init__(self, window: int = WINDOW, literals: int = LITERALS, keep: int = 300_000):
-        self.window, self.literals, self.keep = window, literals, keep
-        self.known: dict[str, tuple] = {}
-
-    def _code(self, word: str) -> tuple:
-        from xxhash import xxh64_intdigest
-
-        parts = canonical(word)
-        return tuple((xxh64_intdigest(v if k == 0 else f"\0{_SLOTS[k]}", 9), k, v) for k, v in parts)
-
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Hash, kind and value of each canonical token."""
-        if len(self.known) > self.keep:
-            self.known.clear()
-        known, words = self.known, text.split()
-        for w in set(words).difference(known):
-            known[w] = self._code(w)
-        flat = [t for w in words for t in known[w]]
-        if not flat:
-            return np.empty(0, np.uint64), np.empty(0, np.int64), []
-        hashes, kinds, values = zip(*flat)
-        return np.array(hashes, np.uint64), np.array(kinds, np.int64), list(values)
-
-    def windows(self, hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+_CORE = re.compile(r"[\w$€£%](?:\S*[\w$€£%])?")
+_SLOT_HASH = _mix(np.arange(4, dtype=np.uint64) + np.uint64(1 << 40))
+_FIXED = np.sort(np.array([zlib.crc32(w.encode()) for w in UNITS | NUMBER_WORDS], np.uint32))
+
+
+class Tokens:
+    """Canonical tokens of a text: a hash and a kind each, and the word that gave it."""
+
+    def __init__(self, text: str, known: dict[str, list]):
+        self.words = _CORE.findall(text)
+        low = list(map(str.lower, self.words))
+        raw = " ".join(low).encode("utf-8", "surrogatepass").split(b" ") if low else []
+        crc = np.array(list(map(zlib.crc32, raw)), np.uint32)
+        self.hashes, self.kinds = crc.astype(np.uint64), np.zeros(len(low), np.int8)
+        self.word, self.part = np.arange(len(low)), np.zeros(len(low), np.int64)
+        self.known = known
+        self.kinds[np.array(list(map(str.istitle, self.words)), bool) & (np.array(list(map(len, low)), np.int64) > 1)] = 2
+        near = _FIXED[np.minimum(np.searchsorted(_FIXED, crc), len(_FIXED) - 1)]
+        for i in np.flatnonzero(near == crc).tolist():
+            if low[i] in UNITS or low[i] in NUMBER_WORDS:
+                self.kinds[i] = canonical(low[i])[0][0]
+        odd = np.flatnonzero(~np.array(list(map(str.isalpha, self.words)), bool)).tolist()
+        if odd:
+            self._expand(odd)
+        slot = self.kinds > 0
+        self.hashes[slot] = _SLOT_HASH[self.kinds[slot]]
+
+    def _parts(self, i: int) -> list[tuple[int, str]]:
+        word = self.words[i]
+        if word not in self.known:
+            self.known[word] = canonical(word)
+        return self.known[word]
+
+    def _expand(self, odd: list[int]) -> None:
+        """Words that are not letters alone can be several tokens, or none."""
+        parts = [self._parts(i) for i in odd]
+        counts = np.ones(len(self.words), np.int64)
+        counts[odd] = [len(p) for p in parts]
+        self.word = np.repeat(self.word, counts)
+        first = np.cumsum(counts) - counts
+        self.part = np.arange(len(self.word)) - first[self.word]
+        self.hashes, self.kinds = self.hashes[self.word], self.kinds[self.word]
+        for i, found in zip(odd, parts):
+            for j, (kind, value) in enumerate(found):
+                self.kinds[first[i] + j] = kind
+                self.hashes[first[i] + j] = zlib.crc32(value.encode("utf-8", "surrogatepass"))
+
+    def slots(self, start: int, stop: int) -> list[str]:
+        """Type and value of the slots in a range of tokens."""
+        out = []
+        for i in range(start, stop):
+            if self.kinds[i]:
+                kind, value = canonical(self.words[self.word[i]])[self.part[i]]
+                out.append(f"{_SLOTS[kind]}={value}")
+        return out
+
+    def windows(self, window: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the windows with enough words that are no slots."""
-        n = len(hashes) - self.window + 1
+        n = len(self.hashes) - window + 1
         if n <= 0:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
-        total, plain = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-        for i in range(self.window):
-            total = _mix(total * np.uint64(31) + hashes[i : i + n])
-            plain += kinds[i : i + n] == 0
-        at = np.flatnonzero(plain >= self.literals)
-        return at, total[at]
+        total, plain, literal = np.zeros(n, np.uint64), np.zeros(n, np.int8), self.kinds == 0
+        for i in range(window):
+            total = _mix(total + np.uint64(0x9E3779B97F4A7C15)) + self.hashes[i : i + n]
+            plain += literal[i : i + n]
+        at = np.flatnonzero(plain >= literals)
+        return at, _mix(total[at])
 
 
 def _windows(frame: DataFrame, bitmap=None, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
@@ -110,40 +141,28 @@ def _windows(frame: DataFrame, bitmap=None, window: int = WINDOW, literals: int
     schema = schema_of(frame, "pos INT", "hash BIGINT", "slots ARRAY<STRING>", "windows INT")
 
     def run(batches):
-        templates = Templates(window, literals)
+        known: dict[str, list] = {}
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         for part in slices(batches, 256):
             rows, at_row = [], []
+            if len(known) > 100_000:
+                known.clear()
             for row, text in enumerate(part.column(1).to_pylist()):
-                hashes, kinds, values = templates.tokens(text)
-                at, found = templates.windows(hashes, kinds)
+                tokens = Tokens(text, known)
+                at, found = tokens.windows(window, literals)
                 count = len(at)
                 if bits is not None and count:
-                    bit = (found >> np.uint64(8)) & np.uint64(8 * len(bits) - 1)
-                    hit = np.flatnonzero((bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
+                    hit = in_bitmap(bits, found)
                     at, found = at[hit], found[hit]
                 for pos, h in zip(at.tolist(), found.view(np.int64).tolist()):
-                    slots = [f"{_SLOTS[kinds[i]]}={values[i]}" for i in range(pos, pos + window) if kinds[i]]
-                    rows.append((pos, h, slots, count))
+                    rows.append((pos, h, tokens.slots(pos, pos + window), count))
                     at_row.append(row)
             columns = list(zip(*rows)) if rows else [[]] * 4
             kinds_ = [pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
             ids = part.column(0).take(pa.array(at_row, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, type=t) for c, t in zip(columns, kinds_))], names=schema.names)
 
-    return frame.mapInArrow(run, StructType(schema.fields))
-
-
-def _bitmap(windows: DataFrame, bits: int = BITMAP_BITS):
-    """A broadcast bitmap of the window hashes; its size is fixed, a larger benchmark only sets more bits."""
-    bit = F.shiftrightunsigned("hash", 8).bitwiseAND(F.lit(bits - 1))
-    rows = windows.groupBy(F.shiftright(bit, 5).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((shiftrightunsigned(hash, 8) & {bits - 1}) & 31 as int))")).alias("set")
-    )
-    out = np.zeros(bits // 32, "<u4")
-    for row in rows.toLocalIterator():
-        out[row.word] = row.set & 0xFFFFFFFF
-    return windows.sparkSession.sparkContext.broadcast(out.tobytes())
+    return frame.mapInArrow(run, schema)
 
 
 def contaminated(
@@ -165,10 +184,10 @@ def contaminated(
     window match nothing, nor do NULL and empty texts. Rows that repeat an id are taken together, NULL ids too, as
     one document; repeated items likewise. Empty tables give no rows; other columns are ignored.
     """
-    items = staged(_windows(texts(benchmark, item_col, item_text_col), None, window, literals), "template-items")
-    bitmap = _bitmap(items)
+    windows_ = staged(_windows(texts(benchmark, item_col, item_text_col), None, window, literals), "template-items")
+    bitmap = hash_bitmap(windows_, "hash", BITMAP_BITS)
     found = staged(_windows(texts(docs, id_col, text_col), bitmap, window, literals), "template-windows")
-    items = items.select(
+    items = windows_.select(
         F.col("doc_id").alias("item_id"), F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"), F.col("windows").alias("iw")
     ).distinct()
     hits = found.select("doc_id", "pos", "hash", "slots").join(items, "hash")
@@ -186,7 +205,10 @@ def contaminated(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n"), F.max("iw").alias("iw"), F.max("differs").alias("reworded")
     )
     share = F.col("n") / F.col("iw")
-    return per_item.where(share >= coverage).select("doc_id", "item_id", F.least(share, F.lit(1.0)).alias("coverage"), "reworded")
+    out = per_item.where(share >= coverage).select("doc_id", "item_id", F.least(share, F.lit(1.0)).alias("coverage"), "reworded")
+    out = staged(out, "contaminated")
+    release(windows_, found)
+    return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from railfeed.llm.common import schema_of, slices, staged, table, texts
+from railfeed.llm.common import hash_bitmap, in_bitmap, release, schema_of, slices, staged, table, texts
 
 #: A fingerprint covers whole lines of at least GRAM words; every SPAN words of line starts select one.
 GRAM, SPAN, MIN_RUN = 16, 10, 50
+#: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
+BITMAP_BITS = 1 << 27
 _WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -86,31 +87,45 @@ def winnow(hashes: np.ndarray, start: np.ndarray, gram: int = GRAM, span: int =
     return a, grams[chosen], run(np.maximum(a - 8, 0), a), run(b, np.minimum(b + 8, n))
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """Per document: its key ``k``, the word hashes, and the selected fingerprints."""
+def _grams(docs: DataFrame) -> DataFrame:
+    """The selected grams of all documents, one per row."""
+
+    def run(batches):
+        for part in slices(batches, 256):
+            found = [winnow(*word_hashes(t))[1] for t in part.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["gram"])
+
+    return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "gram BIGINT")
+
+
+def _marks(docs: DataFrame, repeated) -> DataFrame:
+    """``(doc_id, k, words, marks)`` of documents with selected grams in the bitmap: those grams and all word hashes."""
     frame = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
     schema = schema_of(
         frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT, before: BIGINT, after: BIGINT>>", keep=("doc_id", "k")
     )
-    mark = pa.struct([("pos", pa.int32()), ("gram", pa.int64()), ("before", pa.int64()), ("after", pa.int64())])
+    mark = [pa.field("pos", pa.int32()), *(pa.field(c, pa.int64()) for c in ("gram", "before", "after"))]
 
     def run(batches):
+        bits = np.frombuffer(repeated.value, np.uint8)
         for part in slices(batches, 256):
-            words, sizes, columns = [], [0], [[], [], [], []]
-            for text in part.column(2).to_pylist():
+            rows, words, sizes, columns = [], [], [0], [[], [], [], []]
+            for row, text in enumerate(part.column(2).to_pylist()):
                 hashes, start = word_hashes(text)
-                words.append(hashes.astype("<u4").tobytes())
                 found = winnow(hashes, start)
-                sizes.append(sizes[-1] + len(found[0]))
+                hit = np.flatnonzero(in_bitmap(bits, found[1]))
+                if not len(hit):
+                    continue
+                rows.append(row)
+                words.append(hashes.astype("<u4").tobytes())
+                sizes.append(sizes[-1] + len(hit))
                 for column, values in zip(columns, found):
-                    column.append(values.view(np.int64))
+                    column.append(values[hit].view(np.int64))
             arrays = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
-            marks = pa.ListArray.from_arrays(
-                pa.array(sizes, pa.int32()), pa.StructArray.from_arrays([arrays[0].cast(pa.int32()), *arrays[1:]], fields=list(mark))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(words, pa.binary()), marks], names=["doc_id", "k", "words", "marks"]
-            )
+            marks = pa.StructArray.from_arrays([arrays[0].cast(pa.int32()), *arrays[1:]], fields=mark)
+            ids = [part.column(i).take(pa.array(rows, pa.int64())) for i in range(2)]
+            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), marks)
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(words, pa.binary()), lists], names=["doc_id", "k", "words", "marks"])
 
     return frame.mapInArrow(run, schema)
 
@@ -124,49 +139,75 @@ def equal_runs(mine: np.ndarray, other: np.ndarray, shift: int, min_run: int = M
     return [(int(a + s), int(a + e)) for s, e in zip(edge[::2], edge[1::2]) if e - s >= min_run]
 
 
-def _spans(pairs: DataFrame, min_run: int) -> DataFrame:
-    schema = StructType.fromDDL("k BIGINT, a INT, b INT")
+def merged(spans) -> list[list[int]]:
+    """Overlapping and touching ranges made one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def _extended(pairs: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
+    """``(k, a, b)`` of the equal runs of pairs ``(k, ck, shift)``."""
+    both = pairs.join(words.select(F.col("k").alias("ck"), F.col("words").alias("other")), "ck")
+    both = both.join(words.select("k", F.col("words").alias("mine")), "k")
+    kinds = [pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches):
+        # Rows of a document come together where the join sorts, so most of their overlaps are merged here.
+        doc, spans, rows = None, set(), []
         for part in slices(batches, 64):
-            rows = []
             for k, mine, other, shift in zip(*(part.column(i).to_pylist() for i in range(4))):
-                found = equal_runs(np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4"), shift, min_run)
-                rows += [(k, a, b) for a, b in found]
-            columns = list(zip(*rows)) if rows else [[]] * 3
-            kinds = [pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=schema.names)
+                if k != doc:
+                    rows += [(doc, a, b) for a, b in merged(spans)]
+                    doc, spans = k, set()
+                spans.update(equal_runs(np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4"), shift, min_run))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
+                rows = []
+        if spans:
+            rows = [(doc, a, b) for a, b in merged(spans)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
 
-    return pairs.select("k", "mine", "other", "shift").mapInArrow(run, schema)
+    return both.select("k", "mine", "other", "shift").mapInArrow(run, "k BIGINT, a INT, b INT")
 
 
 def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """``(k, a, b)``: word ranges of documents that repeat an earlier run of ``min_run`` words or more.
 
-    Earlier means a smaller ``doc_id``, or a place before it in the same document. Each selected fingerprint is joined
-    with the first place that has it, the first that also has the words before it, and the first that also has the
-    words after it; so a group of any size gives a number of pairs in proportion to its places. One pair per shift of
-    two documents is extended over all equal words. Ranges may overlap.
+    Earlier means a smaller ``doc_id``, or a place before it in the same document. The grams selected anywhere are
+    counted first, and a bitmap of fixed size keeps those seen once out of the rest. Each place of a repeated gram is
+    joined with the first place that has it, and one pair per shift of two documents is extended over all equal words.
+    A place that no run covers then, though its gram occurs a third time, is joined with the first places that also
+    have the words before it, or after it. So a group of any size gives pairs in proportion to its places. Ranges may
+    overlap.
     """
-    hashed = staged(_hashed(docs), "line-hashes")
-    marks = hashed.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
-    often = marks.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    shared = marks.join(often, "gram", "left_semi")
-    keys = F.array(
-        F.xxhash64(F.lit(0), "gram"), F.xxhash64(F.lit(1), "gram", "before"), F.xxhash64(F.lit(2), "gram", "after")
-    )
-    shared = staged(shared.select("doc_id", "k", "pos", F.explode(keys).alias("key")), "line-shared")
-    place = F.struct("k", "pos")
-    lead = shared.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1").select("key", "lead")
-    first = shared.join(lead, "key").where("doc_id = lead").groupBy("key").agg(F.min(place).alias("first"))
-    pairs = shared.join(first, "key").select("k", F.col("first.k").alias("ck"), (F.col("pos") - F.col("first.pos")).alias("shift"))
-    pairs = staged(pairs.where("k <> ck OR shift <> 0").distinct(), "line-pairs")
-    words = hashed.select("k", "words").dropDuplicates(["k"])
-    used = staged(pairs.select("k").unionAll(pairs.select(F.col("ck").alias("k"))).distinct(), "line-used")
-    words = staged(words.join(used, "k", "left_semi"), "line-words")
-    both = pairs.join(words.select("k", F.col("words").alias("mine")), "k")
-    both = both.join(words.select(F.col("k").alias("ck"), F.col("words").alias("other")), "ck")
-    return staged(_spans(both, min_run).distinct(), "line-spans")
+    seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    marked = staged(_marks(docs, hash_bitmap(seen, "gram", BITMAP_BITS)), "line-marks")
+    words = marked.select("k", "words").dropDuplicates(["k"])
+    marks = marked.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
+    place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
+    first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
+    shared = staged(marks.join(first, "gram"), "line-shared")
+    shift = (F.col("pos") - F.col("first.pos")).alias("shift")
+    earlier = "k <> first.k OR pos <> first.pos"
+    pairs = staged(shared.where(earlier).select("k", F.col("first.k").alias("ck"), shift).distinct(), "line-pairs")
+    spans = staged(_extended(pairs, words, min_run), "line-spans")
+    covered = spans.groupBy("k").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    left = shared.where(f"n > 2 AND ({earlier})").join(covered, "k", "left")
+    left = left.where("spans IS NULL OR NOT exists(spans, s -> s.a <= pos AND pos < s.b)").drop("spans", "first", "n")
+    left = staged(left, "line-left")
+    sides = F.explode(F.array(F.xxhash64(F.lit(1), "gram", "before"), F.xxhash64(F.lit(2), "gram", "after"))).alias("side")
+    again = shared.join(left.select("gram").distinct(), "gram", "left_semi").select("doc_id", "k", "pos", sides)
+    first = again.groupBy("side").agg(place, F.count("*").alias("n")).where("n > 1")
+    more = left.select("k", "pos", sides).join(first, "side").where(earlier).select("k", F.col("first.k").alias("ck"), shift).distinct()
+    more = staged(more.join(pairs, ["k", "ck", "shift"], "left_anti"), "line-pairs")
+    out = staged(spans.unionAll(_extended(more, words, min_run)), "line-spans")
+    release(marked, shared, pairs, spans, left, more)
+    return out
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
@@ -174,13 +215,7 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
     raw = text.encode("utf-8", "surrogatepass")
     at = [m.span() for m in _WORD.finditer(raw)]
     out, done, gone = [], 0, 0
-    merged: list[list[int]] = []
-    for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    for a, b in merged:
+    for a, b in merged(spans):
         gone += b - a
         if b < len(at):
             out.append(raw[done : at[a][0]])

@@ -80,7 +80,7 @@ def test_odd_rows(odd, empty, spark):
     got = {(r.doc_id, r.source): r.text for r in out.where("doc_id <> 6 OR doc_id IS NULL").collect()}
     assert got == {(r.doc_id, r.source): r.text for r in odd.where("doc_id <> 6 OR doc_id IS NULL").collect()}
     long = out.where("doc_id = 6").first()
-    assert long.text.split()[:2] == ["long", "long"] and long.n_chars == len(long.text) < 1000
+    assert long.text.split() == ["long", "end"] and long.n_chars == len(long.text)  # each run equals the one a word before
     assert L.drop_repeated_runs(empty).count() == 0
 
 
