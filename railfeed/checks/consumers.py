@@ -342,5 +342,5 @@ def weather_materialised(spark, sf_dir):
     stations = st.station_dimension(fx.station_raw(spark, sf_dir))
     for batch_id in ("open_meteo_20240101000000_00000000", "open_meteo_20240102000000_00000000"):
         wx.write_vertical(rows.filter(F.col("batch_id") == batch_id), vertical)
-        wx.rebuild_days(spark, vertical, target, [batch_id], stations, FORECAST_MEASURES)
+        wx.rebuild_days(spark, vertical, target, rows.filter(F.col("batch_id") == batch_id), stations, FORECAST_MEASURES)
     return spark.read.parquet(target).drop("day")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import compact_to_iso, compact_to_ts, dashed_to_iso, digits_to_int, first_nonempty, iso_to_ts, last_path_stop
 from ..schemas import CORRUPT, FCHG_COLUMNS, PLAN_COLUMNS, PLAN_XML, RCHG_COLUMNS, TIMETABLE_XML
+from ..session import work_dir
 from .ranking import latest_per_key
 
 _XML_OPTIONS = {
@@ -15,23 +16,38 @@ _XML_OPTIONS = {
     # a text no attribute can hold, so that the value "null" stays a text
     "nullValue": "\u0000",
 }
-_MISC = r"\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*"
-_ATTRIBUTE = r"""\s+[\w:.\-]+\s*=\s*(?:"[^"<]*"|'[^'<]*')"""
-_ROOT = rf"(?s)^{_MISC}(?:<!DOCTYPE[^>\[]*>{_MISC})?<[A-Za-z_][\w:.\-]*(?:{_ATTRIBUTE})*\s*/?>"
+# Possessive groups are matched in a loop; plain ones would recurse once per comment or attribute.
+_MISC = r"\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*+"
+_NAME = r"[\p{L}_:][\p{L}\p{M}\p{N}_:.\-\u00b7]*+"
+_ATTRIBUTE = rf"""\s+{_NAME}\s*=\s*(?:"[^"<]*+"|'[^'<]*+')"""
+_SUBSET = r"""\[(?:<!--.*?-->|<\?.*?\?>|"[^"]*+"|'[^']*+'|[^\]"'<]++|<)*+\]\s*"""
+_DOCTYPE = rf"""<!DOCTYPE(?:"[^"]*+"|'[^']*+'|[^>\["']++)*+(?:{_SUBSET})?>"""
+_ROOT = rf"(?s)^{_MISC}(?:{_DOCTYPE}{_MISC})?<{_NAME}(?:{_ATTRIBUTE})*+\s*/?>"
+_HIDDEN = r"(?s)<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>"
 
 
 def _single_root(payload: Column, head: Column) -> Column:
     """True if nothing but comments follows the first root element, which from_xml does not check.
 
-    ``head`` is the text up to the end of the root's start tag. Lengths in bytes are free, and the last
-    close tag is found from the end, so a document is searched once.
+    ``head`` is the text up to the end of the root's start tag. Comments and the like are taken out of the rest. A
+    document with one close tag of the root's name ends there; where there are more, nested elements of that name are
+    counted, and the root must not close before the last of them.
     """
-    close = F.concat(F.lit("</"), F.regexp_extract(head, r"<([A-Za-z_][\w:.\-]*)[^<]*>$", 1))
-    before = F.call_function("substring_index", payload, close, F.lit(1))
-    after = F.call_function("substring_index", payload, close, F.lit(-1))
-    once = F.octet_length(before) + F.octet_length(close) + F.octet_length(after) == F.octet_length(payload)
-    empty_rest = F.substring(payload, F.length(head) + 1, F.lit(2**31 - 1)).rlike(f"(?s)^{_MISC}$")
-    closed = F.when(head.endswith("/>"), empty_rest).otherwise(once & after.rlike(rf"(?s)^\s*>{_MISC}$"))
+    name = F.regexp_extract(head, rf"<({_NAME})[^<]*>$", 1)
+    rest = F.substring(payload, F.length(head) + 1, F.lit(2**31 - 1))
+    hidden = rest.contains("<!") | rest.contains("<?")
+    rest = F.when(hidden, F.regexp_replace(rest, _HIDDEN, "")).otherwise(rest)
+    close = F.concat(F.lit("</"), name)
+    before = F.call_function("substring_index", rest, close, F.lit(1))
+    after = F.call_function("substring_index", rest, close, F.lit(-1))
+    once = F.octet_length(before) + F.octet_length(close) + F.octet_length(after) == F.octet_length(rest)
+    quoted = F.concat(F.lit(r"(<(?:/\Q"), name, F.lit(rf"\E\s*+|\Q"), name, F.lit(rf"\E(?:{_ATTRIBUTE})*+\s*+/?+)>)"))
+    tags = F.regexp_extract_all(rest, quoted, F.lit(1))
+    steps = F.transform(tags, lambda t: F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1))
+    # depth after each tag; -1 once the root has closed with tags still to come
+    depth = F.aggregate(steps, F.lit(1), lambda d, x: F.when(d <= 0, -1).otherwise(d + x))
+    nested = (depth == 0) & after.rlike(r"^\s*>\s*$")
+    closed = F.when(head.endswith("/>"), rest.rlike(r"^\s*$")).when(once, after.rlike(r"^\s*>\s*$")).otherwise(nested)
     return F.coalesce(closed, F.lit(False))
 
 
@@ -40,13 +56,15 @@ def shred(raw: DataFrame, schema: str = TIMETABLE_XML) -> DataFrame:
 
     ``plain`` is false where the root moves its children into a namespace: they are no timetable entries.
     """
-    parsed = raw.withColumns(
-        {"doc": F.from_xml("payload", schema, _XML_OPTIONS), "head": F.regexp_substr("payload", F.lit(_ROOT))}
+    # a byte order mark is no part of the document
+    bare = raw.withColumn("bare", F.ltrim("payload", F.lit("\ufeff")))
+    parsed = bare.withColumns(
+        {"doc": F.from_xml("bare", schema, _XML_OPTIONS), "head": F.regexp_substr("bare", F.lit(_ROOT))}
     )
     reason = F.when(F.col("payload").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), "malformed").when(
-        ~_single_root(F.col("payload"), F.col("head")), "extra_content"
+        ~_single_root(F.col("bare"), F.col("head")), "extra_content"
     )
-    return parsed.withColumns({"reason": reason, "plain": ~F.col("head").rlike(r"\sxmlns\s*=")}).drop("head")
+    return parsed.withColumns({"reason": reason, "plain": ~F.col("head").rlike(r"\sxmlns\s*=")}).drop("head", "bare")
 
 
 def xml_quarantine(raw: DataFrame) -> DataFrame:
@@ -196,9 +214,20 @@ def distinct_plan(events: DataFrame) -> DataFrame:
     return events.dropDuplicates(PLAN_COLUMNS)
 
 
+def hashed_text(*parts: Column) -> Column:
+    """The parts joined by bars, NULL as empty text."""
+    return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+
+
 def event_hash(*parts: Column) -> Column:
     """SHA-1 over the parts joined by bars, NULL as empty text."""
-    return F.sha1(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]))
+    return F.sha1(hashed_text(*parts))
+
+
+def text_partition(text: Column) -> Column:
+    """Last date in a hashed text, ``none`` without one: equal texts, and so equal hashes, share a partition."""
+    day = F.regexp_extract(text, r"(?s).*([0-9]{4}-[0-9]{2}-[0-9]{2})T", 1)
+    return F.when(day == "", "none").otherwise(day)
 
 
 def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source_tz: str = "UTC") -> DataFrame:
@@ -237,7 +266,7 @@ def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source
     is_message = F.col("e.kind") == "m"
     arrival = F.date_format(F.date_trunc("second", "ingested_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = rows.select(
-        "raw_id", "batch_id", "s_pos", "e.kind_no", "e.pos", "event_id", "eva_number", "station_name",
+        "ingested_at", "raw_id", "batch_id", "s_pos", "e.kind_no", "e.pos", "event_id", "eva_number", "station_name",
         m["_id"].alias("message_id"), F.col("e.kind").alias("event_type"), m["_cat"].alias("category"), m["_t"].alias("change_type"),
         F.when(is_message, m["_pr"]).alias("pr"), m["_c"].alias("c"),
         compact_to_iso(m["_from"]).alias("vf"), compact_to_iso(m["_to"]).alias("vt"),
@@ -251,9 +280,9 @@ def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source
         col("change_type"), col("pr"), col("vf"), col("vt"), col("pt"), col("ct"), col("c"), col("platform"),
         col("platform_change"), col("route"), col("ts_event"),
     ]
-    digest = F.when(col("event_type") == "m", event_hash(*parts)).otherwise(event_hash(*parts, col("train_line_name")))
-    return rows.select(
-        *["raw_id", "s_pos", "kind_no", "pos"],
+    text = F.when(col("event_type") == "m", hashed_text(*parts)).otherwise(hashed_text(*parts, col("train_line_name")))
+    return rows.withColumn("hashed", text).select(
+        *["ingested_at", "raw_id", "s_pos", "kind_no", "pos"],
         "event_id", "eva_number", "station_name", "message_id", "event_type", "category", "change_type",
         digits_to_int(col("pr")).alias("priority"),
         iso_to_ts(col("vf"), source_tz).alias("valid_from"), iso_to_ts(col("vt"), source_tz).alias("valid_to"),
@@ -261,7 +290,7 @@ def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source
         digits_to_int(col("c")).alias("delay_minutes"),
         "platform", "platform_change", "route", "train_line_name",
         iso_to_ts(col("ts_event"), source_tz).alias("timestamp_event"),
-        "batch_id", digest.alias("event_hash"),
+        "batch_id", F.sha1("hashed").alias("event_hash"), text_partition(col("hashed")).alias("event_date"),
     )
 
 
@@ -275,8 +304,33 @@ def insert_ignore(new: DataFrame, existing: DataFrame) -> DataFrame:
     return new.join(existing.select("event_hash"), "event_hash", "left_anti")
 
 
+FIRST_ARRIVAL = ["ingested_at", "batch_id", "raw_id", "s_pos", "kind_no", "pos"]
+
+
+def rchg_found(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
+    """One row per hash over the given batches, the one that arrived first, with the partition its text belongs to."""
+    return first_per_hash(rchg_rows(raw, source_tz=source_tz), FIRST_ARRIVAL).select(*RCHG_COLUMNS, "event_date")
+
+
 def rchg_events(raw: DataFrame, existing: DataFrame | None = None, source_tz: str = "UTC") -> DataFrame:
     """Recent-change events, one per hash over the given batches and against the stored ones."""
-    rows = first_per_hash(rchg_rows(raw, source_tz=source_tz), ["batch_id", "raw_id", "s_pos", "kind_no", "pos"])
-    rows = rows.select(*RCHG_COLUMNS)
+    rows = rchg_found(raw, source_tz).select(*RCHG_COLUMNS)
     return rows if existing is None else insert_ignore(rows, existing).select(*RCHG_COLUMNS)
+
+
+def rchg_unstored(spark: SparkSession, raw: DataFrame, target: str | None, leave_out: Column | None = None) -> tuple[DataFrame, str]:
+    """Rows of the given batches whose hash is not stored in ``target``, and the scratch folder they are read from.
+
+    The documents are parsed once. Their rows name the partitions of the target that can hold an equal hash; no other
+    is read. ``leave_out`` marks stored rows that do not count.
+    """
+    path = work_dir(spark, "rchg")
+    rchg_found(raw).write.parquet(path)
+    found = spark.read.parquet(path)
+    if target is None:
+        return found, path
+    stored = spark.read.schema("event_hash STRING, event_date STRING, batch_id STRING").parquet(target)
+    if leave_out is not None:
+        stored = stored.filter(~leave_out)
+    days = [r.event_date for r in found.select("event_date").distinct().collect()]  # calendar days of one job
+    return insert_ignore(found, stored.filter(F.col("event_date").isin(days))), path

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import json_array, json_map, parse_json
 from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES, INTEGER_MEASURES
-from ..sources.tables import write_partitions
+from ..session import work_dir
+from ..sources.tables import drop_folder, write_partitions
 from .matching import StationIndex, stored_matches
 from .ranking import latest_per_key
 
@@ -155,7 +156,7 @@ def history_hourly(vertical: DataFrame, stations: DataFrame) -> DataFrame:
 
 VERTICAL_SCHEMA = (
     "psa_id BIGINT, obj_pos INT, station_id STRING, latitude DOUBLE, longitude DOUBLE, pos INT, time STRING, "
-    "measures MAP<STRING, DOUBLE>, day STRING, batch_id STRING"
+    "measures MAP<STRING, DOUBLE>, day STRING, batch_id STRING, load STRING"
 )
 
 
@@ -164,9 +165,14 @@ def _day(time: Column) -> Column:
     return F.when(time.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(time, 1, 10)).otherwise("other")
 
 
-def write_vertical(vertical: DataFrame, path: str) -> None:
-    """Append by day and batch; repeating a batch replaces it."""
-    write_partitions(vertical.withColumn("day", _day(F.col("time"))), path, "day", "batch_id", rebalance=True, sort=("station_id", "time"))
+def write_vertical(vertical: DataFrame, path: str, load: str = "all") -> None:
+    """Add by day, batch and load; repeating a load replaces it and no other.
+
+    A job writes whole batches and needs one load; a stream names a load per micro-batch, as a batch may be spread
+    over several of them.
+    """
+    rows = vertical.withColumns({"day": _day(F.col("time")), "load": F.lit(load)})
+    write_partitions(rows, path, "day", "batch_id", "load", rebalance=True, sort=("station_id", "time"))
 
 
 def read_vertical(spark: SparkSession, path: str) -> DataFrame:
@@ -174,11 +180,19 @@ def read_vertical(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rebuild_days(
-    spark: SparkSession, vertical: str, target: str, batch_ids: list[str], stations: DataFrame, measures: list[str]
+    spark: SparkSession, vertical: str, target: str, batches: DataFrame, stations: DataFrame, measures: list[str]
 ) -> None:
-    """Refresh the stored latest view for the days the given batches touch; other days are not read."""
+    """Refresh the stored latest view for the days that the given batches touch; other days are not read.
+
+    ``batches`` has their ``batch_id``; a missing one is a batch of its own. The days are written down first, so that
+    their number is known and the partitions of the others are left out.
+    """
     rows = read_vertical(spark, vertical)
-    # a batch covers the days of its forecast or archive window
-    days = [r.day for r in rows.filter(F.col("batch_id").isin(batch_ids)).select("day").distinct().collect()]
-    latest = weather_hourly(rows.filter(F.col("day").isin(days)), stations, measures)
+    wanted = batches.select(F.col("batch_id").alias("wanted")).distinct()
+    touched = rows.select("day", "batch_id").join(wanted, F.col("batch_id").eqNullSafe(F.col("wanted")), "left_semi")
+    path = work_dir(spark, "days")
+    touched.select("day").distinct().write.parquet(path)
+    days = spark.read.schema("day STRING").parquet(path).filter("day > ''")
+    latest = weather_hourly(rows.join(days, "day", "left_semi"), stations, measures)
     write_partitions(latest.withColumn("day", _day(F.col("time"))), target, "day", rebalance=True, sort=("station_id", "time"))
+    drop_folder(spark, path)

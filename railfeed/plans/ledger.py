@@ -121,7 +121,7 @@ class RunLedger:
         try:
             message = job()
         except Exception as exc:
-            self.append([(*run, "end", "failed", str(exc)[:2000]) for run in runs])
+            self.append([(*run, "end", "failed", str(exc)) for run in runs])
             raise
         self.append([(*run, "end", "success", message) for run in runs])
         return "success"

@@ -45,11 +45,15 @@ def scan_batch(table: DataFrame, *batch_ids: str) -> DataFrame:
     return table.filter(F.col("batch_id").isin(*batch_ids))
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a table or scratch folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_batches(spark: SparkSession, path: str, batch_ids: list[str]) -> None:
     """Remove whole batch partitions."""
-    jvm = spark._jvm
     for batch_id in batch_ids:
         if not _SAFE_ID.match(batch_id):
             raise ValueError(f"unsafe batch id: {batch_id!r}")
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_folder(spark, f"{path}/batch_id={batch_id}")

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from railfeed.operators.weather import forecast_hourly, read_vertical
-from railfeed.plans.jobs import Warehouse, event_partition
+from railfeed.operators.timetables import text_partition
+from railfeed.plans.jobs import Warehouse
 from railfeed.plans.layers import latest_batch
 from railfeed.plans.ledger import process_state
 from railfeed.session import work_dir
@@ -108,11 +109,11 @@ def test_latest_batch_goes_by_arrival(spark):
     assert latest_batch(raw).first().batch_id == "B1"
 
 
-def test_event_partition_only_where_the_hash_fixes_the_day(spark):
-    rows = [("RS1", T0), (None, T0), ("a|b", T0), ("2025-03-11T00:00:00Z", T0), ("RS1", None)]
-    df = spark.createDataFrame(rows, "line STRING, ts TIMESTAMP_NTZ")
-    found = [r[0] for r in df.select(event_partition(F.col("line"), F.col("ts"))).collect()]
-    assert found == ["2025-03-11", "2025-03-11", "any", "any", "any"]
+def test_equal_texts_share_a_partition(spark):
+    texts_ = ["a|b|2025-03-11T09:00:00Z", "x|2025-03-11T09:00:00Z|RS1", "x|2025-13-45T09:00:00Z|a|b", "x|none|", "x|2024-01-01T00:00:00Z|2025-03-11T00:00:00Z"]
+    df = spark.createDataFrame([(t,) for t in texts_], "t STRING")
+    found = [r[0] for r in df.select(text_partition(F.col("t"))).collect()]
+    assert found == ["2025-03-11", "2025-03-11", "2025-13-45", "none", "2025-03-11"]
 
 
 @pytest.mark.parametrize(
