@@ -83,6 +83,17 @@ def rail_weather_features(kpi: DataFrame, weather: DataFrame, station: str) -> D
     return kpi.join(weather, [station, "hour"], "left")
 
 
+def rail_weather(events: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Modelled rail events per station and hour beside the modelled weather of that station and hour.
+
+    Events carry the station's eva number and a time, the hourly view the eva number and an ISO text without seconds;
+    weather of unknown stations or unreadable times joins nothing.
+    """
+    kpi = station_hour_kpi(events, "eva_number", "event_time", F.col("delay_in_min"), F.col("is_canceled"))
+    weather = hourly.filter("eva_number IS NOT NULL").withColumn("hour", F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm")).cast("timestamp_ntz"))
+    return rail_weather_features(kpi, weather.drop("batch_id", "psa_id", "time"), "eva_number")
+
+
 def weather_asof(events: DataFrame, weather: DataFrame, station: str, ts: str, values: list[str]) -> DataFrame:
     """Each event with the last hourly weather of its station at or before its hour.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
@@ -12,10 +13,12 @@ from .. import settings
 from ..operators import stations as st
 from ..operators import timetables as tt
 from ..operators import weather as wx
+from ..operators.analytics import rail_weather
 from ..operators.matching import build_station_index
+from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES
 from ..sources import landing, requests
-from ..sources.tables import RAW_SCHEMA, drop_folder, read_raw, scan_batch, write_partitions, write_raw
-from .layers import latest_batch, make_batch_id, promote, purge
+from ..sources.tables import RAW_SCHEMA, drop_batches, drop_folder, ingest_day, read_kept, read_raw, scan_batch, write_partitions, write_raw
+from .layers import latest_batch, make_batch_id, promote
 from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches
 
 # feed, batch id prefix
@@ -29,6 +32,7 @@ FEEDS = {
 }
 # a backlog is worked off in jobs of this many batches, so that neither the plan nor the driver grows with it
 BATCHES_PER_JOB = 500
+MANIFEST_SCHEMA = "batch_id STRING, arrived_at TIMESTAMP_NTZ, first_raw_id BIGINT, n_rows BIGINT"
 _JSON_FEEDS = {"db_stations", "weather_forecast", "weather_history"}
 
 
@@ -64,25 +68,48 @@ class Warehouse:
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
     def raw(self, feed: str) -> DataFrame:
-        path = self.path("psa", feed)
-        return read_raw(self.spark, path) if self.exists(path) else self.spark.createDataFrame([], RAW_SCHEMA)
+        path, schema = self.path("psa", feed), f"{RAW_SCHEMA}, ingest_date STRING"
+        return read_kept(self.spark, path) if self.exists(path) else self.spark.createDataFrame([], schema)
+
+    def manifest(self, feed: str) -> DataFrame:
+        """One row per kept batch: when it arrived, its rows and their ids. Written last, so a listed batch is whole."""
+        path = f"{self.path('metadata', 'manifest')}/{feed}"
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path) if self.exists(path) else self.spark.createDataFrame([], MANIFEST_SCHEMA)
+
+    def batch(self, feed: str, *batch_ids: str) -> DataFrame:
+        """Raw rows of the given batches; days and batches are partitions, so no other is read."""
+        days = self.manifest(feed).filter(F.col("batch_id").isin(*batch_ids)).select(ingest_day("arrived_at").alias("d")).distinct()
+        return scan_batch(self.raw(feed), *batch_ids).filter(F.col("ingest_date").isin(*[r.d for r in days.collect()]))
 
     def ingest(self, feed: str, responses: DataFrame, now: dt.datetime, batch_id: str | None = None) -> str:
-        """Captured responses to the kept raw layer; returns the batch id."""
-        batch_id = batch_id or make_batch_id(FEEDS[feed], now)
+        """Captured responses to the kept raw layer; returns the batch id.
+
+        An id made from the time gets a tail if another call has taken it, so calls of the same second keep their
+        responses apart. A call that names its id is a replay if that batch has been imported, and is skipped.
+        One process at a time ingests a feed.
+        """
+        if batch_id is None:
+            batch_id = make_batch_id(FEEDS[feed], now)
+            taken = f"{self.path('psa', feed)}/ingest_date={now:%Y-%m-%d}/batch_id={batch_id}"
+            if self.exists(taken) or self.ledger.is_done(f"{feed}_import", batch_id):
+                batch_id = f"{batch_id}_{uuid.uuid4().hex[:8]}"
         land = landing.land_json if feed in _JSON_FEEDS else landing.land_text
 
         def job() -> str:
             stg, psa = self.path("stg", feed), self.path("psa", feed)
+            first = self.manifest(feed).agg(F.max(F.col("first_raw_id") + F.col("n_rows"))).first()[0] or 0
             rows = landing.stamp_batch(land(responses), batch_id).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
-            rows, counted = counting(rows)
-            write_raw(rows, stg)
+            write_raw(rows, stg, first)
+            n_rows = scan_batch(read_raw(self.spark, stg), batch_id).count()
             promote(self.spark, stg, psa)
-            purge(self.spark, stg, psa)
+            drop_batches(self.spark, stg, [batch_id])
+            entry = [(batch_id, now, first, n_rows)]
+            made = self.spark.createDataFrame(entry, MANIFEST_SCHEMA)
+            made.coalesce(1).write.mode("append").parquet(f"{self.path('metadata', 'manifest')}/{feed}")
             if feed == "db_stations":
                 # stored, so that joins know how small it is
                 st.station_dimension(self.raw(feed)).write.mode("overwrite").parquet(self.path("dwh", "stations"))
-            return f"rows_inserted={counted()}"
+            return f"rows_inserted={n_rows}"
 
         self.ledger.run_batch(f"{feed}_import", batch_id, job)
         return batch_id
@@ -118,56 +145,84 @@ class Warehouse:
         return self.spark.read.parquet(path) if self.exists(path) else st.station_dimension(self.raw("db_stations"))
 
     def pending(self, feed: str) -> list[str]:
-        """Oldest batches still to transform, at most as many as one job takes."""
-        raw = self.raw(feed)
-        todo = pending_batches(raw, self.ledger.read(), f"{feed}_transform")
-        arrived = raw.groupBy("batch_id").agg(F.max("ingested_at").alias("at"))
+        """Oldest batches still to transform, at most as many as one job takes; found in the manifest alone."""
+        process, batches = f"{feed}_transform", self.manifest(feed)
+        todo = pending_batches(batches, self.ledger.read(process), process)
+        arrived = batches.groupBy("batch_id").agg(F.max("arrived_at").alias("at"))
         oldest = arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").limit(BATCHES_PER_JOB)
         return [r.batch_id for r in oldest.collect()]
 
+    def newest(self, feed: str) -> str | None:
+        batches = self.manifest(feed).select("batch_id", F.col("arrived_at").alias("ingested_at"), F.col("first_raw_id").alias("raw_id"))
+        return latest_batch(batches).first().batch_id
+
     def _transform(self, feed: str, write: Callable[[DataFrame], str], latest_only: bool) -> list[str]:
         """All pending batches, many per job. ``latest_only`` looks at the newest batch and no other."""
         process = f"{feed}_transform"
         if latest_only:
-            newest = latest_batch(self.raw(feed)).first().batch_id
+            newest = self.newest(feed)
             batches = [newest] if newest and not self.ledger.is_done(process, newest) else []
         else:
             batches = self.pending(feed)
         if not batches:
-            newest = latest_batch(self.raw(feed)).first().batch_id
+            newest = self.newest(feed)
             if newest is not None:
                 self.ledger.skip(process, newest)
         done = []
         while batches:
             todo = batches
-            self.ledger.run_all(process, todo, lambda: write(scan_batch(self.raw(feed), *todo)))
+            self.ledger.run_all(process, todo, lambda: write(self.batch(feed, *todo)))
             done += todo
             batches = [] if latest_only else self.pending(feed)
         return done
 
+    def _quarantine(self, feed: str, rejected: DataFrame) -> None:
+        write_partitions(rejected, self.path("psa", f"{feed}_quarantine"), "batch_id")
+
+    def quarantine(self, feed: str) -> DataFrame:
+        """Stored payloads or objects that could not be read, with the reason."""
+        path = self.path("psa", f"{feed}_quarantine")
+        return self.spark.read.parquet(path)
+
     def transform_weather(self, feed: str, latest_only: bool = False) -> list[str]:
+        """Payloads to station hours, then the hourly view of the days they touch; unreadable objects are set aside."""
+        measures = HISTORY_MEASURES if feed == "weather_history" else FORECAST_MEASURES
+
         def write(raw: DataFrame) -> str:
             index = build_station_index(st.region_coords(self.stations()))
             objects = wx.weather_objects(raw, history=feed == "weather_history")
             rows, counted = counting(wx.weather_vertical(objects, index))
-            wx.write_vertical(rows, self.path("psa", f"{feed}_vertical"))
+            vertical = self.path("psa", f"{feed}_vertical")
+            wx.write_vertical(rows, vertical)
+            self._quarantine(feed, wx.weather_quarantine(objects))
+            wx.rebuild_days(self.spark, vertical, self.path("dwh", f"{feed}_hourly"), raw, self.stations(), measures)
             return f"rows_inserted={counted()}"
 
         return self._transform(feed, write, latest_only)
 
-    def _write_events(self, table: str, events: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], str]:
+    def hourly(self, feed: str) -> DataFrame:
+        """The stored hourly view of a weather feed."""
+        return self.spark.read.parquet(self.path("dwh", f"{feed}_hourly")).drop("day")
+
+    def rail_weather(self, feed: str = "weather_history") -> DataFrame:
+        """Hourly indicators of the full-change events beside the weather of their station and hour."""
+        events = self.spark.read.parquet(self.path("dwh", "timetables_fchg_events"))
+        return rail_weather(events, self.hourly(feed))
+
+    def _write_events(self, feed: str, events: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], str]:
         def write(raw: DataFrame) -> str:
             rows, counted = counting(events(raw))
-            write_partitions(rows, self.path("dwh", table), "batch_id")
+            write_partitions(rows, self.path("dwh", f"{feed}_events"), "batch_id", rebalance=True)
+            self._quarantine(feed, tt.xml_quarantine(raw))
             return f"rows_inserted={counted()}"
 
         return write
 
     def transform_plan(self, latest_only: bool = False) -> list[str]:
-        return self._transform("timetables_plan", self._write_events("timetables_plan_events", tt.plan_events), latest_only)
+        return self._transform("timetables_plan", self._write_events("timetables_plan", tt.plan_events), latest_only)
 
     def transform_fchg(self, latest_only: bool = False) -> list[str]:
-        return self._transform("timetables_fchg", self._write_events("timetables_fchg_events", tt.fchg_events), latest_only)
+        return self._transform("timetables_fchg", self._write_events("timetables_fchg", tt.fchg_events), latest_only)
 
     def transform_rchg(self, latest_only: bool = False) -> list[str]:
         """Insert-ignore: the batch that arrived first keeps a row; only partitions that can hold an equal hash are read back."""
@@ -179,6 +234,7 @@ class Warehouse:
             new, inserted = counting(new)
             write_partitions(new, target, "event_date", "batch_id", rebalance=True, sort=("eva_number", "timestamp_event"))
             drop_folder(self.spark, scratch)
+            self._quarantine("timetables_rchg", tt.xml_quarantine(raw))
             return f"rows_attempted={attempted}, rows_inserted={inserted()}"
 
         return self._transform("timetables_rchg", write, latest_only)

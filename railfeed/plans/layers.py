@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.tables import drop_batches, read_raw, write_partitions
+from ..sources.tables import drop_batches, ingest_day, read_raw, write_partitions
 
+# Prefixes and formats of batch ids
 TIMETABLE_PREFIXES = ("PLAN", "FCHG", "RCHG")
 
 
@@ -20,8 +21,8 @@ def make_batch_id(prefix: str, now: dt.datetime) -> str:
 
 
 def promote(spark: SparkSession, stg: str, psa: str) -> None:
-    """Copy every staged batch as it is; repeating it leaves the kept layer unchanged."""
-    write_partitions(read_raw(spark, stg), psa, "batch_id")
+    """Copy every staged batch as it is, by arrival day and batch; repeating it leaves the kept layer unchanged."""
+    write_partitions(read_raw(spark, stg).withColumn("ingest_date", ingest_day()), psa, "ingest_date", "batch_id")
 
 
 def unpromoted(stg: DataFrame, psa: DataFrame) -> DataFrame:

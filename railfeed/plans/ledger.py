@@ -8,10 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import work_dir
+from ..sources.tables import drop_folder, write_partitions
+
 RUN_SCHEMA = (
     "run_id STRING, process_name STRING, batch_id STRING, event STRING, status STRING, "
     "ts TIMESTAMP_NTZ, message STRING"
 )
+RUN_COLUMNS = ["run_id", "process_name", "batch_id", "event", "status", "ts", "message"]
 CALL_COLUMNS = ["source", "endpoint", "params", "status_code", "response_time_ms", "result_count", "called_at"]
 CALL_SCHEMA = (
     "source STRING, endpoint STRING, params STRING, status_code INT, response_time_ms INT, result_count INT, "
@@ -87,28 +91,45 @@ def run_decisions(raw: DataFrame, ledger: DataFrame, process: str) -> DataFrame:
 
 
 class RunLedger:
-    """Run log in a folder; each event is one appended row."""
+    """Run log in a folder, by process and day; each call appends its events."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
-    def read(self) -> DataFrame:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+    def _exists(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
+    def read(self, process: str | None = None) -> DataFrame:
+        """All events, or those of one process, which are a folder of their own."""
+        if not self._exists(self.path):
             return self.spark.createDataFrame([], RUN_SCHEMA)
-        return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
+        events = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(self.path).select(*RUN_COLUMNS)
+        return events if process is None else events.filter(F.col("process_name") == process)
 
     def append(self, events: list[tuple[str, str, str | None, str, str, str]]) -> None:
         """Add (run_id, process_name, batch_id, event, status, message) at the current time."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         rows = [(run, process, batch, event, status, now, message) for run, process, batch, event, status, message in events]
-        self.spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        added = self.spark.createDataFrame(rows, RUN_SCHEMA).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+        added.coalesce(1).write.mode("append").partitionBy("process_name", "day").parquet(self.path)
+
+    def compact(self) -> None:
+        """Join the small files of each process and day into one; no event is lost or changed."""
+        if not self._exists(self.path):
+            return
+        before = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(self.path)
+        scratch = work_dir(self.spark, "ledger")
+        before.write.parquet(scratch)
+        kept = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(scratch)
+        write_partitions(kept, self.path, "process_name", "day", rebalance=True)
+        drop_folder(self.spark, scratch)
 
     def is_done(self, process: str, batch_id: str | None) -> bool:
         if batch_id is None:
             return False
-        return not succeeded_batches(self.read(), process).filter(F.col("batch_id") == batch_id).isEmpty()
+        return not succeeded_batches(self.read(process), process).filter(F.col("batch_id") == batch_id).isEmpty()
 
     def skip(self, process: str, batch_id: str) -> str:
         self.append([(uuid.uuid4().hex, process, batch_id, "end", "skipped", "already transformed")])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..operators.ranking import number_rows
 
 RAW_SCHEMA = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id STRING"
 
@@ -29,15 +31,29 @@ def write_partitions(df: DataFrame, path: str, *partitions: str, rebalance: bool
     )
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Store landed rows under their batch with a row id that is fixed from then on."""
+def write_raw(df: DataFrame, path: str, first_id: int | None = None) -> None:
+    """Store landed rows under their batch with a row id that is fixed from then on.
+
+    With ``first_id`` the ids go up by one from there, in the order the rows were landed.
+    """
     rows = df.withColumn("raw_id", F.monotonically_increasing_id())
+    if first_id is not None:
+        rows = number_rows(rows, "raw_id", "no").withColumn("raw_id", F.lit(first_id - 1) + F.col("no"))
     write_partitions(rows.select("raw_id", "payload", "ingested_at", "batch_id"), path, "batch_id")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     # the schema is given: inference would turn an all-digit batch id into a number
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    return spark.read.schema(RAW_SCHEMA).parquet(path).select("raw_id", "payload", "ingested_at", "batch_id")
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame:
+    """Kept raw rows with the day they arrived on, which is a partition of its own above the batch."""
+    return spark.read.schema(f"{RAW_SCHEMA}, ingest_date STRING").parquet(path)
+
+
+def ingest_day(at: str = "ingested_at") -> Column:
+    return F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit("unknown"))
 
 
 def scan_batch(table: DataFrame, *batch_ids: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from railfeed.operators.weather import forecast_hourly, read_vertical
-from railfeed.operators.timetables import text_partition
+from railfeed.operators.timetables import rchg_unstored, text_partition
 from railfeed.plans.jobs import Warehouse
 from railfeed.plans.layers import latest_batch
 from railfeed.plans.ledger import process_state
@@ -48,6 +48,86 @@ def test_replayed_changes_are_ignored(spark, house):
     assert messages["RCHG_20250311_091000"] == "rows_attempted=3, rows_inserted=1"
 
 
+def test_jobs_without_rows_succeed(spark, house):
+    """A poll of known changes, broken documents and an empty batch leave nothing pending, in every feed."""
+    known = '<timetable station="A" eva="1"><s id="7"><dp pt="2503110900" ct="2503110905"/><m id="M" ts="2503110855"/></s></timetable>'
+    house.ingest("timetables_rchg", texts(spark, known), T0)
+    house.transform_rchg()
+    none = spark.createDataFrame([], "payload STRING")
+    for minute, payloads in enumerate([texts(spark, known), texts(spark, "broken", "<a>"), none], start=10):
+        now = T0 + dt.timedelta(minutes=minute)
+        for feed in ("timetables_rchg", "timetables_plan", "timetables_fchg", "weather_forecast", "weather_history"):
+            house.ingest(feed, texts(spark, "{") if "weather" in feed and minute == 10 else payloads, now)
+    house.transform_rchg(), house.transform_plan(), house.transform_fchg()
+    house.transform_weather("weather_forecast"), house.transform_weather("weather_history")
+    feeds = ("timetables_rchg", "timetables_plan", "timetables_fchg", "weather_forecast", "weather_history")
+    assert [house.pending(f) for f in feeds] == [[]] * 5
+    state = process_state(house.ledger.read()).filter("process_name LIKE '%transform'")
+    assert {r.status for r in state.collect()} <= {"success", "skipped"}
+    rchg = [r.message for r in state.filter("process_name = 'timetables_rchg_transform' AND status = 'success'").collect()]
+    assert sorted(rchg) == ["rows_attempted=2, rows_inserted=0"] * 3 + ["rows_attempted=2, rows_inserted=2"]
+    assert sorted(r.reason for r in house.quarantine("timetables_rchg").collect()) == ["malformed", "malformed"]
+    assert {r.reason for r in house.quarantine("weather_forecast").collect()} == {"not_json"}
+
+
+def test_ingests_of_one_second_keep_all_payloads(spark, house):
+    ids = [house.ingest("timetables_plan", texts(spark, f"<a n='{i}'/>", f"<b n='{i}'/>"), T0) for i in range(6)]
+    assert len(set(ids)) == 6 and ids[0] == "PLAN_20250311_090000"
+    rows = house.raw("timetables_plan").collect()
+    assert len({r.payload for r in rows}) == 12 and sorted(r.raw_id for r in rows) == list(range(12))
+    assert {r.ingest_date for r in rows} == {"2025-03-11"}
+    house.ingest("timetables_plan", texts(spark, "<c/>"), T0, batch_id=ids[2])
+    assert house.raw("timetables_plan").count() == 12
+    plan = house.batch("timetables_plan", *ids[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_date" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_the_first_arrival_keeps_a_row_whatever_the_job_takes(spark, house, monkeypatch):
+    doc = '<timetable station="A" eva="1"><s id="7"><dp pt="2503110900" ct="2503110905"/></s></timetable>'
+    for size in (1, 500):
+        monkeypatch.setattr("railfeed.plans.jobs.BATCHES_PER_JOB", size)
+        one = Warehouse(spark, work_dir(spark, "house"))
+        one.ingest("timetables_rchg", texts(spark, doc), T0, batch_id="zz")
+        one.ingest("timetables_rchg", texts(spark, doc), T0 + dt.timedelta(hours=1), batch_id="aa")
+        one.transform_rchg()
+        assert [r.batch_id for r in spark.read.parquet(one.path("dwh", "timetables_rchg_events")).collect()] == ["zz"]
+
+
+def test_odd_texts_do_not_read_the_whole_target(spark, house):
+    doc = '<timetable station="A" eva="1"><s id="7"><dp pt="2503110900" ct="{}" l="{}"/></s></timetable>'
+    house.ingest("timetables_rchg", texts(spark, doc.format("2503110905", "1"), doc.format("2504110905", "1")), T0)
+    house.transform_rchg()
+    target = house.path("dwh", "timetables_rchg_events")
+    house.ingest("timetables_rchg", texts(spark, doc.format("2503110906", "a|b"), doc.format("2599990000", "1")), T0 + dt.timedelta(minutes=10))
+    new, _ = rchg_unstored(spark, house.raw("timetables_rchg"), target)
+    filters = new._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[-1].split("]")[0]
+    assert "event_date" in filters and "2025-03-11" in filters
+    house.transform_rchg()
+    assert spark.read.parquet(target).count() == 4
+
+
+def test_weather_and_rail_meet_on_the_modelled_tables(spark, house):
+    station = '{"number":"1","name":"Bremen","evaNumbers":[{"number":80,"isMain":true,"geographicCoordinates":{"coordinates":[8.8,53.1]}}],"ril100Identifiers":[{"rilIdentifier":"HB","isMain":true}]}'
+    house.ingest("db_stations", texts(spark, f"[{station}]"), T0)
+    hours = '{"latitude":53.1,"longitude":8.8,"hourly":{"time":["2025-03-11T09:00","2025-03-11T10:00","odd"],"temperature_2m":[4,5,6]}}'
+    house.ingest("weather_history", texts(spark, hours), T0)
+    house.transform_weather("weather_history")
+    assert {r.time: r.temperature_2m for r in house.hourly("weather_history").collect()} == {"2025-03-11T09:00": 4.0, "2025-03-11T10:00": 5.0, "odd": 6.0}
+    change = '<timetable station="Bremen" eva="80"><s id="7"><m id="M" t="d" c="7" ts="2503110905"/><m id="N" t="d" c="3" ts="2503111205"/></s></timetable>'
+    house.ingest("timetables_fchg", texts(spark, change), T0)
+    house.transform_fchg()
+    rows = {r.hour.hour: (r.n_events, r.mean_delay, r.temperature_2m) for r in house.rail_weather().collect()}
+    assert rows == {9: (1, 7.0, 4.0), 12: (1, 3.0, None)}
+
+
+def test_compacting_the_ledger_keeps_every_event(spark, house):
+    for i in range(5):
+        house.ledger.run_batch("p", f"B{i}", lambda: "rows=1")
+    before = sorted(house.ledger.read().collect())
+    house.ledger.compact()
+    assert sorted(house.ledger.read().collect()) == before and house.ledger.is_done("p", "B3")
+
+
 def test_a_batch_lost_from_the_ledger_can_run_again(spark, house):
     doc = '<timetable station="A"><s id="7"><dp pt="2503110900"/></s></timetable>'
     for minute in range(3):
