@@ -102,8 +102,11 @@ def region_eva(
     return evas.orderBy("eva_number").limit(limit) if limit else evas
 
 
-def region_coords(stations: DataFrame, limit: int | None = None) -> DataFrame:
-    """Region stations that have both coordinates and an EVA number."""
+def region_coords(
+    stations: DataFrame, limit: int | None = None, name_pattern: str | None = None, ds100_pattern: str | None = None
+) -> DataFrame:
+    """Region stations that have both coordinates and an EVA number; the region is the one of ``region_eva``."""
     usable = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("eva_number").isNotNull()
-    rows = stations.filter(usable & in_region()).select("station_id", "latitude", "longitude")
+    region = in_region(name_pattern or settings.region_name_pattern(), ds100_pattern or settings.region_ds100_pattern())
+    rows = stations.filter(usable & region).select("station_id", "latitude", "longitude")
     return rows.orderBy("station_id").limit(limit) if limit is not None else rows

@@ -1,7 +1,6 @@
 """File streams over the feeds."""
 
 from .streams import (
-    current_state,
     land_stream,
     latest_weather_stream,
     plan_stream,
@@ -11,7 +10,6 @@ from .streams import (
 )
 
 __all__ = [
-    "current_state",
     "land_stream",
     "latest_weather_stream",
     "plan_stream",

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+from railfeed.operators.matching import build_station_index
+from railfeed.schemas import FORECAST_MEASURES
 from railfeed.session import work_dir
-from railfeed.streaming import land_stream, rchg_insert_stream
+from railfeed.streaming import land_stream, latest_weather_stream, rchg_insert_stream, station_hour_stream
 
 
 def test_whole_files_land_untouched_and_once(spark, tmp_path):
@@ -17,7 +20,49 @@ def test_whole_files_land_untouched_and_once(spark, tmp_path):
     (source / "2.json").write_text(second)
     for _ in range(2):
         land_stream(spark, str(source), target, progress, whole_files=True).awaitTermination()
-    assert sorted(r.payload for r in spark.read.parquet(target).collect()) == sorted([first, second])
+    rows = spark.read.parquet(target).collect()
+    assert sorted(r.payload for r in rows) == sorted([first, second])
+    assert {r.batch_id for r in rows} == {"stream_000000000000", "stream_000000000001"}
+    assert all(r.raw_id is not None and r.ingested_at is not None and r.source_file for r in rows)
+
+
+def test_a_batch_split_over_micro_batches_stays_whole(spark):
+    source, vertical, target, progress = (work_dir(spark, f"split-{n}") for n in ("in", "vertical", "out", "progress"))
+    schema = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id STRING"
+
+    def land(*rows):
+        for i, batch, hour, value in rows:
+            doc = f'{{"latitude":53.1,"longitude":8.8,"hourly":{{"time":["2025-03-11T{hour:02d}:00"],"temperature_2m":[{value}]}}}}'
+            spark.createDataFrame([(i, doc, dt.datetime(2025, 3, 11), batch)], schema).coalesce(1).write.mode("append").parquet(source)
+        payloads = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        latest_weather_stream(payloads, index, stations, FORECAST_MEASURES, vertical, target, progress).awaitTermination()
+        return {r.time[11:13]: r.temperature_2m for r in spark.read.parquet(target).collect()}
+
+    dimension = "station_id STRING, name STRING, latitude DOUBLE, longitude DOUBLE, ds100 STRING, eva_number STRING"
+    stations = spark.createDataFrame([("1", "A", 53.1, 8.8, "HB", "80")], dimension)
+    index = build_station_index(stations.select("station_id", "latitude", "longitude"))
+    assert land((1, "b1", 9, 1), (2, "b1", 10, 2), (3, "b1", 11, 3)) == {"09": 1.0, "10": 2.0, "11": 3.0}
+    # a missing batch counts as the newest
+    assert land((4, None, 9, 7)) == {"09": 7.0, "10": 2.0, "11": 3.0}
+    assert land((5, "b2", 9, 8), (6, "b2", 10, 9)) == {"09": 7.0, "10": 9.0, "11": 3.0}
+
+
+def test_late_events_count_and_full_hours_raise_alerts(spark):
+    source, stored, target, alerts, progress = (work_dir(spark, f"alert-{n}") for n in ("in", "events", "out", "alerts", "progress"))
+    schema = "station STRING, ts TIMESTAMP, value DOUBLE"
+
+    def poll(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        events = spark.readStream.schema(schema).parquet(source)
+        station_hour_stream(
+            events, stored, target, progress, "station", "ts", F.col("value") > 5, F.col("n_incidents") >= 2, alerts
+        ).awaitTermination()
+        hours = {(r.station, r.hour.day): (r.n_events, r.n_incidents) for r in spark.read.parquet(target).collect()}
+        return hours, sorted((r.station, r.hour.day) for r in spark.read.schema("station STRING, hour TIMESTAMP").parquet(alerts).collect())
+
+    day = lambda d: dt.datetime(2025, 3, d, 9, 30)
+    assert poll(("a", day(1), 9.0), ("a", day(20), 1.0)) == ({("a", 1): (1, 1), ("a", 20): (1, 0)}, [])
+    assert poll(("a", day(1), 8.0)) == ({("a", 1): (2, 2), ("a", 20): (1, 0)}, [("a", 1)])
 
 
 def test_repeated_changes_are_inserted_once(spark):
