@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import stations as st
@@ -9,7 +11,9 @@ from ..operators import timetables as tt
 from ..operators import weather as wx
 from ..operators.matching import build_station_index, match_coordinates
 from ..operators.ranking import latest_per_key
+from ..plans.jobs import Warehouse
 from ..schemas import FCHG_COLUMNS, FORECAST_MEASURES, HISTORY_MEASURES, PLAN_COLUMNS, RCHG_COLUMNS
+from ..session import work_dir
 from . import fixtures as fx
 from .expected import FCHG, MATCHED, PLAN, RCHG, STATIONS, WEATHER, XML, sql
 from .registry import check
@@ -416,3 +420,18 @@ def rchg_insert_ignore(spark, sf_dir):
 @check("rchg_events", sql(XML, RCHG, select=f"SELECT {_RCHG_LIST} FROM rchg"))
 def rchg_events(spark, sf_dir):
     return tt.rchg_events(fx.timetable_raw(spark, sf_dir))
+
+
+_STORED = ", ".join("ts_event AS timestamp_event" if c == "timestamp_event" else c for c in RCHG_COLUMNS if c != "batch_id")
+
+
+@check("rchg_replay", sql(XML, RCHG, select=f"SELECT {_STORED} FROM rchg"))
+def rchg_replay(spark, sf_dir):
+    """Documents to stored events through the jobs, then the same polls again, which add nothing."""
+    house, docs = Warehouse(spark, work_dir(spark, "house")), fx.timetable_raw(spark, sf_dir)
+    for _ in range(2):
+        for second in range(2):
+            now = dt.datetime(2024, 1, 1, 0, 0, second)
+            house.ingest("timetables_rchg", docs.filter(F.second("ingested_at") == second).select("payload"), now)
+        house.transform_rchg()
+    return spark.read.parquet(house.path("dwh", "timetables_rchg_events")).drop("event_date", "batch_id")

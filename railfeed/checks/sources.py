@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..plans import layers, ledger
+from ..plans.jobs import Warehouse
 from ..session import work_dir
 from ..sources import landing, requests, tables
 from . import fixtures as fx
@@ -171,6 +172,26 @@ def promote(spark, sf_dir):
     return tables.read_raw(spark, psa).drop("payload")
 
 
+@check("raw_by_day", sql(WEATHER, select="SELECT raw_id, 'open_meteo_' || stamp AS batch_id FROM wx WHERE b = 1"))
+def raw_by_day(spark, sf_dir):
+    """The kept layer is partitioned by the day of arrival, above the batch."""
+    stg, psa = work_dir(spark, "stg"), work_dir(spark, "psa")
+    tables.write_partitions(fx.forecast_raw(spark, sf_dir), stg, "batch_id")
+    layers.promote(spark, stg, psa)
+    return tables.read_kept(spark, psa).filter("ingest_date = '2024-01-02'").select("raw_id", "batch_id")
+
+
+@check("plan_window_import", sql(select="SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_ids, 3 AS n_batches FROM orders"))
+def plan_window_import(spark, sf_dir):
+    """Three calls of the same second keep all their responses, with row ids of their own."""
+    house = Warehouse(spark, work_dir(spark, "house"))
+    docs = fx.timetable_raw(spark, sf_dir, "PLAN")
+    for part in range(3):
+        house.ingest("timetables_plan", docs.filter(F.col("raw_id") % 3 == part).select("payload"), dt.datetime(2024, 1, 1))
+    ids = [F.count_distinct(c) for c in ("raw_id", "batch_id")]
+    return house.raw("timetables_plan").agg(F.count("*").alias("n_rows"), ids[0].alias("n_ids"), ids[1].cast("int").alias("n_batches"))
+
+
 @check("purge_remaining", sql(WEATHER, select="SELECT raw_id, 'open_meteo_' || stamp AS batch_id FROM wx WHERE b = 1"))
 def purge_remaining(spark, sf_dir):
     """Only the first batch has been promoted, so the purge leaves the second one staged."""
