@@ -130,14 +130,15 @@ def weather_vertical_history(spark, sf_dir):
     "weather_sparse",
     sql(
         WEATHER,
-        select="""SELECT psa_id, CAST(pos AS INT) AS pos, '{' || concat_ws(',', '"precipitation":' || CAST(precipitation AS VARCHAR),
-          '"temperature_2m":' || CAST(temperature_2m AS VARCHAR), '"weather_code":' || CAST(CAST(weather_code AS DOUBLE) AS VARCHAR)) || '}' AS measures
+        select="""SELECT psa_id, CAST(pos AS INT) AS pos, '{' || concat_ws(',', '"precipitation":' || regexp_replace(CAST(precipitation AS VARCHAR), '\\.0$', ''),
+          '"temperature_2m":' || regexp_replace(CAST(temperature_2m AS VARCHAR), '\\.0$', ''), '"weather_code":' || CAST(weather_code AS VARCHAR)) || '}' AS measures
         FROM fc""",
     ),
 )
 def weather_sparse(spark, sf_dir):
-    rows = wx.weather_vertical(wx.weather_objects(fx.forecast_raw(spark, sf_dir)), None)
-    return rows.select("psa_id", "pos", wx.sparse_json(F.col("measures")).alias("measures"))
+    """The values as sent; JSON numbers are compared without a fraction of zero."""
+    rows = wx.weather_vertical(wx.weather_objects(fx.forecast_raw(spark, sf_dir)), None, exact=True)
+    return rows.select("psa_id", "pos", F.col("payload").alias("measures"))
 
 
 @check(

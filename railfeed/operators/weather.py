@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import json_array, json_map, parse_json
@@ -64,38 +66,48 @@ def _doubles(value: Column) -> Column:
     return F.coalesce(numbers, F.try_variant_get(value, "$", "array<double>"))
 
 
-def _with_lists(objects: DataFrame) -> DataFrame:
+def _with_lists(objects: DataFrame, exact: bool) -> DataFrame:
     """Typed lists of an object, read once: inside a lambda they would be read again for every hour."""
-    hourly = F.transform_values(json_map(F.col("obj"), "$.hourly"), lambda _, v: _doubles(v))
-    return objects.withColumns(
-        {
-            "lists": F.map_filter(hourly, lambda k, v: (k != "time") & v.isNotNull()),
-            "times": F.try_variant_get("obj", "$.hourly.time", "array<string>"),
-        }
-    ).drop("obj")
+
+    def lists(read: Callable[[Column], Column]) -> Column:
+        hourly = F.transform_values(json_map(F.col("obj"), "$.hourly"), lambda _, v: read(v))
+        return F.map_filter(hourly, lambda k, v: (k != "time") & v.isNotNull())
+
+    columns = {"lists": lists(_doubles), "times": F.try_variant_get("obj", "$.hourly.time", "array<string>")}
+    if exact:
+        columns["sent"] = lists(json_array)
+    return objects.withColumns(columns).drop("obj")
 
 
-def _hours() -> Column:
+def _hours(exact: bool) -> Column:
     """Array of (pos, time, measures): built per object, so lists are not copied to every hour.
 
-    Keys that hold no list are ignored, lists shorter than ``time`` end early, NULL measures are dropped.
+    Keys that hold no list are ignored, lists shorter than ``time`` end early, NULL measures are dropped. ``measures``
+    has what reads as a number. With ``exact``, ``payload`` has every value that is not null as JSON text of the type
+    it was sent with: numbers, text, true and false, lists and objects.
     """
 
     def one(time: Column, pos: Column) -> Column:
         values = F.transform_values("lists", lambda _, v: F.get(v, pos))
-        return F.struct(
-            pos.alias("pos"), time.alias("time"), F.map_filter(values, lambda _, v: v.isNotNull()).alias("measures")
-        )
+        fields = [pos.alias("pos"), time.alias("time"), F.map_filter(values, lambda _, v: v.isNotNull()).alias("measures")]
+        if exact:
+            sent = F.transform_values("sent", lambda _, v: F.get(v, pos))
+            fields.append(F.to_json(F.map_filter(sent, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))).alias("payload"))
+        return F.struct(*fields)
 
     return F.transform("times", one)
 
 
-def weather_vertical(objects: DataFrame, index: StationIndex | None) -> DataFrame:
-    """One row per object and hour. Stations are matched per distinct coordinate, before hours are spread."""
+def weather_vertical(objects: DataFrame, index: StationIndex | None, exact: bool = False) -> DataFrame:
+    """One row per object and hour. Stations are matched per distinct coordinate, before hours are spread.
+
+    ``exact`` adds ``payload``: the hour's values as they were sent, beside the numbers in ``measures``.
+    """
     usable = _with_lists(
         objects.filter(~(_unreadable("latitude") | _unreadable("longitude"))).withColumns(
             {"latitude": _coordinate("latitude"), "longitude": _coordinate("longitude")}
-        )
+        ),
+        exact,
     )
     if index is None:
         located = usable.withColumn("station_id", F.lit(None).cast("string"))
@@ -103,16 +115,12 @@ def weather_vertical(objects: DataFrame, index: StationIndex | None) -> DataFram
         located = usable.join(stored_matches(usable, index), ["latitude", "longitude"], "left")
     # the outer form with a later filter keeps the payload from being parsed again for a size check
     spread = located.select(
-        "raw_id", "batch_id", "obj_pos", "station_id", "latitude", "longitude", F.explode_outer(_hours()).alias("h")
+        "raw_id", "batch_id", "obj_pos", "station_id", "latitude", "longitude", F.explode_outer(_hours(exact)).alias("h")
     ).filter("h IS NOT NULL")
     return spread.select(
-        F.col("raw_id").alias("psa_id"), "obj_pos", "batch_id", "station_id", "latitude", "longitude", "h.pos", "h.time", "h.measures"
-    )
-
-
-def sparse_json(measures: Column) -> Column:
-    """Measures that have a value, as JSON text."""
-    return F.to_json(measures)
+        F.col("raw_id").alias("psa_id"), "obj_pos", "batch_id", "station_id", "latitude", "longitude", "h.pos", "h.time", "h.measures",
+        *(["h.payload"] if exact else []),
+    )
 
 
 def _measure(name: str) -> Column:
@@ -156,7 +164,7 @@ def history_hourly(vertical: DataFrame, stations: DataFrame) -> DataFrame:
 
 VERTICAL_SCHEMA = (
     "psa_id BIGINT, obj_pos INT, station_id STRING, latitude DOUBLE, longitude DOUBLE, pos INT, time STRING, "
-    "measures MAP<STRING, DOUBLE>, day STRING, batch_id STRING, load STRING"
+    "measures MAP<STRING, DOUBLE>, payload STRING, day STRING, batch_id STRING, load STRING"
 )
 
 

@@ -191,7 +191,7 @@ class Warehouse:
         def write(raw: DataFrame) -> str:
             index = build_station_index(st.region_coords(self.stations()))
             objects = wx.weather_objects(raw, history=feed == "weather_history")
-            rows, counted = counting(wx.weather_vertical(objects, index))
+            rows, counted = counting(wx.weather_vertical(objects, index, exact=True))
             vertical = self.path("psa", f"{feed}_vertical")
             wx.write_vertical(rows, vertical)
             self._quarantine(feed, wx.weather_quarantine(objects))

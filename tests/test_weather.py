@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -30,6 +31,19 @@ def test_measures(spark):
     assert [r.measures for r in vertical] == [{"short": 7.0, "t": 1.0}, {"text": 1.0}, {"t": 3.5}]
 
 
+def test_values_stay_as_they_were_sent(spark):
+    payload = """{"latitude":1,"longitude":2,"hourly":{"time":["a","b","c"],"code":[3,null,4.25],"flag":[true,false,null],
+      "text":["x","3.5",{"k":[1]}],"scalar":5}}"""
+    raw = spark.createDataFrame([(1, payload, "B1", DAY)], RAW)
+    rows = wx.weather_vertical(wx.weather_objects(raw), None, exact=True).orderBy("pos").collect()
+    assert [json.loads(r.payload) for r in rows] == [
+        {"code": 3, "flag": True, "text": "x"},
+        {"flag": False, "text": "3.5"},
+        {"code": 4.25, "text": {"k": [1]}},
+    ]
+    assert '"code":3,' in rows[0].payload
+
+
 @pytest.mark.parametrize(
     "payload, n, reasons",
     [
