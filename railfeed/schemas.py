@@ -73,6 +73,7 @@ PLAN_XML = (
     f"ar: ARRAY<{_PLAN_NODE}>, dp: ARRAY<{_PLAN_NODE}>>>, {CORRUPT} STRING"
 )
 
+# Columns of the three event tables, and the fields of the XML they come from above.
 FCHG_COLUMNS = [
     "eva_number",
     "station_name",

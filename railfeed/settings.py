@@ -7,6 +7,9 @@ import os
 from .schemas import ARCHIVE_FIRST_DAY, HISTORY_MEASURES, REGION_DS100_PATTERN, REGION_NAME_PATTERN
 
 
+# The names of the environment variables below.
+
+
 def region_name_pattern() -> str:
     return os.environ.get("DB_TIMETABLES_FILTER_NAME_PREFIX", REGION_NAME_PATTERN)
 
