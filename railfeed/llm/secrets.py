@@ -74,7 +74,7 @@ def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _last_word(text: str) -> Column:
-    return F.coalesce(F.element_at(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), 1), -1), F.lit(""))
+    return F.coalesce(F.try_element_at(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), 1), F.lit(-1)), F.lit(""))
 
 
 def _first_word(text: str) -> Column:
