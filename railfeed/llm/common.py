@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +27,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: str = "16m"):
+    """Arrow batches of at most ``size`` for jobs run inside, where rows may be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release(*frames: DataFrame) -> None:
     """Delete staged tables that no later step reads."""
     for df in frames:

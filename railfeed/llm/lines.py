@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railfeed.llm.common import hash_bitmap, in_bitmap, release, schema_of, slices, staged, table, texts
+from railfeed.llm.common import hash_bitmap, in_bitmap, release, schema_of, slices, small_batches, staged, table, texts
 
 #: A fingerprint covers whole lines of at least GRAM words; every SPAN words of line starts select one.
-GRAM, SPAN, MIN_RUN = 16, 10, 50
+GRAM, SPAN, MIN_RUN = 22, 14, 50
 #: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
 BITMAP_BITS = 1 << 27
 _WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
@@ -24,7 +24,7 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """CRC-32 of each word, and whether a line starts with it.
 
-    A line ends at a line break, and long lines are folded after each word whose hash is a multiple of four. A
+    A line ends at a line break, and long lines are folded after each word whose hash is a multiple of three. A
     passage set between other words thus falls into the same lines as elsewhere, but for those at its two ends.
     """
     words, firsts = [], []
@@ -35,7 +35,7 @@ def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.array(list(map(zlib.crc32, words)), np.uint32)
     start = np.zeros(len(words), bool)
     start[firsts] = True
-    start[1:] |= hashes[:-1] % 4 == 0
+    start[1:] |= hashes[:-1] % 3 == 0
     return hashes, start
 
 
@@ -45,46 +45,113 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out) if n else out
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def winnow(hashes: np.ndarray, start: np.ndarray, gram: int = GRAM, span: int = SPAN):
-    """``(positions, fingerprints, before, after)`` of the selected lines.
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse from 0 to ``n`` at least, modulo 2^64."""
+    if len(_POWERS[0]) <= n:
+        for i, base in enumerate((_BASE, _BACK)):
+            out = np.full(2 * n + 1, base, np.uint64)
+            out[0] = 1
+            _POWERS[i] = np.multiply.accumulate(out)
+    return _POWERS
+
+
+def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: int = SPAN):
+    """``(text, position, gram, before, after)`` of the selected lines of several texts, given as word hashes and starts.
 
     The gram of a line is a hash of the fewest lines from it on that hold ``gram`` words. Among the lines that start
     within ``span`` words of a line, the one with the smallest gram is selected, the first of equal ones. So any two
     runs of equal lines with ``gram + span`` words share a selected gram. ``before`` and ``after`` hash the eight
     words on either side of it.
     """
-    n, none = len(hashes), np.empty(0, np.uint64)
+    none = np.empty(0, np.uint64)
+    sizes = np.array([len(h) for h, _ in parts], np.int64)
+    text_end = np.cumsum(sizes)
+    text_start = text_end - sizes
+    n = int(sizes.sum())
+    hashes, start = (np.concatenate([p[i] for p in parts]) if n else none for i in (0, 1))
     at = np.flatnonzero(start)
     ends = np.append(at[1:], n)
-    last = np.searchsorted(ends, at + gram)
-    full = last < len(ends)
-    at, stop = at[full], ends[last[full]]
+    text = np.repeat(np.arange(len(parts)), sizes)[at] if n else at
+    last = np.minimum(np.searchsorted(ends, at + gram), len(ends) - 1)
+    full = (ends[last] >= at + gram) & (ends[last] <= text_end[text]) if n else np.empty(0, bool)
+    at, stop, text = at[full], ends[last][full], text[full]
     if not len(at):
-        return np.empty(0, np.int64), none, none, none
-    up, down = _powers(_BASE, n + 1), _powers(_BACK, n + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)])
+        return np.empty(0, np.int64), np.empty(0, np.int64), none, none, none
+    up, down = _powers(n)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     run = lambda a, b: _mix((total[b] - total[a]) * down[a])
     grams = run(at, stop)
     best, least = np.arange(len(at)), grams.copy()
-    for step in range(1, span):
-        if step >= len(at):
-            break
-        near = at[step:] < at[:-step] + span
+    for step in range(1, min(span, len(at))):
+        near = (at[step:] < at[:-step] + span) & (text[step:] == text[:-step])
+        where = np.flatnonzero(near & (grams[step:] < least[:-step]))
         if not near.any():
             break
-        better = near & (grams[step:] < least[:-step])
-        where = np.flatnonzero(better)
         least[where], best[where] = grams[where + step], where + step
-    chosen = np.unique(best)
-    a, b = at[chosen], stop[chosen]
-    return a, grams[chosen], run(np.maximum(a - 8, 0), a), run(b, np.minimum(b + 8, n))
+    chosen = np.zeros(len(at), bool)
+    chosen[best] = True
+    a, b, text = at[chosen], stop[chosen], text[chosen]
+    before, after = run(np.maximum(a - 8, text_start[text]), a), run(b, np.minimum(b + 8, text_end[text]))
+    return text, a - text_start[text], grams[chosen], before, after
+
+
+def merged(spans) -> list[list[int]]:
+    """Overlapping and touching ranges made one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements from the first on are equal."""
+    n, done, step = min(len(a), len(b)), 0, 64
+    while done < n:
+        differ = a[done : done + step][: n - done] != b[done : done + step][: n - done]
+        if differ.any():
+            return done + int(differ.argmax())
+        done, step = done + len(differ), step * 4
+    return n
+
+
+def extend(mine: np.ndarray, other: np.ndarray, pos: int, at: int) -> tuple[int, int]:
+    """The run ``[a, b)`` of ``mine`` around ``pos`` that equals ``other`` around ``at``."""
+    return pos - _same(mine[:pos][::-1], other[:at][::-1]), pos + _same(mine[pos:], other[at:])
+
+
+def longest_runs(mine: np.ndarray, other: np.ndarray, places, min_run: int) -> list[tuple[int, int]]:
+    """Runs of at least ``min_run`` words around the places ``(pos, at)``, in order of ``pos``; covered ones are left out."""
+    out, reach = [], 0
+    for pos, at in sorted(places):
+        if pos >= reach:
+            a, b = extend(mine, other, pos, at)
+            if b - a >= min_run:
+                out.append((a, b))
+                reach = b
+    return out
+
+
+def own_runs(hashes: np.ndarray, pos: np.ndarray, grams: np.ndarray, min_run: int) -> list[list[int]]:
+    """Runs that repeat an earlier one of the same text, sought at the first and at the last place of each gram."""
+    _, which, n = np.unique(grams, return_inverse=True, return_counts=True)
+    first, last, out, reach = {}, {}, [], 0
+    for p, g in zip(pos[n[which] > 1].tolist(), which[n[which] > 1].tolist()):
+        if p >= reach and g in first:
+            for at in {first[g], last[g]}:
+                a, b = extend(hashes, hashes, p, at)
+                if b - a >= min_run:
+                    out.append((a, b))
+                    reach = max(reach, b)
+        first.setdefault(g, p)
+        last[g] = p
+    return merged(out)
 
 
 def _grams(docs: DataFrame) -> DataFrame:
@@ -92,66 +159,53 @@ def _grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in slices(batches, 256):
-            found = [winnow(*word_hashes(t))[1] for t in part.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["gram"])
+            found = winnow([word_hashes(t) for t in part.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(found[2].view(np.int64))], names=["gram"])
 
     return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "gram BIGINT")
 
 
-def _marks(docs: DataFrame, repeated) -> DataFrame:
-    """``(doc_id, k, words, marks)`` of documents with selected grams in the bitmap: those grams and all word hashes."""
+def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
+    """``(doc_id, k, words, marks, own)`` of documents with selected grams in the bitmap.
+
+    ``words`` has all word hashes, ``marks`` those grams, and ``own`` the runs that repeat within the document.
+    """
     frame = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
     schema = schema_of(
-        frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT, before: BIGINT, after: BIGINT>>", keep=("doc_id", "k")
+        frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT, before: BIGINT, after: BIGINT>>",
+        "own ARRAY<STRUCT<a: INT, b: INT>>", keep=("doc_id", "k"),
     )
+    span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
     mark = [pa.field("pos", pa.int32()), *(pa.field(c, pa.int64()) for c in ("gram", "before", "after"))]
 
     def run(batches):
         bits = np.frombuffer(repeated.value, np.uint8)
         for part in slices(batches, 256):
-            rows, words, sizes, columns = [], [], [0], [[], [], [], []]
-            for row, text in enumerate(part.column(2).to_pylist()):
-                hashes, start = word_hashes(text)
-                found = winnow(hashes, start)
-                hit = np.flatnonzero(in_bitmap(bits, found[1]))
-                if not len(hit):
-                    continue
-                rows.append(row)
+            texts_ = [word_hashes(t) for t in part.column(2).to_pylist()]
+            found = winnow(texts_)
+            hit = in_bitmap(bits, found[2])
+            text, pos, grams, before, after = (x[hit] for x in found)
+            rows, first = np.unique(text, return_index=True)
+            edges = np.append(first, len(text))
+            words, own = [], []
+            for row, a, b in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+                hashes = texts_[row][0]
                 words.append(hashes.astype("<u4").tobytes())
-                sizes.append(sizes[-1] + len(hit))
-                for column, values in zip(columns, found):
-                    column.append(values[hit].view(np.int64))
-            arrays = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
-            marks = pa.StructArray.from_arrays([arrays[0].cast(pa.int32()), *arrays[1:]], fields=mark)
+                own.append([{"a": x, "b": y} for x, y in own_runs(hashes, pos[a:b], grams[a:b], min_run)])
+            arrays = [pa.array(pos.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (grams, before, after))]
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, fields=mark))
             ids = [part.column(i).take(pa.array(rows, pa.int64())) for i in range(2)]
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), marks)
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(words, pa.binary()), lists], names=["doc_id", "k", "words", "marks"])
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(words, pa.binary()), lists, pa.array(own, span)], names=schema.names)
 
     return frame.mapInArrow(run, schema)
 
 
-def equal_runs(mine: np.ndarray, other: np.ndarray, shift: int, min_run: int = MIN_RUN) -> list[tuple[int, int]]:
-    """Runs ``[a, b)`` of at least ``min_run`` words of ``mine`` that equal ``other`` moved right by ``shift``."""
-    a, b = max(0, shift), min(len(mine), len(other) + shift)
-    if b - a < min_run:
-        return []
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], mine[a:b] == other[a - shift : b - shift], [0]]).astype(np.int8)))
-    return [(int(a + s), int(a + e)) for s, e in zip(edge[::2], edge[1::2]) if e - s >= min_run]
-
+def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
+    """``(k, a, b)`` of the equal runs around ``(k, pos)`` and the earlier ``(ck, at)``.
 
-def merged(spans) -> list[list[int]]:
-    """Overlapping and touching ranges made one."""
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
-
-
-def _extended(pairs: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
-    """``(k, a, b)`` of the equal runs of pairs ``(k, ck, shift)``."""
+    The word hashes travel once per pair of documents, with all places of the pair.
+    """
+    pairs = places.groupBy("k", "ck").agg(F.collect_set(F.struct("pos", "at")).alias("places"))
     both = pairs.join(words.select(F.col("k").alias("ck"), F.col("words").alias("other")), "ck")
     both = both.join(words.select("k", F.col("words").alias("mine")), "k")
     kinds = [pa.int64(), pa.int32(), pa.int32()]
@@ -159,12 +213,13 @@ def _extended(pairs: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
     def run(batches):
         # Rows of a document come together where the join sorts, so most of their overlaps are merged here.
         doc, spans, rows = None, set(), []
-        for part in slices(batches, 64):
-            for k, mine, other, shift in zip(*(part.column(i).to_pylist() for i in range(4))):
+        for part in slices(batches, 16):
+            for k, mine, other, near in zip(*(part.column(i).to_pylist() for i in range(4))):
                 if k != doc:
                     rows += [(doc, a, b) for a, b in merged(spans)]
                     doc, spans = k, set()
-                spans.update(equal_runs(np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4"), shift, min_run))
+                found = [(p["pos"], p["at"]) for p in near]
+                spans.update(longest_runs(np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4"), found, min_run))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
                 rows = []
@@ -172,41 +227,42 @@ def _extended(pairs: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
             rows = [(doc, a, b) for a, b in merged(spans)]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
 
-    return both.select("k", "mine", "other", "shift").mapInArrow(run, "k BIGINT, a INT, b INT")
+    return both.select("k", "mine", "other", "places").mapInArrow(run, "k BIGINT, a INT, b INT")
 
 
 def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """``(k, a, b)``: word ranges of documents that repeat an earlier run of ``min_run`` words or more.
 
     Earlier means a smaller ``doc_id``, or a place before it in the same document. The grams selected anywhere are
-    counted first, and a bitmap of fixed size keeps those seen once out of the rest. Each place of a repeated gram is
-    joined with the first place that has it, and one pair per shift of two documents is extended over all equal words.
-    A place that no run covers then, though its gram occurs a third time, is joined with the first places that also
-    have the words before it, or after it. So a group of any size gives pairs in proportion to its places. Ranges may
-    overlap.
+    counted first, and a bitmap of fixed size keeps those seen once out of the rest. Runs within a document are found
+    where it is read. Each place of a repeated gram is joined with the first document that has it, and extended over
+    all equal words. A place that no run covers then, though its gram occurs a third time, is joined with the first
+    documents that also have the words before it, or after it. So a group of any size gives pairs in proportion to
+    its places. Ranges may overlap.
     """
+    spark = docs.sparkSession
     seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    marked = staged(_marks(docs, hash_bitmap(seen, "gram", BITMAP_BITS)), "line-marks")
+    marked = staged(_marks(docs, hash_bitmap(seen, "gram", BITMAP_BITS), min_run), "line-marks")
     words = marked.select("k", "words").dropDuplicates(["k"])
+    own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
     marks = marked.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
     first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
     shared = staged(marks.join(first, "gram"), "line-shared")
-    shift = (F.col("pos") - F.col("first.pos")).alias("shift")
-    earlier = "k <> first.k OR pos <> first.pos"
-    pairs = staged(shared.where(earlier).select("k", F.col("first.k").alias("ck"), shift).distinct(), "line-pairs")
-    spans = staged(_extended(pairs, words, min_run), "line-spans")
+    pair = ["k", "pos", F.col("first.k").alias("ck"), F.col("first.pos").alias("at")]
+    with small_batches(spark):
+        spans = staged(own.unionAll(_extended(shared.where("k <> first.k").select(*pair), words, min_run)), "line-spans")
     covered = spans.groupBy("k").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    left = shared.where(f"n > 2 AND ({earlier})").join(covered, "k", "left")
+    left = shared.where("n > 2 AND (k <> first.k OR pos <> first.pos)").join(covered, "k", "left")
     left = left.where("spans IS NULL OR NOT exists(spans, s -> s.a <= pos AND pos < s.b)").drop("spans", "first", "n")
     left = staged(left, "line-left")
     sides = F.explode(F.array(F.xxhash64(F.lit(1), "gram", "before"), F.xxhash64(F.lit(2), "gram", "after"))).alias("side")
     again = shared.join(left.select("gram").distinct(), "gram", "left_semi").select("doc_id", "k", "pos", sides)
     first = again.groupBy("side").agg(place, F.count("*").alias("n")).where("n > 1")
-    more = left.select("k", "pos", sides).join(first, "side").where(earlier).select("k", F.col("first.k").alias("ck"), shift).distinct()
-    more = staged(more.join(pairs, ["k", "ck", "shift"], "left_anti"), "line-pairs")
-    out = staged(spans.unionAll(_extended(more, words, min_run)), "line-spans")
-    release(marked, shared, pairs, spans, left, more)
+    more = left.select("k", "pos", sides).join(first, "side").where("k <> first.k").select(*pair)
+    with small_batches(spark):
+        out = staged(spans.unionAll(_extended(more, words, min_run)), "line-spans")
+    release(marked, shared, spans, left)
     return out
 
 

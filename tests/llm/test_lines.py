@@ -63,7 +63,10 @@ def test_winnowing_shares_a_fingerprint():
             left, right = (rng.integers(0, 2**32, rng.integers(0, 40)).astype(np.uint32) for _ in range(2))
             hashes = np.concatenate([left, run, right])
             start = np.ones(len(hashes), bool)
-            found.append(set(L.winnow(hashes, start)[1].tolist()))
+            alone = [x.tolist() for x in L.winnow([(hashes, start)])]
+            text, *rest = (x[y] for x, y in zip(L.winnow([(run, run > 0), (hashes, start), (right, right > 0)]), [slice(None)] * 5))
+            assert alone[1:] == [x[text == 1].tolist() for x in rest]  # texts beside it change nothing
+            found.append(set(alone[2]))
         assert found[0] & found[1]
 
 
