@@ -9,7 +9,8 @@ import unicodedata
 import numpy as np
 
 _SPECIAL = re.compile(r"<\|[a-z]+\|>")
-_PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:|*#$%&]*)")
+_SIGNS = ".,!?;:|*#$%&"
+_LATIN = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _SHARED: dict[tuple, "WordEncoder"] = {}
 
 
@@ -57,25 +58,24 @@ class WordEncoder:
     def _learn(self, pieces: list[str]) -> None:
         if len(self.known) > self.keep:
             self.known = {"": b""}
-        known, packed = self.known, self.packed
-        for word in dict.fromkeys(pieces):
-            if word in known:
-                continue
-            cut = _PLAIN.fullmatch(word)
-            if not cut:
+        known, packed, merge, space = self.known, self.packed, self.merge, self.letters[32]
+        for word in set(pieces).difference(known):
+            core = word.rstrip(_SIGNS)
+            if core.isascii() and (core.isalpha() or core[:1] == " " and core[1:].isalpha()):
+                shown = core.replace(" ", space)
+            elif _LATIN.fullmatch(core):
+                shown = core.encode().decode("latin-1").translate(self.letters)
+            else:
                 known[word] = self.whole(word)
                 continue
-            core, tail = cut.groups()
-            if core not in known:
-                if core.isascii():
-                    shown = core.replace(" ", self.letters[32])
-                else:
-                    shown = core.encode().decode("latin-1").translate(self.letters)
-                known[core] = b"".join([packed[t.id] for t in self.merge(shown)])
-            if tail:
+            raw = known.get(core)
+            if raw is None:
+                raw = known[core] = b"".join([packed[t.id] for t in merge(shown)])
+            if len(core) < len(word):
+                tail = word[len(core) :]
                 if tail not in known:
                     known[tail] = self.whole(tail)
-                known[word] = known[core] + known[tail]
+                known[word] = raw + known[tail]
 
     def encode(self, text: str) -> bytes:
         pieces = self._pieces(text)

@@ -62,7 +62,7 @@ def test_many_tasks_are_merged(spark, text_rows):
     df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(40)
     rows = P.pack(df, P.tokenizer_path("word_bpe_49k.json"), 1, capacity=700, fan_in=3, carry=8).collect()
     bins, total = _check(rows, docs, 700)
-    assert bins <= 1.02 * total / 700 + 2
+    assert bins <= 1.06 * total / 700 + 2  # forty tasks of five documents each
 
 
 def test_odd_rows(odd, empty):
@@ -85,4 +85,4 @@ def test_local_packing_keeps_every_piece():
     out = list(P.pack_locally(iter(pieces), 100, 0.99, 300))
     assert sorted(p[0] for *_, p in out) == list(range(2000))
     sizes = np.bincount([b for b, *_ in out], weights=[p[3] for *_, p in out])
-    assert sizes.max() <= 100 and len(sizes[sizes > 0]) <= 1.01 * sizes.sum() / 100 + 1
+    assert sizes.max() <= 100 and len(sizes[sizes > 0]) <= 1.03 * sizes.sum() / 100 + 1
