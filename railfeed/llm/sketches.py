@@ -11,7 +11,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from railfeed.llm.common import schema_of, slices, table, texts
 
@@ -40,88 +39,115 @@ def paragraph_digests(text: str, fold: int = FOLD) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
-    x = x + np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+def _mix(x: np.ndarray, salt) -> np.ndarray:
+    x = x + np.asarray(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-class Sketch:
-    """Cells with a count, the xor of their digests and the xor of a check of them."""
+_CHECK = 1 << 20
 
-    def __init__(self, cells: int, salt: int = 1):
-        self.cells, self.salt = cells - cells % HASHES or HASHES, salt
-        self.count = np.zeros(self.cells, np.int64)
-        self.keys, self.checks = np.zeros(self.cells, np.uint64), np.zeros(self.cells, np.uint64)
 
-    def _apply(self, digests: np.ndarray, sign) -> None:
-        third = self.cells // HASHES
-        check = _mix(digests, 99)
+class Sketches:
+    """Many sketches side by side, each with its own number of cells and hashes.
+
+    A cell has a count, the sum of its digests and the sum of their checks, modulo 2^64. Sketches of equal shape
+    subtract cell by cell; that gives the same as taking the digests of one out of the other, which is what
+    ``update`` with a sign of -1 does.
+    """
+
+    def __init__(self, cells: np.ndarray, salts: np.ndarray):
+        self.third = np.maximum(np.asarray(cells, np.int64) // HASHES, 1)
+        self.salts = np.asarray(salts, np.uint64)
+        sizes = HASHES * self.third
+        self.base = np.cumsum(sizes) - sizes
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.count = np.zeros(len(self.owner), np.int64)
+        self.keys, self.checks = np.zeros(len(self.owner), np.uint64), np.zeros(len(self.owner), np.uint64)
+
+    def update(self, which: np.ndarray, digests: np.ndarray, sign: np.ndarray) -> None:
+        """Add (1) or take out (-1) digests, each of the sketch ``which`` names."""
+        factor = sign.astype(np.int64).view(np.uint64)
+        third, base, salt = self.third[which], self.base[which], self.salts[which] * np.uint64(HASHES)
+        keys, checks = digests * factor, _mix(digests, _CHECK) * factor
         for i in range(HASHES):  # each hash has a third of the cells, so a digest never meets itself
-            at = (_mix(digests, self.salt * HASHES + i) % np.uint64(third)).astype(np.int64) + i * third
+            at = base + i * third + (_mix(digests, salt + np.uint64(i)) % third.astype(np.uint64)).astype(np.int64)
             np.add.at(self.count, at, sign)
-            np.bitwise_xor.at(self.keys, at, digests)
-            np.bitwise_xor.at(self.checks, at, check)
+            np.add.at(self.keys, at, keys)
+            np.add.at(self.checks, at, checks)
+
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(which, digests, signs, failed)``: what the cells give up, and the sketches that are not empty then."""
+        found = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
+        look = np.arange(len(self.owner))
+        while len(look):
+            look = look[np.abs(self.count[look]) == 1]
+            sign = self.count[look]
+            digests = self.keys[look] * sign.view(np.uint64)
+            pure = _mix(digests, _CHECK) == self.checks[look] * sign.view(np.uint64)
+            which, digests, sign = self.owner[look[pure]], digests[pure], sign[pure]
+            _, first = np.unique(_mix(digests, which.astype(np.uint64)), return_index=True)
+            if not len(first):
+                break
+            which, digests, sign = which[first], digests[first], sign[first]
+            found.append((which, digests, sign))
+            self.update(which, digests, -sign)
+            look = np.flatnonzero(self.count)
+        left = np.zeros(len(self.third), bool)
+        left[self.owner[(self.count != 0) | (self.keys != 0)]] = True
+        return (*(np.concatenate(x) for x in zip(*found)), left)
+
+    def dumps(self) -> list[str]:
+        """Each sketch as its little-endian counts, sums and checks, in base64."""
+        out = []
+        for a, n in zip(self.base.tolist(), (HASHES * self.third).tolist()):
+            parts = self.count[a : a + n].astype("<i4"), self.keys[a : a + n].astype("<u8"), self.checks[a : a + n].astype("<u8")
+            out.append(base64.b64encode(b"".join(x.tobytes() for x in parts)).decode())
+        return out
 
-    def insert(self, digests: np.ndarray) -> Sketch:
-        self._apply(digests, 1)
-        return self
 
-    def size(self) -> int:
-        return int(self.count.sum()) // HASHES
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    which = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    return which, np.concatenate(lists) if lists else np.empty(0, np.uint64)
 
-    def minus(self, other: Sketch) -> Sketch:
-        out = Sketch(self.cells, self.salt)
-        out.count, out.keys, out.checks = self.count - other.count, self.keys ^ other.keys, self.checks ^ other.checks
-        return out
 
-    def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
-        """Digests on the left and on the right side of a difference; None if the cells do not give them all."""
-        left, right = [], []
-        for _ in range(self.cells + 1):
-            pure = np.flatnonzero((np.abs(self.count) == 1) & (_mix(self.keys, 99) == self.checks))
-            if not len(pure):
-                break
-            digests, first = np.unique(self.keys[pure], return_index=True)
-            signs = self.count[pure[first]]
-            left.append(digests[signs > 0])
-            right.append(digests[signs < 0])
-            self._apply(digests, -signs)
-        if self.count.any() or self.keys.any():
-            return None
-        join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.uint64)
-        return join(left), join(right)
-
-    def dumps(self) -> str:
-        """Little-endian counts, digests and checks, in base64."""
-        raw = self.count.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes() + self.checks.astype("<u8").tobytes()
-        return base64.b64encode(raw).decode()
-
-
-def difference(mine: np.ndarray, other: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Digests only in ``mine`` and only in ``other``, peeled from subtracted sketches.
-
-    Where the sketches are too small, both are made anew with twice the cells and other hashes. The difference is no
-    smaller than that of the sizes, so sketches that cannot hold it are not tried.
-    """
-    while cells < abs(len(mine) - len(other)):
-        cells *= 2
-    salt = 1
-    while True:
-        found = Sketch(cells, salt).insert(mine).minus(Sketch(cells, salt).insert(other)).peel()
-        if found is not None:
-            return found
-        cells, salt = 2 * cells, salt + 1
+def fingerprints(digests: list[np.ndarray], cells: int = CELLS) -> list[str]:
+    """The sketch of each list of digests, as text."""
+    out = Sketches(np.full(len(digests), cells), np.ones(len(digests)))
+    which, flat = _flat(digests)
+    out.update(which, flat, np.ones(len(flat), np.int64))
+    return out.dumps()
 
 
-def likeness(mine: np.ndarray, other: np.ndarray, cells: int = CELLS) -> float:
-    """Shared digests over all distinct ones, from the peeled difference; 1 for two texts without digests."""
-    if not len(mine) and not len(other):
-        return 1.0
-    differ = sum(map(len, difference(mine, other, cells)))
-    both = len(mine) + len(other)
-    return (both - differ) / (both + differ)
+def differences(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(pair, digest, side)`` of all digests that only one side of a pair has; side 1 is the first, -1 the second.
+
+    The sketches of a pair are subtracted and peeled. Where they are too small for that, both are made anew with twice
+    the cells and other hashes. A difference is no smaller than that of the sizes, so smaller sketches are not tried.
+    """
+    open_ = np.arange(len(pairs))
+    apart = np.array([abs(len(a) - len(b)) for a, b in pairs], np.int64)
+    size = np.maximum(cells, apart + apart // 2)
+    found, salt = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))], 1
+    while len(open_):
+        both = Sketches(size[open_], np.full(len(open_), salt))
+        for side in (0, 1):
+            which, flat = _flat([pairs[i][side] for i in open_])
+            both.update(which, flat, np.full(len(flat), 1 - 2 * side, np.int64))
+        which, digests, sign, failed = both.peel()
+        done = ~failed[which]
+        found.append((open_[which[done]], digests[done], sign[done]))
+        open_, salt = open_[failed], salt + 1
+        size[open_] *= 2
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def likeness(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> list[float]:
+    """Shared digests over all distinct ones of each pair, from the peeled difference; 1 for two without any."""
+    differ = np.bincount(differences(pairs, cells)[0], minlength=len(pairs)).tolist()
+    both = [len(a) + len(b) for a, b in pairs]
+    return [(n - d) / (n + d) if n else 1.0 for n, d in zip(both, differ)]
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -185,23 +211,23 @@ def fingerprint_edits(docs: DataFrame, cells: int = CELLS, id_col: str = "doc_id
 
     def run(batches):
         before = None
-        for part in slices(batches, 256):
-            rows = []
+        for part in slices(batches, 128):
+            rows, own, changed, after = [], [], [], []
             for lead, doc, text in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in ("lead", "doc_id", "text"))):
                 digests = paragraph_digests(text)
                 if not lead:
-                    other, other_digests = before
-                    new = edited(text, other)
-                    new_digests = paragraph_digests(new)
-                    sha = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-                    own, changed = (Sketch(cells).insert(d).dumps() for d in (digests, new_digests))
-                    near = likeness(digests, new_digests, cells), likeness(digests, other_digests, cells)
-                    rows.append((doc, len(text), sha, own, changed, *near))
+                    new = edited(text, before[0])
+                    own.append(digests)
+                    changed.append(paragraph_digests(new))
+                    after.append(before[1])
+                    rows.append((doc, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()))
                 before = text, digests
-            columns = list(zip(*rows)) if rows else [[]] * len(kinds)
+            columns = list(zip(*rows)) if rows else [[]] * 3
+            columns += [fingerprints(own, cells), fingerprints(changed, cells)]
+            columns += [likeness(list(zip(own, changed)), cells), likeness(list(zip(own, after)), cells)]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=schema.names)
 
-    return frame.mapInArrow(run, StructType(schema.fields))
+    return frame.mapInArrow(run, schema)
 
 
 def op10_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,17 +15,24 @@ def _exact(a, b):
 
 def test_peeling_recovers_the_difference():
     rng = np.random.default_rng(0)
+    pairs = []
     for n in (0, 1, 3, 20, 300, 3000):
         common = rng.integers(0, 2**63, 500).astype(np.uint64)
-        a, b = (np.concatenate([common, rng.integers(0, 2**63, n).astype(np.uint64)]) for _ in range(2))
-        left, right = K.difference(a, b)
-        assert set(left.tolist()) == set(a.tolist()) - set(b.tolist()) and set(right.tolist()) == set(b.tolist()) - set(a.tolist())
+        pairs.append(tuple(np.concatenate([common, rng.integers(0, 2**63, n).astype(np.uint64)]) for _ in range(2)))
+    pairs.append((pairs[3][0], np.empty(0, np.uint64)))
+    which, digests, sides = K.differences(pairs)
+    for i, (a, b) in enumerate(pairs):
+        left, right = (set(digests[(which == i) & (sides == s)].tolist()) for s in (1, -1))
+        assert left == set(a.tolist()) - set(b.tolist()) and right == set(b.tolist()) - set(a.tolist())
 
 
 def test_a_sketch_that_is_too_small_says_so():
     digests = np.arange(1, 200, dtype=np.uint64)
-    assert K.Sketch(15).insert(digests).peel() is None
-    assert K.Sketch(15).insert(digests).size() == 199
+    sketch = K.Sketches([15, 900], [1, 1])
+    for i in (0, 1):
+        sketch.update(np.full(199, i), digests, np.ones(199, np.int64))
+    which, found, signs, failed = sketch.peel()
+    assert failed.tolist() == [True, False] and set(found[which == 1].tolist()) == set(digests.tolist()) and (signs == 1).all()
 
 
 def test_query_equals_brute_force(spark, sf_dir, text_rows):
