@@ -21,32 +21,26 @@ from railfeed.session import work_dir
 
 MAGIC = b"RPSHARD1"
 SHARD_TOKENS = 1 << 21
-PAIRS_PER_ROUND = 2048
+PAIRS_PER_ROUND = 4096
 MIN_COUNT = 8
-MIN_GAIN = 0.03
-_BUCKETS = 20
+MIN_GAIN = 0.05
+_BUCKETS = 19
 
 
-def _frequent(left: np.ndarray, right: np.ndarray, valid: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Keys ``left << 32 | right`` of the most frequent valid pairs, each seen ``least`` times, in order of rank."""
-    key = ((left.astype(np.uint64) << np.uint64(32)) | right)[valid]
-    if not len(key):
-        return key
-    # Counts of hash buckets bound the counts of their pairs, so only pairs of full buckets are counted exactly.
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
-    counts = np.bincount(bucket, minlength=1 << _BUCKETS)
-    floor = max(least, int(np.partition(counts, -most)[-most]))
-    heavy, n = np.unique(key[counts[bucket] >= floor], return_counts=True)
-    heavy, n = heavy[n >= least], n[n >= least]
-    return heavy[np.lexsort((heavy, -n))[:most]]
+def _floor(counts: np.ndarray, most: int) -> int:
+    """The smallest count that at most ``most`` of the counts reach, give or take ties beyond 65,535."""
+    reach = np.cumsum(np.bincount(np.minimum(counts, 1 << 16))[::-1])[::-1]
+    return int(np.searchsorted(-reach, -most))
 
 
 def compress(tokens: np.ndarray, ends: np.ndarray, most: int = PAIRS_PER_ROUND, least: int = MIN_COUNT, gain: float = MIN_GAIN):
     """``(symbols, symbol_ends, first, rules)``: rounds of Re-Pair over one shard.
 
     Each round replaces up to ``most`` of the most frequent pairs by new symbols, from left to right without overlap,
-    until a round shortens the sequence by less than ``gain``. Symbols from ``first`` on are rules, which only use
-    smaller symbols. No pair spans two documents; ``ends`` and ``symbol_ends`` are where each document ends.
+    until a round shortens the sequence by less than ``gain``. Frequent pairs are found by the counts of hash buckets;
+    a full bucket stands for one of its pairs, which must then be seen ``least`` times itself. Symbols from ``first``
+    on are rules, which only use smaller symbols. No pair spans two documents; ``ends`` and ``symbol_ends`` are where
+    each document ends.
     """
     symbols = tokens.astype(np.uint32)
     first = next_symbol = int(symbols.max(initial=0)) + 1
@@ -54,34 +48,41 @@ def compress(tokens: np.ndarray, ends: np.ndarray, most: int = PAIRS_PER_ROUND,
     closing[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
     while len(symbols) > 1:
-        pairs = _frequent(symbols[:-1], symbols[1:], ~closing[:-1], most, least)
-        if not len(pairs):
-            break
-        order = np.argsort(pairs)
         key = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        at = np.minimum(np.searchsorted(pairs[order], key), len(pairs) - 1)
-        hit = (pairs[order][at] == key) & ~closing[:-1]
-        where = np.flatnonzero(hit)
+        bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
+        bucket[closing[:-1]] = 1 << _BUCKETS  # a bucket of no use
+        counts = np.bincount(bucket, minlength=(1 << _BUCKETS) + 1)
+        counts[-1] = 0
+        floor = max(least, _floor(counts, most))
+        where = np.flatnonzero((counts >= floor)[bucket])
+        if not len(where):
+            break
+        stands = np.zeros(1 << _BUCKETS, np.uint64)
+        stands[bucket[where]] = key[where]
+        where = where[stands[bucket[where]] == key[where]]
         # In a run of neighbouring places every other one is taken.
-        new_run = np.ones(len(where), bool)
-        new_run[1:] = np.diff(where) > 1
-        started = np.maximum.accumulate(np.where(new_run, np.arange(len(where)), 0))
+        run = np.ones(len(where), bool)
+        run[1:] = np.diff(where) > 1
+        started = np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
         where = where[(np.arange(len(where)) - started) % 2 == 0]
+        taken = np.bincount(bucket[where], minlength=1 << _BUCKETS)
+        where = where[taken[bucket[where]] >= least]
         if len(where) < gain * len(symbols):
             break
-        used, rank = np.unique(order[at[where]], return_inverse=True)
-        symbols[where] = next_symbol + rank
+        used = np.flatnonzero(taken >= least)
+        rank = np.zeros(1 << _BUCKETS, np.uint32)
+        rank[used] = np.arange(len(used))
+        symbols[where] = next_symbol + rank[bucket[where]]
         closing[where] = closing[where + 1]
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
         symbols, closing = symbols[keep], closing[keep]
-        rules.append(pairs[used])
+        rules.append(stands[used])
         next_symbol += len(used)
     flat = np.concatenate(rules) if rules else np.empty(0, np.uint64)
     both = np.stack([(flat >> np.uint64(32)).astype(np.uint32), flat.astype(np.uint32)], axis=1)
-    stops = np.flatnonzero(closing) + 1
     symbol_ends = np.zeros(len(ends), np.int64)
-    symbol_ends[np.diff(ends, prepend=0) > 0] = stops
+    symbol_ends[np.diff(ends, prepend=0) > 0] = np.flatnonzero(closing) + 1
     return symbols, np.maximum.accumulate(symbol_ends) if len(ends) else symbol_ends, first, both
 
 
@@ -229,7 +230,8 @@ def read_tokens(spark: SparkSession, path: str, id_type: str = "BIGINT") -> Data
                 held = Shard(raw.as_py())
                 n, ends = len(held.ids), held.ends
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                crcs = [zlib.crc32(held.document(i).astype("<u4").tobytes()) for i in range(n)]
+                ids = memoryview(held.expand(held.symbols).astype("<u4").tobytes())
+                crcs = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 columns = [[part.as_py()] * n, [shard.as_py()] * n, held.ids, starts, ends - starts, crcs]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, arrow.types)], names=schema.names)
 

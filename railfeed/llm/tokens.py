@@ -51,7 +51,7 @@ class WordEncoder:
             if "\u03a3" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
                 return None  # two letters have rules of their own for lower case
             return text.lower().replace("\n", " ").split(" ")
-        if "\0" in text or text.split() != text.replace("\n", " ").split(" "):
+        if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
             return None
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
