@@ -16,6 +16,7 @@ from ..operators import weather as wx
 from ..operators.analytics import rail_weather
 from ..operators.matching import build_station_index
 from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES
+from ..session import scratch
 from ..sources import landing, requests
 from ..sources.tables import RAW_SCHEMA, drop_batches, drop_folder, ingest_day, read_kept, read_raw, scan_batch, write_partitions, write_raw
 from .layers import latest_batch, make_batch_id, promote
@@ -99,7 +100,8 @@ class Warehouse:
             stg, psa = self.path("stg", feed), self.path("psa", feed)
             first = self.manifest(feed).agg(F.max(F.col("first_raw_id") + F.col("n_rows"))).first()[0] or 0
             rows = landing.stamp_batch(land(responses), batch_id).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
-            write_raw(rows, stg, first)
+            with scratch(self.spark):
+                write_raw(rows, stg, first)
             n_rows = scan_batch(read_raw(self.spark, stg), batch_id).count()
             promote(self.spark, stg, psa)
             drop_batches(self.spark, stg, [batch_id])
@@ -168,10 +170,14 @@ class Warehouse:
             newest = self.newest(feed)
             if newest is not None:
                 self.ledger.skip(process, newest)
+        def job() -> str:
+            with scratch(self.spark):
+                return write(self.batch(feed, *todo))
+
         done = []
         while batches:
             todo = batches
-            self.ledger.run_all(process, todo, lambda: write(self.batch(feed, *todo)))
+            self.ledger.run_all(process, todo, job)
             done += todo
             batches = [] if latest_only else self.pending(feed)
         return done

@@ -12,7 +12,7 @@ from railfeed.operators.timetables import rchg_unstored, text_partition
 from railfeed.plans.jobs import Warehouse
 from railfeed.plans.layers import latest_batch
 from railfeed.plans.ledger import process_state
-from railfeed.session import work_dir
+from railfeed.session import shared_dir, work_dir
 from railfeed.sources import landing, requests
 
 T0 = dt.datetime(2025, 3, 11, 9, 0, 0)
@@ -107,6 +107,8 @@ def test_odd_texts_do_not_read_the_whole_target(spark, house):
 
 
 def test_weather_and_rail_meet_on_the_modelled_tables(spark, house):
+    left = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    before = {f.getPath().getName().rsplit("-", 1)[0] for f in left.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(left)}
     station = '{"number":"1","name":"Bremen","evaNumbers":[{"number":80,"isMain":true,"geographicCoordinates":{"coordinates":[8.8,53.1]}}],"ril100Identifiers":[{"rilIdentifier":"HB","isMain":true}]}'
     house.ingest("db_stations", texts(spark, f"[{station}]"), T0)
     hours = '{"latitude":53.1,"longitude":8.8,"hourly":{"time":["2025-03-11T09:00","2025-03-11T10:00","odd"],"temperature_2m":[4,5,6]}}'
@@ -116,6 +118,9 @@ def test_weather_and_rail_meet_on_the_modelled_tables(spark, house):
     change = '<timetable station="Bremen" eva="80"><s id="7"><m id="M" t="d" c="7" ts="2503110905"/><m id="N" t="d" c="3" ts="2503111205"/></s></timetable>'
     house.ingest("timetables_fchg", texts(spark, change), T0)
     house.transform_fchg()
+    left = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    names = {f.getPath().getName().rsplit("-", 1)[0] for f in left.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(left)}
+    assert not names & {"matches", "days", "spots", "numbered"} - before
     rows = {r.hour.hour: (r.n_events, r.mean_delay, r.temperature_2m) for r in house.rail_weather().collect()}
     assert rows == {9: (1, 7.0, 4.0), 12: (1, 3.0, None)}
 
