@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -48,19 +48,37 @@ def release(*frames: DataFrame) -> None:
 
 
 def hash_bitmap(df: DataFrame, column: str, bits: int):
-    """A broadcast bitmap of 64-bit hashes. Its size is fixed; more hashes only set more of its bits."""
-    bit = F.shiftrightunsigned(column, 8).bitwiseAND(F.lit(bits - 1))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(31)).cast("int"))
-    words = df.groupBy(F.shiftright(bit, 5).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
+    """A broadcast bitmap with two bits set per 64-bit hash. Its size is fixed; more hashes only set more of its bits."""
+    at = [F.shiftrightunsigned(column, shift).bitwiseAND(F.lit(bits - 1)) for shift in _SHIFTS]
+    df = df.select(F.explode(F.array(*at)).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(31)).cast("int"))
+    words = df.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(one).alias("set")).toArrow()
     out = np.zeros(bits // 32, "<u4")
     out[words.column("word").to_numpy()] = words.column("set").to_numpy().astype(np.uint32)
     return df.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
+_SHIFTS = (4, 36)
+
+
 def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes may be in a bitmap, given as bytes; all that are in it, and some others."""
-    bit = (hashes >> np.uint64(8)) & np.uint64(8 * len(bitmap) - 1)
-    return ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    """Which hashes may be in a bitmap, given as bytes; all that are in it, and a few others."""
+    out = np.ones(len(hashes), bool)
+    for shift in _SHIFTS:
+        bit = (hashes >> np.uint64(shift)) & np.uint64(8 * len(bitmap) - 1)
+        out &= ((bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    return out
+
+
+def maybe_in(bitmap, column: Column) -> Column:
+    """``in_bitmap`` for a column of hashes; false for NULL."""
+
+    @F.arrow_udf("boolean")
+    def test(values: pa.Array) -> pa.Array:
+        found = in_bitmap(np.frombuffer(bitmap.value, np.uint8), values.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        return pa.array(found & ~values.is_null().to_numpy(zero_copy_only=False))
+
+    return test(column)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railfeed.llm.common import hash_bitmap, in_bitmap, release, schema_of, slices, small_batches, staged, table, texts
+from railfeed.llm.common import hash_bitmap, in_bitmap, maybe_in, release, schema_of, slices, small_batches, staged, table, texts
 
 #: A fingerprint covers whole lines of at least GRAM words; every SPAN words of line starts select one.
 GRAM, SPAN, MIN_RUN = 22, 14, 50
 #: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
 BITMAP_BITS = 1 << 27
+#: Bits of the bitmaps of document keys: 8 MB.
+KEY_BITS = 1 << 26
 _WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -154,6 +156,18 @@ def own_runs(hashes: np.ndarray, pos: np.ndarray, grams: np.ndarray, min_run: in
     return merged(out)
 
 
+def _deep_inside(pos: np.ndarray, runs: list[list[int]], margin: int) -> np.ndarray:
+    """Places in one of the runs with ``margin`` words of it still to come.
+
+    Such a place repeats one of its own document, which stands for it elsewhere.
+    """
+    if not runs:
+        return np.zeros(len(pos), bool)
+    a, b = np.array(runs).T
+    at = np.searchsorted(a, pos, "right") - 1
+    return (at >= 0) & (pos + margin <= b[at])
+
+
 def _grams(docs: DataFrame) -> DataFrame:
     """The selected grams of all documents, one per row."""
 
@@ -186,12 +200,16 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
             hit = in_bitmap(bits, found[2])
             text, pos, grams, before, after = (x[hit] for x in found)
             rows, first = np.unique(text, return_index=True)
-            edges = np.append(first, len(text))
-            words, own = [], []
-            for row, a, b in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+            words, own, inside = [], [], []
+            for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first[1:], len(text)).tolist()):
                 hashes = texts_[row][0]
                 words.append(hashes.astype("<u4").tobytes())
-                own.append([{"a": x, "b": y} for x, y in own_runs(hashes, pos[a:b], grams[a:b], min_run)])
+                runs = own_runs(hashes, pos[a:b], grams[a:b], min_run)
+                own.append([{"a": x, "b": y} for x, y in runs])
+                inside.append(_deep_inside(pos[a:b], runs, min_run))
+            stay = ~np.concatenate([np.empty(0, bool), *inside])
+            edges = np.append(0, np.cumsum(np.bincount(np.searchsorted(rows, text[stay]), minlength=len(rows))))
+            pos, grams, before, after = (x[stay] for x in (pos, grams, before, after))
             arrays = [pa.array(pos.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (grams, before, after))]
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, fields=mark))
             ids = [part.column(i).take(pa.array(rows, pa.int64())) for i in range(2)]
@@ -203,9 +221,12 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
 def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
     """``(k, a, b)`` of the equal runs around ``(k, pos)`` and the earlier ``(ck, at)``.
 
-    The word hashes travel once per pair of documents, with all places of the pair.
+    The word hashes travel once per pair of documents, with all places of the pair, and only those of documents that
+    are in one.
     """
-    pairs = places.groupBy("k", "ck").agg(F.collect_set(F.struct("pos", "at")).alias("places"))
+    pairs = staged(places.groupBy("k", "ck").agg(F.collect_set(F.struct("pos", "at")).alias("places")), "line-pairs")
+    used = hash_bitmap(pairs.select(F.explode(F.array("k", "ck")).alias("k")).distinct(), "k", KEY_BITS)
+    words = words.where(maybe_in(used, F.col("k")))
     both = pairs.join(words.select(F.col("k").alias("ck"), F.col("words").alias("other")), "ck")
     both = both.join(words.select("k", F.col("words").alias("mine")), "k")
     kinds = [pa.int64(), pa.int32(), pa.int32()]
@@ -243,7 +264,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     spark = docs.sparkSession
     seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     marked = staged(_marks(docs, hash_bitmap(seen, "gram", BITMAP_BITS), min_run), "line-marks")
-    words = marked.select("k", "words").dropDuplicates(["k"])
+    words = marked.select("k", "words")
     own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
     marks = marked.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
@@ -289,10 +310,14 @@ def drop_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     text is NULL stay as they are; rows that repeat id and text are one document and change alike. Where there is no
     ``n_chars`` none is added; columns of any other name are kept.
     """
-    spans = repeated_runs(texts(docs), min_run).groupBy("k").agg(F.collect_list(F.struct("a", "b")).alias("__spans"))
+    found = repeated_runs(texts(docs), min_run)
+    touched = hash_bitmap(found.select("k").distinct(), "k", KEY_BITS)
+    spans = found.groupBy(F.col("k").alias("__k")).agg(F.collect_list(F.struct("a", "b")).alias("__spans"))
+    columns_ = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("__k", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
-    marked = marked.join(spans.withColumnRenamed("k", "__k"), "__k", "left")
-    marked = marked.select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
+    marked = marked.withColumn("__hit", maybe_in(touched, F.col("__k")))
+    rest = marked.where("NOT __hit").select(*columns_)  # most documents; these are not shuffled
+    marked = marked.where("__hit").join(spans, "__k", "left").select(*columns_, "__spans")
     where = docs.columns.index("text")
 
     def run(batches):
@@ -312,7 +337,7 @@ def drop_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     columns[i] = pa.array(sizes, type=columns[i].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return marked.mapInArrow(run, docs.schema)
+    return rest.unionAll(marked.mapInArrow(run, docs.schema))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
