@@ -172,7 +172,7 @@ def _grams(docs: DataFrame) -> DataFrame:
     """The selected grams of all documents, one per row."""
 
     def run(batches):
-        for part in slices(batches, 256):
+        for part in slices(batches, 64):
             found = winnow([word_hashes(t) for t in part.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([pa.array(found[2].view(np.int64))], names=["gram"])
 
@@ -194,7 +194,7 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
 
     def run(batches):
         bits = np.frombuffer(repeated.value, np.uint8)
-        for part in slices(batches, 256):
+        for part in slices(batches, 64):
             texts_ = [word_hashes(t) for t in part.column(2).to_pylist()]
             found = winnow(texts_)
             hit = in_bitmap(bits, found[2])
@@ -263,7 +263,9 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """
     spark = docs.sparkSession
     seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    marked = staged(_marks(docs, hash_bitmap(seen, "gram", BITMAP_BITS), min_run), "line-marks")
+    with small_batches(spark):
+        repeated = hash_bitmap(seen, "gram", BITMAP_BITS)
+        marked = staged(_marks(docs, repeated, min_run), "line-marks")
     words = marked.select("k", "words")
     own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
     marks = marked.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
@@ -278,7 +280,8 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     left = left.where("spans IS NULL OR NOT exists(spans, s -> s.a <= pos AND pos < s.b)").drop("spans", "first", "n")
     left = staged(left, "line-left")
     sides = F.explode(F.array(F.xxhash64(F.lit(1), "gram", "before"), F.xxhash64(F.lit(2), "gram", "after"))).alias("side")
-    again = shared.join(left.select("gram").distinct(), "gram", "left_semi").select("doc_id", "k", "pos", sides)
+    asked = hash_bitmap(left.select("gram").distinct(), "gram", KEY_BITS)  # a few other grams pass it and join nothing
+    again = shared.where(maybe_in(asked, F.col("gram"))).select("doc_id", "k", "pos", sides)
     first = again.groupBy("side").agg(place, F.count("*").alias("n")).where("n > 1")
     more = left.select("k", "pos", sides).join(first, "side").where("k <> first.k").select(*pair)
     with small_batches(spark):
