@@ -30,7 +30,7 @@ class WordEncoder:
     space in the byte vocabulary, strings of special tokens) is encoded whole.
     """
 
-    def __init__(self, path: str, spaces: bool, keep: int = 500_000):
+    def __init__(self, path: str, spaces: bool, keep: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
