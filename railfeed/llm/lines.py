@@ -14,6 +14,8 @@ from railfeed.llm.common import hash_bitmap, in_bitmap, maybe_in, release, schem
 
 #: A fingerprint covers whole lines of at least GRAM words; every SPAN words of line starts select one.
 GRAM, SPAN, MIN_RUN = 22, 14, 50
+#: Of as many neighbouring words one ends a line. Runs of 4 * FOLD + GRAM + SPAN - 4 words or more share a fingerprint.
+FOLD = 4
 #: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
 BITMAP_BITS = 1 << 27
 #: Bits of the bitmaps of document keys: 8 MB.
@@ -23,22 +25,27 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def folds(hashes: np.ndarray) -> np.ndarray:
+    """Where lines start: at the first word, and after the smallest hash of each FOLD neighbours, the first of equal ones."""
+    start = np.zeros(len(hashes) + 1, bool)
+    start[0] = True
+    if len(hashes) >= FOLD:
+        keys = (hashes.astype(np.uint64) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
+        least = keys[: len(hashes) - FOLD + 1]
+        for i in range(1, FOLD):
+            least = np.minimum(least, keys[i : i + len(least)])
+        start[(least & np.uint64(0xFFFFFFFF)).astype(np.int64) + 1] = True
+    return start[:-1]
+
+
 def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """CRC-32 of each word, and whether a line starts with it.
 
-    A line ends at a line break, and long lines are folded after each word whose hash is a multiple of three. A
-    passage set between other words thus falls into the same lines as elsewhere, but for those at its two ends.
+    Lines are folded by their words alone, whatever the line breaks, so a passage set between other words falls into
+    the same lines as elsewhere, but for those at its two ends.
     """
-    words, firsts = [], []
-    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
-        if part := line.split():
-            firsts.append(len(words))
-            words += part
-    hashes = np.array(list(map(zlib.crc32, words)), np.uint32)
-    start = np.zeros(len(words), bool)
-    start[firsts] = True
-    start[1:] |= hashes[:-1] % 3 == 0
-    return hashes, start
+    hashes = np.array(list(map(zlib.crc32, text.encode("utf-8", "surrogatepass").split())), np.uint32)
+    return hashes, folds(hashes)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -93,3 +93,16 @@ def test_copies_become_empty_and_the_first_stays(spark):
     out = L.drop_repeated_runs(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, n_chars BIGINT").repartition(4)).collect()
     assert {r.doc_id for r in out if r.text} == {0} and len(out) == 500
     assert all(r.n_chars == 0 for r in out)
+
+
+def test_folds_share_a_fingerprint_in_any_run_of_fifty():
+    rng = np.random.default_rng(1)
+    for i in range(600):
+        run = rng.integers(0, (2**32, 3, 2)[i % 3], 50).astype(np.uint32)
+        found = []
+        for _ in range(2):
+            sides = [rng.integers(0, 2**32, rng.integers(0, 40)).astype(np.uint32) for _ in range(2)]
+            hashes = np.concatenate([sides[0], run, sides[1]])
+            _, pos, grams = L.winnow([(hashes, L.folds(hashes))])
+            found.append(set(zip((pos - len(sides[0])).tolist(), grams.tolist())))
+        assert found[0] & found[1]
