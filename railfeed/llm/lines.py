@@ -67,13 +67,20 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
+def _run_hashes(hashes: np.ndarray):
+    """A function that hashes the runs ``[a, b)`` of the words, equal runs alike wherever they are."""
+    up, down = _powers(len(hashes))
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1)) * up[: len(hashes)], out=total[1:])
+    return lambda a, b: _mix((total[b] - total[a]) * down[a])
+
+
 def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: int = SPAN):
-    """``(text, position, gram, before, after)`` of the selected lines of several texts, given as word hashes and starts.
+    """``(text, position, gram)`` of the selected lines of several texts, given as word hashes and starts.
 
     The gram of a line is a hash of the fewest lines from it on that hold ``gram`` words. Among the lines that start
     within ``span`` words of a line, the one with the smallest gram is selected, the first of equal ones. So any two
-    runs of equal lines with ``gram + span`` words share a selected gram. ``before`` and ``after`` hash the eight
-    words on either side of it.
+    runs of equal lines with ``gram + span`` words share a selected gram.
     """
     none = np.empty(0, np.uint64)
     sizes = np.array([len(h) for h, _ in parts], np.int64)
@@ -88,12 +95,8 @@ def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: i
     full = (ends[last] >= at + gram) & (ends[last] <= text_end[text]) if n else np.empty(0, bool)
     at, stop, text = at[full], ends[last][full], text[full]
     if not len(at):
-        return np.empty(0, np.int64), np.empty(0, np.int64), none, none, none
-    up, down = _powers(n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-    run = lambda a, b: _mix((total[b] - total[a]) * down[a])
-    grams = run(at, stop)
+        return np.empty(0, np.int64), np.empty(0, np.int64), none
+    grams = _run_hashes(hashes)(at, stop)
     best, least = np.arange(len(at)), grams.copy()
     for step in range(1, min(span, len(at))):
         near = (at[step:] < at[:-step] + span) & (text[step:] == text[:-step])
@@ -103,9 +106,7 @@ def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: i
         least[where], best[where] = grams[where + step], where + step
     chosen = np.zeros(len(at), bool)
     chosen[best] = True
-    a, b, text = at[chosen], stop[chosen], text[chosen]
-    before, after = run(np.maximum(a - 8, text_start[text]), a), run(b, np.minimum(b + 8, text_end[text]))
-    return text, a - text_start[text], grams[chosen], before, after
+    return text[chosen], at[chosen] - text_start[text[chosen]], grams[chosen]
 
 
 def merged(spans) -> list[list[int]]:
@@ -136,43 +137,47 @@ def extend(mine: np.ndarray, other: np.ndarray, pos: int, at: int) -> tuple[int,
 
 
 def longest_runs(mine: np.ndarray, other: np.ndarray, places, min_run: int) -> list[tuple[int, int]]:
-    """Runs of at least ``min_run`` words around the places ``(pos, at)``, in order of ``pos``; covered ones are left out."""
-    out, reach = [], 0
+    """Runs of at least ``min_run`` words around the places ``(pos, at)``; those in a run of the same shift are left out."""
+    out, reach = [], {}
     for pos, at in sorted(places):
-        if pos >= reach:
+        if pos >= reach.get(pos - at, 0):
             a, b = extend(mine, other, pos, at)
+            reach[pos - at] = b
             if b - a >= min_run:
                 out.append((a, b))
-                reach = b
     return out
 
 
-def own_runs(hashes: np.ndarray, pos: np.ndarray, grams: np.ndarray, min_run: int) -> list[list[int]]:
-    """Runs that repeat an earlier one of the same text, sought at the first and at the last place of each gram."""
-    _, which, n = np.unique(grams, return_inverse=True, return_counts=True)
-    first, last, out, reach = {}, {}, [], 0
-    for p, g in zip(pos[n[which] > 1].tolist(), which[n[which] > 1].tolist()):
-        if p >= reach and g in first:
-            for at in {first[g], last[g]}:
-                a, b = extend(hashes, hashes, p, at)
-                if b - a >= min_run:
-                    out.append((a, b))
-                    reach = max(reach, b)
-        first.setdefault(g, p)
-        last[g] = p
-    return merged(out)
-
-
-def _deep_inside(pos: np.ndarray, runs: list[list[int]], margin: int) -> np.ndarray:
-    """Places in one of the runs with ``margin`` words of it still to come.
+def _around(pos: np.ndarray, n: int, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start of the windows of ``min_run`` words, in a text of ``n``, that hold the gram at each place."""
+    return np.maximum(pos - max(min_run - GRAM, 0), 0), np.minimum(pos, n - min_run)
+
+
+def window_starts(pos: np.ndarray, n: int, min_run: int) -> np.ndarray:
+    """Starts of all windows that hold one of the grams."""
+    lo, hi = _around(pos, n, min_run)
+    edge = np.zeros(n + 2, np.int64)
+    np.add.at(edge, lo[lo <= hi], 1)
+    np.add.at(edge, hi[lo <= hi] + 1, -1)
+    return np.flatnonzero(np.cumsum(edge) > 0)
+
+
+def own_runs(hashes: np.ndarray, pos: np.ndarray, grams: np.ndarray, min_run: int) -> tuple[list[list[int]], np.ndarray]:
+    """Runs that repeat an earlier one of the same text, and which places have only such windows around them.
 
     Such a place repeats one of its own document, which stands for it elsewhere.
     """
-    if not runs:
-        return np.zeros(len(pos), bool)
-    a, b = np.array(runs).T
-    at = np.searchsorted(a, pos, "right") - 1
-    return (at >= 0) & (pos + margin <= b[at])
+    _, which, n = np.unique(grams, return_inverse=True, return_counts=True)
+    starts = window_starts(pos[n[which] > 1], len(hashes), min_run) if (n > 1).any() else pos[:0]
+    if not len(starts):
+        return [], np.zeros(len(pos), bool)
+    _, first, which = np.unique(_run_hashes(hashes)(starts, starts + min_run), return_index=True, return_inverse=True)
+    starts = starts[first[which] < np.arange(len(starts))]
+    total = np.zeros(len(hashes) + 1, np.int64)
+    total[starts + 1] = 1
+    total = np.cumsum(total)
+    lo, hi = _around(pos, len(hashes), min_run)
+    return merged((a, a + min_run) for a in starts.tolist()), (lo <= hi) & (total[hi + 1] - total[lo] == hi + 1 - lo)
 
 
 def _grams(docs: DataFrame) -> DataFrame:
@@ -193,11 +198,11 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
     """
     frame = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
     schema = schema_of(
-        frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT, before: BIGINT, after: BIGINT>>",
+        frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT>>",
         "own ARRAY<STRUCT<a: INT, b: INT>>", keep=("doc_id", "k"),
     )
     span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-    mark = [pa.field("pos", pa.int32()), *(pa.field(c, pa.int64()) for c in ("gram", "before", "after"))]
+    mark = [pa.field("pos", pa.int32()), pa.field("gram", pa.int64())]
 
     def run(batches):
         bits = np.frombuffer(repeated.value, np.uint8)
@@ -205,19 +210,18 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
             texts_ = [word_hashes(t) for t in part.column(2).to_pylist()]
             found = winnow(texts_)
             hit = in_bitmap(bits, found[2])
-            text, pos, grams, before, after = (x[hit] for x in found)
+            text, pos, grams = (x[hit] for x in found)
             rows, first = np.unique(text, return_index=True)
             words, own, inside = [], [], []
             for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first[1:], len(text)).tolist()):
                 hashes = texts_[row][0]
                 words.append(hashes.astype("<u4").tobytes())
-                runs = own_runs(hashes, pos[a:b], grams[a:b], min_run)
+                runs, again = own_runs(hashes, pos[a:b], grams[a:b], min_run)
                 own.append([{"a": x, "b": y} for x, y in runs])
-                inside.append(_deep_inside(pos[a:b], runs, min_run))
+                inside.append(again)
             stay = ~np.concatenate([np.empty(0, bool), *inside])
             edges = np.append(0, np.cumsum(np.bincount(np.searchsorted(rows, text[stay]), minlength=len(rows))))
-            pos, grams, before, after = (x[stay] for x in (pos, grams, before, after))
-            arrays = [pa.array(pos.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (grams, before, after))]
+            arrays = [pa.array(pos[stay].astype(np.int32)), pa.array(grams[stay].view(np.int64))]
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, fields=mark))
             ids = [part.column(i).take(pa.array(rows, pa.int64())) for i in range(2)]
             yield pa.RecordBatch.from_arrays([*ids, pa.array(words, pa.binary()), lists, pa.array(own, span)], names=schema.names)
@@ -258,15 +262,49 @@ def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
     return both.select("k", "mine", "other", "places").mapInArrow(run, "k BIGINT, a INT, b INT")
 
 
+def _windows(places: DataFrame, words: DataFrame, min_run: int, covered: DataFrame | None = None, asked=None) -> DataFrame:
+    """``(doc_id, k, s, window)``: start and hash of the windows around the places ``(k, pos)``.
+
+    With ``covered`` only windows that reach out of the ``spans`` of their document, with a bitmap only those in it.
+    """
+    near = places.groupBy("k").agg(F.collect_set("pos").alias("places"))
+    near = near.join(covered, "k", "left") if covered else near.withColumn("spans", F.lit(None).cast("array<struct<a: int, b: int>>"))
+    both = words.join(near, "k").select("doc_id", "k", "words", "places", "spans")
+    schema = schema_of(both, "s INT", "window BIGINT", keep=("doc_id", "k"))
+
+    def run(batches):
+        bits = None if asked is None else np.frombuffer(asked.value, np.uint8)
+        for part in slices(batches, 64):
+            at, found = [], []
+            for raw, places_, spans in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
+                hashes = np.frombuffer(raw, "<u4")
+                starts = window_starts(np.array(places_, np.int64), len(hashes), min_run)
+                if spans:
+                    a, b = np.array(merged((x["a"], x["b"]) for x in spans)).T
+                    i = np.searchsorted(a, starts, "right") - 1
+                    starts = starts[(i < 0) | (b[i] < starts + min_run)]
+                windows = _run_hashes(hashes)(starts, starts + min_run)
+                if bits is not None:
+                    hit = in_bitmap(bits, windows)
+                    starts, windows = starts[hit], windows[hit]
+                at.append(starts)
+                found.append(windows)
+            rows = pa.array(np.repeat(np.arange(len(at)), [len(x) for x in at]))
+            columns = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(found).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*(part.column(i).take(rows) for i in range(2)), *columns], names=schema.names)
+
+    return both.mapInArrow(run, schema)
+
+
 def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """``(k, a, b)``: word ranges of documents that repeat an earlier run of ``min_run`` words or more.
 
     Earlier means a smaller ``doc_id``, or a place before it in the same document. The grams selected anywhere are
     counted first, and a bitmap of fixed size keeps those seen once out of the rest. Runs within a document are found
     where it is read. Each place of a repeated gram is joined with the first document that has it, and extended over
-    all equal words. A place that no run covers then, though its gram occurs a third time, is joined with the first
-    documents that also have the words before it, or after it. So a group of any size gives pairs in proportion to
-    its places. Ranges may overlap.
+    all equal words. Where its gram occurs a third time and a window of ``min_run`` words around it reaches out of the
+    runs found so far, those windows are joined by hash with the first equal ones around any place of the gram. So
+    all runs are found, and a group of any size gives rows in proportion to its places. Ranges may overlap.
     """
     spark = docs.sparkSession
     seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
@@ -275,7 +313,8 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         marked = staged(_marks(docs, repeated, min_run), "line-marks")
     words = marked.select("k", "words")
     own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
-    marks = marked.select("doc_id", "k", F.explode("marks").alias("m")).select("doc_id", "k", "m.*")
+    size = (F.length("words") / 4).cast("int").alias("size")
+    marks = marked.select("doc_id", "k", size, F.explode("marks").alias("m")).select("doc_id", "k", "size", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
     first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
     shared = staged(marks.join(first, "gram"), "line-shared")
@@ -283,17 +322,21 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     with small_batches(spark):
         spans = staged(own.unionAll(_extended(shared.where("k <> first.k").select(*pair), words, min_run)), "line-spans")
     covered = spans.groupBy("k").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    left = shared.where("n > 2 AND (k <> first.k OR pos <> first.pos)").join(covered, "k", "left")
-    left = left.where("spans IS NULL OR NOT exists(spans, s -> s.a <= pos AND pos < s.b)").drop("spans", "first", "n")
-    left = staged(left, "line-left")
-    sides = F.explode(F.array(F.xxhash64(F.lit(1), "gram", "before"), F.xxhash64(F.lit(2), "gram", "after"))).alias("side")
-    asked = hash_bitmap(left.select("gram").distinct(), "gram", KEY_BITS)  # a few other grams pass it and join nothing
-    again = shared.where(maybe_in(asked, F.col("gram"))).select("doc_id", "k", "pos", sides)
-    first = again.groupBy("side").agg(place, F.count("*").alias("n")).where("n > 1")
-    more = left.select("k", "pos", sides).join(first, "side").where("k <> first.k").select(*pair)
+    left = shared.where("n > 2 AND k <> first.k").join(covered, "k", "left")
+    inside = f"s -> s.a <= greatest(0, pos - {max(min_run - GRAM, 0)}) AND s.b >= least(size, pos + {min_run})"
+    left = staged(left.where(f"spans IS NULL OR NOT exists(spans, {inside})").select("k", "pos", "gram"), "line-left")
+    texts_ = marked.select("doc_id", "k", "words")
+    used = hash_bitmap(left.select("k").distinct(), "k", KEY_BITS)
+    grams = hash_bitmap(left.select("gram").distinct(), "gram", KEY_BITS)  # a few others pass it and join nothing
     with small_batches(spark):
-        out = staged(spans.unionAll(_extended(more, words, min_run)), "line-spans")
-    release(marked, shared, spans, left)
+        asked = hash_bitmap(_windows(left, texts_.where(maybe_in(used, F.col("k"))), min_run, covered), "window", BITMAP_BITS)
+        near = staged(shared.where("n > 2").where(maybe_in(grams, F.col("gram"))).select("k", "pos"), "line-near")
+        used = hash_bitmap(near.select("k").distinct(), "k", KEY_BITS)
+        windows = staged(_windows(near, texts_.where(maybe_in(used, F.col("k"))), min_run, asked=asked), "line-windows")
+    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "k", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    more = windows.join(first, "window").where("k <> first.k OR s <> first.s")
+    out = staged(spans.unionAll(more.select("k", F.col("s").alias("a"), (F.col("s") + min_run).alias("b"))), "line-spans")
+    release(marked, shared, spans, left, near, windows)
     return out
 
 

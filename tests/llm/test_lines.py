@@ -95,6 +95,49 @@ def test_copies_become_empty_and_the_first_stays(spark):
     assert all(r.n_chars == 0 for r in out)
 
 
+def _kept(docs):
+    seen, out = set(), {}
+    for i, text in docs:
+        words = text.split()
+        gone = np.zeros(len(words), bool)
+        for a in range(len(words) - 49):
+            run = tuple(words[a : a + 50])
+            if run in seen:
+                gone[a : a + 50] = True
+            seen.add(run)
+        out[i] = [w for w, g in zip(words, gone) if not g]
+    return out
+
+
+def _cleaned(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    return {r.doc_id: r.text.split() for r in L.drop_repeated_runs(frame).collect()}
+
+
+def test_repeated_words_and_small_vocabularies(spark):
+    """No word of these ends a line by its own hash: crc32 is no multiple of three for any of them."""
+    rng = random.Random(8)
+    few = ["with", "of", "|", "0", "1", "de"]
+    table_ = " ".join(rng.choice(few) for _ in range(150))
+    docs = [(1, "with " * 308 + "end"), (2, "start " + "with " * 120), (3, table_), (4, f"some words before {table_} and after")]
+    docs += [(5, "0 1 " * 90), (6, "a row | 0 | " * 40), (7, " ".join(rng.choice(few[:2]) for _ in range(400)))]
+    docs += [(8, docs[6][1].replace(" ", "\n")), (9, "x " + " ".join(docs[6][1].split()[100:151]) + " y")]
+    assert _cleaned(spark, docs) == _kept(docs)
+
+
+def test_runs_that_the_first_documents_hold_in_part(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    docs = []
+    for _ in range(12):
+        p = fresh(rng.randint(60, 75))
+        parts = [p[:49], p[12:60], p, p, p[5:58], p[:30] + fresh(1) + p[31:]]
+        for part in parts:
+            docs.append((len(docs), " ".join(fresh(20) + part + fresh(20))))
+        docs.append((len(docs), " ".join(p[:49] + fresh(9) + p[12:60] + fresh(9) + p + fresh(9) + p)))
+    assert _cleaned(spark, docs) == _kept(docs)
+
+
 def test_folds_share_a_fingerprint_in_any_run_of_fifty():
     rng = np.random.default_rng(1)
     for i in range(600):
