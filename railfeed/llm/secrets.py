@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 from railfeed.llm.common import staged, table
 
 _RUN = "A-Za-z0-9+/_-"
-#: A candidate: 16 or more such characters, at least one of them a digit, with up to two equals signs behind.
-CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_-]*+[0-9])[{_RUN}]{{16,}}={{0,2}}"
+#: A candidate: 16 or more such characters, with up to two equals signs behind.
+CANDIDATE = rf"(?<![{_RUN}])[{_RUN}]{{16,}}={{0,2}}"
+_KEYWORDS = "passw|pwd|secret|token|api|key|auth|bearer|credential|private|access"
+#: Another candidate: 8 or more characters assigned to a keyword, without the signs of a sentence behind them.
+ASSIGNED = (
+    rf"(?i:{_KEYWORDS})[A-Za-z0-9_.-]*[\"'`\])]*\s*(?:[:=]{{1,2}}|=>)\s*[\"'`]*"
+    r"([^\s\"'`]{7,}[^\s\"'`.,;:!?)\]}|#*&]|[^\s\"'`]{8,})"
+)
 #: Forms of labelled findings. A finding of a strict form is a secret, one of a plain form is not, others have no label.
 STRICT_FORMS = (
     r"^AKIA[A-Z2-7]{16}$",
@@ -24,10 +30,10 @@ STRICT_FORMS = (
     r"^[0-9a-f]{40}$",
     r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,64}$",
 )
+PLAIN_WORD = r"^[A-Za-z][a-z]+$"
 PLAIN_FORMS = (r"^[0-9_/+-]+$", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", r"^/?[a-z]+(/[a-z0-9_-]*[a-z])+$")
 LABELLED = 20_000
 MIN_DOCS = 5
-_KEYWORDS = "passw|pwd|secret|token|api|key|auth|bearer|credential|private|access"
 _CLASSES = {"l": "[a-z]", "u": "[A-Z]", "d": "[0-9]", "s": "[+/_=-]"}
 TRANSITIONS = {f"{x}{y}": f"{_CLASSES[x]}(?={_CLASSES[y]})" for x in _CLASSES for y in _CLASSES}
 
@@ -39,18 +45,28 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     glued to the candidate in its own word. NULL and empty texts have none; a NULL path is empty.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    found = docs.select(F.col(id_col).alias("doc_id"), path.alias("path"), F.col(text_col).alias("text")).where(F.col("text").rlike(CANDIDATE))
+    found = docs.select(F.col(id_col).alias("doc_id"), path.alias("path"), F.col(text_col).alias("text"))
+    found = found.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(ASSIGNED))
     found = found.select("doc_id", "path", F.split("text", r"\s+").alias("words"))
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
-    found = found.select("doc_id", "path", "words", F.explode(at).alias("pos"))
+    # A keyword and its sign may be words of their own. The start of a next assignment ends a value like a quote.
     near = lambda a, n: F.array_join(F.slice("words", F.greatest(F.lit(1), a), n), " ")
+    parted = lambda text: F.regexp_replace(text, r"[&;,](?=\w+[:=])", '"')
+    led = lambda i: parted(near(i - 1, F.least(F.lit(3), i + 1)))
+    here = ASSIGNED + r"(?=\S*$)"
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE) | led(i).rlike(here))
+    found = found.select("doc_id", "path", "words", F.explode(at).alias("pos"))
     word = F.get("words", F.col("pos"))
     found = found.select(
-        "doc_id", "path", "pos", word.alias("word"),
+        "doc_id", "path", "pos", word.alias("word"), led(F.col("pos")).alias("led"),
         F.when(F.col("pos") > 0, near(F.col("pos") - 2, F.least(F.lit(3), F.col("pos")))).otherwise("").alias("before"),
         near(F.col("pos") + 2, F.lit(3)).alias("after"),
     )
-    found = found.withColumn("value", F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1))))
+    values = F.concat(
+        F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1),
+        F.regexp_extract_all("led", F.lit(here), 1),
+        F.regexp_extract_all(parted("word"), F.lit(ASSIGNED), 1),
+    )
+    found = found.withColumn("value", F.explode(F.array_distinct(values)))
     here = F.instr("word", F.col("value"))
     return found.select(
         "doc_id", "path", "pos", "value",
@@ -122,9 +138,13 @@ def _with_odds(rows: DataFrame, odds: list[DataFrame]) -> DataFrame:
 
 
 def form_labels(found: DataFrame) -> DataFrame:
-    """Labelled findings where no table of them is given: by form, 1 for strict ones and 0 for plain ones."""
+    """Labelled findings where no table of them is given: by form, 1 for strict ones and 0 for plain ones.
+
+    Lower-case words are plain where no keyword or sign of assignment stands before them.
+    """
     strict = F.greatest(*[F.col("value").rlike(p) for p in STRICT_FORMS])
     plain = F.greatest(*[F.col("value").rlike(p) for p in PLAIN_FORMS])
+    plain |= F.col("value").rlike(PLAIN_WORD) & (F.col("keyword") + F.col("assigned") == 0)
     return found.withColumn("label", F.when(plain, 0).when(strict, 1)).where("label IS NOT NULL")
 
 
