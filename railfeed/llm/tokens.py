@@ -8,7 +8,6 @@ import unicodedata
 
 import numpy as np
 
-_SPECIAL = re.compile(r"<\|[a-z]+\|>")
 _SIGNS = ".,!?;:|*#$%&"
 _LATIN = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _SHARED: dict[tuple, "WordEncoder"] = {}
@@ -27,7 +26,7 @@ class WordEncoder:
     Both vocabularies split a text before they merge bytes, and a single space between two words is always such a
     split, as is the place between letters and a tail of signs. So words are encoded once and looked up after that;
     plain words go straight to the tokenizer's merges. A text for which that reasoning does not hold (runs of white
-    space in the byte vocabulary, strings of special tokens) is encoded whole.
+    space in the byte vocabulary, strings of added tokens) is encoded whole.
     """
 
     def __init__(self, path: str, spaces: bool, keep: int = 100_000):
@@ -35,7 +34,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text, their strings are ordinary text
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.spaces, self.keep = spaces, keep
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
@@ -45,12 +44,13 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _pieces(self, text: str) -> list[str] | None:
-        if "<|" in text and _SPECIAL.search(text):
-            return None
+        low = text.lower()
+        if any(content in low for content in self.added):
+            return None  # such a string is an id of its own, but not in other letters, which a word would lose
         if not self.spaces:
             if "\u03a3" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
                 return None  # two letters have rules of their own for lower case
-            return text.lower().replace("\n", " ").split(" ")
+            return low.replace("\n", " ").split(" ")
         if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
             return None
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")

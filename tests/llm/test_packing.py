@@ -86,3 +86,15 @@ def test_local_packing_keeps_every_piece():
     assert sorted(p[0] for *_, p in out) == list(range(2000))
     sizes = np.bincount([b for b, *_ in out], weights=[p[3] for *_, p in out])
     assert sizes.max() <= 100 and len(sizes[sizes > 0]) <= 1.03 * sizes.sum() / 100 + 1
+
+
+def test_special_tokens_in_a_text_as_the_library_encodes_them(words, request):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(P.tokenizer_path(request.node.callspec.params["words"][0]))
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    assert added
+    for token in [*added, "<|endoftext|>", "<|EndOfText|>", "<|other|>"]:
+        for text in (token, f"some words {token} and more", f"glued{token}words, {token}{token}\nEnd"):
+            expected = np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert words.encode(text) == words.whole(text) == expected
