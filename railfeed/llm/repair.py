@@ -38,7 +38,7 @@ def compress(tokens: np.ndarray, ends: np.ndarray, most: int = PAIRS_PER_ROUND,
 
     Each round replaces up to ``most`` of the most frequent pairs by new symbols, from left to right without overlap,
     until a round shortens the sequence by less than ``gain``. Frequent pairs are found by the counts of hash buckets;
-    a full bucket stands for one of its pairs, which must then be seen ``least`` times itself. Symbols from ``first``
+    a full bucket stands for the pair with most places in it, which must then be seen ``least`` times itself. Symbols from ``first``
     on are rules, which only use smaller symbols. No pair spans two documents; ``ends`` and ``symbol_ends`` are where
     each document ends.
     """
@@ -59,6 +59,13 @@ def compress(tokens: np.ndarray, ends: np.ndarray, most: int = PAIRS_PER_ROUND,
             break
         stands = np.zeros(1 << _BUCKETS, np.uint64)
         stands[bucket[where]] = key[where]
+        # Where a bucket holds several pairs, the one with most places stands for it.
+        mixed = np.zeros(1 << _BUCKETS, bool)
+        mixed[bucket[where[stands[bucket[where]] != key[where]]]] = True
+        pairs, at, seen = np.unique(key[where[mixed[bucket[where]]]], return_index=True, return_counts=True)
+        at = bucket[where[mixed[bucket[where]]]][at]
+        rising = np.argsort(seen, kind="stable")
+        stands[at[rising]] = pairs[rising]
         where = where[stands[bucket[where]] == key[where]]
         # In a run of neighbouring places every other one is taken.
         run = np.ones(len(where), bool)

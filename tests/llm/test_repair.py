@@ -64,3 +64,11 @@ def test_many_small_shards_and_odd_rows(spark, odd, empty, tmp_path):
     texts = {r.doc_id: r.text or "" for r in odd.collect() if r.doc_id}
     assert all(r.ids_crc32 == zlib.crc32(words.whole(texts[r.doc_id]) + b"\2\0\0\0") for r in rows if r.doc_id)
     assert R.read_tokens(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_the_most_frequent_pair_of_a_bucket_is_replaced():
+    bucket = lambda a, b: ((a << 32 | b) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - R._BUCKETS)
+    rare = next((a, b) for a in range(3000, 9000) for b in range(3000, 9000) if bucket(a, b) == bucket(1, 2))
+    tokens = np.array([x for i in range(500) for x in (1, 2, 10 + i)] + list(rare), np.uint32)
+    symbols, _, _, rules = R.compress(tokens, np.array([len(tokens)]))
+    assert [1, 2] in rules.tolist() and len(symbols) <= 1002
