@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+
+import compare
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from railfeed.llm import exact as E
+
+
+def _plain(rows):
+    """Per row, in order: keep_id, group_size and digest, by a dictionary."""
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(re.sub("[\x20\x09-\x0d]+", " ", text or ""), []).append(i)
+    out = []
+    for i, text in rows:
+        same = re.sub("[\x20\x09-\x0d]+", " ", text or "")
+        ids = [j for j in groups[same] if j is not None]
+        out.append((i, min(ids) if ids else None, len(groups[same]), hashlib.sha256(same.encode()).hexdigest()))
+    return Counter(out)
+
+
+def _rows(df):
+    return Counter((r.doc_id, r.keep_id, r.group_size, r.digest.hex()) for r in df.collect())
+
+
+def test_query_equals_sql(spark, duck, sf_dir):
+    assert compare.differences(E.op11_exact_dedup(spark, sf_dir), duck, E.EXACT_SQL) == []
+
+
+@pytest.mark.parametrize("parts", [1, 2, 9, 70])
+def test_any_number_of_runs(spark, parts):
+    rng = np.random.default_rng(parts)
+    rows = [(int(i), f"text  {rng.integers(300)}" + rng.choice(["", " ", "\n", " \t "])) for i in rng.permutation(2000)]
+    rows += [(int(i), "the one that fills a third\nof the table") for i in range(5000, 6000)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(parts)
+    assert _rows(E.exact_groups(df)) == _plain(rows)
+
+
+def test_short_runs_of_one_task_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(E, "RUN_ROWS", 50)
+    entries = list(E._local(iter(spark.range(500).select(
+        F.col("id").alias("doc_id"), F.unhex(F.sha2((F.col("id") % 60).cast("string"), 256)).alias("digest"), F.col("id").alias("place"),
+    ).toArrow().to_batches(max_chunksize=40))))
+    assert len(entries) > 4
+    runs = [E.Run.unpacked(*p) for b in entries for p in zip(*(b.column(n).to_pylist() for n in E._ARROW.names[2:]))]
+    whole = E.Run.merged(runs)
+    assert len(whole.ids) == 60 and sorted(whole.ids.tolist()) == list(range(60)) and int(whole.sizes.sum()) == 500
+    assert all(tuple(a) < tuple(b) for a, b in zip(whole.digests.tolist(), whole.digests.tolist()[1:]))
+
+
+def test_digests_that_share_their_first_bits_stay_apart():
+    head = np.uint64(7)
+    digests = np.array([[head, 0, 0, 2], [head, 0, 0, 1], [head, 0, 0, 2], [head, 0, 0, 1], [3, 0, 0, 0]], np.uint64)
+    run = E.Run(digests, np.array([5, 4, 2, 9, 1]), np.ones(5, bool), np.arange(5), np.ones(5, np.int64))
+    got = E.Run.merged([run.taken([4, 1]), run.taken([0]), run.taken([3, 2])])
+    assert got.digests[:, 3].tolist() == [0, 1, 2] and got.ids.tolist() == [1, 4, 2] and got.sizes.tolist() == [1, 2, 2]
+
+
+def test_odd_rows(odd, empty):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = E.exact_groups(odd)
+    assert _rows(got) == _plain(rows)
+    assert got.where("kept").count() == len({k[3] for k in _plain(rows)})
+    kept = E.drop_copies(odd)
+    assert kept.columns == odd.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "6", "7", "None"]
+    assert E.exact_groups(empty).count() == E.drop_copies(empty).count() == 0
+    clash = odd.select("doc_id", "text", F.lit(1).alias("digest"), F.lit(2).alias("place"), F.lit(3).alias("lot"), F.lit(4).alias("kept"))
+    assert _rows(E.exact_groups(clash)) == _plain(rows) and E.drop_copies(clash).columns == clash.columns
+
+
+def test_no_task_gets_a_hot_text_whole(spark):
+    """The rows are joined by digest and first partition, and both merges group by part of the digest space."""
+    df = spark.createDataFrame([(i, "same") for i in range(400)], "doc_id BIGINT, text STRING").repartition(8)
+    plan = E.exact_groups(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "CartesianProduct" not in plan
+    assert re.search(r"hashpartitioning\(lot#\d+L, digest#\d+", plan)
