@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..plans import layers, ledger
+from ..plans import jobs, layers, ledger
 from ..plans.jobs import Warehouse
 from ..session import work_dir
 from ..sources import landing, requests, tables
+from ..sources.snapshots import SnapshotTable, added
 from . import fixtures as fx
 from .expected import CALLS, EVENT_RAW, PAGES, RUNS, WEATHER, sql
 from .registry import check
@@ -165,20 +167,95 @@ def batch_scan(spark, sf_dir):
 @check("promote", sql(WEATHER, select="SELECT raw_id, 'open_meteo_' || stamp AS batch_id, TIMESTAMP '2024-01-01' + b * INTERVAL 1 DAY AS ingested_at FROM wx"))
 def promote(spark, sf_dir):
     """Promoted twice: the second run must not double anything."""
-    stg, psa = work_dir(spark, "stg"), work_dir(spark, "psa")
-    tables.write_partitions(fx.forecast_raw(spark, sf_dir), stg, "batch_id")
-    layers.promote(spark, stg, psa)
-    layers.promote(spark, stg, psa)
-    return tables.read_raw(spark, psa).drop("payload")
+    stg, psa = _layers(spark)
+    _stage_forecasts(spark, sf_dir, stg, psa, 0, 1)
+    layers.promote(stg, psa)
+    layers.promote(stg, psa)
+    return psa.read().drop("payload", "ingest_date")
 
 
 @check("raw_by_day", sql(WEATHER, select="SELECT raw_id, 'open_meteo_' || stamp AS batch_id FROM wx WHERE b = 1"))
 def raw_by_day(spark, sf_dir):
-    """The kept layer is partitioned by the day of arrival, above the batch."""
-    stg, psa = work_dir(spark, "stg"), work_dir(spark, "psa")
-    tables.write_partitions(fx.forecast_raw(spark, sf_dir), stg, "batch_id")
-    layers.promote(spark, stg, psa)
-    return tables.read_kept(spark, psa).filter("ingest_date = '2024-01-02'").select("raw_id", "batch_id")
+    """The kept layer is cut by the day of arrival; folders of other days are not opened."""
+    stg, psa = _layers(spark)
+    _stage_forecasts(spark, sf_dir, stg, psa, 0, 1)
+    layers.promote(stg, psa)
+    return psa.read(F.col("day") == "2024-01-02").select("raw_id", "batch_id")
+
+
+def _layers(spark):
+    return layers.staging(spark, work_dir(spark, "stg")), layers.kept(spark, work_dir(spark, "psa"))
+
+
+def _stage_forecasts(spark, sf_dir, stg, psa, *days):
+    """The forecast batches as they arrived, one per day, with the ids the fixture gave them."""
+    for day in days:
+        now = dt.datetime(2024, 1, 1 + day)
+        batch_id = f"open_meteo_{now:%Y%m%d}000000_00000000"
+        layers.stage(stg, psa, tables.scan_batch(fx.forecast_raw(spark, sf_dir), batch_id), batch_id, now, keep_ids=True)
+
+
+@check(
+    "append_commits",
+    sql(
+        select="""SELECT o_orderkey, 'B' || CAST(o_orderkey % 4 AS VARCHAR) AS batch_id, CASE WHEN o_orderkey % 4 < 2 THEN 2 ELSE 4 END AS seen_at
+          FROM orders UNION ALL SELECT o_orderkey, 'B' || CAST(o_orderkey % 4 AS VARCHAR), 4 FROM orders WHERE o_orderkey % 4 < 2""",
+    ),
+)
+def append_commits(spark, sf_dir):
+    """Four batches appended one by one: an older version still reads as it was, after their folders were joined too."""
+    table = SnapshotTable(spark, work_dir(spark, "appended"), "o_orderkey BIGINT, batch_id STRING", "day")
+    for part in range(4):
+        batch = f"B{part}"
+        rows = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 4 == part)
+        made = table.put(rows.select("o_orderkey", F.lit(batch).alias("batch_id"), F.lit("2024-01-01").alias("day")))
+        table.commit(lambda head: [added(f, day=d, batch_id=batch, n_rows=1) for d, f in made.items()], table.version())
+    table.compact("2024-01-01")
+    early, now = table.read(version=2), table.read()
+    return early.withColumn("seen_at", F.lit(2)).unionAll(now.withColumn("seen_at", F.lit(4))).drop("day")
+
+
+@check(
+    "ingest_recovery",
+    sql(
+        select="""SELECT CAST(o_orderkey AS VARCHAR) AS ride, 'PLAN_20240101_0000' || lpad(CAST(o_orderkey % 3 AS VARCHAR), 2, '0') AS batch_id FROM orders""",
+    ),
+)
+def ingest_recovery(spark, sf_dir):
+    """The first ingest dies after staging, the second before its purge; the third finishes both. Every order is planned once."""
+    house = Warehouse(spark, work_dir(spark, "house"))
+    doc = F.format_string('<timetable station="S"><s id="%d"><dp pt="2503110900"/></s></timetable>', "o_orderkey")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", doc.alias("payload"))
+    for part, step in enumerate(["promote", "purge", None]):
+        with _failing(step):
+            try:
+                house.ingest("timetables_plan", orders.filter(F.col("o_orderkey") % 3 == part).select("payload"), dt.datetime(2024, 1, 1, 0, 0, part))
+            except InterruptedError:
+                pass
+    house.transform_plan()
+    house.transform_plan()
+    return spark.read.parquet(house.path("dwh", "timetables_plan_events")).select(F.col("train_line_ride_id").alias("ride"), "batch_id")
+
+
+@contextlib.contextmanager
+def _failing(step):
+    """The named step of an ingest raises, once the calls that look for leftovers are over."""
+    if step is None:
+        yield
+        return
+    whole, calls = getattr(jobs, step), []
+
+    def fail(stg, psa):
+        calls.append(1)
+        if len(calls) == 2:  # the first call is the one that looks for leftovers
+            raise InterruptedError(step)
+        return whole(stg, psa)
+
+    setattr(jobs, step, fail)
+    try:
+        yield
+    finally:
+        setattr(jobs, step, whole)
 
 
 @check("plan_window_import", sql(select="SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_ids, 3 AS n_batches FROM orders"))
@@ -195,12 +272,12 @@ def plan_window_import(spark, sf_dir):
 @check("purge_remaining", sql(WEATHER, select="SELECT raw_id, 'open_meteo_' || stamp AS batch_id FROM wx WHERE b = 1"))
 def purge_remaining(spark, sf_dir):
     """Only the first batch has been promoted, so the purge leaves the second one staged."""
-    stg, psa = work_dir(spark, "stg"), work_dir(spark, "psa")
-    raw = fx.forecast_raw(spark, sf_dir)
-    tables.write_partitions(raw, stg, "batch_id")
-    tables.write_partitions(tables.scan_batch(raw, "open_meteo_20240101000000_00000000"), psa, "batch_id")
-    layers.purge(spark, stg, psa)
-    return tables.read_raw(spark, stg).select("raw_id", "batch_id")
+    stg, psa = _layers(spark)
+    _stage_forecasts(spark, sf_dir, stg, psa, 0)
+    layers.promote(stg, psa)
+    _stage_forecasts(spark, sf_dir, stg, psa, 1)
+    layers.purge(stg, psa)
+    return stg.read().select("raw_id", F.lit("open_meteo_20240102000000_00000000").alias("batch_id"))
 
 
 @check(

@@ -18,8 +18,9 @@ from ..operators.matching import build_station_index
 from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES
 from ..session import scratch
 from ..sources import landing, requests
-from ..sources.tables import RAW_SCHEMA, drop_batches, drop_folder, ingest_day, read_kept, read_raw, scan_batch, write_partitions, write_raw
-from .layers import latest_batch, make_batch_id, promote
+from ..sources.snapshots import Conflict, Head, SnapshotTable, added, removed
+from ..sources.tables import drop_folder, numbered, scan_batch, write_partitions
+from .layers import Taken, kept, latest_batch, make_batch_id, promote, purge, stage, staging
 from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches
 
 # feed, batch id prefix
@@ -33,7 +34,7 @@ FEEDS = {
 }
 # a backlog is worked off in jobs of this many batches, so that neither the plan nor the driver grows with it
 BATCHES_PER_JOB = 500
-MANIFEST_SCHEMA = "batch_id STRING, arrived_at TIMESTAMP_NTZ, first_raw_id BIGINT, n_rows BIGINT"
+STATION_SCHEMA = "station_id STRING, name STRING, latitude DOUBLE, longitude DOUBLE, ds100 STRING, eva_number STRING, created_at TIMESTAMP_NTZ"
 _JSON_FEEDS = {"db_stations", "weather_forecast", "weather_history"}
 
 
@@ -68,53 +69,70 @@ class Warehouse:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
+    def staged(self, feed: str) -> SnapshotTable:
+        return staging(self.spark, self.path("stg", feed))
+
+    def kept(self, feed: str) -> SnapshotTable:
+        return kept(self.spark, self.path("psa", feed))
+
     def raw(self, feed: str) -> DataFrame:
-        path, schema = self.path("psa", feed), f"{RAW_SCHEMA}, ingest_date STRING"
-        return read_kept(self.spark, path) if self.exists(path) else self.spark.createDataFrame([], schema)
+        return self.kept(feed).read()
 
     def manifest(self, feed: str) -> DataFrame:
-        """One row per kept batch: when it arrived, its rows and their ids. Written last, so a listed batch is whole."""
-        path = f"{self.path('metadata', 'manifest')}/{feed}"
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path) if self.exists(path) else self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        """One row per kept batch, as the commit log has it: when it arrived, its rows and where their ids start."""
+        return self.kept(feed).entries().select("batch_id", "arrived_at", F.col("first_id").alias("first_raw_id"), "n_rows")
 
     def batch(self, feed: str, *batch_ids: str) -> DataFrame:
-        """Raw rows of the given batches; days and batches are partitions, so no other is read."""
-        days = self.manifest(feed).filter(F.col("batch_id").isin(*batch_ids)).select(ingest_day("arrived_at").alias("d")).distinct()
-        return scan_batch(self.raw(feed), *batch_ids).filter(F.col("ingest_date").isin(*[r.d for r in days.collect()]))
+        """Raw rows of the given batches; only the folders that the log names for them are listed and read."""
+        table = self.kept(feed)
+        entries = table.entries().filter(F.col("batch_id").isin(*batch_ids) & (F.col("n_rows") > 0)).collect()  # one per batch of a job
+        rows = table.open(sorted({e.folder for e in entries}))
+        return scan_batch(rows, *batch_ids).filter(F.col("ingest_date").isin(*{e.day for e in entries}))
+
+    def recover(self, feed: str) -> list[str]:
+        """Finish what failed runs left behind: promote their staged batches, purge, refresh the stations."""
+        found = promote(self.staged(feed), self.kept(feed))
+        for batch_id, n_rows in found.items():
+            self.ledger.run_all(f"{feed}_import", [batch_id], lambda: f"rows_inserted={n_rows}, recovered=true")
+        purge(self.staged(feed), self.kept(feed))
+        if feed == "db_stations":
+            self._refresh_stations()
+        return list(found)
 
     def ingest(self, feed: str, responses: DataFrame, now: dt.datetime, batch_id: str | None = None) -> str:
         """Captured responses to the kept raw layer; returns the batch id.
 
         An id made from the time gets a tail if another call has taken it, so calls of the same second keep their
         responses apart. A call that names its id is a replay if that batch has been imported, and is skipped.
-        One process at a time ingests a feed.
+        What an earlier run left behind is finished first. Several processes may ingest a feed at a time.
         """
-        if batch_id is None:
-            batch_id = make_batch_id(FEEDS[feed], now)
-            taken = f"{self.path('psa', feed)}/ingest_date={now:%Y-%m-%d}/batch_id={batch_id}"
-            if self.exists(taken) or self.ledger.is_done(f"{feed}_import", batch_id):
-                batch_id = f"{batch_id}_{uuid.uuid4().hex[:8]}"
+        process, named = f"{feed}_import", batch_id is not None
+        self.recover(feed)
+        batch_id = batch_id or make_batch_id(FEEDS[feed], now)
         land = landing.land_json if feed in _JSON_FEEDS else landing.land_text
-
-        def job() -> str:
-            stg, psa = self.path("stg", feed), self.path("psa", feed)
-            first = self.manifest(feed).agg(F.max(F.col("first_raw_id") + F.col("n_rows"))).first()[0] or 0
-            rows = landing.stamp_batch(land(responses), batch_id).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
-            with scratch(self.spark):
-                write_raw(rows, stg, first)
-            n_rows = scan_batch(read_raw(self.spark, stg), batch_id).count()
-            promote(self.spark, stg, psa)
-            drop_batches(self.spark, stg, [batch_id])
-            entry = [(batch_id, now, first, n_rows)]
-            made = self.spark.createDataFrame(entry, MANIFEST_SCHEMA)
-            made.coalesce(1).write.mode("append").parquet(f"{self.path('metadata', 'manifest')}/{feed}")
-            if feed == "db_stations":
-                # stored, so that joins know how small it is
-                st.station_dimension(self.raw(feed)).write.mode("overwrite").parquet(self.path("dwh", "stations"))
-            return f"rows_inserted={n_rows}"
-
-        self.ledger.run_batch(f"{feed}_import", batch_id, job)
-        return batch_id
+        while True:
+
+            def job() -> str:
+                rows = landing.stamp_batch(land(responses), batch_id).withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
+                with scratch(self.spark):
+                    n_rows = stage(self.staged(feed), self.kept(feed), numbered(rows), batch_id, now)
+                promote(self.staged(feed), self.kept(feed))
+                purge(self.staged(feed), self.kept(feed))
+                if feed == "db_stations":
+                    self._refresh_stations()
+                return f"rows_inserted={n_rows}"
+
+            in_use = not self.manifest(feed).filter(F.col("batch_id") == batch_id).isEmpty() or self.ledger.is_done(process, batch_id)
+            try:
+                if in_use:
+                    raise Taken(batch_id)
+                self.ledger.run_all(process, [batch_id], job)
+                return batch_id
+            except Taken:
+                if named:
+                    self.ledger.skip(process, batch_id)
+                    return batch_id
+                batch_id = f"{make_batch_id(FEEDS[feed], now)}_{uuid.uuid4().hex[:8]}"
 
     def log_calls(self, calls: DataFrame, params: list[str]) -> None:
         api_call_rows(calls, params).write.mode("append").parquet(self.path("metadata", "api_call_log"))
@@ -142,9 +160,29 @@ class Warehouse:
         one = F.lit(1).alias("one")
         return groups.select("*", one).join(F.broadcast(window.select("*", one)), "one").drop("one")
 
+    def _station_table(self) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.path("dwh", "stations"), STATION_SCHEMA, "part")
+
+    def _refresh_stations(self) -> None:
+        """Store the dimension, so that joins know how small it is, with the raw version it was made from."""
+        table, raw = self._station_table(), self.kept("db_stations")
+        base, source = table.version(), raw.version()
+        if table.note(base) == str(source):
+            return
+        old = [r.folder for r in table.entries(base).select("folder").distinct().collect()]  # one
+        folders = table.put(st.station_dimension(raw.read(version=source)).withColumn("part", F.lit("all")))
+        n_rows = table.open(list(folders.values())).count()
+
+        def change(head: Head) -> list[dict]:
+            if head.version > base:
+                return []  # another process has stored it; the next ingest looks again
+            return [removed(f) for f in old] + [added(f, n_rows=n_rows) for f in folders.values()]
+
+        table.commit(change, base, note=str(source))
+
     def stations(self) -> DataFrame:
-        path = self.path("dwh", "stations")
-        return self.spark.read.parquet(path) if self.exists(path) else st.station_dimension(self.raw("db_stations"))
+        table = self._station_table()
+        return table.read().drop("part") if table.version() else st.station_dimension(self.raw("db_stations"))
 
     def pending(self, feed: str) -> list[str]:
         """Oldest batches still to transform, at most as many as one job takes; found in the manifest alone."""

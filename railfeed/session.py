@@ -4,13 +4,23 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
-_SCOPES: list[list[str]] = []
+
+
+class _Scopes(threading.local):
+    """Work folders of the open ``scratch`` blocks of a thread."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_SCOPES = _Scopes()
 
 
 def get_session(app: str = "railfeed", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,18 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; never reused, so replays cannot mix."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _SCOPES.open:
+        _SCOPES.open[-1].append(path)
     return path
 
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Work folders made inside are deleted at the end; all that reads them must have run by then."""
-    _SCOPES.append([])
+    _SCOPES.open.append([])
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        for path in _SCOPES.open.pop():
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import number_rows
 
 RAW_SCHEMA = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id STRING"
 
-_SAFE_ID = re.compile(r"^[A-Za-z0-9_.-]+$")
-
 
 def write_partitions(df: DataFrame, path: str, *partitions: str, rebalance: bool = False, sort: tuple[str, ...] = ()) -> None:
     """Write, replacing exactly the partitions present in ``df``; a rerun replaces instead of doubling.
@@ -31,15 +27,10 @@ def write_partitions(df: DataFrame, path: str, *partitions: str, rebalance: bool
     )
 
 
-def write_raw(df: DataFrame, path: str, first_id: int | None = None) -> None:
-    """Store landed rows under their batch with a row id that is fixed from then on.
-
-    With ``first_id`` the ids go up by one from there, in the order the rows were landed.
-    """
-    rows = df.withColumn("raw_id", F.monotonically_increasing_id())
-    if first_id is not None:
-        rows = number_rows(rows, "raw_id", "no").withColumn("raw_id", F.lit(first_id - 1) + F.col("no"))
-    write_partitions(rows.select("raw_id", "payload", "ingested_at", "batch_id"), path, "batch_id")
+def numbered(df: DataFrame) -> DataFrame:
+    """Landed rows with ids 0, 1, 2, ... in the order they were landed."""
+    rows = number_rows(df.withColumn("raw_id", F.monotonically_increasing_id()), "raw_id", "no")
+    return rows.withColumn("raw_id", F.col("no") - 1).select("raw_id", "payload", "ingested_at", "batch_id")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -47,15 +38,6 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path).select("raw_id", "payload", "ingested_at", "batch_id")
 
 
-def read_kept(spark: SparkSession, path: str) -> DataFrame:
-    """Kept raw rows with the day they arrived on, which is a partition of its own above the batch."""
-    return spark.read.schema(f"{RAW_SCHEMA}, ingest_date STRING").parquet(path)
-
-
-def ingest_day(at: str = "ingested_at") -> Column:
-    return F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit("unknown"))
-
-
 def scan_batch(table: DataFrame, *batch_ids: str) -> DataFrame:
     """Rows of the given batches; the filter prunes partitions."""
     return table.filter(F.col("batch_id").isin(*batch_ids))
@@ -65,11 +47,3 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a table or scratch folder."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def drop_batches(spark: SparkSession, path: str, batch_ids: list[str]) -> None:
-    """Remove whole batch partitions."""
-    for batch_id in batch_ids:
-        if not _SAFE_ID.match(batch_id):
-            raise ValueError(f"unsafe batch id: {batch_id!r}")
-        drop_folder(spark, f"{path}/batch_id={batch_id}")
