@@ -343,11 +343,9 @@ def measure_drift(spark, sf_dir):
 
 @check("weather_materialised", _view_sql("fc", FORECAST_MEASURES))
 def weather_materialised(spark, sf_dir):
-    """Built batch by batch: the second batch rebuilds the days it touches."""
-    vertical, target = work_dir(spark, "vertical"), work_dir(spark, "hourly")
-    rows = _forecast(spark, sf_dir)
+    """Built batch by batch, the later batch first: each brings in the hours it has, and the newer version stays."""
+    target, rows = work_dir(spark, "hourly"), _forecast(spark, sf_dir)
     stations = st.station_dimension(fx.station_raw(spark, sf_dir))
-    for batch_id in ("open_meteo_20240101000000_00000000", "open_meteo_20240102000000_00000000"):
-        wx.write_vertical(rows.filter(F.col("batch_id") == batch_id), vertical)
-        wx.rebuild_days(spark, vertical, target, rows.filter(F.col("batch_id") == batch_id), stations, FORECAST_MEASURES)
-    return spark.read.parquet(target).drop("day")
+    for batch_id in ("open_meteo_20240102000000_00000000", "open_meteo_20240101000000_00000000"):
+        wx.refresh_hours(spark, rows.filter(F.col("batch_id") == batch_id), target, stations, FORECAST_MEASURES)
+    return wx.read_hours(spark, target)

@@ -71,17 +71,59 @@ def xml_quarantine(raw: DataFrame) -> DataFrame:
     return shred(raw).filter("reason IS NOT NULL").select("raw_id", "batch_id", "reason", "payload")
 
 
-def services(raw: DataFrame, schema: str = TIMETABLE_XML) -> DataFrame:
-    """One row per service of the readable payloads, with its position in the document."""
+def services(raw: DataFrame, schema: str = TIMETABLE_XML, rejects: bool = False) -> DataFrame:
+    """One row per service of the readable payloads, with its position in the document.
+
+    With ``rejects`` an unreadable payload is a row too, without a service but with ``reject``, its reason and text.
+    """
     docs = shred(raw, schema)
     usable = F.when(F.col("reason").isNull() & F.col("plain"), F.col("doc.s"))
     head = [F.col("doc._station").alias("station_name")]
     if "_eva" in schema:
         head.append(F.col("doc._eva").alias("eva_number"))
+    if rejects:
+        head.append(F.when(F.col("reason").isNotNull(), F.struct("reason", "payload")).alias("reject"))
     # outer form: the inner one adds a size check that parses the document again
-    return docs.select("raw_id", "batch_id", "ingested_at", *head, F.posexplode_outer(usable).alias("s_pos", "s")).filter(
-        "s_pos IS NOT NULL"
+    rows = docs.select("raw_id", "batch_id", "ingested_at", *head, F.posexplode_outer(usable).alias("s_pos", "s"))
+    return rows.filter("s_pos IS NOT NULL OR reject IS NOT NULL" if rejects else "s_pos IS NOT NULL")
+
+
+def _some(rejects: bool) -> str:
+    return "e IS NOT NULL OR reject IS NOT NULL" if rejects else "e IS NOT NULL"
+
+
+def _unread(field: str, text: Column, value: Column, shape: str, reasons: tuple[str, str]) -> Column:
+    """What is wrong with a text that gave no value: it has the right shape and means nothing, or has another shape."""
+    return F.when(
+        (text != "") & value.isNull(),
+        F.struct(F.lit(field).alias("field"), F.when(text.rlike(shape), reasons[0]).otherwise(reasons[1]).alias("reason"), text.alias("text")),
+    )
+
+
+def bad_time(field: str, text: Column) -> Column:
+    """Error of a compact time: a date the calendar does not have, or no time at all; NULL where it reads or is missing."""
+    return _unread(field, text, compact_to_ts(text), "^[0-9]{10}$", ("impossible_date", "not_a_time"))
+
+
+def bad_number(field: str, text: Column) -> Column:
+    """Error of a whole number: too large for its column, or not written in digits; NULL where it reads or is missing."""
+    return _unread(field, text, digits_to_int(text), "^[0-9]+$", ("out_of_range", "not_a_number"))
+
+
+def _errors(*found: Column) -> Column:
+    return F.array_compact(F.array(*found)).alias("errors")
+
+
+def _message_errors(message: str, time: str, *numbers: tuple[str, str]) -> list[Column]:
+    """Errors of a message's time, which may be written in two ways, and of its numbers."""
+    m = F.col(message)
+    dashed = F.when((m["_ts"] == "") | m["_ts"].isNull(), m["_ts-tts"])
+    at = F.coalesce(
+        bad_time(time, m["_ts"]), _unread(time, dashed, iso_to_ts(dashed_to_iso(dashed)), "^([0-9]{2}.){5}", ("impossible_date", "not_a_time"))
     )
+    return [at, *[bad_number(field, m[name]) for field, name in numbers]]
+
+
 
 
 def _has(nodes: Column) -> Column:
@@ -118,9 +160,16 @@ def fchg_services(rows: DataFrame, source_tz: str = "UTC") -> DataFrame:
     return first.select(
         "raw_id",
         "batch_id",
+        *(["reject"] if "reject" in rows.columns else []),
         "s_pos",
         "eva_number",
         "station_name",
+        _errors(
+            bad_time("arrival_planned_time", F.col("ar._pt")),
+            bad_time("arrival_change_time", F.col("ar._ct")),
+            bad_time("departure_planned_time", F.col("dp._pt")),
+            bad_time("departure_change_time", F.col("dp._ct")),
+        ),
         first_nonempty(F.col("ar._l"), F.col("dp._l")).alias("train_name"),
         F.coalesce(
             last_path_stop(F.col("ar._ppth"), F.col("ar._cpth")), last_path_stop(F.col("dp._ppth"), F.col("dp._cpth"))
@@ -148,9 +197,14 @@ def fchg_services(rows: DataFrame, source_tz: str = "UTC") -> DataFrame:
 
 def fchg_rows(context: DataFrame, entries: Column, source_tz: str = "UTC") -> DataFrame:
     """Event rows of the given entries: service messages, or the last message of each node."""
-    spread = context.withColumn("e", F.explode_outer(entries)).filter("e IS NOT NULL")
+    rejects = "reject" in context.columns
+    spread = context.select("*", F.posexplode_outer(entries).alias("e_pos", "e")).filter(_some(rejects))
     m = F.col("e.m")
     is_message = F.col("e.node") == "m"
+    # errors of the service are told once, by its first event
+    own = F.array_compact(F.array(*_message_errors("e.m", "event_time", ("delay_in_min", "_c"), ("priority", "_pr"))))
+    errors = F.when(F.col("e_pos") == 0, F.concat("errors", own)).otherwise(own)
+    dealt = ["raw_id", "reject", errors.alias("errors")] if rejects else []
     return spread.select(
         "*",
         digits_to_int(m["_c"]).alias("delay_in_min"),
@@ -161,7 +215,7 @@ def fchg_rows(context: DataFrame, entries: Column, source_tz: str = "UTC") -> Da
         digits_to_int(m["_pr"]).alias("priority"),
         m["_id"].alias("message_id"),
         F.col("e.node").alias("source_node"),
-    ).select(*FCHG_COLUMNS)
+    ).select(*FCHG_COLUMNS, *dealt)
 
 
 def fchg_message_rows(raw: DataFrame) -> DataFrame:
@@ -174,26 +228,37 @@ def fchg_node_rows(raw: DataFrame) -> DataFrame:
 
 def fchg_events(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
     """Full-change events: service messages and arrival/departure nodes in one pass over the payloads."""
-    context = fchg_services(services(raw), source_tz)
+    return fchg_rows_of(raw, source_tz)
+
+
+def fchg_rows_of(raw: DataFrame, source_tz: str = "UTC", rejects: bool = False) -> DataFrame:
+    context = fchg_services(services(raw, rejects=rejects), source_tz)
     return fchg_rows(context, F.concat("messages", "nodes"), source_tz)
 
 
 def plan_events(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
     """Planned departures and arrivals, distinct over all columns within a batch."""
+    return distinct_plan(plan_rows(raw, source_tz))
+
+
+def plan_rows(raw: DataFrame, source_tz: str = "UTC", rejects: bool = False) -> DataFrame:
+    """Planned departures and arrivals as the documents have them."""
 
     def tagged(name: str) -> Column:
         return F.transform(
             F.coalesce(F.col(f"s.{name}"), F.expr("array()")), lambda n: F.struct(F.lit(name).alias("node"), n.alias("n"))
         )
 
-    rows = services(raw, PLAN_XML).select(
+    dealt = ["raw_id", "reject"] if rejects else []
+    rows = services(raw, PLAN_XML, rejects).select(
         "station_name",
         "batch_id",
+        *dealt,
         F.col("s._id").alias("train_line_ride_id"),
         F.get("s.tl", F.lit(0)).alias("tl"),
         F.explode_outer(F.concat(tagged("dp"), tagged("ar"))).alias("e"),
     )
-    events = rows.filter("e IS NOT NULL").select(
+    return rows.filter(_some(rejects)).select(
         "station_name",
         "train_line_ride_id",
         F.col("tl._n").alias("train_number"),
@@ -206,8 +271,8 @@ def plan_events(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
         F.col("e.n._l").alias("train_line_name"),
         F.col("e.n._ppth").alias("route_path"),
         "batch_id",
+        *([*dealt, _errors(bad_time("event_time", F.col("e.n._pt")))] if rejects else []),
     )
-    return distinct_plan(events)
 
 
 def distinct_plan(events: DataFrame) -> DataFrame:
@@ -230,7 +295,9 @@ def text_partition(text: Column) -> Column:
     return F.when(day == "", "none").otherwise(day)
 
 
-def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source_tz: str = "UTC") -> DataFrame:
+def rchg_rows(
+    raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source_tz: str = "UTC", rejects: bool = False
+) -> DataFrame:
     """Recent-change rows before dedup, with their place in the document.
 
     Without a time of its own a row takes the arrival of its batch, so a replay hashes the same.
@@ -254,19 +321,27 @@ def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source
         )
 
     built = {"m": messages(), "dp": nodes("dp", 1), "ar": nodes("ar", 2)}
+    dealt = ["reject"] if rejects else []
     rows = (
-        services(raw)
+        services(raw, rejects=rejects)
         .select(
-            "raw_id", "batch_id", "ingested_at", "s_pos", "eva_number", "station_name", F.col("s._id").alias("event_id"),
+            *dealt, "raw_id", "batch_id", "ingested_at", "s_pos", "eva_number", "station_name", F.col("s._id").alias("event_id"),
             F.explode_outer(F.concat(*[built[k] for k in kinds])).alias("e"),
         )
-        .filter("e IS NOT NULL")
+        .filter(_some(rejects))
     )
     n, m = F.col("e.n"), F.col("e.m")
     is_message = F.col("e.kind") == "m"
+    if rejects:
+        found = _errors(
+            bad_time("valid_from", m["_from"]), bad_time("valid_to", m["_to"]), bad_time("old_time", n["_pt"]), bad_time("new_time", n["_ct"]),
+            bad_time("timestamp_event", F.when((n["_ct"] == "") | n["_ct"].isNull(), m["_ts"])),
+            F.when(is_message, bad_number("priority", m["_pr"])), bad_number("delay_minutes", m["_c"]),
+        )
+        rows, dealt = rows.withColumn("errors", found), ["reject", "errors"]
     arrival = F.date_format(F.date_trunc("second", "ingested_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = rows.select(
-        "ingested_at", "raw_id", "batch_id", "s_pos", "e.kind_no", "e.pos", "event_id", "eva_number", "station_name",
+        *dealt, "ingested_at", "raw_id", "batch_id", "s_pos", "e.kind_no", "e.pos", "event_id", "eva_number", "station_name",
         m["_id"].alias("message_id"), F.col("e.kind").alias("event_type"), m["_cat"].alias("category"), m["_t"].alias("change_type"),
         F.when(is_message, m["_pr"]).alias("pr"), m["_c"].alias("c"),
         compact_to_iso(m["_from"]).alias("vf"), compact_to_iso(m["_to"]).alias("vt"),
@@ -282,7 +357,7 @@ def rchg_rows(raw: DataFrame, kinds: tuple[str, ...] = ("m", "dp", "ar"), source
     ]
     text = F.when(col("event_type") == "m", hashed_text(*parts)).otherwise(hashed_text(*parts, col("train_line_name")))
     return rows.withColumn("hashed", text).select(
-        *["ingested_at", "raw_id", "s_pos", "kind_no", "pos"],
+        *[*dealt, "ingested_at", "raw_id", "s_pos", "kind_no", "pos"],
         "event_id", "eva_number", "station_name", "message_id", "event_type", "category", "change_type",
         digits_to_int(col("pr")).alias("priority"),
         iso_to_ts(col("vf"), source_tz).alias("valid_from"), iso_to_ts(col("vt"), source_tz).alias("valid_to"),
@@ -307,9 +382,13 @@ def insert_ignore(new: DataFrame, existing: DataFrame) -> DataFrame:
 FIRST_ARRIVAL = ["ingested_at", "batch_id", "raw_id", "s_pos", "kind_no", "pos"]
 
 
+def first_arrivals(rows: DataFrame) -> DataFrame:
+    """One row per hash, the one that arrived first, with the partition its text belongs to."""
+    return first_per_hash(rows, FIRST_ARRIVAL).select(*RCHG_COLUMNS, "event_date")
+
+
 def rchg_found(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
-    """One row per hash over the given batches, the one that arrived first, with the partition its text belongs to."""
-    return first_per_hash(rchg_rows(raw, source_tz=source_tz), FIRST_ARRIVAL).select(*RCHG_COLUMNS, "event_date")
+    return first_arrivals(rchg_rows(raw, source_tz=source_tz))
 
 
 def rchg_events(raw: DataFrame, existing: DataFrame | None = None, source_tz: str = "UTC") -> DataFrame:

@@ -8,20 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import json_array, json_map, parse_json
 from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES, INTEGER_MEASURES
-from ..session import work_dir
-from ..sources.tables import drop_folder, write_partitions
+from ..session import staged
+from ..sources.tables import write_partitions
 from .matching import StationIndex, stored_matches
 from .ranking import latest_per_key
 
 
 def weather_objects(raw: DataFrame, history: bool = False) -> DataFrame:
     """One row per weather object: history payloads may be a list, ``{results: [...]}`` or one object."""
-    doc = parse_json(F.col("payload"))
-    if history:
-        objects = F.coalesce(json_array(doc), json_array(doc, "$.results"), F.array(doc))
-    else:
-        objects = F.array(doc)
-    return raw.select("raw_id", "batch_id", F.posexplode_outer(objects).alias("obj_pos", "obj"))
+    parsed = raw.select("raw_id", "batch_id", parse_json(F.col("payload")).alias("doc"))
+    doc = F.col("doc")
+    objects = F.coalesce(json_array(doc), json_array(doc, "$.results"), F.array(doc)) if history else F.array(doc)
+    return parsed.select("raw_id", "batch_id", F.posexplode_outer(objects).alias("obj_pos", "obj"))
 
 
 def _coordinate(name: str) -> Column:
@@ -109,13 +107,19 @@ def weather_vertical(objects: DataFrame, index: StationIndex | None, exact: bool
         ),
         exact,
     )
+    return _spread(_located(usable, index), _hours(exact), exact)
+
+
+def _located(objects: DataFrame, index: StationIndex | None) -> DataFrame:
     if index is None:
-        located = usable.withColumn("station_id", F.lit(None).cast("string"))
-    else:
-        located = usable.join(stored_matches(usable, index), ["latitude", "longitude"], "left")
+        return objects.withColumn("station_id", F.lit(None).cast("string"))
+    return objects.join(stored_matches(objects, index), ["latitude", "longitude"], "left")
+
+
+def _spread(located: DataFrame, hours: Column, exact: bool) -> DataFrame:
     # the outer form with a later filter keeps the payload from being parsed again for a size check
     spread = located.select(
-        "raw_id", "batch_id", "obj_pos", "station_id", "latitude", "longitude", F.explode_outer(_hours(exact)).alias("h")
+        "raw_id", "batch_id", "obj_pos", "station_id", "latitude", "longitude", F.explode_outer(hours).alias("h")
     ).filter("h IS NOT NULL")
     return spread.select(
         F.col("raw_id").alias("psa_id"), "obj_pos", "batch_id", "station_id", "latitude", "longitude", "h.pos", "h.time", "h.measures",
@@ -123,6 +127,48 @@ def weather_vertical(objects: DataFrame, index: StationIndex | None, exact: bool
     )
 
 
+def _odd_values() -> Column:
+    """Measures of an object that are no lists, and values in lists that are no numbers, as (field, reason, text)."""
+
+    def told(field: Column, reason: str, value: Column) -> Column:
+        return F.struct(field.alias("field"), F.lit(reason).alias("reason"), F.to_json(value).alias("text"))
+
+    other = F.map_filter("others", lambda _, v: ~F.is_variant_null(v))
+    no_lists = F.transform(F.map_entries(other), lambda e: told(e["key"], "not_a_list", e["value"]))
+    unread = F.map_zip_with(
+        "lists",
+        "sent",
+        lambda k, read, sent: F.array_compact(
+            F.zip_with(read, sent, lambda x, y: F.when(x.isNull() & y.isNotNull() & ~F.is_variant_null(y), told(k, "not_a_number", y)))
+        ),
+    )
+    return F.coalesce(F.concat(no_lists, F.flatten(F.map_values(unread))), no_lists, F.expr("array()"))
+
+
+def parsed_objects(raw: DataFrame, history: bool = False) -> DataFrame:
+    """One row per object with its hours as an array, ``reject`` where it gives none, and the values that do not read.
+
+    ``n_hours`` is what the object announces, read or not.
+    """
+    objects = weather_objects(raw, history)
+    others = F.map_filter(json_map(F.col("obj"), "$.hourly"), lambda k, v: (k != "time") & json_array(v).isNull())
+    known = objects.withColumns(
+        {"reason": quarantine_reason(), "latitude": _coordinate("latitude"), "longitude": _coordinate("longitude"), "others": others}
+    )
+    return _with_lists(known, exact=True).select(
+        "raw_id", "batch_id", "obj_pos", "latitude", "longitude",
+        F.coalesce(F.array_size("times"), F.lit(0)).alias("n_hours"),
+        F.when(F.col("reason").isNull(), _hours(True)).alias("hours"),
+        F.when(F.col("reason").isNotNull(), F.struct("reason")).alias("reject"),
+        F.when(F.col("reason").isNull(), _odd_values()).otherwise(F.expr("array()")).alias("errors"),
+    )
+
+
+def placed_hours(objects: DataFrame, index: StationIndex | None) -> DataFrame:
+    """One row per hour of written ``parsed_objects``, with the station its place belongs to."""
+    return _spread(_located(objects, index), F.col("hours"), exact=True)
+
+
 def _measure(name: str) -> Column:
     value = F.col("measures")[name]
     if name in INTEGER_MEASURES:
@@ -140,6 +186,11 @@ def weather_hourly(vertical: DataFrame, stations: DataFrame, measures: list[str]
 
     The key is the dimension's station id: rows of stations it does not know share the NULL key.
     """
+    return _latest_hours(vertical, stations, measures).drop("obj_pos", "pos")
+
+
+def _latest_hours(vertical: DataFrame, stations: DataFrame, measures: list[str]) -> DataFrame:
+    """``weather_hourly`` with all that orders versions, so that a later one can be compared with it."""
     dim = stations.select(
         F.col("station_id").alias("dim_id"), F.col("name").alias("station_name"), "ds100", "eva_number"
     )
@@ -150,7 +201,7 @@ def weather_hourly(vertical: DataFrame, stations: DataFrame, measures: list[str]
     latest = latest_per_key(joined, ["dim_id", "time"], [f(c) for f, c in zip(_VERSION, _VERSION_BY)])
     return latest.select(
         "psa_id", "batch_id", "latitude", "longitude", F.col("dim_id").alias("station_id"),
-        "station_name", "ds100", "eva_number", "time", *measures,
+        "station_name", "ds100", "eva_number", "time", *measures, "obj_pos", "pos",
     )
 
 
@@ -187,20 +238,45 @@ def read_vertical(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VERTICAL_SCHEMA).parquet(path)
 
 
-def rebuild_days(
-    spark: SparkSession, vertical: str, target: str, batches: DataFrame, stations: DataFrame, measures: list[str]
-) -> None:
-    """Refresh the stored latest view for the days that the given batches touch; other days are not read.
+#: The stored view is cut by day and by station bucket, so that a correction for one station rewrites little.
+STATION_BUCKETS = 8
+
+
+def _keyed(hours: DataFrame) -> DataFrame:
+    bucket = F.pmod(F.xxhash64("station_id"), F.lit(STATION_BUCKETS)).cast("int")
+    return hours.withColumns({"day": _day(F.col("time")), "bucket": bucket})
+
+
+def refresh_hours(spark: SparkSession, rows: DataFrame, target: str, stations: DataFrame, measures: list[str]) -> int:
+    """Bring new rows of the vertical table into the stored latest view; returns how many hours they are about.
 
-    ``batches`` has their ``batch_id``; a missing one is a batch of its own. The days are written down first, so that
-    their number is known and the partitions of the others are left out.
+    A stored hour carries the version it came from, and of it and the new one the newer stays. So only the buckets and
+    days of the new rows are read and written, and the vertical table is not read at all. Any order and any repetition
+    of the rows gives the same view. Hours keep the key they had when they came: after a change of the dimension,
+    ``rebuild_hours`` gives stations that have become known their own rows.
     """
-    rows = read_vertical(spark, vertical)
-    wanted = batches.select(F.col("batch_id").alias("wanted")).distinct()
-    touched = rows.select("day", "batch_id").join(wanted, F.col("batch_id").eqNullSafe(F.col("wanted")), "left_semi")
-    path = work_dir(spark, "days")
-    touched.select("day").distinct().write.parquet(path)
-    days = spark.read.schema("day STRING").parquet(path).filter("day > ''")
-    latest = weather_hourly(rows.join(days, "day", "left_semi"), stations, measures)
-    write_partitions(latest.withColumn("day", _day(F.col("time"))), target, "day", rebalance=True, sort=("station_id", "time"))
-    drop_folder(spark, path)
+    fresh = staged(_keyed(_latest_hours(rows, stations, measures)), "fresh")
+    touched = fresh.groupBy("day", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # calendar days times buckets
+    if not touched:
+        return 0
+    merged = fresh
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        stored = spark.read.schema(fresh.schema).parquet(target)
+        stored = stored.filter(F.col("day").isin(sorted({r.day for r in touched})) & F.col("bucket").isin(sorted({r.bucket for r in touched})))
+        stored = stored.join(fresh.select("day", "bucket").distinct(), ["day", "bucket"], "left_semi")
+        both = fresh.unionByName(stored)
+        merged = staged(latest_per_key(both, ["station_id", "time"], [f(c) for f, c in zip(_VERSION, _VERSION_BY)]), "merged")
+    write_partitions(merged, target, "day", "bucket", rebalance=True, sort=("station_id", "time"))
+    return sum(r.n for r in touched)
+
+
+def rebuild_hours(spark: SparkSession, vertical: str, target: str, stations: DataFrame, measures: list[str]) -> None:
+    """The stored latest view from the whole vertical table, with the stations of today."""
+    whole = staged(_keyed(_latest_hours(read_vertical(spark, vertical), stations, measures)), "rebuilt")
+    whole.hint("rebalance", "day", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day", "bucket").parquet(target)
+
+
+def read_hours(spark: SparkSession, target: str) -> DataFrame:
+    """The stored latest view."""
+    return spark.read.parquet(target).drop("day", "bucket", "obj_pos", "pos")

@@ -6,8 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import settings
 from ..operators import stations as st
@@ -15,13 +14,15 @@ from ..operators import timetables as tt
 from ..operators import weather as wx
 from ..operators.analytics import rail_weather
 from ..operators.matching import build_station_index
-from ..schemas import FORECAST_MEASURES, HISTORY_MEASURES
-from ..session import scratch
+from ..schemas import FCHG_COLUMNS, FORECAST_MEASURES, HISTORY_MEASURES, PLAN_COLUMNS
+from ..session import scratch, staged
 from ..sources import landing, requests
+from ..sources.membership import KeyIndex
 from ..sources.snapshots import Conflict, Head, SnapshotTable, added, removed
-from ..sources.tables import drop_folder, numbered, scan_batch, write_partitions
+from ..sources.tables import numbered, scan_batch, write_partitions
 from .layers import Taken, kept, latest_batch, make_batch_id, promote, purge, stage, staging
 from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches
+from .outcomes import Dealt
 
 # feed, batch id prefix
 FEEDS = {
@@ -38,22 +39,6 @@ STATION_SCHEMA = "station_id STRING, name STRING, latitude DOUBLE, longitude DOU
 _JSON_FEEDS = {"db_stations", "weather_forecast", "weather_history"}
 
 
-def counting(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
-    """Rows counted while they are written, without a pass of their own.
-
-    A plan found empty while it runs loses the node that counts, so a missing count means no rows.
-    """
-    seen = Observation()
-
-    def rows() -> int:
-        try:
-            return seen.get.get("n") or 0
-        except (AssertionError, Py4JJavaError):
-            return 0
-
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), rows
-
-
 class Warehouse:
     """Tables below one root folder: ``stg``, ``psa``, ``dwh`` and ``metadata``."""
 
@@ -196,7 +181,7 @@ class Warehouse:
         batches = self.manifest(feed).select("batch_id", F.col("arrived_at").alias("ingested_at"), F.col("first_raw_id").alias("raw_id"))
         return latest_batch(batches).first().batch_id
 
-    def _transform(self, feed: str, write: Callable[[DataFrame], str], latest_only: bool) -> list[str]:
+    def _transform(self, feed: str, write: Callable[[DataFrame, list[str]], str], latest_only: bool) -> list[str]:
         """All pending batches, many per job. ``latest_only`` looks at the newest batch and no other."""
         process = f"{feed}_transform"
         if latest_only:
@@ -210,7 +195,7 @@ class Warehouse:
                 self.ledger.skip(process, newest)
         def job() -> str:
             with scratch(self.spark):
-                return write(self.batch(feed, *todo))
+                return write(self.batch(feed, *todo), todo)
 
         done = []
         while batches:
@@ -220,8 +205,23 @@ class Warehouse:
             batches = [] if latest_only else self.pending(feed)
         return done
 
-    def _quarantine(self, feed: str, rejected: DataFrame) -> None:
-        write_partitions(rejected, self.path("psa", f"{feed}_quarantine"), "batch_id")
+    def _set_aside(self, feed: str, dealt: Dealt, *columns: str) -> None:
+        """Store what could not be read, and log per batch how much of it there was."""
+        write_partitions(dealt.rejected(*columns), self.path("psa", f"{feed}_quarantine"), "batch_id")
+        write_partitions(dealt.errors(), self.path("psa", f"{feed}_errors"), "batch_id")
+        counts = dealt.counts()
+        if counts:
+            events = [(uuid.uuid4().hex, f"{feed}_quality", batch_id, "end", "success", message) for batch_id, message in counts.items()]
+            self.ledger.append(events)
+
+    def _written(self, path: str, batch_ids: list[str]) -> int:
+        """Rows that a table cut by batch has of the given batches, from the file footers of their folders alone."""
+        folders = [p for b in batch_ids if self.exists(p := f"{path}/batch_id={b}")]
+        return self.spark.read.schema("batch_id STRING").option("basePath", path).parquet(*folders).count() if folders else 0
+
+    def field_errors(self, feed: str) -> DataFrame:
+        """Values that could not be read, with field, reason and text: impossible dates, numbers that are none."""
+        return self.spark.read.parquet(self.path("psa", f"{feed}_errors"))
 
     def quarantine(self, feed: str) -> DataFrame:
         """Stored payloads or objects that could not be read, with the reason."""
@@ -229,56 +229,93 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def transform_weather(self, feed: str, latest_only: bool = False) -> list[str]:
-        """Payloads to station hours, then the hourly view of the days they touch; unreadable objects are set aside."""
+        """Payloads to station hours, then the hourly view of the hours they touch; what cannot be read is set aside.
+
+        Each payload is parsed once: objects are written with their typed lists, and all that follows reads these.
+        """
         measures = HISTORY_MEASURES if feed == "weather_history" else FORECAST_MEASURES
 
-        def write(raw: DataFrame) -> str:
+        def write(raw: DataFrame, todo: list[str]) -> str:
+            dealt = Dealt(wx.parsed_objects(raw, history=feed == "weather_history"))
             index = build_station_index(st.region_coords(self.stations()))
-            objects = wx.weather_objects(raw, history=feed == "weather_history")
-            rows, counted = counting(wx.weather_vertical(objects, index, exact=True))
-            vertical = self.path("psa", f"{feed}_vertical")
-            wx.write_vertical(rows, vertical)
-            self._quarantine(feed, wx.weather_quarantine(objects))
-            wx.rebuild_days(self.spark, vertical, self.path("dwh", f"{feed}_hourly"), raw, self.stations(), measures)
-            return f"rows_inserted={counted()}"
+            rows = wx.placed_hours(dealt.rows, index)
+            wx.write_vertical(rows, self.path("psa", f"{feed}_vertical"))
+            self._set_aside(feed, dealt, "obj_pos", "reject.reason")
+            changed = wx.refresh_hours(self.spark, rows, self.path("dwh", f"{feed}_hourly"), self.stations(), measures)
+            return f"rows_attempted={dealt.total('n_hours')}, rows_inserted={dealt.total('n_hours', 'read')}, hours_touched={changed}"
 
         return self._transform(feed, write, latest_only)
 
     def hourly(self, feed: str) -> DataFrame:
         """The stored hourly view of a weather feed."""
-        return self.spark.read.parquet(self.path("dwh", f"{feed}_hourly")).drop("day")
+        return wx.read_hours(self.spark, self.path("dwh", f"{feed}_hourly"))
+
+    def rebuild_hourly(self, feed: str) -> None:
+        """The hourly view anew, after stations have become known or changed their names."""
+        measures = HISTORY_MEASURES if feed == "weather_history" else FORECAST_MEASURES
+        wx.rebuild_hours(self.spark, self.path("psa", f"{feed}_vertical"), self.path("dwh", f"{feed}_hourly"), self.stations(), measures)
 
     def rail_weather(self, feed: str = "weather_history") -> DataFrame:
         """Hourly indicators of the full-change events beside the weather of their station and hour."""
         events = self.spark.read.parquet(self.path("dwh", "timetables_fchg_events"))
         return rail_weather(events, self.hourly(feed))
 
-    def _write_events(self, feed: str, events: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], str]:
-        def write(raw: DataFrame) -> str:
-            rows, counted = counting(events(raw))
-            write_partitions(rows, self.path("dwh", f"{feed}_events"), "batch_id", rebalance=True)
-            self._quarantine(feed, tt.xml_quarantine(raw))
-            return f"rows_inserted={counted()}"
+    def _write_events(self, feed: str, parse: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]):
+        target = self.path("dwh", f"{feed}_events")
+
+        def write(raw: DataFrame, todo: list[str]) -> str:
+            dealt = Dealt(parse(raw))
+            write_partitions(finish(dealt.rows), target, "batch_id", rebalance=True)
+            self._set_aside(feed, dealt, "reject.reason", "reject.payload")
+            return f"rows_inserted={self._written(target, todo)}"
 
         return write
 
     def transform_plan(self, latest_only: bool = False) -> list[str]:
-        return self._transform("timetables_plan", self._write_events("timetables_plan", tt.plan_events), latest_only)
+        parse = lambda raw: tt.plan_rows(raw, rejects=True)
+        return self._transform("timetables_plan", self._write_events("timetables_plan", parse, lambda rows: tt.distinct_plan(rows.select(*PLAN_COLUMNS))), latest_only)
 
     def transform_fchg(self, latest_only: bool = False) -> list[str]:
-        return self._transform("timetables_fchg", self._write_events("timetables_fchg", tt.fchg_events), latest_only)
+        parse = lambda raw: tt.fchg_rows_of(raw, rejects=True)
+        return self._transform("timetables_fchg", self._write_events("timetables_fchg", parse, lambda rows: rows.select(*FCHG_COLUMNS)), latest_only)
+
+    def changes_index(self) -> KeyIndex:
+        return KeyIndex(self.spark, self.path("dwh", "timetables_rchg_index"))
 
     def transform_rchg(self, latest_only: bool = False) -> list[str]:
-        """Insert-ignore: the batch that arrived first keeps a row; only partitions that can hold an equal hash are read back."""
-        target = self.path("dwh", "timetables_rchg_events")
+        """Insert-ignore: the batch that arrived first keeps a row. What is stored is asked of the index, not of the events.
 
-        def write(raw: DataFrame) -> str:
-            new, scratch = tt.rchg_unstored(self.spark, raw, target if self.exists(target) else None)
-            attempted = self.spark.read.parquet(scratch).count()
-            new, inserted = counting(new)
+        Two jobs may run at a time: the one that claims its keys later looks again.
+        """
+        target, index = self.path("dwh", "timetables_rchg_events"), self.changes_index()
+        if index.keys.version() == 0 and self.exists(target):
+            stored = self.spark.read.schema("event_hash STRING, event_date STRING, batch_id STRING").parquet(target)
+            index.claim(stored, 0)
+
+        def write(raw: DataFrame, todo: list[str]) -> str:
+            dealt = Dealt(tt.rchg_rows(raw, rejects=True))
+            found = staged(tt.first_arrivals(dealt.rows), "found")
+            while True:
+                unseen, base = index.unseen(found, todo)
+                new = staged(unseen, "unseen")
+                inserted = new.count()
+                try:
+                    if inserted:
+                        index.claim(new, base)
+                    break
+                except Conflict:
+                    continue
             write_partitions(new, target, "event_date", "batch_id", rebalance=True, sort=("eva_number", "timestamp_event"))
-            drop_folder(self.spark, scratch)
-            self._quarantine("timetables_rchg", tt.xml_quarantine(raw))
-            return f"rows_attempted={attempted}, rows_inserted={inserted()}"
+            self._set_aside("timetables_rchg", dealt, "reject.reason", "reject.payload")
+            return f"rows_attempted={found.count()}, rows_inserted={inserted}"
 
         return self._transform("timetables_rchg", write, latest_only)
+
+    def maintain(self, day: dt.date) -> None:
+        """Housekeeping of a day that is over: its raw batches, keys and log events in few files, old leftovers gone."""
+        for feed in FEEDS:
+            table = self.kept(feed)
+            table.compact(f"{day:%Y-%m-%d}")
+            table.vacuum(), self.staged(feed).vacuum()
+        self.changes_index().compact(f"{day:%Y-%m-%d}")
+        self.ledger.compact()

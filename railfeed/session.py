@@ -8,7 +8,7 @@ import threading
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
 
@@ -68,6 +68,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write to a work folder and read back, so that what follows does not compute it again."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Work folders made inside are deleted at the end; all that reads them must have run by then."""
