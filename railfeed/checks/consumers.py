@@ -13,6 +13,7 @@ from ..operators import stations as st
 from ..operators import timetables as tt
 from ..operators import weather as wx
 from ..operators.ranking import latest_per_key
+from ..plans import ledger
 from ..schemas import FORECAST_MEASURES
 from ..session import work_dir
 from . import fixtures as fx
@@ -250,6 +251,33 @@ def api_perf(spark, sf_dir):
     return an.api_performance(fx.calls(spark, sf_dir))
 
 
+@check(
+    "api_sketches",
+    sql(
+        CALLS,
+        """w AS (SELECT source, endpoint, date_trunc('week', called_at) AS week, COUNT(*) AS n_calls, COUNT(DISTINCT '{"eva":"' || eva || '"' || COALESCE(',"end_date":"' || end_date || '"', '') || '}') AS n FROM calls GROUP BY ALL)""",
+        select="SELECT source, endpoint, CAST(week AS DATE) AS week, n_calls, true AS rank_is_close, true AS distinct_is_close FROM w",
+    ),
+)
+def api_sketches(spark, sf_dir):
+    """Weekly figures from daily sketches alone, held against the log: the rank of the quantile and the distinct calls."""
+    log = ledger.api_call_rows(fx.calls(spark, sf_dir), ["eva", "end_date"])
+    week = F.date_trunc("week", "day").cast("date").alias("week")
+    merged = an.sketched_performance(an.call_sketches(log), week)
+    whole = log.select("source", "endpoint", "params", "response_time_ms", F.date_trunc("week", F.to_date("called_at")).cast("date").alias("week"))
+    both = whole.join(merged, ["source", "endpoint", "week"])
+    n, ms = F.count(F.lit(1)), F.col("response_time_ms")
+    seen = both.groupBy("source", "endpoint", "week", "n_calls").agg(
+        (F.count_if(ms < F.col("quantile_ms")) / n).alias("below"), (F.count_if(ms <= F.col("quantile_ms")) / n).alias("upto"),
+        F.first("n_distinct").alias("n_distinct"), F.count_distinct("params").alias("n"), n.alias("n_rows"),
+    )
+    # the value found covers ranks from below to upto; in small groups one call is more than the sketch is off
+    off = F.lit(0.02) + 1 / F.col("n_rows")
+    close = (F.col("below") <= 0.95 + off) & (F.col("upto") >= 0.95 - off)
+    near = F.abs(F.col("n_distinct") - F.col("n")) <= 1 + 0.05 * F.col("n")
+    return seen.select("source", "endpoint", "week", "n_calls", close.alias("rank_is_close"), near.alias("distinct_is_close"))
+
+
 # ---------------------------------------------------------------- weather quality
 
 
@@ -341,6 +369,29 @@ def measure_drift(spark, sf_dir):
     return dq.measure_drift(raw, parse_json(F.col("payload")))
 
 
+@check(
+    "measure_changes",
+    sql(
+        """k AS (SELECT user_id, event_id, UNNEST(['k', 'm' || CAST(event_id % 50 AS VARCHAR)]) AS measure FROM events),
+        b AS (SELECT user_id, 'b_' || CAST(user_id AS VARCHAR) AS batch_id, row_number() OVER (ORDER BY MIN(ts), 'b_' || CAST(user_id AS VARCHAR)) AS no FROM events GROUP BY user_id),
+        has AS (SELECT DISTINCT no, measure FROM k JOIN b USING (user_id)),
+        grid AS (SELECT b.batch_id, b.no, m.measure, h.no IS NOT NULL AS here, LAG(h.no IS NOT NULL) OVER w AS before,
+          MAX(h.no) OVER (PARTITION BY m.measure ORDER BY b.no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ever
+          FROM b CROSS JOIN (SELECT DISTINCT measure FROM has) m LEFT JOIN has h ON h.no = b.no AND h.measure = m.measure
+          WINDOW w AS (PARTITION BY m.measure ORDER BY b.no))""",
+        select="""SELECT batch_id, measure, CASE WHEN NOT here THEN 'vanished' WHEN ever IS NULL THEN 'new' ELSE 'returning' END AS change
+          FROM grid WHERE no > 1 AND here <> before""",
+    ),
+)
+def measure_changes(spark, sf_dir):
+    """Batch ids without leading zeros, which sort otherwise than they arrived."""
+    extra = F.concat(F.regexp_replace("props", r"\}$", ""), F.format_string(',"m%d":1}', F.col("event_id") % 50))
+    raw = fx.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("b_"), F.col("user_id").cast("string")).alias("batch_id"), F.col("ts").alias("ingested_at"), extra.alias("payload")
+    )
+    return dq.key_changes(raw, parse_json(F.col("payload")))
+
+
 @check("weather_materialised", _view_sql("fc", FORECAST_MEASURES))
 def weather_materialised(spark, sf_dir):
     """Built batch by batch, the later batch first: each brings in the hours it has, and the newer version stays."""

@@ -118,6 +118,44 @@ def weather_asof(events: DataFrame, weather: DataFrame, station: str, ts: str, v
     return events.withColumn("hour", hour_of(F.col(ts))).join(filled, [station, "hour"], "left").drop("hour")
 
 
+def rail_weather_asof(events: DataFrame, hourly: DataFrame, within_hours: int) -> DataFrame:
+    """``rail_weather`` where an hour without weather takes the last one of its station, if it is no older than that."""
+    kpi = station_hour_kpi(events, "eva_number", "event_time", F.col("delay_in_min"), F.col("is_canceled"))
+    hour = F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm")).cast("timestamp_ntz")
+    weather = hourly.withColumn("hour", hour).filter("eva_number IS NOT NULL AND hour IS NOT NULL").drop("batch_id", "psa_id", "time")
+    values = [c for c in weather.columns if c not in ("eva_number", "hour")]
+    joined = weather_asof(kpi.withColumn("at", F.col("hour")).drop("hour"), weather, "eva_number", "at", values)
+    fresh = F.timestamp_diff("HOUR", F.col("weather_hour"), F.col("at")) <= within_hours
+    taken = {c: F.when(fresh, F.col(c)) for c in ["weather_hour", *values]}
+    return joined.withColumns(taken).withColumnRenamed("at", "hour")
+
+
+#: Size parameter of the quantile sketches: ranks are off by about 1.33 % at most (99 % of the time).
+SKETCH_K = 200
+
+
+def call_sketches(log: DataFrame) -> DataFrame:
+    """Per source, endpoint and day: calls, a quantile sketch of the response times and a sketch of the distinct calls.
+
+    Sketches of days merge into those of any span, so weekly or monthly figures never read the log again, and a call
+    logged later is added by merging the sketch of its own.
+    """
+    return log.groupBy("source", "endpoint", F.to_date("called_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_calls"),
+        F.kll_sketch_agg_bigint(F.col("response_time_ms").cast("bigint"), F.lit(SKETCH_K)).alias("ms"),
+        F.hll_sketch_agg("params").alias("calls"),
+    )
+
+
+def sketched_performance(sketches: DataFrame, *by: Column, quantile: float = 0.95) -> DataFrame:
+    """Response time at a quantile and number of distinct calls of any span of days, merged from ``call_sketches``."""
+    merged = sketches.groupBy("source", "endpoint", *by).agg(
+        F.sum("n_calls").alias("n_calls"), F.kll_merge_agg_bigint("ms").alias("ms"), F.hll_union_agg("calls").alias("calls")
+    )
+    at = F.kll_sketch_get_quantile_bigint("ms", F.lit(quantile))
+    return merged.withColumns({"ms": at, "calls": F.hll_sketch_estimate("calls")}).withColumnsRenamed({"ms": "quantile_ms", "calls": "n_distinct"})
+
+
 def api_performance(log: DataFrame) -> DataFrame:
     """Calls, status mix and response times per source, endpoint and day.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import json_map
+from .ranking import number_rows
 
 # Ranges outside of which a value is not credible: measure, lowest, highest.
 PLAUSIBLE = [
@@ -99,14 +100,34 @@ def layer_reconcile(objects: DataFrame, vertical: DataFrame) -> DataFrame:
     )
 
 
+def _keys(raw: DataFrame, doc: Column, *columns: str) -> DataFrame:
+    keys = raw.select("batch_id", *columns, F.explode_outer(F.map_keys(json_map(doc))).alias("measure"))
+    return keys.filter("measure IS NOT NULL")
+
+
+def key_changes(raw: DataFrame, doc: Column) -> DataFrame:
+    """Keys that a batch has and the batch before it had not, or the other way round.
+
+    Batches follow each other as they arrived, whatever their ids. A key is ``new`` in the first batch that has it (but
+    not in the very first batch), ``vanished`` in the first one that lacks it again, ``returning`` when it is back.
+    Batches are numbered in range parts and a key is ordered by itself, so no task sees the history of all.
+    """
+    batches = raw.groupBy("batch_id").agg(F.min("ingested_at").alias("arrived_at")).filter("batch_id IS NOT NULL")
+    ordered = number_rows(batches.withColumn("place", F.struct("arrived_at", "batch_id")), "place", "no").select("batch_id", "no")
+    has = _keys(raw, doc).select("batch_id", "measure").distinct().join(ordered, "batch_id")
+    of_key = Window.partitionBy("measure").orderBy("no")
+    around = has.withColumns({"before": F.lag("no").over(of_key), "after": F.lead("no").over(of_key)})
+    came = F.when(F.col("before").isNull(), F.when(F.col("no") > 1, "new")).when(F.col("before") < F.col("no") - 1, "returning")
+    gone = F.when(F.coalesce(F.col("after") > F.col("no") + 1, F.lit(True)), "vanished")
+    told = F.array(F.struct(F.col("no"), came.alias("change")), F.struct((F.col("no") + 1).alias("no"), gone.alias("change")))
+    changes = around.select("measure", F.explode(told).alias("c")).select("measure", "c.*").filter("change IS NOT NULL")
+    # after the last batch there is none in which a key could be missing
+    return changes.join(ordered, "no").select("batch_id", "measure", "change")
+
+
 def measure_drift(raw: DataFrame, doc: Column) -> DataFrame:
-    """Keys per batch, and whether the batch is the first one to carry the key."""
-    per_batch = (
-        raw.select("batch_id", F.explode_outer(F.map_keys(json_map(doc))).alias("measure"))
-        .filter("measure IS NOT NULL")
-        .groupBy("batch_id", "measure")
-        .agg(F.count(F.lit(1)).alias("n_payloads"))
-    )
+    """Keys per batch, and whether the batch is the first one to carry the key, by its id; ``key_changes`` goes by arrival."""
+    per_batch = _keys(raw, doc).groupBy("batch_id", "measure").agg(F.count(F.lit(1)).alias("n_payloads"))
     first = per_batch.groupBy("measure").agg(F.min("batch_id").alias("first_batch"))
     return per_batch.join(first, "measure").select(
         "batch_id", "measure", "n_payloads", (F.col("batch_id") == F.col("first_batch")).alias("is_new")

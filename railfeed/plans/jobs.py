@@ -12,7 +12,7 @@ from .. import settings
 from ..operators import stations as st
 from ..operators import timetables as tt
 from ..operators import weather as wx
-from ..operators.analytics import rail_weather
+from ..operators.analytics import call_sketches, ingested_on, rail_weather, rail_weather_asof, sketched_performance
 from ..operators.matching import build_station_index
 from ..schemas import FCHG_COLUMNS, FORECAST_MEASURES, HISTORY_MEASURES, PLAN_COLUMNS
 from ..session import scratch, staged
@@ -255,11 +255,27 @@ class Warehouse:
         measures = HISTORY_MEASURES if feed == "weather_history" else FORECAST_MEASURES
         wx.rebuild_hours(self.spark, self.path("psa", f"{feed}_vertical"), self.path("dwh", f"{feed}_hourly"), self.stations(), measures)
 
-    def rail_weather(self, feed: str = "weather_history") -> DataFrame:
-        """Hourly indicators of the full-change events beside the weather of their station and hour."""
+    def rail_weather(self, feed: str = "weather_history", within_hours: int = 0) -> DataFrame:
+        """Hourly indicators of the full-change events beside the weather of their station and hour.
+
+        With ``within_hours`` an hour without weather takes the last one of its station that is no older than that, and
+        ``weather_hour`` says which.
+        """
         events = self.spark.read.parquet(self.path("dwh", "timetables_fchg_events"))
+        if within_hours:
+            return rail_weather_asof(events, self.hourly(feed), within_hours)
         return rail_weather(events, self.hourly(feed))
 
+    def sketch_calls(self, day: dt.date) -> None:
+        """Sketches of a day's calls beside the log; repeating it replaces them."""
+        calls = ingested_on(self.calls().withColumnRenamed("called_at", "ingested_at"), day).withColumnRenamed("ingested_at", "called_at")
+        write_partitions(call_sketches(calls), self.path("metadata", "api_call_sketches"), "day")
+
+    def performance(self, first: dt.date, last: dt.date, quantile: float = 0.95) -> DataFrame:
+        """Response times and distinct calls per source and endpoint over days that have been sketched; reads no log."""
+        sketches = self.spark.read.parquet(self.path("metadata", "api_call_sketches"))
+        return sketched_performance(sketches.filter(F.col("day").between(F.lit(first), F.lit(last))), quantile=quantile)
+
     def _write_events(self, feed: str, parse: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]):
         target = self.path("dwh", f"{feed}_events")
 

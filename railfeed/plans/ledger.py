@@ -8,9 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import work_dir
-from ..sources.tables import drop_folder, write_partitions
-
 RUN_SCHEMA = (
     "run_id STRING, process_name STRING, batch_id STRING, event STRING, status STRING, "
     "ts TIMESTAMP_NTZ, message STRING"
@@ -102,11 +99,11 @@ class RunLedger:
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
     def read(self, process: str | None = None) -> DataFrame:
-        """All events, or those of one process, which are a folder of their own."""
+        """All events once, or those of one process, which are a folder of their own."""
         if not self._exists(self.path):
             return self.spark.createDataFrame([], RUN_SCHEMA)
         events = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(self.path).select(*RUN_COLUMNS)
-        return events if process is None else events.filter(F.col("process_name") == process)
+        return (events if process is None else events.filter(F.col("process_name") == process)).distinct()
 
     def append(self, events: list[tuple[str, str, str | None, str, str, str]]) -> None:
         """Add (run_id, process_name, batch_id, event, status, message) at the current time."""
@@ -115,16 +112,23 @@ class RunLedger:
         added = self.spark.createDataFrame(rows, RUN_SCHEMA).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
         added.coalesce(1).write.mode("append").partitionBy("process_name", "day").parquet(self.path)
 
-    def compact(self) -> None:
-        """Join the small files of each process and day into one; no event is lost or changed."""
+    def compact(self) -> int:
+        """Join the small files of each process and day; returns how many there were.
+
+        Only files seen at the start are read and, once their events are written anew, deleted. An event appended
+        meanwhile is in a file of its own and stays. Readers see an event once even while it is stored twice.
+        """
         if not self._exists(self.path):
-            return
-        before = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(self.path)
-        scratch = work_dir(self.spark, "ledger")
-        before.write.parquet(scratch)
-        kept = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").parquet(scratch)
-        write_partitions(kept, self.path, "process_name", "day", rebalance=True)
-        drop_folder(self.spark, scratch)
+            return 0
+        stored = self.spark.read.schema(f"{RUN_SCHEMA}, day STRING").option("basePath", self.path)
+        old = stored.parquet(self.path).inputFiles()
+        # events of a process and day are joined into few files; the listing names them, so it is as long as they are many
+        joined = stored.parquet(*old).distinct().hint("rebalance", "process_name", "day")
+        joined.write.mode("append").partitionBy("process_name", "day").parquet(self.path)
+        for name in old:
+            file = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            file.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(file, False)
+        return len(old)
 
     def is_done(self, process: str, batch_id: str | None) -> bool:
         if batch_id is None:
