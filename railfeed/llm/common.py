@@ -86,6 +86,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def schema_of(df: DataFrame, *fields: str, keep: tuple[str, ...] = ("doc_id",)) -> StructType:
     """The kept columns of ``df`` followed by fields written as DDL."""
     added = StructType.fromDDL(", ".join(fields)) if fields else StructType()

@@ -3,26 +3,26 @@
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from railfeed.llm.common import hash_bitmap, in_bitmap, maybe_in, release, schema_of, slices, small_batches, staged, table, texts
+from railfeed.llm.common import free_name, hash_bitmap, in_bitmap, maybe_in, release, schema_of, slices, small_batches, staged, table, texts
 
 #: A fingerprint covers whole lines of at least GRAM words; every SPAN words of line starts select one.
 GRAM, SPAN, MIN_RUN = 22, 14, 50
 #: Of as many neighbouring words one ends a line. Runs of 4 * FOLD + GRAM + SPAN - 4 words or more share a fingerprint.
 FOLD = 4
+SHORTEST = 4 * FOLD + GRAM + SPAN - 4
 #: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
 BITMAP_BITS = 1 << 27
 #: Bits of the bitmaps of document keys: 8 MB.
 KEY_BITS = 1 << 26
 _WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BASES = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 def folds(hashes: np.ndarray) -> np.ndarray:
@@ -30,7 +30,7 @@ def folds(hashes: np.ndarray) -> np.ndarray:
     start = np.zeros(len(hashes) + 1, bool)
     start[0] = True
     if len(hashes) >= FOLD:
-        keys = (hashes.astype(np.uint64) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
+        keys = (_mix(hashes.astype(np.uint64)) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
         least = keys[: len(hashes) - FOLD + 1]
         for i in range(1, FOLD):
             least = np.minimum(least, keys[i : i + len(least)])
@@ -39,12 +39,14 @@ def folds(hashes: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """CRC-32 of each word, and whether a line starts with it.
+    """XXH64 of each word, which stands for it from here on, and whether a line starts with it.
 
     Lines are folded by their words alone, whatever the line breaks, so a passage set between other words falls into
     the same lines as elsewhere, but for those at its two ends.
     """
-    hashes = np.array(list(map(zlib.crc32, text.encode("utf-8", "surrogatepass").split())), np.uint32)
+    from xxhash import xxh64_intdigest
+
+    hashes = np.array(list(map(xxh64_intdigest, text.encode("utf-8", "surrogatepass").split())), np.uint64)
     return hashes, folds(hashes)
 
 
@@ -54,24 +56,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS: dict[int, list[np.ndarray]] = {}
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse from 0 to ``n`` at least, modulo 2^64."""
-    if len(_POWERS[0]) <= n:
-        for i, base in enumerate((_BASE, _BACK)):
+def _powers(which: int, n: int) -> list[np.ndarray]:
+    """Powers of a base and of its inverse from 0 to ``n`` at least, modulo 2^64."""
+    known = _POWERS.get(which)
+    if known is None or len(known[0]) <= n:
+        known = _POWERS[which] = []
+        for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             out = np.full(2 * n + 1, base, np.uint64)
             out[0] = 1
-            _POWERS[i] = np.multiply.accumulate(out)
-    return _POWERS
+            known.append(np.multiply.accumulate(out))
+    return known
 
 
-def _run_hashes(hashes: np.ndarray):
-    """A function that hashes the runs ``[a, b)`` of the words, equal runs alike wherever they are."""
-    up, down = _powers(len(hashes))
+def _run_hashes(hashes: np.ndarray, which: int = 0):
+    """A function that hashes the runs ``[a, b)`` of the words, equal runs alike wherever they are; there are two of them."""
+    up, down = _powers(which, len(hashes))
     total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1)) * up[: len(hashes)], out=total[1:])
+    np.cumsum(_mix(hashes.astype(np.uint64) + np.uint64(1 + which)) * up[: len(hashes)], out=total[1:])
     return lambda a, b: _mix((total[b] - total[a]) * down[a])
 
 
@@ -215,7 +219,7 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
             words, own, inside = [], [], []
             for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first[1:], len(text)).tolist()):
                 hashes = texts_[row][0]
-                words.append(hashes.astype("<u4").tobytes())
+                words.append(hashes.astype("<u8").tobytes())
                 runs, again = own_runs(hashes, pos[a:b], grams[a:b], min_run)
                 own.append([{"a": x, "b": y} for x, y in runs])
                 inside.append(again)
@@ -251,7 +255,7 @@ def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
                     rows += [(doc, a, b) for a, b in merged(spans)]
                     doc, spans = k, set()
                 found = [(p["pos"], p["at"]) for p in near]
-                spans.update(longest_runs(np.frombuffer(mine, "<u4"), np.frombuffer(other, "<u4"), found, min_run))
+                spans.update(longest_runs(np.frombuffer(mine, "<u8"), np.frombuffer(other, "<u8"), found, min_run))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
                 rows = []
@@ -263,21 +267,21 @@ def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
 
 
 def _windows(places: DataFrame, words: DataFrame, min_run: int, covered: DataFrame | None = None, asked=None) -> DataFrame:
-    """``(doc_id, k, s, window)``: start and hash of the windows around the places ``(k, pos)``.
+    """``(doc_id, k, s, window, proof)``: start and two hashes of the windows around the places ``(k, pos)``.
 
     With ``covered`` only windows that reach out of the ``spans`` of their document, with a bitmap only those in it.
     """
     near = places.groupBy("k").agg(F.collect_set("pos").alias("places"))
     near = near.join(covered, "k", "left") if covered else near.withColumn("spans", F.lit(None).cast("array<struct<a: int, b: int>>"))
     both = words.join(near, "k").select("doc_id", "k", "words", "places", "spans")
-    schema = schema_of(both, "s INT", "window BIGINT", keep=("doc_id", "k"))
+    schema = schema_of(both, "s INT", "window BIGINT", "proof BIGINT", keep=("doc_id", "k"))
 
     def run(batches):
         bits = None if asked is None else np.frombuffer(asked.value, np.uint8)
         for part in slices(batches, 64):
-            at, found = [], []
+            at, found, proofs = [], [], []
             for raw, places_, spans in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
-                hashes = np.frombuffer(raw, "<u4")
+                hashes = np.frombuffer(raw, "<u8")
                 starts = window_starts(np.array(places_, np.int64), len(hashes), min_run)
                 if spans:
                     a, b = np.array(merged((x["a"], x["b"]) for x in spans)).T
@@ -289,8 +293,9 @@ def _windows(places: DataFrame, words: DataFrame, min_run: int, covered: DataFra
                     starts, windows = starts[hit], windows[hit]
                 at.append(starts)
                 found.append(windows)
+                proofs.append(_run_hashes(hashes, 1)(starts, starts + min_run))
             rows = pa.array(np.repeat(np.arange(len(at)), [len(x) for x in at]))
-            columns = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(found).view(np.int64))]
+            columns = [pa.array(np.concatenate(at).astype(np.int32)), *(pa.array(np.concatenate(x).view(np.int64)) for x in (found, proofs))]
             yield pa.RecordBatch.from_arrays([*(part.column(i).take(rows) for i in range(2)), *columns], names=schema.names)
 
     return both.mapInArrow(run, schema)
@@ -305,7 +310,12 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     all equal words. Where its gram occurs a third time and a window of ``min_run`` words around it reaches out of the
     runs found so far, those windows are joined by hash with the first equal ones around any place of the gram. So
     all runs are found, and a group of any size gives rows in proportion to its places. Ranges may overlap.
+
+    Words are compared by 64-bit hashes, windows by two of them made of these. A ``min_run`` under the length that any
+    two equal runs need to share a fingerprint is refused.
     """
+    if min_run < SHORTEST:
+        raise ValueError(f"min_run must be {SHORTEST} or more")
     spark = docs.sparkSession
     seen = _grams(docs).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     with small_batches(spark):
@@ -313,7 +323,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         marked = staged(_marks(docs, repeated, min_run), "line-marks")
     words = marked.select("k", "words")
     own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
-    size = (F.length("words") / 4).cast("int").alias("size")
+    size = (F.length("words") / 8).cast("int").alias("size")
     marks = marked.select("doc_id", "k", size, F.explode("marks").alias("m")).select("doc_id", "k", "size", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
     first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
@@ -333,8 +343,8 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         near = staged(shared.where("n > 2").where(maybe_in(grams, F.col("gram"))).select("k", "pos"), "line-near")
         used = hash_bitmap(near.select("k").distinct(), "k", KEY_BITS)
         windows = staged(_windows(near, texts_.where(maybe_in(used, F.col("k"))), min_run, asked=asked), "line-windows")
-    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "k", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    more = windows.join(first, "window").where("k <> first.k OR s <> first.s")
+    first = windows.groupBy("window", "proof").agg(F.min(F.struct("doc_id", "k", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    more = windows.join(first, ["window", "proof"]).where("k <> first.k OR s <> first.s")
     out = staged(spans.unionAll(more.select("k", F.col("s").alias("a"), (F.col("s") + min_run).alias("b"))), "line-spans")
     release(marked, shared, spans, left, near, windows)
     return out
@@ -361,17 +371,20 @@ def drop_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
     The first place of a run keeps it. A text that is wholly repeated becomes empty, its row stays. Rows whose id or
     text is NULL stay as they are; rows that repeat id and text are one document and change alike. Where there is no
-    ``n_chars`` none is added; columns of any other name are kept.
+    ``n_chars`` of whole numbers none is added or changed; columns of any other name are kept. An empty table stays
+    empty, texts of any length are read whole.
     """
     found = repeated_runs(texts(docs), min_run)
     touched = hash_bitmap(found.select("k").distinct(), "k", KEY_BITS)
-    spans = found.groupBy(F.col("k").alias("__k")).agg(F.collect_list(F.struct("a", "b")).alias("__spans"))
+    key, hit, ranges = (free_name(docs, n) for n in ("key", "hit", "ranges"))
+    spans = found.groupBy(F.col("k").alias(key)).agg(F.collect_list(F.struct("a", "b")).alias(ranges))
     columns_ = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("__k", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
-    marked = marked.withColumn("__hit", maybe_in(touched, F.col("__k")))
-    rest = marked.where("NOT __hit").select(*columns_)  # most documents; these are not shuffled
-    marked = marked.where("__hit").join(spans, "__k", "left").select(*columns_, "__spans")
+    marked = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit("")))))
+    marked = marked.withColumn(hit, maybe_in(touched, F.col(key)))
+    rest = marked.where(~F.col(hit)).select(*columns_)  # most documents; these are not shuffled
+    marked = marked.where(F.col(hit)).join(spans, key, "left").select(*columns_, ranges)
     where = docs.columns.index("text")
+    counted = "n_chars" in docs.columns and isinstance(docs.schema["n_chars"].dataType, IntegralType)
 
     def run(batches):
         for part in slices(batches):
@@ -384,7 +397,7 @@ def drop_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     if spans and new[i] is not None:
                         new[i] = cut_words(new[i], [(s["a"], s["b"]) for s in spans])[0]
                 columns[where] = pa.array(new, type=columns[where].type)
-                if "n_chars" in names:
+                if counted:
                     i = names.index("n_chars")
                     sizes = [len(t) if s and t is not None else old for t, s, old in zip(new, found, columns[i].to_pylist())]
                     columns[i] = pa.array(sizes, type=columns[i].type)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from railfeed.llm.common import components, each_text, staged, table, texts
+from railfeed.llm.common import components, each_text, free_name, staged, table, texts
 
 BITS = 64
 
@@ -130,10 +130,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     """
     _, named = _groups(docs, shingle, radius, "doc_id", "text")
     first = named.groupBy("root").agg(F.min("first").alias("first"))
-    keep = first.select(F.col("first.k1").alias("__k1"), F.col("first.k2").alias("__k2"))
+    one, two = free_name(docs, "k1"), free_name(docs, "k2")
+    keep = first.select(F.col("first.k1").alias(one), F.col("first.k2").alias(two))
     keys = row_keys("doc_id", "text")
-    marked = docs.withColumns({"__k1": keys["k1"], "__k2": keys["k2"]})
-    kept = marked.join(keep, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
+    marked = docs.withColumns({one: keys["k1"], two: keys["k2"]})
+    kept = marked.join(keep, [one, two], "left_semi").dropDuplicates([one, two])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from railfeed.llm import lines as L
 
 
@@ -149,3 +150,35 @@ def test_folds_share_a_fingerprint_in_any_run_of_fifty():
             _, pos, grams = L.winnow([(hashes, L.folds(hashes))])
             found.append(set(zip((pos - len(sides[0])).tolist(), grams.tolist())))
         assert found[0] & found[1]
+
+
+def test_words_with_equal_checksums_are_other_words(spark):
+    """crc32 of the middle words is equal; no 50 words in a row are."""
+    import zlib
+
+    one, other = b"yhcbdjwhj", b"cfmwjcitz"
+    assert zlib.crc32(one) == zlib.crc32(other)
+    left, right = ([f"{side}{i}" for i in range(30)] for side in "lr")
+    docs = [(1, " ".join([*left, one.decode(), *right])), (2, " ".join([*left, other.decode(), *right]))]
+    docs += [(10 + i, t) for i, (_, t) in enumerate(docs * 3)]
+    assert _cleaned(spark, docs) == _kept(docs)
+
+
+def test_runs_too_short_for_the_fingerprints_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id BIGINT, text STRING")
+    with pytest.raises(ValueError):
+        L.drop_repeated_runs(docs, min_run=L.SHORTEST - 1)
+
+
+def test_columns_of_clashing_names_and_kinds(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, text, "many", 1.5, "a", "b") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, n_chars STRING, key DOUBLE, Hit STRING, ranges STRING")
+    out = L.drop_repeated_runs(df)
+    assert out.columns == df.columns
+    assert sorted(tuple(r) for r in out.collect()) == [(0, text, "many", 1.5, "a", "b"), (1, "", "many", 1.5, "a", "b"), (2, "", "many", 1.5, "a", "b")]
+
+
+def test_query_equals_all_windows(spark, sf_dir, text_rows):
+    got = {r.doc_id: (r.clean_text.split(), r.clean_chars == len(r.clean_text)) for r in L.op8_line_dedup(spark, sf_dir).collect()}
+    assert got == {i: (words, True) for i, words in _kept(sorted(text_rows.items())).items()}
