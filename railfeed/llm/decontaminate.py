@@ -133,12 +133,13 @@ class Tokens:
         return at, _mix(total[at])
 
 
-def _windows(frame: DataFrame, bitmap=None, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """``(doc_id, pos, hash, slots, windows)`` per template window, only those in the bitmap where one is given.
+def _windows(frame: DataFrame, bitmap=None, lengths: list[int] | None = None, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
+    """``(doc_id, pos, hash, slots, length, windows)`` per template window, only those in the bitmap where one is given.
 
     ``slots`` holds kind and value of each slot in the window in order, ``windows`` the text's number of windows.
+    Windows have ``lengths`` tokens; where none are given they have ``window``, or all tokens of a shorter text.
     """
-    schema = schema_of(frame, "pos INT", "hash BIGINT", "slots ARRAY<STRING>", "windows INT")
+    schema = schema_of(frame, "pos INT", "hash BIGINT", "slots ARRAY<STRING>", "length INT", "windows INT")
 
     def run(batches):
         known: dict[str, list] = {}
@@ -149,16 +150,17 @@ def _windows(frame: DataFrame, bitmap=None, window: int = WINDOW, literals: int
                 known.clear()
             for row, text in enumerate(part.column(1).to_pylist()):
                 tokens = Tokens(text, known)
-                at, found = tokens.windows(window, literals)
-                count = len(at)
-                if bits is not None and count:
-                    hit = in_bitmap(bits, found)
-                    at, found = at[hit], found[hit]
-                for pos, h in zip(at.tolist(), found.view(np.int64).tolist()):
-                    rows.append((pos, h, tokens.slots(pos, pos + window), count))
-                    at_row.append(row)
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            kinds_ = [pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32()]
+                for length in lengths or [max(1, min(window, len(tokens.hashes)))]:
+                    at, found = tokens.windows(length, literals)
+                    count = len(at)
+                    if bits is not None and count:
+                        hit = in_bitmap(bits, found)
+                        at, found = at[hit], found[hit]
+                    for pos, h in zip(at.tolist(), found.view(np.int64).tolist()):
+                        rows.append((pos, h, tokens.slots(pos, pos + length), length, count))
+                        at_row.append(row)
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            kinds_ = [pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.int32()]
             ids = part.column(0).take(pa.array(at_row, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, type=t) for c, t in zip(columns, kinds_))], names=schema.names)
 
@@ -178,43 +180,75 @@ def contaminated(
 ) -> DataFrame:
     """``(doc_id, item_id, coverage, reworded)`` for each document that holds a benchmark item, plain or re-parameterised.
 
-    Windows of canonical tokens are joined by hash. Those of one document and item at one shift count only if every
-    slot value of the item stands for a single value of the document throughout; ``coverage`` is the share of the
-    item's windows found that way at any shift, ``reworded`` says that some slot value differs. Items too short for a
-    window match nothing, nor do NULL and empty texts. Rows that repeat an id are taken together, NULL ids too, as
-    one document; repeated items likewise. Empty tables give no rows; other columns are ignored.
+    Windows of canonical tokens are joined by hash. A slot value of the item stands for one value of the document at one
+    shift: the one that most windows there have, of equally frequent ones the same value. Windows with another one do
+    not count, the others do. ``coverage`` is the share of the item's windows found that way at any shift, ``reworded``
+    says that some slot value differs. An item shorter than a window is a window of its own, and found only with its own
+    slot values. An item needs a window with ``literals`` words that are no slots; without one it matches nothing, nor do
+    NULL and empty texts. Rows that repeat an id are taken together, NULL ids too, as one document; repeated items
+    likewise. Texts of any length are read whole. Empty tables give no rows; other columns are ignored.
+
+    A document that has the share asked for of an item's windows has one of its rarest ones, however many the others
+    are. So only these are joined first, and a phrase that many items share brings no pairs of its own.
     """
-    windows_ = staged(_windows(texts(benchmark, item_col, item_text_col), None, window, literals), "template-items")
+    windows_ = staged(_windows(texts(benchmark, item_col, item_text_col), None, None, window, literals), "template-items")
+    lengths = sorted(r.length for r in windows_.select("length").distinct().collect())  # up to ``window`` of them
     bitmap = hash_bitmap(windows_, "hash", BITMAP_BITS)
-    found = staged(_windows(texts(docs, id_col, text_col), bitmap, window, literals), "template-windows")
-    items = windows_.select(
-        F.col("doc_id").alias("item_id"), F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"), F.col("windows").alias("iw")
-    ).distinct()
-    hits = found.select("doc_id", "pos", "hash", "slots").join(items, "hash")
+    found = staged(_windows(texts(docs, id_col, text_col), bitmap, lengths or [window], window, literals), "template-windows")
+    found = found.select("doc_id", "pos", "hash", "slots")
+    items = staged(
+        windows_.select(
+            F.col("doc_id").alias("item_id"), F.col("pos").alias("ipos"), "hash", F.col("slots").alias("islots"),
+            (F.col("length") < window).alias("short"), F.col("windows").alias("iw"),
+        ).distinct(),
+        "template-windows-of-items",
+    )
+    # a document with c of an item's w windows has one of any w - c + 1
+    asked = _rarest(items, coverage).join(found.select("doc_id", "hash").distinct(), "hash").select("doc_id", "item_id").distinct()
+    asked = staged(asked, "template-pairs").select(F.col("doc_id").alias("asked_doc"), F.col("item_id").alias("asked_item"))
+    hits = found.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_doc"))).withColumnRenamed("hash", "dhash")
+    hits = hits.join(items, F.col("item_id").eqNullSafe(F.col("asked_item")) & (F.col("hash") == F.col("dhash")))
     # Equal templates have equal slot kinds, so pairs of values line up.
-    pairs = F.arrays_zip("islots", "slots")
-    hits = hits.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "iw", pairs.alias("pairs"))
+    pairs = F.transform(F.arrays_zip("islots", "slots"), lambda p: F.struct(p["islots"].alias("i"), p["slots"].alias("s")))
+    hits = hits.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift"), "ipos", "iw", "short", pairs.alias("pairs"))
     lined = hits.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("ipos").alias("at"), F.max("iw").alias("iw"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    same = F.size(F.array_distinct(F.transform("pairs", lambda p: p["islots"]))) == F.size("pairs")
-    lined = lined.where(same).select(
-        "doc_id", "item_id", "at", "iw", F.exists("pairs", lambda p: p["islots"] != p["slots"]).alias("differs")
+        F.collect_set(F.struct("ipos", "pairs")).alias("hits"), F.max("iw").alias("iw"), F.max("short").alias("short")
     )
+    lined = lined.withColumn("flat", F.flatten("hits.pairs")).withColumn("values", F.expr(_VALUES)).withColumn("taken", F.expr(_TAKEN))
+    lined = lined.withColumn("hits", F.expr(_AGREEING)).where("size(hits) > 0")
+    differs = F.exists(F.flatten("hits.pairs"), lambda p: p["i"] != p["s"])
+    lined = lined.select("doc_id", "item_id", F.col("hits.ipos").alias("at"), "iw", "short", differs.alias("differs")).where("NOT (short AND differs)")
     per_item = lined.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n"), F.max("iw").alias("iw"), F.max("differs").alias("reworded")
     )
     share = F.col("n") / F.col("iw")
     out = per_item.where(share >= coverage).select("doc_id", "item_id", F.least(share, F.lit(1.0)).alias("coverage"), "reworded")
     out = staged(out, "contaminated")
-    release(windows_, found)
+    release(windows_)
     return out
 
 
+# Per slot value of the item: the values of the document, how many windows have each, and the one that is taken.
+_VALUES = "transform(array_distinct(flat), p -> struct(p.i AS i, size(filter(flat, q -> q = p)) AS n, p.i = p.s AS same, p.s AS s))"
+_TAKEN = """transform(filter(values, a -> NOT exists(values, b -> b.i = a.i
+    AND struct(b.n, b.same, b.s) > struct(a.n, a.same, a.s))), a -> struct(a.i AS i, a.s AS s))"""
+_AGREEING = "filter(hits, h -> forall(h.pairs, p -> array_contains(taken, p)))"
+
+
+def _rarest(items: DataFrame, coverage: float) -> DataFrame:
+    """``(item_id, hash)``: so many of an item's windows, those in fewest items first, that the rest is less than the share asked for."""
+    common = items.select("item_id", "hash").distinct().groupBy("hash").agg(F.count("*").alias("items"))
+    own = items.join(common, "hash").groupBy("item_id").agg(
+        F.array_sort(F.collect_set(F.struct("items", "ipos", "hash"))).alias("windows"), F.max("iw").alias("iw")
+    )
+    enough = F.greatest(F.lit(1), F.size("windows") - F.ceil(F.lit(coverage) * F.col("iw")).cast("int") + 1)
+    return own.select("item_id", F.explode(F.slice("windows", F.lit(1), enough)).alias("w")).select("item_id", "w.hash").distinct()
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose document holds no benchmark item; ids compare NULL-safely."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    bad = contaminated(docs, benchmark).select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
