@@ -40,11 +40,15 @@ _JSON_FEEDS = {"db_stations", "weather_forecast", "weather_history"}
 
 
 class Warehouse:
-    """Tables below one root folder: ``stg``, ``psa``, ``dwh`` and ``metadata``."""
+    """Tables below one root folder: ``stg``, ``psa``, ``dwh`` and ``metadata``.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``source_tz`` is the zone of the times in timetables. They are labelled UTC and by default taken as that.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, source_tz: str = "UTC"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.source_tz = source_tz
         self.ledger = RunLedger(spark, f"{self.root}/metadata/process_log")
 
     def path(self, layer: str, table: str) -> str:
@@ -119,6 +123,20 @@ class Warehouse:
                     return batch_id
                 batch_id = f"{make_batch_id(FEEDS[feed], now)}_{uuid.uuid4().hex[:8]}"
 
+    def ingest_pages(self, pages: DataFrame, now: dt.datetime, limit: int, batch_id: str | None = None) -> str:
+        """Stations from the pages of one paging run, ``offset, status_code, payload``, each item as a raw row of its own.
+
+        Items are taken up to where paging stops: a bad or empty page, or the announced total. What was used of the run
+        is logged: announced total, pages, page size and last status.
+        """
+        run = pages.withColumn("batch_id", F.lit("run"))
+        batch_id = self.ingest("db_stations", landing.page_concat(run, limit).select("payload"), now, batch_id)
+        report = landing.page_report(run, limit).first()  # one row per run
+        if report is not None:
+            used = ", ".join(f"{c}={report[c]}" for c in ("total", "page_count", "limit", "status_code"))
+            self.ledger.append([(uuid.uuid4().hex, "db_stations_pages", batch_id, "end", "success", used)])
+        return batch_id
+
     def log_calls(self, calls: DataFrame, params: list[str]) -> None:
         api_call_rows(calls, params).write.mode("append").parquet(self.path("metadata", "api_call_log"))
 
@@ -134,13 +152,14 @@ class Warehouse:
     def forecast_requests(self) -> DataFrame:
         return requests.coord_batches(st.region_coords(self.stations()), "station_id")
 
-    def archive_requests(self, today: dt.date) -> DataFrame:
+    def archive_requests(self, today: dt.date, require_results: bool = False) -> DataFrame:
         """Archive calls: the next window and the measures for every group of places; none without places.
 
-        The region is cut into groups like the forecast calls, so no request grows with the dimension.
+        The window goes on from the last call that succeeded, or with ``require_results`` from the last that also brought
+        something. The region is cut into groups like the forecast calls, so no request grows with the dimension.
         """
         groups = requests.coord_batches(st.region_coords(self.stations()), "station_id", fallback=False)
-        window = requests.archive_window(self.calls(), today).withColumn("hourly", F.lit(",".join(settings.archive_measures())))
+        window = requests.archive_window(self.calls(), today, require_results=require_results).withColumn("hourly", F.lit(",".join(settings.archive_measures())))
         # the window is a grand total, so one row
         one = F.lit(1).alias("one")
         return groups.select("*", one).join(F.broadcast(window.select("*", one)), "one").drop("one")
@@ -288,11 +307,11 @@ class Warehouse:
         return write
 
     def transform_plan(self, latest_only: bool = False) -> list[str]:
-        parse = lambda raw: tt.plan_rows(raw, rejects=True)
+        parse = lambda raw: tt.plan_rows(raw, self.source_tz, rejects=True)
         return self._transform("timetables_plan", self._write_events("timetables_plan", parse, lambda rows: tt.distinct_plan(rows.select(*PLAN_COLUMNS))), latest_only)
 
     def transform_fchg(self, latest_only: bool = False) -> list[str]:
-        parse = lambda raw: tt.fchg_rows_of(raw, rejects=True)
+        parse = lambda raw: tt.fchg_rows_of(raw, self.source_tz, rejects=True)
         return self._transform("timetables_fchg", self._write_events("timetables_fchg", parse, lambda rows: rows.select(*FCHG_COLUMNS)), latest_only)
 
     def changes_index(self) -> KeyIndex:
@@ -309,7 +328,7 @@ class Warehouse:
             index.claim(stored, 0)
 
         def write(raw: DataFrame, todo: list[str]) -> str:
-            dealt = Dealt(tt.rchg_rows(raw, rejects=True))
+            dealt = Dealt(tt.rchg_rows(raw, source_tz=self.source_tz, rejects=True))
             found = staged(tt.first_arrivals(dealt.rows), "found")
             while True:
                 unseen, base = index.unseen(found, todo)

@@ -133,3 +133,21 @@ def test_housekeeping_leaves_everything_readable(spark, house):
     house.ingest("timetables_rchg", texts(spark, doc.format(1), doc.format(9)), T0 + dt.timedelta(minutes=9))
     house.transform_rchg()
     assert spark.read.parquet(house.path("dwh", "timetables_rchg_events")).count() == 4 and house.transform_rchg() == []
+
+
+def test_stations_from_pages_in_one_job(spark, house):
+    """Pages out of order; what comes after the empty page is not used."""
+    one = '{{"number":"{0}","name":"S{0}","evaNumbers":[{{"number":{0},"isMain":true,"geographicCoordinates":{{"coordinates":[8.8,53.1]}}}}],"ril100Identifiers":[]}}'
+    page = lambda *n: '{"total":9,"stations":[' + ",".join(one.format(i) for i in n) + "]}"
+    pages = [(4, 200, page(5)), (0, 200, page(1, 2)), (2, 200, page(3, 4)), (8, 200, page(9)), (6, 200, page())]
+    batch = house.ingest_pages(spark.createDataFrame(pages, "offset INT, status_code INT, payload STRING"), T0, 2)
+    assert sorted(r.station_id for r in house.stations().collect()) == ["1", "2", "3", "4", "5"]
+    (used,) = [r.message for r in house.ledger.read("db_stations_pages").collect()]
+    assert used == "total=9, page_count=3, limit=2, status_code=200" and house.manifest("db_stations").first().batch_id == batch
+
+
+def test_times_of_another_zone(spark):
+    house = Warehouse(spark, work_dir(spark, "house"), source_tz="Europe/Berlin")
+    house.ingest("timetables_plan", texts(spark, '<timetable station="A"><s id="7"><dp pt="2507011200"/></s></timetable>'), T0)
+    house.transform_plan()
+    assert spark.read.parquet(house.path("dwh", "timetables_plan_events")).first().event_time == dt.datetime(2025, 7, 1, 10, 0)
