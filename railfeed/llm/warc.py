@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from railfeed.llm.common import table
+from railfeed.llm.common import staged, table
 from railfeed.session import work_dir
 
 #: Protocol version, date of the captures, profile of a revisit by payload digest.
@@ -21,7 +21,8 @@ VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
-RECORDS_PER_FILE = 30_000
+#: Records of a file: so many, or fewer where pages are long, so that files stay near these plain bytes.
+RECORDS_PER_FILE, FILE_BYTES = 30_000, 256 << 20
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -54,39 +55,46 @@ def _record(kind: Column, record_id: Column, block: Column, *more: tuple[str, Co
 
 
 def captures(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, body_col: str) -> DataFrame:
-    """Pages with payload digest, record type and the record id of the response."""
+    """Pages with payload digest, record type and the record id of the response.
+
+    Rows that repeat another one are captures of their own, told apart by their place in the table. ``pages`` is read
+    twice and must give the same rows in the same partitions, as a stored table does.
+    """
     page = pages.select(
         F.col(id_col).alias("page_id"),
         F.regexp_replace(F.col(url_col), "[\\r\\n]", "%0A").alias("url"),
         F.coalesce(F.col(body_col), F.lit("")).alias("body"),
+        F.monotonically_increasing_id().alias("place"),
     )
     page = page.withColumn("payload_bytes", F.octet_length("body").cast("long"))
-    page = page.withColumn("digest", base32_sha1(F.encode("body", "UTF-8")))
-    own = [F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.coalesce("url", F.lit("")), F.col("digest")]
-    page = page.withColumn("response_id", _record_id("response", *own))
+    page = page.withColumn("digest", base32_sha1(F.encode("body", "UTF-8"))).withColumn("response_id", _record_id("response", *_ident()))
     key = ["digest", "payload_bytes"]
-    # The largest id of equal payloads answers; where every id is NULL, or ids repeat, the smallest record id decides.
-    per_id = page.where(F.col("payload_bytes") >= min_bytes).groupBy(*key, "page_id").agg(F.min("response_id").alias("rid"), F.count("*").alias("n"))
-    first = per_id.groupBy(*key).agg(
-        F.max("page_id").alias("top"), F.max_by("rid", F.coalesce("page_id", F.lit(-(2**63)))).alias("first_id"), F.sum("n").alias("n")
-    )
-    first = first.where("n > 1").select(*key, "first_id")
+    # All rows with the largest id of equal payloads answer; the others refer to the first of them.
+    named = page.where((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
+    order = F.struct("page_id", -F.col("place"))
+    first = named.groupBy(*key).agg(F.max("page_id").alias("top"), F.max_by("response_id", order).alias("first_id"))
     page = page.join(first, key, "left")
-    revisit = F.col("first_id").isNotNull() & (F.col("first_id") != F.col("response_id"))
+    revisit = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     return page.withColumn("refers", F.when(revisit, F.col("first_id")))
 
 
+def _ident() -> list[Column]:
+    return [F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.coalesce("url", F.lit("")), F.col("digest"), F.col("place").cast("string")]
+
+
 def write_archive(
     pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", body_col: str = "html"
 ) -> None:
     """Write three records per page (request, response or revisit, metadata) as gzipped WARC files under ``path``.
 
     A record is a row of text; the blank lines that end it are the writer's line separator. Of equal payloads of at
-    least ``min_bytes`` bytes, the one with the largest id is the response and the others are revisits of it.
+    least ``min_bytes`` bytes, that with the largest id is the response (all rows that have it, where it repeats) and
+    the others are revisits of it. A NULL html is empty, an empty table gives no records, other columns are ignored.
     """
+    size = pages.select(F.avg(F.octet_length(body_col))).first()[0] or 0
+    records_per_file = max(3, min(RECORDS_PER_FILE, int(3 * FILE_BYTES / (size + 1))))
     page = captures(pages, min_bytes, id_col, url_col, body_col)
-    rid, url = F.col("response_id"), F.col("url")
-    ident = [F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.coalesce("url", F.lit("")), F.col("digest")]
+    rid, url, ident = F.col("response_id"), F.col("url"), _ident()
     host = F.regexp_extract(url, "://([^/?#]*)", 1)
     target = F.when(F.regexp_extract(url, "://[^/?#]*(.*)$", 1) != "", F.regexp_extract(url, "://[^/?#]*(.*)$", 1)).otherwise(F.lit("/"))
     asked = F.concat(F.lit("GET "), F.coalesce(target, F.lit("/")), F.lit(" HTTP/1.1\r\n"), _lines(("Host", host)), F.lit("\r\n"))
@@ -115,7 +123,7 @@ def write_archive(
         ),
     )
     rows = page.select(F.explode(records).alias("value"))
-    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def _inflate(raw: bytes) -> Iterator[bytes]:
@@ -160,7 +168,11 @@ def parse_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         first, *lines = bytes(buffer[at:stop]).decode("utf-8", "replace").split("\r\n")
         if not first.startswith("WARC/"):
             raise ValueError(f"no record starts with {first[:40]!r}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        headers: dict[str, str] = {}
+        for name, _, value in (line.partition(":") for line in lines):
+            name, value = name.strip().lower(), value.strip()
+            # a capture may be concurrent to several records
+            headers[name] = f"{headers[name]}\n{value}" if name == "warc-concurrent-to" and name in headers else value
         size, at = int(headers["content-length"]), stop + 4
         if not need(lambda: len(buffer) >= at + size):
             raise ValueError("archive ends within a record's block")
@@ -169,7 +181,7 @@ def parse_records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 RECORD = (
-    "kind STRING, record_id STRING, concurrent_to STRING, refers_to STRING, uri STRING, payload_bytes BIGINT, "
+    "kind STRING, record_id STRING, concurrent_to ARRAY<STRING>, refers_to STRING, uri STRING, payload_bytes BIGINT, "
     "payload_digest STRING, status INT, fields MAP<STRING, STRING>, payload BINARY"
 )
 
@@ -195,14 +207,15 @@ def _row(headers: dict[str, str], block: bytes, payloads: bool) -> tuple:
     stated = headers.get("warc-payload-digest")
     if kind == "response" and stated and stated != f"sha1:{digest}":
         raise ValueError(f"payload of {headers.get('warc-record-id')} differs from its digest")
-    ids = (headers.get("warc-record-id"), headers.get("warc-concurrent-to"), headers.get("warc-refers-to"))
+    with_ = headers["warc-concurrent-to"].split("\n") if "warc-concurrent-to" in headers else []
+    ids = (headers.get("warc-record-id"), with_, headers.get("warc-refers-to"))
     return (kind, *ids, headers.get("warc-target-uri"), size, digest, status, list(fields.items()), payload if payloads else None)
 
 
 def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row per record; a response's size and digest are taken from the payload as read, and checked."""
     schema = StructType.fromDDL(RECORD)
-    kinds = [*[pa.string()] * 5, pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary()]
+    kinds = [*[pa.string()] * 2, pa.list_(pa.string()), *[pa.string()] * 2, pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary()]
 
     def flush(rows):
         columns = zip(*rows) if rows else [[]] * len(kinds)
@@ -225,29 +238,57 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataF
 
 
 def transactions(records: DataFrame) -> DataFrame:
-    """One nested row per capture: its response or revisit, with the request and metadata that are concurrent to it.
+    """One nested row per capture: its response or revisit, and all request and metadata records concurrent to it.
 
-    ``refers`` is the capture that a revisit refers to. A capture without request or metadata has NULL there; request
-    or metadata records whose capture is missing are left out. Records with an id seen twice are one record.
+    Records are concurrent whichever of the two names the other. ``request`` and ``metadata`` are the ones with the
+    smallest record id, ``requests`` and ``metadata_records`` have all of them in that order; NULL and empty where there
+    is none. ``refers`` is the metadata of the capture that a revisit refers to. Request or metadata records whose
+    capture is missing are left out; records with an id seen twice are one record. No records give no rows. A payload
+    of any length goes through as it is.
     """
     once = records.dropDuplicates(["record_id"])
-    part = lambda name, *cols: F.struct(*cols).alias(name)
-    answer = once.where("kind IN ('response', 'revisit')").select(
-        "record_id", "refers_to", "uri", part("response", "kind", "status", "payload_bytes", "payload_digest", "fields", "payload")
+    is_answer = F.col("kind").isin("response", "revisit")
+    shown = F.struct("kind", "status", "payload_bytes", "payload_digest", "fields", "payload")
+    answers = once.where(is_answer).select(
+        F.col("record_id").alias("capture"), F.struct("refers_to", "uri", shown.alias("response")).alias("answer"), F.lit(None).cast(_PARTNER).alias("partner")
+    )
+    partners = once.where("kind IN ('request', 'metadata')").select(
+        "record_id", "concurrent_to", F.struct("kind", F.col("record_id").alias("id"), "fields").alias("partner")
     )
-    asked = once.where("kind = 'request'").select(F.col("concurrent_to").alias("record_id"), part("request", F.col("record_id").alias("id"), "fields"))
-    told = once.where("kind = 'metadata'").select(F.col("concurrent_to").alias("record_id"), part("metadata", F.col("record_id").alias("id"), "fields"))
-    whole = answer.join(asked, "record_id", "left").join(told, "record_id", "left")
-    other = told.select(F.col("record_id").alias("refers_to"), F.col("metadata").alias("refers"))
-    return whole.join(other, "refers_to", "left")
+    # captures that the record names, and those that name it
+    named = once.where(is_answer).select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("record_id"))
+    pairs = partners.select(F.explode("concurrent_to").alias("capture"), "partner").unionAll(
+        named.join(partners, "record_id").select("capture", "partner")
+    )
+    both = answers.unionByName(pairs.withColumn("answer", F.lit(None).cast(answers.schema["answer"].dataType)))
+    whole = both.groupBy("capture").agg(F.max_by("answer", F.col("answer").isNotNull()).alias("answer"), F.collect_set(F.struct(
+        F.col("partner.id"), F.col("partner.kind"), F.to_json("partner.fields").alias("fields"))).alias("partners"))
+    some = lambda kind: F.transform(
+        F.filter(F.array_sort("partners"), lambda p: p["kind"] == kind),
+        lambda p: F.struct(p["id"].alias("id"), F.from_json(p["fields"], "MAP<STRING, STRING>").alias("fields")),
+    )
+    whole = whole.where("answer IS NOT NULL").select(
+        F.col("capture").alias("record_id"), "answer.*", some("request").alias("requests"), some("metadata").alias("metadata_records")
+    )
+    first = {"request": F.get("requests", F.lit(0)), "metadata": F.get("metadata_records", F.lit(0))}
+    whole = whole.withColumns(first)
+    other = whole.select(F.col("record_id").alias("refers_to"), F.col("metadata").alias("refers"))
+    # only revisits refer to anything, so responses do not meet under NULL
+    found = whole.where("refers_to IS NOT NULL").join(other, "refers_to", "left")
+    rest = whole.where("refers_to IS NULL").withColumn("refers", F.lit(None).cast(other.schema["refers"].dataType))
+    return found.unionByName(rest)
+
+
+_PARTNER = "STRUCT<kind: STRING, id: STRING, fields: MAP<STRING, STRING>>"
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of ``pages`` that repeat id, url and html are one capture. A NULL id is never the largest."""
+    """One row per row of ``pages``. A NULL id is never the largest; where equal payloads have no other, all are responses."""
     path = work_dir(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), path, min_bytes=0)
     page_id = lambda c: F.element_at(F.col(f"{c}.fields"), "page-id").cast("long")
-    return transactions(read_archive(spark, path, payloads=False)).select(
+    records = staged(read_archive(spark, path, payloads=False), "records")  # the archive is parsed once
+    return transactions(records).select(
         page_id("metadata").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),

@@ -4,6 +4,7 @@ import base64
 import glob
 import gzip
 import hashlib
+from collections import Counter
 
 import compare
 from railfeed.llm import warc as W
@@ -16,13 +17,13 @@ def _brute(rows):
     for i, _, html, _ in rows:
         if i is not None:
             top[html or ""] = max(top.get(html or "", i), i)
-    out = set()
+    out = []
     for i, _, html, _ in rows:
         raw = (html or "").encode()
         first = top.get(html or "")
         kind = "response" if i == first else "revisit"
-        out.add((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), kind, None if kind == "response" else first))
-    return out
+        out.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), kind, None if kind == "response" else first))
+    return Counter(out)
 
 
 def _query(spark, frame, path):
@@ -41,10 +42,9 @@ def test_equal_payloads_and_odd_pages(spark, tmp_path):
     rows = [(i, f"http://a.net/{i}", "copy é中", "x") for i in range(300)]
     rows += [(400, None, None, None), (401, "no scheme", "", "x"), (402, "http://b.org/x\r\nEvil: 1", trap, "x"), (403, "http://c.org?q", trap + " ", "x")]
     rows += [(404, "http://d.org", "\r\n\r\n", "x"), (405, "u", "z" * 3_000_000, "x"), (406, "u", "\x00\x1f line\r\n", "x"), (None, "n", "no id", "x")]
-    frame = spark.createDataFrame(rows + rows[-3:-1] + rows[:5], SCHEMA).repartition(3)
-    got = _query(spark, frame, str(tmp_path / "w"))
-    expected = {r if r[0] is not None else (None, 5, r[2], "response", None) for r in _brute(rows)}
-    assert set(got) == expected and len(got) == len(expected)
+    rows += rows[-4:] + rows[:5] + [rows[299]] * 2 + [(299, "other url", "copy é中", "x"), (None, "m", "z" * 3_000_000, "x")]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert Counter(_query(spark, frame, str(tmp_path / "w"))) == _brute(rows)
 
 
 def test_archives_are_plain_warc_files(spark, tmp_path):
@@ -74,3 +74,43 @@ def test_several_gzip_members_and_empty_tables(spark, tmp_path):
     assert len(list(W.parse_records(gzip.compress(record) * 3))) == 3
     empty = spark.createDataFrame([], SCHEMA)
     assert _query(spark, empty, str(tmp_path / "w")) == []
+
+
+def _warc(kind, name, block, *more):
+    head = "".join(f"{k}: {v}\r\n" for k, v in (("WARC-Type", kind), ("WARC-Record-ID", name), *more, ("Content-Length", len(block))))
+    return f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_transactions_with_several_and_missing_partners(spark, tmp_path):
+    answer = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    to = lambda *names: [("WARC-Concurrent-To", n) for n in names]
+    records = [
+        _warc("response", "a", answer, *to("q2")),  # names its request itself
+        _warc("request", "q1", b"GET /1 HTTP/1.1\r\n\r\n", *to("a", "b")),  # sent once for two captures
+        _warc("request", "q2", b"GET /2 HTTP/1.1\r\n\r\n"),
+        _warc("metadata", "m2", b"page-id: 12\r\n", *to("a")),
+        _warc("metadata", "m1", b"page-id: 11\r\n", *to("a")),
+        _warc("metadata", "m1", b"page-id: 11\r\n", *to("a")),
+        _warc("revisit", "b", b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\n", ("WARC-Refers-To", "a")),
+        _warc("response", "alone", answer),
+        _warc("request", "lost", b"GET /3 HTTP/1.1\r\n\r\n", *to("nowhere")),
+        _warc("revisit", "c", b"HTTP/1.1 200 OK\r\n\r\n", ("WARC-Refers-To", "nowhere")),
+    ]
+    (tmp_path / "x.warc").write_bytes(b"".join(records))
+    rows = {r.record_id: r for r in W.transactions(W.read_archive(spark, str(tmp_path / "x.warc"))).collect()}
+    assert sorted(rows) == ["a", "alone", "b", "c"]
+    ids = lambda part: [p.id for p in part]
+    assert ids(rows["a"].requests) == ["q1", "q2"] and rows["a"].request.fields["request-line"] == "GET /1 HTTP/1.1"
+    assert ids(rows["a"].metadata_records) == ["m1", "m2"] and rows["a"].metadata.fields["page-id"] == "11"
+    assert ids(rows["b"].requests) == ["q1"] and rows["b"].metadata is None and rows["b"].refers.id == "m1"
+    assert rows["alone"].requests == [] and rows["alone"].request is None and bytes(rows["alone"].response.payload) == b"body"
+    assert rows["c"].refers is None and rows["c"].refers_to == "nowhere"
+
+
+def test_files_of_long_pages_are_cut_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "FILE_BYTES", 1 << 20)
+    frame = spark.createDataFrame([(i, f"http://a.net/{i}", f"{i} " + "x" * 200_000, "x") for i in range(30)], SCHEMA).coalesce(1)
+    W.write_archive(frame, str(tmp_path / "w"))
+    sizes = [len(gzip.open(f).read()) for f in glob.glob(str(tmp_path / "w" / "part-*"))]
+    assert len(sizes) >= 5 and max(sizes) < 2 << 20
+    assert len(_query(spark, frame, str(tmp_path / "w2"))) == 30
