@@ -27,9 +27,10 @@ STRICT_FORMS = (
     r"^AKIA[A-Z2-7]{16}$",
     r"^gh[pousr]_[A-Za-z0-9]{36}$",
     r"^xox[abpr]-[0-9A-Za-z-]{20,}$",
-    r"^[0-9a-f]{40}$",
-    r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,64}$",
 )
+#: Hex digits are keys as often as commit ids and checksums, so what stands before them decides.
+HEX_FORM = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,128}$"
+DIGEST_WORDS = r"^(commits?|sha|md|crc|checksums?|digests?|hash|hashes|revisions?|rev|blob|tree|etag|fingerprints?|sums?|uuid|merge|parent)$"
 PLAIN_WORD = r"^[A-Za-z][a-z]+$"
 PLAIN_FORMS = (r"^[0-9_/+-]+$", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", r"^/?[a-z]+(/[a-z0-9_-]*[a-z])+$")
 LABELLED = 20_000
@@ -140,10 +141,13 @@ def _with_odds(rows: DataFrame, odds: list[DataFrame]) -> DataFrame:
 def form_labels(found: DataFrame) -> DataFrame:
     """Labelled findings where no table of them is given: by form, 1 for strict ones and 0 for plain ones.
 
-    Lower-case words are plain where no keyword or sign of assignment stands before them.
+    Lower-case words are plain where no keyword or sign of assignment stands before them. Hex digits are a secret where
+    they are assigned to a keyword, and plain after a word for a digest or a revision; elsewhere they have no label.
     """
+    digits, digest = F.col("value").rlike(HEX_FORM), F.col("left_word").rlike(DIGEST_WORDS)
     strict = F.greatest(*[F.col("value").rlike(p) for p in STRICT_FORMS])
-    plain = F.greatest(*[F.col("value").rlike(p) for p in PLAIN_FORMS])
+    strict |= digits & ~digest & (F.col("keyword") == 1) & (F.col("assigned") == 1)
+    plain = F.greatest(*[F.col("value").rlike(p) for p in PLAIN_FORMS]) | (digits & digest)
     plain |= F.col("value").rlike(PLAIN_WORD) & (F.col("keyword") + F.col("assigned") == 0)
     return found.withColumn("label", F.when(plain, 0).when(strict, 1)).where("label IS NOT NULL")
 

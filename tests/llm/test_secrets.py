@@ -91,3 +91,28 @@ def test_every_planted_key_is_a_secret(spark, sf_dir, text_rows):
     assert planted <= found
     words = {(r.doc_id, r.value) for r in rows if re.fullmatch("[A-Za-z][a-z]{15,}", r.value)}
     assert len(words & found) <= 0.02 * len(words)
+
+
+def test_commit_ids_and_checksums_are_no_secrets(spark):
+    rng = random.Random(3)
+    hexes = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k - 2)) + "a1"
+    words = ["the", "value", "of", "this", "report", "number", "build", "see", "fixed", "in"]
+    rows, truth = [], {}
+    for i in range(400):
+        kind = i % 4
+        value = hexes((40, 64, 40, 32)[kind])
+        lead = (f"{rng.choice(['commit', 'revision'])} ", f"{rng.choice(['sha256', 'checksum'])}: ", "api_key = ", "password=")[kind]
+        text = " ".join(rng.choice(words) for _ in range(12))
+        rows.append((i, f"{text} {lead}{value} {text}", ("docs/changes.md", "docs/files.md", "conf/app.env", "src/run.py")[kind]))
+        truth[value] = kind > 1
+    got = {r.value: r.secret for r in S.scan(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING"), min_docs=3).collect()}
+    assert got == truth
+
+
+def test_findings_that_contradict_themselves(spark):
+    """A value judged both ways counts as judged plain."""
+    rows, truth = _corpus(2, 200)
+    known = [(v, y) for v, y in truth.items()] + [(v, 0) for v in list(truth)[:8]] + [(None, 1), (list(truth)[9], None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    out = S.scan(docs, spark.createDataFrame(known, "value STRING, label INT"), min_docs=3).collect()
+    assert {r.value for r in out} == set(truth) and len(out) == len(rows)
