@@ -67,32 +67,28 @@ def row_keys(id_col: str, text_col: str) -> dict[str, Column]:
 def linked(distinct: DataFrame, radius: int = 2) -> DataFrame:
     """Edges ``(u, v)`` that connect exactly the fingerprints ``fp`` within ``radius`` (0 to 2) bits, by chains.
 
-    Fingerprints that share a masked value with another one are candidates. Two of them differ in at most two bits
-    if and only if their closed one-flip neighbourhoods meet, and a neighbourhood holds at most 65 fingerprints. So
-    each candidate is sent to its 65 neighbours and linked to the smallest fingerprint met there: all links are
-    kept through chains, no bucket is compared pair by pair, however many fingerprints it holds.
+    Table t files a fingerprint under its bits inside mask t. Two fingerprints within the radius collide in the table
+    whose mask has none of the bits they differ in, and there each is sent to itself with one of the bits outside the
+    mask flipped, or none: they differ in at most two such bits if and only if they meet at one of these. At a meeting
+    place all are within two bits of each other, so each is linked to the smallest one met: all links are kept through
+    chains, no bucket is compared pair by pair, however many fingerprints it holds.
     """
     if radius not in (0, 1, 2):
         raise ValueError("radius must be 0, 1 or 2")
     if radius == 0:
         return distinct.select(F.col("fp").alias("u"), F.col("fp").alias("v")).where("false")
-    keyed = distinct.select(
-        "fp",
-        F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in covering_masks(radius)])).alias("t", "k"),
-    )
-    shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1").select("t", "k")
-    candidates = staged(keyed.join(shared, ["t", "k"], "left_semi").select("fp").distinct(), "candidates")
-    flips = [F.lit(_signed(1 << i)) for i in range(BITS)]
+    masks = covering_masks(radius)
+    filed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "k"))
+    shared = filed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1").select("t", "k")
+    collided = staged(filed.join(shared, ["t", "k"], "left_semi"), "collided")
+    outside = F.array(*[F.array(*[F.lit(_signed(1 << i)) for i in range(BITS) if not m >> i & 1]) for m in masks])
+    flips = F.element_at(outside, F.col("t") + 1)
     if radius == 2:
-        keys = [F.struct(F.lit(-1).alias("b"), F.col("fp").alias("key"))]
-        keys += [F.struct(F.lit(-1).alias("b"), F.col("fp").bitwiseXOR(f).alias("key")) for f in flips]
+        places = F.transform(F.concat(F.array(F.lit(0).cast("long")), flips), lambda f: F.struct(F.lit(0).cast("long").alias("b"), F.col("fp").bitwiseXOR(f).alias("at")))
     else:
-        keys = [
-            F.struct(F.lit(i).alias("b"), F.col("fp").bitwiseAND(F.lit(_signed(~(1 << i) & (2**64 - 1)))).alias("key"))
-            for i in range(BITS)
-        ]
-    near = candidates.select("fp", F.explode(F.array(*keys)).alias("at")).select("fp", "at.b", "at.key")
-    meet = near.withColumn("least", F.min("fp").over(Window.partitionBy("b", "key")))
+        places = F.transform(flips, lambda f: F.struct(f.alias("b"), F.col("fp").bitwiseOR(f).alias("at")))
+    near = collided.select("fp", "t", "k", F.explode(places).alias("p")).select("fp", "t", "k", "p.b", "p.at")
+    meet = near.withColumn("least", F.min("fp").over(Window.partitionBy("t", "k", "b", "at")))
     return meet.where("least < fp").select(F.col("fp").alias("u"), F.col("least").alias("v")).distinct()
 
 

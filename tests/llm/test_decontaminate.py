@@ -145,3 +145,9 @@ def test_a_shared_phrase_brings_no_pairs(spark):
     theirs = D._windows(D.texts(spark.createDataFrame(docs, "doc_id BIGINT, text STRING")), None, [5]).select("doc_id", "hash")
     assert rare.join(theirs, "hash").select("doc_id").distinct().count() == 1
     assert _found(spark, docs, items) == {(999, 3): (1.0, False)}
+
+
+def test_query_equals_comparing_all(spark, sf_dir, text_rows):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id): (r.coverage, r.reworded) for r in D.op9_benchmark_decontamination(spark, sf_dir).collect()}
+    assert got == _plain(list(text_rows.items()), items)
