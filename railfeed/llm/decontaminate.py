@@ -214,8 +214,9 @@ def contaminated(
     lined = hits.groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set(F.struct("ipos", "pairs")).alias("hits"), F.max("iw").alias("iw"), F.max("short").alias("short")
     )
-    lined = lined.withColumn("flat", F.flatten("hits.pairs")).withColumn("values", F.expr(_VALUES)).withColumn("taken", F.expr(_TAKEN))
-    lined = lined.withColumn("hits", F.expr(_AGREEING)).where("size(hits) > 0")
+    pairs = F.flatten("hits.pairs")
+    one_each = F.size(F.array_distinct(F.transform(pairs, lambda p: p["i"]))) == F.size(F.array_distinct(pairs))
+    lined = lined.withColumn("hits", F.when(one_each, F.col("hits")).otherwise(F.expr(_AGREEING))).where("size(hits) > 0")
     differs = F.exists(F.flatten("hits.pairs"), lambda p: p["i"] != p["s"])
     lined = lined.select("doc_id", "item_id", F.col("hits.ipos").alias("at"), "iw", "short", differs.alias("differs")).where("NOT (short AND differs)")
     per_item = lined.groupBy("doc_id", "item_id").agg(
@@ -228,11 +229,14 @@ def contaminated(
     return out
 
 
-# Per slot value of the item: the values of the document, how many windows have each, and the one that is taken.
-_VALUES = "transform(array_distinct(flat), p -> struct(p.i AS i, size(filter(flat, q -> q = p)) AS n, p.i = p.s AS same, p.s AS s))"
-_TAKEN = """transform(filter(values, a -> NOT exists(values, b -> b.i = a.i
-    AND struct(b.n, b.same, b.s) > struct(a.n, a.same, a.s))), a -> struct(a.i AS i, a.s AS s))"""
-_AGREEING = "filter(hits, h -> forall(h.pairs, p -> array_contains(taken, p)))"
+# Windows whose slot values are those taken: per value of the item, the value of the document that most windows have.
+# Every step is bound to a name by a one-element array, so that it is worked out once and not for each window.
+_AGREEING = """element_at(transform(array(flatten(hits.pairs)), flat -> element_at(
+  transform(array(transform(array_distinct(flat), p -> struct(p.i AS i, size(filter(flat, q -> q = p)) AS n, p.i = p.s AS same, p.s AS s))),
+  known -> element_at(transform(array(transform(
+    filter(known, a -> NOT exists(known, b -> b.i = a.i AND struct(b.n, b.same, b.s) > struct(a.n, a.same, a.s))),
+    a -> struct(a.i AS i, a.s AS s))),
+  taken -> filter(hits, h -> forall(h.pairs, p -> array_contains(taken, p)))), 1)), 1)), 1)"""
 
 
 def _rarest(items: DataFrame, coverage: float) -> DataFrame:
