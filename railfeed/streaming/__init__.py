@@ -3,6 +3,7 @@
 from .streams import (
     land_stream,
     latest_weather_stream,
+    page_stream,
     plan_stream,
     rchg_dedup_stream,
     rchg_insert_stream,
@@ -12,6 +13,7 @@ from .streams import (
 __all__ = [
     "land_stream",
     "latest_weather_stream",
+    "page_stream",
     "plan_stream",
     "rchg_dedup_stream",
     "rchg_insert_stream",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from railfeed.operators.matching import build_station_index
 from railfeed.schemas import FORECAST_MEASURES
 from railfeed.session import work_dir
-from railfeed.streaming import land_stream, latest_weather_stream, rchg_insert_stream, station_hour_stream
+from railfeed.streaming import land_stream, latest_weather_stream, page_stream, rchg_insert_stream, station_hour_stream
 
 
 def test_whole_files_land_untouched_and_once(spark, tmp_path):
@@ -82,3 +82,23 @@ def test_repeated_changes_are_inserted_once(spark):
     assert poll(5, 5) == [(5, one)]
     assert poll(5, 6) == [(5, one), (6, "RCHG_000000000001")]
     assert poll(6) == [(5, one), (6, "RCHG_000000000001")]
+
+
+def test_pages_in_any_order_give_their_run(spark):
+    source, stored, target, progress = (work_dir(spark, f"pages-{n}") for n in ("in", "stored", "out", "progress"))
+    schema = "batch_id STRING, offset INT, status_code INT, payload STRING"
+    page = lambda *n: "[" + ",".join(f'{{"n":{i}}}' for i in n) + "]"
+
+    def poll(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        page_stream(spark.readStream.schema(schema).parquet(source), stored, target, progress, 2).awaitTermination()
+        items = spark.read.schema("batch_id STRING, offset INT, pos INT, payload STRING").parquet(target).collect()
+        return {b: [int(r.payload[5:-1]) for r in sorted(items, key=lambda r: (r.offset, r.pos)) if r.batch_id == b] for b in {r.batch_id for r in items}}
+
+    whole = '{"total":6,"data":' + page(1, 2) + "}"
+    assert poll(("a", 4, 200, "{\"data\":[{\"n\":5},{\"n\":6}]}")) == {"a": [5, 6]}
+    assert poll(("a", 0, 200, whole), ("b", 0, 200, page())) == {"a": [1, 2, 5, 6]}
+    assert poll(("a", 2, 500, "down")) == {"a": [1, 2]}
+    # the page is fetched again: the run is whole
+    assert poll(("a", 2, 200, '{"data":[{"n":3},{"n":4}]}')) == {"a": [1, 2, 3, 4, 5, 6]}
+    assert poll(("a", 0, 500, "down")) == {}
