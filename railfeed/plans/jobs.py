@@ -9,10 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import settings
+from ..operators import quality as dq
 from ..operators import stations as st
 from ..operators import timetables as tt
 from ..operators import weather as wx
-from ..operators.analytics import call_sketches, ingested_on, rail_weather, rail_weather_asof, sketched_performance
+from ..operators.analytics import call_sketches, duplicate_keys, ingested_on, rail_weather, rail_weather_asof, sketched_performance
 from ..operators.matching import build_station_index
 from ..schemas import FCHG_COLUMNS, FORECAST_MEASURES, HISTORY_MEASURES, PLAN_COLUMNS
 from ..session import scratch, staged
@@ -21,7 +22,7 @@ from ..sources.membership import KeyIndex
 from ..sources.snapshots import Conflict, Head, SnapshotTable, added, removed
 from ..sources.tables import numbered, scan_batch, write_partitions
 from .layers import Taken, kept, latest_batch, make_batch_id, promote, purge, stage, staging
-from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches
+from .ledger import CALL_SCHEMA, RunLedger, api_call_rows, pending_batches, succeeded_batches
 from .outcomes import Dealt
 
 # feed, batch id prefix
@@ -188,10 +189,16 @@ class Warehouse:
         table = self._station_table()
         return table.read().drop("part") if table.version() else st.station_dimension(self.raw("db_stations"))
 
-    def pending(self, feed: str) -> list[str]:
-        """Oldest batches still to transform, at most as many as one job takes; found in the manifest alone."""
-        process, batches = f"{feed}_transform", self.manifest(feed)
+    def pending(self, feed: str, step: str = "transform", after: str | None = None) -> list[str]:
+        """Oldest batches still to work off, at most as many as one job takes; found in the manifest and the ledger alone.
+
+        With ``after`` only batches that step has succeeded on.
+        """
+        process, batches = f"{feed}_{step}", self.manifest(feed)
         todo = pending_batches(batches, self.ledger.read(process), process)
+        if after is not None:
+            done = succeeded_batches(self.ledger.read(f"{feed}_{after}"), f"{feed}_{after}")
+            todo = todo.join(done, "batch_id", "left_semi")
         arrived = batches.groupBy("batch_id").agg(F.max("arrived_at").alias("at"))
         oldest = arrived.join(todo, "batch_id", "left_semi").orderBy("at", "batch_id").limit(BATCHES_PER_JOB)
         return [r.batch_id for r in oldest.collect()]
@@ -265,6 +272,53 @@ class Warehouse:
 
         return self._transform(feed, write, latest_only)
 
+    def report_weather(self, feed: str) -> list[str]:
+        """Quality of the batches that have been transformed since the last report: a summary each, and what is not credible.
+
+        A batch is reported once; repeating the job replaces its rows.
+        """
+        done, process = [], f"{feed}_report"
+        while todo := self.pending(feed, "report", after="transform"):
+
+            def job() -> str:
+                rows = wx.read_vertical(self.spark, self.path("psa", f"{feed}_vertical")).filter(F.col("batch_id").isin(*todo))
+                write_partitions(dq.batch_summary(rows), self.path("dwh", f"{feed}_batch_summary"), "batch_id")
+                odd = dq.range_violations(rows, "psa_id", "obj_pos", "pos", "station_id", "time", "batch_id")
+                write_partitions(odd, self.path("dwh", f"{feed}_implausible"), "batch_id")
+                return f"batches={len(todo)}"
+
+            self.ledger.run_all(process, todo, job)
+            done += todo
+        return done
+
+    def batch_summary(self, feed: str) -> DataFrame:
+        """Rows, gaps, missing values and times of each reported weather batch."""
+        return self.spark.read.parquet(self.path("dwh", f"{feed}_batch_summary"))
+
+    def implausible(self, feed: str) -> DataFrame:
+        """Measures of reported batches outside of what is credible."""
+        return self.spark.read.parquet(self.path("dwh", f"{feed}_implausible"))
+
+    def alerts(self, feed: str) -> DataFrame:
+        """Hours of the latest view in which a threshold is passed."""
+        return dq.extreme_alerts(self.hourly(feed), "station_id", "time")
+
+    def duplicate_hours(self, feed: str) -> DataFrame:
+        """Station hours that the latest view has more than once; there should be none."""
+        return duplicate_keys(self.hourly(feed), ["station_id", "time"])
+
+    def trace(self, feed: str) -> DataFrame:
+        """Rows of each batch in the raw layers, by their logs, and the last status of its runs."""
+        rows = F.sum("n_rows")
+        out = None
+        for name, table in (("stg", self.staged(feed)), ("psa", self.kept(feed))):
+            one = table.entries().groupBy("batch_id").agg(rows.alias(f"{name}_rows"))
+            out = one if out is None else out.join(one, "batch_id", "full_outer")
+        runs = self.ledger.read().filter(F.col("process_name").isin(f"{feed}_import", f"{feed}_transform", f"{feed}_report"))
+        status = runs.groupBy("batch_id").agg(F.max_by(F.struct("process_name", "status"), F.struct("ts", F.col("event") == "end")).alias("last"))
+        counts = [F.coalesce(f"{n}_rows", F.lit(0)).alias(f"{n}_rows") for n in ("stg", "psa")]
+        return out.join(status, "batch_id", "full_outer").select("batch_id", *counts, "last.process_name", "last.status")
+
     def hourly(self, feed: str) -> DataFrame:
         """The stored hourly view of a weather feed."""
         return wx.read_hours(self.spark, self.path("dwh", f"{feed}_hourly"))

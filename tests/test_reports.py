@@ -151,3 +151,23 @@ def test_times_of_another_zone(spark):
     house.ingest("timetables_plan", texts(spark, '<timetable station="A"><s id="7"><dp pt="2507011200"/></s></timetable>'), T0)
     house.transform_plan()
     assert spark.read.parquet(house.path("dwh", "timetables_plan_events")).first().event_time == dt.datetime(2025, 7, 1, 10, 0)
+
+
+def test_quality_of_batches_as_a_job(spark, house):
+    station = '{"number":"1","name":"Bremen","evaNumbers":[{"number":80,"isMain":true,"geographicCoordinates":{"coordinates":[8.8,53.1]}}],"ril100Identifiers":[{"rilIdentifier":"HB","isMain":true}]}'
+    house.ingest("db_stations", texts(spark, f"[{station}]"), T0)
+    day = '{{"latitude":53.1,"longitude":8.8,"hourly":{{"time":["2025-03-11T09:00","2025-03-11T10:00"],"temperature_2m":[{},{}]}}}}'
+    house.ingest("weather_history", texts(spark, day.format(4, 70)), T0, "b1")
+    assert house.report_weather("weather_history") == []  # nothing has been transformed
+    house.transform_weather("weather_history")
+    house.ingest("weather_history", texts(spark, day.format(36, 5)), T0 + dt.timedelta(hours=1), "b2")
+    assert house.report_weather("weather_history") == ["b1"]
+    house.transform_weather("weather_history")
+    assert house.report_weather("weather_history") == ["b2"] and house.report_weather("weather_history") == []
+    summary = {r.batch_id: (r.n_rows, r.n_implausible, r.first_time) for r in house.batch_summary("weather_history").collect()}
+    assert summary == {"b1": (2, 1, "2025-03-11T09:00"), "b2": (2, 0, "2025-03-11T09:00")}
+    assert [(r.batch_id, r.measure, r.value) for r in house.implausible("weather_history").collect()] == [("b1", "temperature_2m", 70.0)]
+    assert [(r.time, r.alert, r.value) for r in house.alerts("weather_history").collect()] == [("2025-03-11T09:00", "heat", 36.0)]
+    assert house.duplicate_hours("weather_history").count() == 0
+    trace = {r.batch_id: (r.stg_rows, r.psa_rows, r.process_name, r.status) for r in house.trace("weather_history").collect()}
+    assert trace == {b: (0, 1, "weather_history_report", "success") for b in ("b1", "b2")}
