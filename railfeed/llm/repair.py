@@ -21,6 +21,8 @@ from railfeed.session import work_dir
 
 MAGIC = b"RPSHARD1"
 SHARD_TOKENS = 1 << 21
+#: Words whose ids a Python worker remembers, some 200 bytes each.
+KNOWN_WORDS = 1_000_000
 PAIRS_PER_ROUND = 4096
 MIN_COUNT = 8
 MIN_GAIN = 0.05
@@ -190,7 +192,8 @@ def write_tokens(
     """Write shards ``(part, shard, tokens, payload)`` in ascending id order as Parquet under ``path``.
 
     A NULL or empty text is the end id alone. NULL ids come first; rows that repeat an id follow each other in the
-    order of their texts. Documents are not split over shards. Other columns are ignored.
+    order of their texts. Documents are not split over shards, so a very long text makes a shard of its own length. An
+    empty table gives no shards. Other columns are ignored.
     """
     frame = texts(docs, id_col, text_col)
     ordered = frame.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -198,7 +201,7 @@ def write_tokens(
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encode, part_no, number = encoder(vocabulary, True).encode, TaskContext.get().partitionId(), 0
+        encode, part_no, number = encoder(vocabulary, True, KNOWN_WORDS).encode, TaskContext.get().partitionId(), 0
         ids, held, ends, size = [], [], [], 0
 
         def close():

@@ -158,8 +158,9 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, labelled: int = LAB
     ``findings`` has ``value`` and ``label`` (0 or 1) of findings judged before; without it, findings of well-known
     forms give the labels. At most ``labelled`` of them, chosen by a hash, are used: one half teaches which words stand
     next to secrets, the other trains the forest. With one kind of label only, or none, nothing is removed.
-    NULL and empty texts have no candidates, an empty table gives no rows, repeated rows repeat their findings. Only
-    ``doc_id``, ``text`` and ``source`` are read.
+    NULL and empty texts have no candidates, an empty table gives no rows, repeated rows repeat their findings. Texts of
+    any length are scanned whole. A value that ``findings`` judges both ways counts as 0; equal hashes are taken in the
+    order of their values. Only ``doc_id``, ``text`` and ``source`` are read.
     """
     found = staged(candidates(docs), "secret-candidates")
     rows = staged(_features(found, dictionary(docs, min_docs)), "secret-features")

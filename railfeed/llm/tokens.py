@@ -88,8 +88,8 @@ class WordEncoder:
         return b"".join(map(self.known.__getitem__, pieces))
 
 
-def encoder(path: str, spaces: bool) -> WordEncoder:
-    """One per Python worker and vocabulary, so that later tasks know the words of earlier ones."""
-    if (path, spaces) not in _SHARED:
-        _SHARED[path, spaces] = WordEncoder(path, spaces)
-    return _SHARED[path, spaces]
+def encoder(path: str, spaces: bool, keep: int = 100_000) -> WordEncoder:
+    """One per Python worker and vocabulary, so that later tasks know the words of earlier ones; it holds ``keep`` words."""
+    if (path, spaces, keep) not in _SHARED:
+        _SHARED[path, spaces, keep] = WordEncoder(path, spaces, keep)
+    return _SHARED[path, spaces, keep]
