@@ -13,27 +13,36 @@ from railfeed.llm.simhash import drop_near_duplicates
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored under 0.7 go; the model learns from the labelled ones among ``docs``."""
+    """Documents scored under 0.7 go; the model learns from the labelled ones among ``docs``.
+
+    NULL and empty texts are scored like any other; an empty table stays empty.
+    """
     return keep_good(docs, train(docs, table(spark, sf_dir, "labels")), threshold=0.7)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of 50 words or more are cut out of the texts; every document stays."""
+    """Later repeats of runs of 50 words or more are cut out of the texts; every document stays.
+
+    Rows whose id or text is NULL stay as they are, empty texts too.
+    """
     return drop_repeated_runs(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, the one with the smallest id.
+
+    NULL and empty texts are one group; a NULL id stays only where no row of its group has one.
+    """
     return drop_near_duplicates(docs, shingle=3, radius=2)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; NULL and empty texts hold none and stay."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all remaining token ids in sequences of at most 4096."""
+    """Places of all remaining token ids in sequences of at most 4096; a NULL or empty text is its end id alone."""
     return pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
