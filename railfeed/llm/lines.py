@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -17,37 +15,92 @@ GRAM, SPAN, MIN_RUN = 22, 14, 50
 #: Of as many neighbouring words one ends a line. Runs of 4 * FOLD + GRAM + SPAN - 4 words or more share a fingerprint.
 FOLD = 4
 SHORTEST = 4 * FOLD + GRAM + SPAN - 4
+#: Rows of as many of the most frequent fingerprints are dealt to all partitions where they are joined.
+HOT = 500
 #: Bits of the bitmap of repeated fingerprints: 16 MB, whatever the number of documents.
 BITMAP_BITS = 1 << 27
 #: Bits of the bitmaps of document keys: 8 MB.
 KEY_BITS = 1 << 26
-_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+#: Words of more bytes are hashed one by one.
+LONG = 64
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+#: The first 0 to 8 bytes of a number.
+_HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BASES = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
-def folds(hashes: np.ndarray) -> np.ndarray:
-    """Where lines start: at the first word, and after the smallest hash of each FOLD neighbours, the first of equal ones."""
+def folds(hashes: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+    """Where lines start: at the first word, and after the smallest hash of each FOLD neighbours, the first of equal ones.
+
+    With ``first``, the first word of each text and the end of the last, lines and neighbours stay within their text.
+    """
+    first = np.array([0, len(hashes)]) if first is None else first
     start = np.zeros(len(hashes) + 1, bool)
-    start[0] = True
     if len(hashes) >= FOLD:
         keys = (_mix(hashes.astype(np.uint64)) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
         least = keys[: len(hashes) - FOLD + 1]
         for i in range(1, FOLD):
             least = np.minimum(least, keys[i : i + len(least)])
-        start[(least & np.uint64(0xFFFFFFFF)).astype(np.int64) + 1] = True
+        whole = np.ones(len(least), bool)
+        for i in range(1, FOLD):  # neighbours over the end of a text are none
+            ends = first[1:-1] - i
+            whole[ends[(ends >= 0) & (ends < len(whole))]] = False
+        start[(least[whole] & np.uint64(0xFFFFFFFF)).astype(np.int64) + 1] = True
+    start[first] = True
     return start[:-1]
 
 
-def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """XXH64 of each word, which stands for it from here on, and whether a line starts with it.
+def word_edges(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word in the bytes of several texts, which begin and end at ``cuts``."""
+    if not len(raw):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    space = _SPACE[raw]
+    before, after = np.ones(len(raw), bool), np.ones(len(raw), bool)
+    before[1:], after[:-1] = space[:-1], space[1:]
+    before[cuts[cuts < len(raw)]] = True
+    after[cuts[cuts > 0] - 1] = True
+    return np.flatnonzero(before & ~space), np.flatnonzero(after & ~space) + 1
+
+
+def _hash_bytes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of bytes: eight at a time are mixed in, long ones take XXH64."""
+    from xxhash import xxh64_intdigest
+
+    eights = np.ndarray(len(raw) + 1, "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]), strides=(1,))
+    sizes = ends - starts
+    out = _mix(sizes.astype(np.uint64) + np.uint64(_BASES[0]))
+    which, at = np.arange(len(starts)), starts
+    for done in range(0, LONG, 8):
+        out[which] = _mix((out[which] ^ (eights[at] & _HEAD[np.minimum(sizes[which] - done, 8)])) + np.uint64(_BASES[1]))
+        more = sizes[which] > done + 8
+        which, at = which[more], at[more] + 8
+        if not len(which):
+            break
+    for i in which.tolist():
+        out[i] = xxh64_intdigest(raw[starts[i] : ends[i]])
+    return out
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of a column without NULLs, one after the other, and where each begins and the last ends."""
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    cuts = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]] if data else np.empty(0, np.uint8)
+    return raw, cuts - cuts[0]
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, which stands for it from here on, whether a line starts with it, and the first word
+    of each text and the end of the last.
 
     Lines are folded by their words alone, whatever the line breaks, so a passage set between other words falls into
     the same lines as elsewhere, but for those at its two ends.
     """
-    from xxhash import xxh64_intdigest
-
-    hashes = np.array(list(map(xxh64_intdigest, text.encode("utf-8", "surrogatepass").split())), np.uint64)
-    return hashes, folds(hashes)
+    raw, cuts = _bytes_of(column)
+    starts, ends = word_edges(raw, cuts)
+    hashes, first = _hash_bytes(raw, starts, ends), np.searchsorted(starts, cuts)
+    return hashes, folds(hashes, first), first
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,26 +133,29 @@ def _run_hashes(hashes: np.ndarray, which: int = 0):
 
 
 def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: int = SPAN):
-    """``(text, position, gram)`` of the selected lines of several texts, given as word hashes and starts.
+    """``selected`` for several texts, given one by one as word hashes and starts."""
+    first = np.cumsum([0, *(len(h) for h, _ in parts)])
+    return selected(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)), first, gram, span)
+
+
+def selected(hashes: np.ndarray, start: np.ndarray, first: np.ndarray, gram: int = GRAM, span: int = SPAN):
+    """``(text, position, gram)`` of the selected lines of several texts, given as ``word_hashes`` does.
 
     The gram of a line is a hash of the fewest lines from it on that hold ``gram`` words. Among the lines that start
     within ``span`` words of a line, the one with the smallest gram is selected, the first of equal ones. So any two
     runs of equal lines with ``gram + span`` words share a selected gram.
     """
-    none = np.empty(0, np.uint64)
-    sizes = np.array([len(h) for h, _ in parts], np.int64)
-    text_end = np.cumsum(sizes)
-    text_start = text_end - sizes
-    n = int(sizes.sum())
-    hashes, start = (np.concatenate([p[i] for p in parts]) if n else none for i in (0, 1))
+    none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     at = np.flatnonzero(start)
-    ends = np.append(at[1:], n)
-    text = np.repeat(np.arange(len(parts)), sizes)[at] if n else at
+    if not len(at):
+        return none
+    ends = np.append(at[1:], len(hashes))
+    text = np.searchsorted(first, at, "right") - 1
     last = np.minimum(np.searchsorted(ends, at + gram), len(ends) - 1)
-    full = (ends[last] >= at + gram) & (ends[last] <= text_end[text]) if n else np.empty(0, bool)
+    full = (ends[last] >= at + gram) & (ends[last] <= first[text + 1])
     at, stop, text = at[full], ends[last][full], text[full]
     if not len(at):
-        return np.empty(0, np.int64), np.empty(0, np.int64), none
+        return none
     grams = _run_hashes(hashes)(at, stop)
     best, least = np.arange(len(at)), grams.copy()
     for step in range(1, min(span, len(at))):
@@ -110,7 +166,7 @@ def winnow(parts: list[tuple[np.ndarray, np.ndarray]], gram: int = GRAM, span: i
         least[where], best[where] = grams[where + step], where + step
     chosen = np.zeros(len(at), bool)
     chosen[best] = True
-    return text[chosen], at[chosen] - text_start[text[chosen]], grams[chosen]
+    return text[chosen], at[chosen] - first[text[chosen]], grams[chosen]
 
 
 def merged(spans) -> list[list[int]]:
@@ -171,8 +227,10 @@ def own_runs(hashes: np.ndarray, pos: np.ndarray, grams: np.ndarray, min_run: in
 
     Such a place repeats one of its own document, which stands for it elsewhere.
     """
+    if len(set(grams.tolist())) == len(grams):
+        return [], np.zeros(len(pos), bool)
     _, which, n = np.unique(grams, return_inverse=True, return_counts=True)
-    starts = window_starts(pos[n[which] > 1], len(hashes), min_run) if (n > 1).any() else pos[:0]
+    starts = window_starts(pos[n[which] > 1], len(hashes), min_run)
     if not len(starts):
         return [], np.zeros(len(pos), bool)
     _, first, which = np.unique(_run_hashes(hashes)(starts, starts + min_run), return_index=True, return_inverse=True)
@@ -189,7 +247,7 @@ def _grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in slices(batches, 64):
-            found = winnow([word_hashes(t) for t in part.column(0).to_pylist()])
+            found = selected(*word_hashes(part.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(found[2].view(np.int64))], names=["gram"])
 
     return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "gram BIGINT")
@@ -211,16 +269,16 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
     def run(batches):
         bits = np.frombuffer(repeated.value, np.uint8)
         for part in slices(batches, 64):
-            texts_ = [word_hashes(t) for t in part.column(2).to_pylist()]
-            found = winnow(texts_)
+            hashes, start, begin = word_hashes(part.column(2))
+            found = selected(hashes, start, begin)
             hit = in_bitmap(bits, found[2])
             text, pos, grams = (x[hit] for x in found)
             rows, first = np.unique(text, return_index=True)
             words, own, inside = [], [], []
             for row, a, b in zip(rows.tolist(), first.tolist(), np.append(first[1:], len(text)).tolist()):
-                hashes = texts_[row][0]
-                words.append(hashes.astype("<u8").tobytes())
-                runs, again = own_runs(hashes, pos[a:b], grams[a:b], min_run)
+                mine = hashes[begin[row] : begin[row + 1]]
+                words.append(mine.astype("<u8").tobytes())
+                runs, again = own_runs(mine, pos[a:b], grams[a:b], min_run)
                 own.append([{"a": x, "b": y} for x, y in runs])
                 inside.append(again)
             stay = ~np.concatenate([np.empty(0, bool), *inside])
@@ -233,6 +291,21 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
+def _hot(rows: DataFrame, key: str) -> Column:
+    """Whether ``key`` is among the HOT most frequent ones of ``rows``, by a sketch of bounded size."""
+    top = rows.agg(F.call_function("approx_top_k", F.col(key), F.lit(HOT), F.lit(8 * HOT)).alias("top")).first().top or []
+    return F.col(key).isin([x.item for x in top]) if top else F.lit(False)
+
+
+def _with_first(rows: DataFrame, keys: list[str], first: DataFrame) -> DataFrame:
+    """``rows`` joined with their ``first`` by ``keys``; rows of the most frequent keys are dealt to all partitions."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = _hot(rows, keys[0])
+    rows = rows.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("k"), F.lit(parts))).otherwise(0))
+    first = first.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))))
+    return rows.join(first.withColumn("salt", F.col("salt").cast("long")), [*keys, "salt"]).drop("salt")
+
+
 def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
     """``(k, a, b)`` of the equal runs around ``(k, pos)`` and the earlier ``(ck, at)``.
 
@@ -240,10 +313,10 @@ def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
     are in one.
     """
     pairs = staged(places.groupBy("k", "ck").agg(F.collect_set(F.struct("pos", "at")).alias("places")), "line-pairs")
-    used = hash_bitmap(pairs.select(F.explode(F.array("k", "ck")).alias("k")).distinct(), "k", KEY_BITS)
-    words = words.where(maybe_in(used, F.col("k")))
-    both = pairs.join(words.select(F.col("k").alias("ck"), F.col("words").alias("other")), "ck")
-    both = both.join(words.select("k", F.col("words").alias("mine")), "k")
+    earlier, later = (hash_bitmap(pairs.select(F.col(c).alias("k")).distinct(), "k", KEY_BITS) for c in ("ck", "k"))
+    others = words.where(maybe_in(earlier, F.col("k"))).select(F.col("k").alias("ck"), F.col("words").alias("other"))
+    mine = words.where(maybe_in(later, F.col("k"))).select("k", F.col("words").alias("mine"))
+    both = pairs.join(others, "ck").join(mine, "k")
     kinds = [pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches):
@@ -327,7 +400,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     marks = marked.select("doc_id", "k", size, F.explode("marks").alias("m")).select("doc_id", "k", "size", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
     first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
-    shared = staged(marks.join(first, "gram"), "line-shared")
+    shared = staged(_with_first(marks, ["gram"], first), "line-shared")
     pair = ["k", "pos", F.col("first.k").alias("ck"), F.col("first.pos").alias("at")]
     with small_batches(spark):
         spans = staged(own.unionAll(_extended(shared.where("k <> first.k").select(*pair), words, min_run)), "line-spans")
@@ -344,7 +417,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         used = hash_bitmap(near.select("k").distinct(), "k", KEY_BITS)
         windows = staged(_windows(near, texts_.where(maybe_in(used, F.col("k"))), min_run, asked=asked), "line-windows")
     first = windows.groupBy("window", "proof").agg(F.min(F.struct("doc_id", "k", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    more = windows.join(first, ["window", "proof"]).where("k <> first.k OR s <> first.s")
+    more = _with_first(windows, ["window", "proof"], first).where("k <> first.k OR s <> first.s")
     out = staged(spans.unionAll(more.select("k", F.col("s").alias("a"), (F.col("s") + min_run).alias("b"))), "line-spans")
     release(marked, shared, spans, left, near, windows)
     return out
@@ -353,15 +426,15 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
     """The text without the words in the ranges, which may overlap, and how many words went."""
     raw = text.encode("utf-8", "surrogatepass")
-    at = [m.span() for m in _WORD.finditer(raw)]
+    starts, ends = word_edges(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
     out, done, gone = [], 0, 0
     for a, b in merged(spans):
         gone += b - a
-        if b < len(at):
-            out.append(raw[done : at[a][0]])
-            done = at[b][0]
+        if b < len(starts):
+            out.append(raw[done : starts[a]])
+            done = starts[b]
         else:  # to the end, with the space before it
-            out.append(raw[done : max(done, at[a - 1][1] if a else 0)])
+            out.append(raw[done : max(done, ends[a - 1] if a else 0)])
             done = len(raw)
     return b"".join([*out, raw[done:]]).decode("utf-8", "surrogatepass"), gone
 
