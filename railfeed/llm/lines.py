@@ -254,13 +254,13 @@ def _grams(docs: DataFrame) -> DataFrame:
 
 
 def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
-    """``(doc_id, k, words, marks, own)`` of documents with selected grams in the bitmap.
+    """``(doc_id, k, size, words, marks, own)`` of documents with selected grams in the bitmap.
 
-    ``words`` has all word hashes, ``marks`` those grams, and ``own`` the runs that repeat within the document.
+    ``words`` has all ``size`` word hashes, ``marks`` those grams, and ``own`` the runs that repeat within the document.
     """
     frame = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("doc_id", "text").alias("k"), "text")
     schema = schema_of(
-        frame, "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT>>",
+        frame, "size INT", "words BINARY", "marks ARRAY<STRUCT<pos: INT, gram: BIGINT>>",
         "own ARRAY<STRUCT<a: INT, b: INT>>", keep=("doc_id", "k"),
     )
     span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -286,7 +286,8 @@ def _marks(docs: DataFrame, repeated, min_run: int) -> DataFrame:
             arrays = [pa.array(pos[stay].astype(np.int32)), pa.array(grams[stay].view(np.int64))]
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, fields=mark))
             ids = [part.column(i).take(pa.array(rows, pa.int64())) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(words, pa.binary()), lists, pa.array(own, span)], names=schema.names)
+            sizes = pa.array(np.diff(begin)[rows].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*ids, sizes, pa.array(words, pa.binary()), lists, pa.array(own, span)], names=schema.names)
 
     return frame.mapInArrow(run, schema)
 
@@ -323,12 +324,15 @@ def _extended(places: DataFrame, words: DataFrame, min_run: int) -> DataFrame:
         # Rows of a document come together where the join sorts, so most of their overlaps are merged here.
         doc, spans, rows = None, set(), []
         for part in slices(batches, 16):
-            for k, mine, other, near in zip(*(part.column(i).to_pylist() for i in range(4))):
+            near = part.column(3)
+            pos, at = (near.flatten().field(i).to_numpy(zero_copy_only=False).tolist() for i in range(2))
+            edges = np.cumsum([0, *near.value_lengths().to_pylist()]).tolist()
+            for k, mine, other, i, j in zip(*(part.column(i).to_pylist() for i in range(3)), edges, edges[1:]):
                 if k != doc:
                     rows += [(doc, a, b) for a, b in merged(spans)]
                     doc, spans = k, set()
-                found = [(p["pos"], p["at"]) for p in near]
-                spans.update(longest_runs(np.frombuffer(mine, "<u8"), np.frombuffer(other, "<u8"), found, min_run))
+                mine, other = np.frombuffer(mine, "<u8"), np.frombuffer(other, "<u8")
+                spans.update(longest_runs(mine, other, zip(pos[i:j], at[i:j]), min_run))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["k", "a", "b"])
                 rows = []
@@ -396,8 +400,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         marked = staged(_marks(docs, repeated, min_run), "line-marks")
     words = marked.select("k", "words")
     own = marked.select("k", F.explode("own").alias("s")).select("k", "s.a", "s.b")
-    size = (F.length("words") / 8).cast("int").alias("size")
-    marks = marked.select("doc_id", "k", size, F.explode("marks").alias("m")).select("doc_id", "k", "size", "m.*")
+    marks = marked.select("doc_id", "k", "size", F.explode("marks").alias("m")).select("doc_id", "k", "size", "m.*")
     place = F.min(F.struct("doc_id", "k", "pos")).alias("first")
     first = marks.groupBy("gram").agg(place, F.count("*").alias("n")).where("n > 1")
     shared = staged(_with_first(marks, ["gram"], first), "line-shared")
