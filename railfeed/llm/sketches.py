@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from railfeed.llm.common import schema_of, slices, table, texts
 
-#: Cells of the fingerprint itself, cells per digest, and fold of long paragraphs.
-CELLS, HASHES, FOLD = 16, 3, 8
+#: Cells of the first level of a fingerprint, cells per digest, and fold of long paragraphs.
+CELLS, HASHES, FOLD = 16, 3, 16
 
 
 def paragraph_digests(text: str, fold: int = FOLD) -> np.ndarray:
@@ -46,13 +46,13 @@ def _mix(x: np.ndarray, salt) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_CHECK = 1 << 20
+_CHECK, _LOW = 1 << 20, np.uint64(0xFFFFFFFF)
 
 
 class Sketches:
     """Many sketches side by side, each with its own number of cells and hashes.
 
-    A cell has a count, the sum of its digests and the sum of their checks, modulo 2^64. Sketches of equal shape
+    A cell has a count, the sum of its digests modulo 2^64 and the sum of their checks modulo 2^32. Sketches of equal shape
     subtract cell by cell; that gives the same as taking the digests of one out of the other, which is what
     ``update`` with a sign of -1 does.
     """
@@ -85,7 +85,7 @@ class Sketches:
             look = look[np.abs(self.count[look]) == 1]
             sign = self.count[look]
             digests = self.keys[look] * sign.view(np.uint64)
-            pure = _mix(digests, _CHECK) == self.checks[look] * sign.view(np.uint64)
+            pure = (_mix(digests, _CHECK) ^ (self.checks[look] * sign.view(np.uint64))) & _LOW == 0
             which, digests, sign = self.owner[look[pure]], digests[pure], sign[pure]
             _, first = np.unique(_mix(digests, which.astype(np.uint64)), return_index=True)
             if not len(first):
@@ -98,13 +98,14 @@ class Sketches:
         left[self.owner[(self.count != 0) | (self.keys != 0)]] = True
         return (*(np.concatenate(x) for x in zip(*found)), left)
 
-    def dumps(self) -> list[str]:
-        """Each sketch as its little-endian counts, sums and checks, in base64."""
-        out = []
-        for a, n in zip(self.base.tolist(), (HASHES * self.third).tolist()):
-            parts = self.count[a : a + n].astype("<i4"), self.keys[a : a + n].astype("<u8"), self.checks[a : a + n].astype("<u8")
-            out.append(base64.b64encode(b"".join(x.tobytes() for x in parts)).decode())
-        return out
+    def cells(self, which: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts, sums and checks of one sketch."""
+        at = slice(self.base[which], self.base[which] + HASHES * self.third[which])
+        return self.count[at], self.keys[at], self.checks[at]
+
+    def put(self, which: int, cells) -> None:
+        at = slice(self.base[which], self.base[which] + HASHES * self.third[which])
+        self.count[at], self.keys[at], self.checks[at] = cells
 
 
 def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -112,42 +113,141 @@ def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return which, np.concatenate(lists) if lists else np.empty(0, np.uint64)
 
 
-def fingerprints(digests: list[np.ndarray], cells: int = CELLS) -> list[str]:
-    """The sketch of each list of digests, as text."""
-    out = Sketches(np.full(len(digests), cells), np.ones(len(digests)))
-    which, flat = _flat(digests)
+def _filled(lists: list[np.ndarray], cells, salts) -> Sketches:
+    out = Sketches(cells, salts)
+    which, flat = _flat(lists)
     out.update(which, flat, np.ones(len(flat), np.int64))
-    return out.dumps()
+    return out
 
 
-def differences(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(pair, digest, side)`` of all digests that only one side of a pair has; side 1 is the first, -1 the second.
+def _dealt(cells: int, n: int) -> list[int]:
+    """Cells of the levels that a fingerprint of ``n`` digests shares with others: four times as many each."""
+    out = [cells]
+    while out[-1] * 16 <= n:
+        out.append(out[-1] * 4)
+    return out
 
-    The sketches of a pair are subtracted and peeled. Where they are too small for that, both are made anew with twice
-    the cells and other hashes. A difference is no smaller than that of the sizes, so smaller sketches are not tried.
+
+class Fingerprints:
+    """Fingerprints of many lists of digests: sketches in levels, from small ones for small differences to one that
+    gives up all digests.
+
+    Sketches of the shared levels have the same cells in all fingerprints, so two of them subtract. The last one has
+    cells for its own list alone; it is made larger until it peels. What a fingerprint holds depends on its own list
+    only, and any two of them give their exact difference without the texts.
     """
-    open_ = np.arange(len(pairs))
-    apart = np.array([abs(len(a) - len(b)) for a, b in pairs], np.int64)
-    size = np.maximum(cells, apart + apart // 2)
-    found, salt = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))], 1
-    while len(open_):
-        both = Sketches(size[open_], np.full(len(open_), salt))
-        for side in (0, 1):
-            which, flat = _flat([pairs[i][side] for i in open_])
-            both.update(which, flat, np.full(len(flat), 1 - 2 * side, np.int64))
-        which, digests, sign, failed = both.peel()
-        done = ~failed[which]
-        found.append((open_[which[done]], digests[done], sign[done]))
-        open_, salt = open_[failed], salt + 1
-        size[open_] *= 2
-    return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def likeness(pairs: list[tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> list[float]:
-    """Shared digests over all distinct ones of each pair, from the peeled difference; 1 for two without any."""
-    differ = np.bincount(differences(pairs, cells)[0], minlength=len(pairs)).tolist()
-    both = [len(a) + len(b) for a, b in pairs]
-    return [(n - d) / (n + d) if n else 1.0 for n, d in zip(both, differ)]
+
+    def __init__(self, lists: list[np.ndarray], cells: int = CELLS):
+        self.first, self.sizes = cells, np.array([len(x) for x in lists], np.int64)
+        self.levels: list[tuple[np.ndarray, Sketches]] = []
+        deep = np.array([len(_dealt(cells, n)) for n in self.sizes.tolist()], np.int64)
+        for level in range(int(deep.max(initial=0))):
+            rows = np.flatnonzero(deep > level)
+            size = cells * 4**level
+            self.levels.append((rows, _filled([lists[i] for i in rows], np.full(len(rows), size), np.full(len(rows), level + 1))))
+        self.whole = np.maximum(cells, self.sizes * 27 // 20 + 12)
+        self.salts = np.full(len(lists), 100)
+        self.last: list = [None] * len(lists)
+        open_ = np.arange(len(lists))
+        while len(open_):
+            made = _filled([lists[i] for i in open_], self.whole[open_], self.salts[open_])
+            for j, i in enumerate(open_.tolist()):
+                self.last[i] = tuple(x.copy() for x in made.cells(j))
+            which, digests, sign, failed = made.peel()
+            peeled = np.bincount(which, sign, minlength=len(open_)).astype(np.int64)
+            failed |= peeled != self.sizes[open_]
+            open_ = open_[failed]
+            self.whole[open_] += self.whole[open_] // 4
+            self.salts[open_] += 1
+
+    def dumps(self) -> list[str]:
+        """Each fingerprint in base64: digests, cells and hash number of the last level, then counts, sums and checks of all levels."""
+        own: list[list] = [[] for _ in self.last]
+        for rows, sketches in self.levels:
+            for j, i in enumerate(rows.tolist()):
+                own[i].append(sketches.cells(j))
+        out = []
+        for i, levels in enumerate(own):
+            head = np.array([self.sizes[i], self.whole[i], self.salts[i]], "<u4").tobytes()
+            parts = [x for c, k, h in [*levels, self.last[i]] for x in (c.astype("<i4"), k.astype("<u8"), (h & _LOW).astype("<u4"))]
+            out.append(base64.b64encode(b"".join([head, *(x.tobytes() for x in parts)])).decode())
+        return out
+
+    @classmethod
+    def loads(cls, prints: list[str], cells: int = CELLS) -> Fingerprints:
+        """The fingerprints that ``dumps`` wrote, of the same cells in the first level."""
+        raws = [base64.b64decode(p) for p in prints]
+        out = cls([], cells)
+        heads = np.array([np.frombuffer(r, "<u4", 3) for r in raws], np.int64).reshape(-1, 3)
+        out.sizes, out.whole, out.salts = heads[:, 0].copy(), heads[:, 1].copy(), heads[:, 2].copy()
+        deep = np.array([len(_dealt(cells, n)) for n in out.sizes.tolist()], np.int64)
+        at = np.full(len(raws), 12)
+
+        def read(i: int, n: int):
+            n, parts = HASHES * max(n // HASHES, 1), []
+            for kind in ("<i4", "<u8", "<u4"):
+                parts.append(np.frombuffer(raws[i], kind, n, at[i]).astype(np.int64 if kind == "<i4" else np.uint64))
+                at[i] += parts[-1].size * int(kind[2])
+            return tuple(parts)
+
+        for level in range(int(deep.max(initial=0))):
+            rows = np.flatnonzero(deep > level)
+            sketches = Sketches(np.full(len(rows), cells * 4**level), np.full(len(rows), level + 1))
+            for j, i in enumerate(rows.tolist()):
+                sketches.put(j, read(i, cells * 4**level))
+            out.levels.append((rows, sketches))
+        out.last = [read(i, int(n)) for i, n in enumerate(out.whole.tolist())]
+        return out
+
+    def _listed(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(position in which, digest)`` of all digests, peeled from the last levels."""
+        made = Sketches(self.whole[which], self.salts[which])
+        if len(which):
+            made.count, made.keys, made.checks = (np.concatenate(x) for x in zip(*(self.last[i] for i in which.tolist())))
+        return made.peel()[:2]
+
+    def differences(self, left, right) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(pair, digest, side)`` of all digests that only one of ``left[pair]`` and ``right[pair]`` has; side 1 is the left.
+
+        The smallest level is subtracted and peeled first. Where it is too small for the difference the next one is
+        tried, and after the last shared one both lists are peeled whole.
+        """
+        left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
+        apart = self.sizes[left] - self.sizes[right]
+        found = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
+        open_ = np.ones(len(left), bool)
+        for level, (rows, sketches) in enumerate(self.levels):
+            size, place = self.first * 4**level, np.full(len(self.sizes), -1)
+            place[rows] = np.arange(len(rows))
+            a, b = place[left], place[right]
+            tried = np.flatnonzero(open_ & (a >= 0) & (b >= 0) & (np.abs(apart) <= size))
+            both = Sketches(np.full(len(tried), size), np.full(len(tried), level + 1))
+            for name in ("count", "keys", "checks"):
+                cells = getattr(sketches, name).reshape(len(rows), -1)
+                setattr(both, name, (cells[a[tried]] - cells[b[tried]]).ravel())
+            which, digests, sign, failed = both.peel()
+            failed |= np.bincount(which, sign, minlength=len(tried)).astype(np.int64) != apart[tried]
+            done = ~failed[which]
+            found.append((tried[which[done]], digests[done], sign[done]))
+            open_[tried[~failed]] = False
+        rest = np.flatnonzero(open_)
+        sides = [self._listed(x[rest]) for x in (left, right)]
+        pair = np.concatenate([p for p, _ in sides])
+        digests = np.concatenate([d for _, d in sides])
+        sign = np.repeat([1, -1], [len(p) for p, _ in sides])
+        order = np.lexsort((digests, pair))
+        pair, digests, sign = pair[order], digests[order], sign[order]
+        same = np.zeros(len(pair) + 1, bool)
+        same[1:-1] = (pair[1:] == pair[:-1]) & (digests[1:] == digests[:-1])
+        alone = ~(same[1:] | same[:-1])
+        found.append((rest[pair[alone]], digests[alone], sign[alone]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def likeness(self, left, right) -> list[float]:
+        """Shared digests over all distinct ones of each pair, from the peeled difference; 1 for two without any."""
+        differ = np.bincount(self.differences(left, right)[0], minlength=len(left)).tolist()
+        both = (self.sizes[left] + self.sizes[right]).tolist()
+        return [(n - d) / (n + d) if n else 1.0 for n, d in zip(both, differ)]
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -212,19 +312,24 @@ def fingerprint_edits(docs: DataFrame, cells: int = CELLS, id_col: str = "doc_id
     def run(batches):
         before = None
         for part in slices(batches, 128):
-            rows, own, changed, after = [], [], [], []
+            rows, changed, own, after = [], [], [], []
+            every = [] if before is None else [before[1]]
             for lead, doc, text in zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in ("lead", "doc_id", "text"))):
                 digests = paragraph_digests(text)
                 if not lead:
                     new = edited(text, before[0])
-                    own.append(digests)
                     changed.append(paragraph_digests(new))
-                    after.append(before[1])
+                    own.append(len(every))
+                    after.append(len(every) - 1)
                     rows.append((doc, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()))
+                every.append(digests)
                 before = text, digests
+            prints = Fingerprints(every + changed, cells)
+            new = list(range(len(every), len(every) + len(changed)))
+            texts_ = prints.dumps()
             columns = list(zip(*rows)) if rows else [[]] * 3
-            columns += [fingerprints(own, cells), fingerprints(changed, cells)]
-            columns += [likeness(list(zip(own, changed)), cells), likeness(list(zip(own, after)), cells)]
+            columns += [[texts_[i] for i in own], [texts_[i] for i in new]]
+            columns += [prints.likeness(own, new), prints.likeness(own, after)]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=schema.names)
 
     return frame.mapInArrow(run, schema)

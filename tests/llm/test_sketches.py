@@ -20,7 +20,11 @@ def test_peeling_recovers_the_difference():
         common = rng.integers(0, 2**63, 500).astype(np.uint64)
         pairs.append(tuple(np.concatenate([common, rng.integers(0, 2**63, n).astype(np.uint64)]) for _ in range(2)))
     pairs.append((pairs[3][0], np.empty(0, np.uint64)))
-    which, digests, sides = K.differences(pairs)
+    prints = K.Fingerprints([x for pair in pairs for x in pair])
+    left, right = np.arange(len(pairs)) * 2, np.arange(len(pairs)) * 2 + 1
+    which, digests, sides = prints.differences(left, right)
+    again = K.Fingerprints.loads(prints.dumps())  # without the digests
+    assert again.dumps() == prints.dumps() and again.likeness(left, right) == prints.likeness(left, right)
     for i, (a, b) in enumerate(pairs):
         left, right = (set(digests[(which == i) & (sides == s)].tolist()) for s in (1, -1))
         assert left == set(a.tolist()) - set(b.tolist()) and right == set(b.tolist()) - set(a.tolist())
@@ -44,6 +48,8 @@ def test_query_equals_brute_force(spark, sf_dir, text_rows):
         new = text[: len(text) - len(text) // 3] + other[: len(text) // 3]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
         assert abs(r.near_edited - _exact(text, new)) < 1e-12 and abs(r.near_next - _exact(text, other)) < 1e-12
+        prints = K.Fingerprints.loads([r.fingerprint, r.edited_fingerprint, rows[after].fingerprint])
+        assert prints.likeness([0, 0], [1, 2]) == [r.near_edited, r.near_next]  # whoever has the fingerprints gets the same
         assert (r.fingerprint == r.edited_fingerprint) == (Counter(K.paragraph_digests(text)) == Counter(K.paragraph_digests(new)))
     assert np.mean([r.near_edited for r in rows.values()]) > 0.3 > np.mean([r.near_next for r in rows.values()])
 
