@@ -279,7 +279,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     at_end = F.col("doc_id").eqNullSafe(F.col("top"))
     both = F.when(at_end, F.concat(where, F.array(F.struct(F.col("follow").alias("bucket"), F.lit(True).alias("lead"))))).otherwise(where)
     sent = marked.select(F.explode(both).alias("to"), "doc_id", "text").select("to.bucket", "to.lead", "doc_id", "text")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket", F.desc("lead"), "doc_id", "text")
+    return sent.repartitionById(parts, "bucket").sortWithinPartitions("bucket", F.desc("lead"), "doc_id", "text")
 
 
 def _bucket_udf(cuts: list[int]):
