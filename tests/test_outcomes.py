@@ -162,6 +162,17 @@ def test_compacted_keys_are_the_same_keys(spark):
     assert _texts(again) == sorted(f"t{i}" for i in range(400, 410))
 
 
+def test_filters_grow_with_the_keys_of_a_day(spark):
+    """Twenty days with fifty keys each need a page each, and a day with many keys more than one; both are found again."""
+    index = KeyIndex(spark, work_dir(spark, "index"))
+    rows = [(f"t{i}", f"2025-03-{1 + i % 20:02d}", "b1") for i in range(1000)] + [(f"u{i}", "2025-04-01", "b1") for i in range(7000)]
+    index.claim(_found(spark, *rows), 0)
+    pages = {r.event_date: r["count"] for r in index.filters.read().groupBy("event_date").count().collect()}
+    assert pages.pop("2025-04-01") == 4 and set(pages.values()) == {1} and len(pages) == 20
+    again, _ = index.unseen(_found(spark, *rows, ("fresh", "2025-03-01", "b2")).withColumn("batch_id", F.lit("b2")), ["b2"])
+    assert _texts(again) == ["fresh"]
+
+
 def test_the_slower_of_two_jobs_looks_again(spark):
     index = KeyIndex(spark, work_dir(spark, "index"))
     mine, theirs = _found(spark, ("x", "d", "a"), ("y", "d", "a")), _found(spark, ("x", "d", "b"))
