@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
+from railfeed.operators import weather as wx
 from railfeed.operators.matching import build_station_index
 from railfeed.schemas import FORECAST_MEASURES
 from railfeed.session import work_dir
@@ -102,3 +105,55 @@ def test_pages_in_any_order_give_their_run(spark):
     # the page is fetched again: the run is whole
     assert poll(("a", 2, 200, '{"data":[{"n":3},{"n":4}]}')) == {"a": [1, 2, 3, 4, 5, 6]}
     assert poll(("a", 0, 500, "down")) == {}
+
+
+def _files(folder):
+    return [os.path.join(at, n) for at, _, names in os.walk(folder.removeprefix("file:")) for n in names if n.endswith(".parquet")]
+
+
+def test_many_runs_share_few_folders(spark):
+    source, stored, target, progress = (work_dir(spark, f"many-{n}") for n in ("in", "stored", "out", "progress"))
+    schema = "batch_id STRING, offset INT, status_code INT, payload STRING"
+
+    def poll(first, last, offset):
+        rows = [(f"run{i}", offset, 200, f'{{"data":[{i}]}}') for i in range(first, last)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        page_stream(spark.readStream.schema(schema).parquet(source), stored, target, progress, 1).awaitTermination()
+        items = spark.read.schema("batch_id STRING, offset INT, pos INT, payload STRING").parquet(target).collect()
+        return sorted((int(r.batch_id[3:]), r.offset, r.payload) for r in items)
+
+    assert poll(0, 300, 0) == [(i, 0, f"{i}") for i in range(300)]
+    old = set(_files(target))
+    assert len({os.path.dirname(f) for f in old}) <= 8 and len({os.path.dirname(f) for f in _files(stored)}) <= 8
+    # runs that go on are redone where they began, new ones have parts of their own
+    assert poll(300, 310, 0) == [(i, 0, f"{i}") for i in range(310)] and old <= set(_files(target))
+    assert poll(305, 310, 1) == sorted([(i, 0, f"{i}") for i in range(310)] + [(i, 1, f"{i}") for i in range(305, 310)])
+    assert old <= set(_files(target))
+
+
+def test_inserted_changes_lie_in_one_file_per_day(spark):
+    source, target, progress = (work_dir(spark, f"days-{n}") for n in ("in", "out", "progress"))
+    docs = [
+        (f'<timetable eva="1"><s id="{i}"><dp pt="25031109{i:02d}" ct="25031{d}09{i:02d}"/></s></timetable>', dt.datetime(2025, 3, 11))
+        for d in (1, 2) for i in range(50)
+    ]
+    spark.createDataFrame(docs, "payload STRING, ingested_at TIMESTAMP_NTZ").write.parquet(source)
+    rchg_insert_stream(spark.readStream.schema("payload STRING, ingested_at TIMESTAMP_NTZ").parquet(source), target, progress).awaitTermination()
+    assert spark.read.parquet(target).count() == 100 and len(_files(target)) == 2
+
+
+def test_one_file_of_weather_is_parsed_by_all_cores(spark):
+    source, vertical, target, progress = (work_dir(spark, f"cores-{n}") for n in ("in", "vertical", "out", "progress"))
+    schema = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id STRING"
+    doc = '{{"latitude":53.1,"longitude":8.8,"hourly":{{"time":["2025-03-11T{:02d}:00"],"temperature_2m":[1]}}}}'
+    rows = [(i, doc.format(i % 24), dt.datetime(2025, 3, 11), "b1") for i in range(200)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    dimension = "station_id STRING, name STRING, latitude DOUBLE, longitude DOUBLE, ds100 STRING, eva_number STRING"
+    stations = spark.createDataFrame([("1", "A", 53.1, 8.8, "HB", "80")], dimension)
+    index = build_station_index(stations.select("station_id", "latitude", "longitude"))
+    parts, whole = [], wx.parsed_objects
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(wx, "parsed_objects", lambda df: (parts.append(df.rdd.getNumPartitions()), whole(df))[1])
+        payloads = spark.readStream.schema(schema).parquet(source)
+        latest_weather_stream(payloads, index, stations, FORECAST_MEASURES, vertical, target, progress).awaitTermination()
+    assert spark.read.parquet(target).count() == 24 and min(parts) >= spark.sparkContext.defaultParallelism
