@@ -55,6 +55,9 @@ def _text(value: Column) -> Column:
 
 
 def _pick(selector: Column, *values: str | Column | None) -> Column:
+    if not any(isinstance(value, Column) for value in values):
+        # a constant list, where a CASE would work the selector out once per value
+        return F.get(F.array(*[lit(value) for value in values]), selector.cast("int"))
     out = None
     for i, value in enumerate(values):
         value = value if isinstance(value, Column) else lit(value)
@@ -229,7 +232,8 @@ def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attr(name: str, value: Column) -> Column:
-    return F.when(value.isNull(), lit("")).otherwise(F.concat(lit(f' {name}="'), value, lit('"')))
+    # the text of a missing value is NULL: the value itself is worked out once
+    return F.coalesce(F.concat(lit(f' {name}="'), value, lit('"')), lit(""))
 
 
 def _compact(ts: Column) -> Column:
@@ -257,8 +261,12 @@ def _message(base: Column, ok: Column, w: Column) -> Column:
     )
 
 
-def _node(tag: str, d: int, base: Column, ok: Column, ck: Column, j: Column, i: Column) -> Column:
-    q = ok + j + 3 * i + d
+def _messages(n: Column, first: Column, base: Column, ok: Column) -> Column:
+    """n messages, each made from a number that is worked out once."""
+    return F.array_join(F.transform(_items(n, lambda x: first + 5 * x), lambda w: _message(base, ok, w)), "")
+
+
+def _node(tag: str, d: int, base: Column, ok: Column, ck: Column, q: Column, i: Column) -> Column:
     planned = base + _minutes(ok % 1440 + 7 * i + 3 * d)
     pt = F.when(q % 19 == 0, "99").when(q % 23 == 0, "2413010900").otherwise(_compact(planned))
     ppth = F.when(q % 15 == 0, "A|").when(q % 3 == 0, F.concat(lit("A|B"), _text(ck))).when(q % 3 == 1, "")
@@ -272,11 +280,16 @@ def _node(tag: str, d: int, base: Column, ok: Column, ck: Column, j: Column, i:
         _attr("ppth", ppth),
         _attr("cpth", F.when(q % 2 == 0, "C|D&amp;E")),
         lit(">"),
-        F.array_join(_items((q * 3 + 1) % 4 % 3, lambda x: _message(base, ok, q + 5 * x)), ""),
+        _messages((q * 3 + 1) % 4 % 3, q, base, ok),
         lit(f"</{tag}>"),
     )
 
 
+def _nodes(tag: str, n: Column, d: int, base: Column, ok: Column, ck: Column, j: Column) -> Column:
+    numbers = _items(n, lambda i: ok + j + 3 * i + d)
+    return F.array_join(F.transform(numbers, lambda q, i: _node(tag, d, base, ok, ck, q, i)), "")
+
+
 def _service(base: Column, ok: Column, ck: Column, pri: Column, j: Column) -> Column:
     label = F.concat(
         lit("<tl"), _attr("f", F.concat(lit("F"), _text(ck % 50))), _attr("t", F.when(ok % 4 != 0, "p")),
@@ -287,9 +300,9 @@ def _service(base: Column, ok: Column, ck: Column, pri: Column, j: Column) -> Co
         _attr("id", _text(ok * 10 + j)),
         lit(">"),
         F.when((ok * 10 + j) % 11 == 0, "").otherwise(label),
-        F.array_join(_items((ok + j) % 3, lambda i: _node("ar", 0, base, ok, ck, j, i)), ""),
-        F.array_join(_items(((ok + j) * 7 + 2) % 5 % 3, lambda x: _message(base, ok, ok * 2 + j + 5 * x)), ""),
-        F.array_join(_items((ok + 2 * j + 1) % 3, lambda i: _node("dp", 1, base, ok, ck, j, i)), ""),
+        _nodes("ar", (ok + j) % 3, 0, base, ok, ck, j),
+        _messages(((ok + j) * 7 + 2) % 5 % 3, ok * 2 + j, base, ok),
+        _nodes("dp", (ok + 2 * j + 1) % 3, 1, base, ok, ck, j),
         lit("</s>"),
     )
 
