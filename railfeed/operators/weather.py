@@ -68,8 +68,9 @@ def _with_lists(objects: DataFrame, exact: bool) -> DataFrame:
     """Typed lists of an object, read once: inside a lambda they would be read again for every hour."""
 
     def lists(read: Callable[[Column], Column]) -> Column:
-        hourly = F.transform_values(json_map(F.col("obj"), "$.hourly"), lambda _, v: read(v))
-        return F.map_filter(hourly, lambda k, v: (k != "time") & v.isNotNull())
+        # times are left out first: read as numbers, each list of them would fail, which is dear
+        measures = F.map_filter(json_map(F.col("obj"), "$.hourly"), lambda k, _: k != "time")
+        return F.map_filter(F.transform_values(measures, lambda _, v: read(v)), lambda _, v: v.isNotNull())
 
     columns = {"lists": lists(_doubles), "times": F.try_variant_get("obj", "$.hourly.time", "array<string>")}
     if exact:

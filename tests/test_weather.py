@@ -142,3 +142,10 @@ def test_measure_lists_of_any_kind(spark, values, want):
     vertical, _ = rows(spark, f'{{"latitude":1,"longitude":2,"hourly":{{"time":["a","b","c","d"],"m":{values}}}}}')
     found = [r.measures.get("m") for r in vertical]
     assert found == want + [None] * (4 - len(want))
+
+
+def test_times_are_not_read_as_numbers(spark):
+    raw = spark.createDataFrame([(1, "b", '{"latitude":1,"longitude":2,"hourly":{"time":["2025-03-11T09:00"],"rain":[1.5],"x":["a"]}}')], "raw_id BIGINT, batch_id STRING, payload STRING")
+    lists = wx._with_lists(wx.weather_objects(raw), exact=False)
+    assert "transform_values(map_filter(" in lists._jdf.queryExecution().analyzed().toString()
+    assert lists.first().lists == {"rain": [1.5], "x": [None]}
