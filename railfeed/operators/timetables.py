@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import compact_to_iso, compact_to_ts, dashed_to_iso, digits_to_int, first_nonempty, iso_to_ts, last_path_stop
-from ..schemas import CORRUPT, FCHG_COLUMNS, PLAN_COLUMNS, PLAN_XML, RCHG_COLUMNS, TIMETABLE_XML
+from ..schemas import CORRUPT, FCHG_COLUMNS, PLAN_COLUMNS, PLAN_XML, RCHG_COLUMNS, READABLE_XML, TIMETABLE_XML
 from ..session import work_dir
 from .ranking import latest_per_key
 
@@ -22,7 +24,10 @@ _NAME = r"[\p{L}_:][\p{L}\p{M}\p{N}_:.\-\u00b7]*+"
 _ATTRIBUTE = rf"""\s+{_NAME}\s*=\s*(?:"[^"<]*+"|'[^'<]*+')"""
 _SUBSET = r"""\[(?:<!--.*?-->|<\?.*?\?>|"[^"]*+"|'[^']*+'|[^\]"'<]++|<)*+\]\s*"""
 _DOCTYPE = rf"""<!DOCTYPE(?:"[^"]*+"|'[^']*+'|[^>\["']++)*+(?:{_SUBSET})?>"""
-_ROOT = rf"(?s)^{_MISC}(?:{_DOCTYPE}{_MISC})?<{_NAME}(?:{_ATTRIBUTE})*+\s*/?>"
+_PROLOG = rf"(?s)^{_MISC}(?:{_DOCTYPE}{_MISC})?"
+_ROOT = rf"{_PROLOG}<{_NAME}(?:{_ATTRIBUTE})*+\s*/?>"
+# A document without comments and the like behind its start tag, whose root's name is closed once, at the end.
+_PLAIN_ROOT = rf"{_PROLOG}<({_NAME})(?:{_ATTRIBUTE})*+\s*>[^<]*+(?:<(?!/\1|[!?])[^<]*+)*+</\1\s*+>\s*+$"
 _HIDDEN = r"(?s)<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>"
 
 
@@ -51,24 +56,33 @@ def _single_root(payload: Column, head: Column) -> Column:
     return F.coalesce(closed, F.lit(False))
 
 
+def _with_head(payload: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` the text up to the end of the root's start tag, which is found once; false without one."""
+    found = F.array(F.regexp_extract(payload, _ROOT, 0))
+    return F.exists(found, lambda head: (head != "") & of(head))
+
+
 def shred(raw: DataFrame, schema: str = TIMETABLE_XML) -> DataFrame:
     """Parsed document per payload in ``doc``, with ``reason`` set where it must not be used.
 
     ``plain`` is false where the root moves its children into a namespace: they are no timetable entries.
     """
     # a byte order mark is no part of the document
-    bare = raw.withColumn("bare", F.ltrim("payload", F.lit("\ufeff")))
-    parsed = bare.withColumns(
-        {"doc": F.from_xml("bare", schema, _XML_OPTIONS), "head": F.regexp_substr("bare", F.lit(_ROOT))}
-    )
-    reason = F.when(F.col("payload").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), "malformed").when(
-        ~_single_root(F.col("bare"), F.col("head")), "extra_content"
-    )
-    return parsed.withColumns({"reason": reason, "plain": ~F.col("head").rlike(r"\sxmlns\s*=")}).drop("head", "bare")
+    bare = F.col("bare")
+    parsed = raw.withColumn("bare", F.ltrim("payload", F.lit("\ufeff"))).withColumn("doc", F.from_xml("bare", schema, _XML_OPTIONS))
+    # what few documents need is worked out for these alone, and the start tag once
+    whole = bare.rlike(_PLAIN_ROOT) | _with_head(bare, lambda head: _single_root(bare, head))
+    reason = F.when(F.col("payload").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), "malformed").when(~whole, "extra_content")
+    plain = ~bare.contains("xmlns") | _with_head(bare, lambda head: ~head.rlike(r"\sxmlns\s*="))
+    return parsed.withColumns({"reason": reason, "plain": plain}).drop("bare")
 
 
 def xml_quarantine(raw: DataFrame) -> DataFrame:
-    return shred(raw).filter("reason IS NOT NULL").select("raw_id", "batch_id", "reason", "payload")
+    """Unreadable payloads with the reason; whether a document reads is all that is asked of it."""
+    docs = shred(raw, READABLE_XML)
+    # a filter on the reason itself would be moved below its making, and work it out, document and all, once more per use
+    rows = docs.select("raw_id", "batch_id", F.explode_outer(F.array("reason")).alias("reason"), "payload")
+    return rows.filter("reason IS NOT NULL")
 
 
 def services(raw: DataFrame, schema: str = TIMETABLE_XML, rejects: bool = False) -> DataFrame:

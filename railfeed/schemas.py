@@ -73,6 +73,9 @@ PLAN_XML = (
     f"ar: ARRAY<{_PLAN_NODE}>, dp: ARRAY<{_PLAN_NODE}>>>, {CORRUPT} STRING"
 )
 
+# Reads nothing but whether the document can be read.
+READABLE_XML = f"{CORRUPT} STRING"
+
 # Columns of the three event tables, and the fields of the XML they come from above.
 FCHG_COLUMNS = [
     "eva_number",

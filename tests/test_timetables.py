@@ -173,3 +173,21 @@ def test_source_zone(spark):
     assert tt.plan_events(raw(spark, doc)).first().event_time == dt.datetime(2025, 7, 11, 9, 15)
     local = tt.plan_events(raw(spark, doc), source_tz="Europe/Berlin").first()
     assert local.event_time == dt.datetime(2025, 7, 11, 7, 15)
+
+
+def test_quarantine_reads_each_document_once(spark, tmp_path):
+    """A reason that is filtered where it is made is worked out again, document and all; and few columns are asked for."""
+    good = f"<timetable>{SERVICE}</timetable>"
+    odd = [
+        good, good + "junk", good + "<!-- c -->", good + good, "<timetable/>", "<timetable />x", good.replace("</s>", "</S>"), good.replace("1", "&nope;"),
+        f"<timetable>{SERVICE}text{SERVICE}<m>words</m></timetable>", "<timetable><s><ar>words</ar><m/>more</s></timetable>", good[:-3], "", None,
+        f"<timetable>{SERVICE}</timetable >\n", f"<timetable>{SERVICE}<timetables/></timetable>", f"<a:b xmlns:a='u'>{SERVICE}</a:b>",
+        "<timetable>" + SERVICE * 50_000 + "</timetable>", f"<timetable><![CDATA[</timetable>]]>{SERVICE}</timetable>", f"<timetable _corrupt='x'>{SERVICE}</timetable>", "<timetable><_corrupt>x</_corrupt></timetable>",
+    ]
+    raw(spark, *odd).write.parquet(str(tmp_path / "raw"))
+    rows = spark.read.parquet(str(tmp_path / "raw"))
+    quarantined = tt.xml_quarantine(rows)
+    plan = quarantined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1 and "_ppth" not in plan
+    reasons = {r.raw_id: r.reason for r in tt.shred(rows).filter("reason IS NOT NULL").collect()}
+    assert {r.raw_id: r.reason for r in quarantined.collect()} == reasons and set(reasons.values()) == {"malformed", "extra_content"}
