@@ -109,7 +109,7 @@ def _some(rejects: bool) -> str:
 def _unread(field: str, text: Column, value: Column, shape: str, reasons: tuple[str, str]) -> Column:
     """What is wrong with a text that gave no value: it has the right shape and means nothing, or has another shape."""
     return F.when(
-        (text != "") & value.isNull(),
+        text.isNotNull() & (text != "") & value.isNull(),
         F.struct(F.lit(field).alias("field"), F.when(text.rlike(shape), reasons[0]).otherwise(reasons[1]).alias("reason"), text.alias("text")),
     )
 
@@ -125,7 +125,9 @@ def bad_number(field: str, text: Column) -> Column:
 
 
 def _errors(*found: Column) -> Column:
-    return F.array_compact(F.array(*found)).alias("errors")
+    """Those of the given errors that there are; the list functions, which are interpreted, run for rows with one only."""
+    listed = F.array_compact(F.array(*found))
+    return F.when(F.coalesce(*found).isNotNull(), listed).otherwise(F.expr("array()")).alias("errors")
 
 
 def _message_errors(message: str, time: str, *numbers: tuple[str, str]) -> list[Column]:
@@ -305,8 +307,8 @@ def event_hash(*parts: Column) -> Column:
 
 def text_partition(text: Column) -> Column:
     """Last date in a hashed text, ``none`` without one: equal texts, and so equal hashes, share a partition."""
-    day = F.regexp_extract(text, r"(?s).*([0-9]{4}-[0-9]{2}-[0-9]{2})T", 1)
-    return F.when(day == "", "none").otherwise(day)
+    days = F.regexp_extract_all(text, F.lit(r"(?s)^.*([0-9]{4}-[0-9]{2}-[0-9]{2})T"), F.lit(1))  # the last one, or none
+    return F.when(text.isNotNull(), F.coalesce(F.get(days, F.lit(0)), F.lit("none")))
 
 
 def rchg_rows(

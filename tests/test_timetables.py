@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from railfeed.operators import timetables as tt
 
@@ -191,3 +192,17 @@ def test_quarantine_reads_each_document_once(spark, tmp_path):
     assert plan.count("from_xml(") == 1 and "_ppth" not in plan
     reasons = {r.raw_id: r.reason for r in tt.shred(rows).filter("reason IS NOT NULL").collect()}
     assert {r.raw_id: r.reason for r in quarantined.collect()} == reasons and set(reasons.values()) == {"malformed", "extra_content"}
+
+
+def test_what_few_rows_need_is_worked_out_for_these_alone(spark, tmp_path):
+    """Start tags are cut out of documents that are not plain, lists of errors made for rows with one, and a text's date sought once."""
+    raw(spark, "<timetable/>").write.parquet(str(tmp_path / "raw"))
+    rows = spark.read.parquet(str(tmp_path / "raw"))
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_common_expr" not in optimized(tt.shred(rows))
+    assert "CASE WHEN isnotnull(coalesce(" in optimized(tt.rchg_rows(rows, rejects=True))
+    texts = spark.createDataFrame([("a|2025-03-11T09:00|b",), ("2025-03-11T|2025-03-12T09\n2025-03-13",), ("x" * 3000,), ("",), (None,)], "t STRING")
+    days = texts.select(tt.text_partition(texts.t).alias("day"))
+    assert [r.day for r in days.collect()] == ["2025-03-11", "2025-03-12", "none", "none", None]
+    texts.write.parquet(str(tmp_path / "texts"))
+    assert optimized(spark.read.parquet(str(tmp_path / "texts")).select(tt.text_partition(F.col("t")).alias("day"))).count("regexp_extract") == 1
