@@ -386,7 +386,7 @@ class Warehouse:
             found = staged(tt.first_arrivals(dealt.rows), "found")
             while True:
                 unseen, base = index.unseen(found, todo)
-                new = staged(unseen, "unseen")
+                new = unseen if unseen is found else staged(unseen, "unseen")
                 inserted = new.count()
                 try:
                     if inserted:

@@ -10,7 +10,7 @@ ERROR_COLUMNS = ["raw_id", "batch_id", "field", "reason", "text"]
 
 
 class Dealt:
-    """Parsed rows, written once and cut by outcome, so that what follows reads its part and no payload again.
+    """Parsed rows, written once with their outcome, so that what follows reads its part and no payload again.
 
     ``rows`` carries ``raw_id`` and ``batch_id``, ``reject`` (why a payload or object gave no rows, else NULL) and
     ``errors``, the values of a row that could not be read, as (field, reason, text).
@@ -20,7 +20,8 @@ class Dealt:
         spark = rows.sparkSession
         self.path = work_dir(spark, "dealt")
         marked = rows.withColumn("outcome", F.when(F.col("reject").isNotNull(), "rejected").otherwise("read"))
-        marked.write.partitionBy("outcome").parquet(self.path)
+        # a column and no folders: Spark would sort all rows by outcome to write these
+        marked.write.parquet(self.path)
         self._all = spark.read.schema(marked.schema).parquet(self.path)
         self.rows = self._all.filter("outcome = 'read'").drop("reject", "errors", "outcome")
 

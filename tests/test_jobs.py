@@ -93,6 +93,30 @@ def test_the_first_arrival_keeps_a_row_whatever_the_job_takes(spark, house, monk
         assert [r.batch_id for r in spark.read.parquet(one.path("dwh", "timetables_rchg_events")).collect()] == ["zz"]
 
 
+def test_a_first_poll_is_numbered_and_stored_without_detours(spark, house, monkeypatch):
+    """Landed rows are numbered where they lie, rows are not sorted by outcome, and new rows are not copied when all are new."""
+    from railfeed.plans import jobs
+    from railfeed.plans.outcomes import Dealt
+    from railfeed.sources.tables import numbered
+
+    doc = '<timetable station="A" eva="1"><s id="{0}"><dp pt="2503110900" ct="25031109{0:02d}"/></s></timetable>'
+    docs = spark.range(0, 40, 1, 5).select(F.format_string("%02d", "id").alias("payload"), F.lit(T0).alias("ingested_at"), F.lit("b").alias("batch_id"))
+    rows = numbered(docs.filter("id NOT BETWEEN 8 AND 15"))
+    assert "row_number" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.raw_id, int(r.payload)) for r in rows.collect()) == list(enumerate([*range(8), *range(16, 40)]))
+    names, paths, whole = [], [], jobs.staged
+    monkeypatch.setattr(jobs, "staged", lambda df, name: (names.append(name), whole(df, name))[1])
+    monkeypatch.setattr(jobs, "Dealt", lambda rows: (d := Dealt(rows), paths.extend(d._all.inputFiles()))[0])
+    house.ingest("timetables_rchg", texts(spark, doc.format(5), doc.format(6), "broken"), T0)
+    house.transform_rchg()
+    assert names == ["found"] and paths and not [f for f in paths if "outcome=" in f]
+    house.ingest("timetables_rchg", texts(spark, doc.format(6), doc.format(7)), T0 + dt.timedelta(minutes=10))
+    house.transform_rchg()
+    stored = spark.read.parquet(house.path("dwh", "timetables_rchg_events")).collect()
+    assert sorted(r.new_time.minute for r in stored) == [5, 6, 7] and names == ["found", "found", "unseen"]
+    assert [r.reason for r in house.quarantine("timetables_rchg").collect()] == ["malformed"]
+
+
 def test_odd_texts_do_not_read_the_whole_target(spark, house):
     doc = '<timetable station="A" eva="1"><s id="7"><dp pt="2503110900" ct="{}" l="{}"/></s></timetable>'
     house.ingest("timetables_rchg", texts(spark, doc.format("2503110905", "1"), doc.format("2504110905", "1")), T0)
