@@ -142,6 +142,21 @@ def test_inserted_changes_lie_in_one_file_per_day(spark):
     assert spark.read.parquet(target).count() == 100 and len(_files(target)) == 2
 
 
+def test_new_changes_are_not_copied_when_all_are_new(spark, monkeypatch):
+    from railfeed.streaming import streams
+
+    names, whole = [], streams.staged
+    monkeypatch.setattr(streams, "staged", lambda df, name: (names.append(name), whole(df, name))[1])
+    source, target, progress = (work_dir(spark, f"copies-{n}") for n in ("in", "out", "progress"))
+    schema = "payload STRING, ingested_at TIMESTAMP_NTZ"
+    for minutes in ((5,), (5, 6)):
+        docs = [(f'<timetable eva="1"><s id="7"><dp pt="2503110900" ct="25031109{m:02d}"/></s></timetable>', dt.datetime(2025, 3, 11)) for m in minutes]
+        spark.createDataFrame(docs, schema).coalesce(1).write.mode("append").parquet(source)
+        rchg_insert_stream(spark.readStream.schema(schema).parquet(source), target, progress).awaitTermination()
+    assert sorted(r.new_time.minute for r in spark.read.parquet(target).collect()) == [5, 6]
+    assert names == ["found", "found", "unseen"]
+
+
 def test_one_file_of_weather_is_parsed_by_all_cores(spark):
     source, vertical, target, progress = (work_dir(spark, f"cores-{n}") for n in ("in", "vertical", "out", "progress"))
     schema = "raw_id BIGINT, payload STRING, ingested_at TIMESTAMP_NTZ, batch_id STRING"
